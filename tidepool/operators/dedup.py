@@ -22,14 +22,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidepool import config
-from tidepool.functions import hashing, text
+from tidepool.functions import hashing, text, vectors
+from tidepool.plans.joins import sized_lookup
 
 BAND_COLS = tuple(f"k{j}" for j in range(config.LSH_ROWS))
 
 
 def with_message_keys(df: DataFrame, message: str = "message") -> DataFrame:
-    """Add ``norm`` (normalised text) and ``msg_id`` (md5 of it)."""
-    norm = text.normalize(F.col(message))
+    """Add ``norm`` (normalised text) and ``msg_id`` (md5 of it); never NULL."""
+    norm = text.normalize(F.coalesce(F.col(message), F.lit("")))
     return df.withColumn("norm", norm).withColumn("msg_id", hashing.message_id(F.col("norm")))
 
 
@@ -37,7 +38,7 @@ def with_message_keys(df: DataFrame, message: str = "message") -> DataFrame:
 
 def exact_flags(df: DataFrame, key: str = "msg_id", seq: str = "seq",
                 out: str = "is_exact_duplicate") -> DataFrame:
-    firsts = df.groupBy(key).agg(F.min(seq).alias("_first_seq"))
+    firsts = sized_lookup(df.groupBy(key).agg(F.min(seq).alias("_first_seq")))
     return (df.join(firsts, key, "inner")
             .withColumn(out, F.col(seq) > F.col("_first_seq"))
             .drop("_first_seq"))
@@ -86,35 +87,20 @@ def bloom_flags(df: DataFrame, size: int = config.BLOOM_SIZE,
 
 # ---------------------------------------------------------------- token buckets and band key
 
-def _equals(j: int):
-    return lambda b: b == F.lit(j)
-
-
-def bucket_ids(norm: Column, dim: int = config.LSH_DIM) -> Column:
-    """Per token: int(md5(token)) mod dim (array, token order)."""
-    return F.transform(text.tokens(norm), lambda t: hashing.md5_mod(t, dim))
-
-
-def bucket_counts(buckets: Column, n: int) -> list[Column]:
-    return [F.size(F.filter(buckets, _equals(j))).cast("bigint") for j in range(n)]
+def with_token_vector(df: DataFrame, dim: int = config.LSH_DIM, norm: str = "norm",
+                      out: str = "vector") -> DataFrame:
+    """Full dim-long token-bucket count vector (array<int>)."""
+    return df.withColumn(out, vectors.bucket_vector(F.col(norm), dim))
 
 
 def with_band(df: DataFrame, rows: int = config.LSH_ROWS, dim: int | None = None,
               norm: str = "norm") -> DataFrame:
-    """Add k0..k{rows-1}: the first ``rows`` token-bucket counts (the band slice)."""
+    """Add k0..k{rows-1}: the first ``rows`` token-bucket counts (the band slice), never NULL."""
     dim = dim or rows * 3
-    # The bucket array is its own projection so the per-token hashing runs once per row
-    # (the optimizer does not inline a non-trivial expression referenced several times).
-    staged = df.withColumn("_buckets", bucket_ids(F.col(norm), dim))
-    cols = bucket_counts(F.col("_buckets"), rows)
-    return staged.withColumns({f"k{j}": c for j, c in enumerate(cols)}).drop("_buckets")
-
-
-def with_token_vector(df: DataFrame, dim: int = config.LSH_DIM, norm: str = "norm",
-                      out: str = "vector") -> DataFrame:
-    """Full dim-long count vector as array<bigint>."""
-    staged = df.withColumn("_buckets", bucket_ids(F.col(norm), dim))
-    return staged.withColumn(out, F.array(*bucket_counts(F.col("_buckets"), dim))).drop("_buckets")
+    staged = with_token_vector(df, dim, norm, "_vec")
+    return staged.withColumns({
+        f"k{j}": F.coalesce(F.col("_vec").getItem(j), F.lit(0)).cast("bigint")
+        for j in range(rows)}).drop("_vec")
 
 
 def band_key_col(rows: int = config.LSH_ROWS, band_id: int = config.LSH_BAND_ID) -> Column:
@@ -138,7 +124,8 @@ def near_flags(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq",
         firsts = (prior.select(*keys, "first_seq", "first_msg_id").unionByName(firsts)
                   .groupBy(*keys).agg(F.min("first_seq").alias("first_seq"),
                                       F.min_by("first_msg_id", "first_seq").alias("first_msg_id")))
-    joined = banded.join(firsts.select(*keys, "first_msg_id"), keys, "inner")
+    lookup = sized_lookup(firsts.select(*keys, "first_msg_id"))
+    joined = banded.join(lookup, keys, "inner")
     return (joined.withColumn(out, F.col("msg_id") != F.col("first_msg_id"))
             .drop("first_msg_id", *keys))
 
@@ -147,7 +134,7 @@ def lsh_candidates(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq")
     """Distinct candidate ids each row sees in its bucket at lookup time ([] if none)."""
     keys = [f"k{j}" for j in range(rows)]
     banded = with_band(df, rows)
-    firsts = band_firsts(banded, keys, seq)
+    firsts = sized_lookup(band_firsts(banded, keys, seq))
     j = banded.join(firsts, keys, "inner")
     cand = F.when(F.col(seq) > F.col("first_seq"), F.array(F.col("first_msg_id"))) \
         .otherwise(F.array().cast("array<string>"))

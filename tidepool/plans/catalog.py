@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepool import config
 from tidepool.functions import hashing
-from tidepool.operators import alerts, dedup, monitoring, replies, views
+from tidepool.operators import alerts, decode, dedup, monitoring, replies, views
 from tidepool.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -204,6 +204,30 @@ def latest_gauge(spark, sf):
     return monitoring.latest_gauge(ev, "gauge", "value", "ts", "event_id")
 
 
+# ---------------------------------------------------------------- wire decode and constraints
+
+def publish_json(spark, sf):
+    raw = tables.raw_messages(spark, sf)
+    return decode.encode(raw, ["user_id", "message"]).select("seq", "value")
+
+
+def decode_messages(spark, sf):
+    return decode.decode(tables.wire_records(spark, sf)).select(
+        "origin", "src_id", "part", "user_id", "message")
+
+
+def rejected_records(spark, sf):
+    return decode.rejects(tables.wire_records(spark, sf)).select(
+        "origin", "src_id", "part", "reject_reason")
+
+
+def constraint_violations(spark, sf):
+    p = _processed(spark, sf)
+    return (decode.constraint_violations(p, "processed")
+            .unionByName(decode.constraint_violations(tables.outbox(p), "outbox"))
+            .unionByName(decode.constraint_violations(tables.metrics(p), "metrics")))
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in list(globals().items())
     if callable(fn) and getattr(fn, "__module__", None) == __name__ and not name.startswith("_")

@@ -221,5 +221,52 @@ def base_sql() -> dict[str, str]:
     }
 
 
+WIRE = """
+wire AS (
+  SELECT 'documents' AS origin, doc_id AS src_id, CAST(0 AS BIGINT) AS part,
+    CAST(to_json({'user_id': source, 'message': text}) AS VARCHAR) AS value FROM documents
+  UNION ALL SELECT 'conversations', conv_id, turn,
+    CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'message': text}) AS VARCHAR) FROM conversations
+  UNION ALL SELECT 'events', event_id, 0, CAST(to_json({'user_id': user_id, 'message': event_type}) AS VARCHAR) FROM events
+  UNION ALL SELECT 'props', event_id, 0, props FROM events
+  UNION ALL SELECT 'pages', page_id, 0, html FROM pages),
+checked AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS jv FROM wire),
+decoded AS (
+  SELECT *, CASE
+    WHEN value IS NULL THEN 'null_value'
+    WHEN jv IS NULL THEN 'bad_json'
+    WHEN json_type(jv) <> 'OBJECT' THEN 'not_object'
+    WHEN json_type(jv, '$.message') IS NOT NULL AND json_type(jv, '$.message') <> 'VARCHAR' THEN 'message_type'
+    WHEN json_type(jv, '$.user_id') IS NOT NULL AND json_type(jv, '$.user_id') <> 'VARCHAR' THEN 'user_id_type'
+    END AS reject_reason
+  FROM checked)"""
+
+
+def _violations(table: str, key: str = "id") -> str:
+    from tidepool.operators.decode import CONSTRAINTS
+    parts = []
+    for col, not_null, max_len in CONSTRAINTS[table]:
+        if not_null:
+            parts.append(f"SELECT '{table}' AS table_name, {key} AS row_id, '{col} is null' AS reason "
+                         f"FROM {table} WHERE {col} IS NULL")
+        if max_len is not None:
+            parts.append(f"SELECT '{table}', {key}, '{col} longer than {max_len}' FROM {table} "
+                         f"WHERE length(CAST({col} AS VARCHAR)) > {max_len}")
+    return " UNION ALL ".join(parts)
+
+
+def wire_sql() -> dict[str, str]:
+    return {
+        "publish_json": "SELECT doc_id AS seq, CAST(to_json({'user_id': source, 'message': text}) AS VARCHAR) AS value FROM documents",
+        "decode_messages": with_(WIRE, "SELECT origin, src_id, part, coalesce(jv ->> '$.user_id', 'unknown') AS user_id, "
+                                 "coalesce(jv ->> '$.message', '') AS message FROM decoded WHERE reject_reason IS NULL"),
+        "rejected_records": with_(WIRE, "SELECT origin, src_id, part, reject_reason FROM decoded WHERE reject_reason IS NOT NULL"),
+        "constraint_violations": with_(PROCESSED, " UNION ALL ".join(
+            _violations(t) for t in ("processed", "outbox", "metrics"))),
+    }
+
+
 def all_sql() -> dict[str, str]:
-    return base_sql()
+    out = base_sql()
+    out.update(wire_sql())
+    return out

@@ -29,10 +29,22 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a small input over all cores before CPU-heavy text work.
+
+    Only when the scan yields fewer partitions than task slots (small inputs); a large input
+    already has far more splits than slots and is left untouched (no shuffle).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "documents").select(
+    return spread(read_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("seq"), F.col("source").alias("user_id"),
-        F.col("text").alias("message"), "n_chars")
+        F.col("text").alias("message"), "n_chars"))
 
 
 def label_from_flags(quality, toxic):
@@ -82,3 +94,33 @@ def metrics(processed_df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     from tidepool.operators import monitoring
     batched = processed_df.withColumn("epoch", F.floor(F.col("id") / F.lit(batch_rows)))
     return monitoring.batch_metrics(batched, epoch="epoch")
+
+
+def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The JSON wire stream built from the driver tables (origin, src_id, part, value).
+
+    documents -> {"user_id", "message"}; conversations -> {"conv_id", "turn", "role", "message"}
+    (no user id); events -> {"user_id": <number>, "message"}; events.props -> {"k": n} (no
+    message); pages.html -> not JSON.
+    """
+    from tidepool.operators.decode import encode
+    docs = encode(read_table(spark, sf_dir, "documents").select(
+        F.lit("documents").alias("origin"), F.col("doc_id").alias("src_id"),
+        F.lit(0).cast("bigint").alias("part"), F.col("source").alias("user_id"),
+        F.col("text").alias("message")), ["user_id", "message"])
+    conv = encode(read_table(spark, sf_dir, "conversations").select(
+        F.lit("conversations").alias("origin"), F.col("conv_id").alias("src_id"),
+        F.col("turn").alias("part"), "conv_id", "turn", "role", F.col("text").alias("message")),
+        ["conv_id", "turn", "role", "message"])
+    ev = read_table(spark, sf_dir, "events")
+    evs = encode(ev.select(F.lit("events").alias("origin"), F.col("event_id").alias("src_id"),
+                           F.lit(0).cast("bigint").alias("part"), "user_id",
+                           F.col("event_type").alias("message")), ["user_id", "message"])
+    props = ev.select(F.lit("props").alias("origin"), F.col("event_id").alias("src_id"),
+                      F.lit(0).cast("bigint").alias("part"), F.col("props").alias("value"))
+    pages = read_table(spark, sf_dir, "pages").select(
+        F.lit("pages").alias("origin"), F.col("page_id").alias("src_id"),
+        F.lit(0).cast("bigint").alias("part"), F.col("html").alias("value"))
+    cols = ["origin", "src_id", "part", "value"]
+    return (docs.select(*cols).unionByName(conv.select(*cols)).unionByName(evs.select(*cols))
+            .unionByName(props).unionByName(pages))

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tidepool import config
 from tidepool.functions import hashing
-from tidepool.operators import alerts, decode, dedup, monitoring, replies, views
+from tidepool.operators import (alerts, classify as clf, decode, dedup, features, monitoring,
+                                privacy, replies, synth, views)
 from tidepool.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +229,90 @@ def constraint_violations(spark, sf):
             .unionByName(decode.constraint_violations(tables.metrics(p), "metrics")))
 
 
+# ---------------------------------------------------------------- features and classifier
+
+def _training_set(spark, sf):
+    """Labelled documents: documents joined with the stand-in labels."""
+    docs = tables.read_table(spark, sf, "documents").select("doc_id", "text")
+    lab = tables.stand_in_labels(spark, sf).select(F.col("seq").alias("doc_id"),
+                                                   F.col("predicted_label").alias("label"))
+    return docs.join(lab, "doc_id")
+
+
+def term_stats(spark, sf):
+    return features.term_stats(_training_set(spark, sf))
+
+
+def tfidf(spark, sf):
+    return features.tfidf(_training_set(spark, sf))
+
+
+def label_encode(spark, sf):
+    t = _training_set(spark, sf)
+    return t.select("doc_id", "label", features.label_code(F.col("label")).alias("label_code"))
+
+
+def train_test_split(spark, sf):
+    return _training_set(spark, sf).select(
+        "doc_id", features.split_column(F.col("doc_id")).alias("split"))
+
+
+def _predictions(spark, sf):
+    t = _training_set(spark, sf).withColumn("label_code", features.label_code(F.col("label"))) \
+        .withColumn("split", features.split_column(F.col("doc_id")))
+    model = clf.fit(t.filter(F.col("split") == "train"))
+    return clf.predict(model, t)
+
+
+def classify(spark, sf):
+    return _predictions(spark, sf).select("doc_id", "split", "label", "predicted_label",
+                                          F.round("confidence", 6).alias("confidence"))
+
+
+def accuracy(spark, sf):
+    return clf.accuracy(_predictions(spark, sf))
+
+
+def classification_report(spark, sf):
+    return clf.classification_report(_predictions(spark, sf).filter(F.col("split") == "test"))
+
+
+# ---------------------------------------------------------------- privacy
+
+def laplace_noise(spark, sf):
+    ev = monitoring.event_counter(_events(spark, sf))
+    key = F.concat(F.lit("event_counter|"), F.col("event_type"))
+    return ev.select("event_type", F.round(privacy.laplace(key), 6).alias("noise"),
+                     privacy.noisy_count(F.col("events_processed_total"), key).alias("noisy_count"))
+
+
+def noisy_label_summary(spark, sf):
+    return privacy.noisy_label_summary(_processed(spark, sf))
+
+
+def private_report(spark, sf):
+    return privacy.private_report(_processed(spark, sf))
+
+
+# ---------------------------------------------------------------- synthetic messages
+
+def _synth(spark, sf):
+    driver = _events(spark, sf).select("event_id")
+    raw = tables.raw_messages(spark, sf).join(tables.stand_in_labels(spark, sf), "seq", "left")
+    inputs = raw.select(F.col("seq").alias("idx"), "user_id", "message",
+                        tables.created_at(F.col("seq")).alias("timestamp"),
+                        F.col("predicted_label").alias("label"))
+    return synth.synthesize(driver, "event_id", inputs)
+
+
+def synth_messages(spark, sf):
+    return _synth(spark, sf)
+
+
+def synth_label_freq(spark, sf):
+    return synth.label_frequency(_synth(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     name: fn for name, fn in list(globals().items())
     if callable(fn) and getattr(fn, "__module__", None) == __name__ and not name.startswith("_")

@@ -266,7 +266,124 @@ def wire_sql() -> dict[str, str]:
     }
 
 
+def _stop_list() -> str:
+    from tidepool.operators.features import stop_words
+    return ", ".join(q(w) for w in stop_words())
+
+
+TRAIN = f"""
+train AS (
+  SELECT d.doc_id, d.text, {label_case('l.quality', 'l.toxic')} AS label
+  FROM documents d JOIN labels l USING (doc_id)),
+toks AS (
+  SELECT doc_id, unnest(regexp_extract_all(lower(text), {q(WORD_TOKEN)})) AS term FROM train),
+ftoks AS (SELECT * FROM toks WHERE term NOT IN (__STOP__))"""
+
+
+def _train() -> str:
+    return TRAIN.replace("__STOP__", _stop_list())
+
+
+def _noise(key: str, eps: float = config.DP_EPSILON, seed: int = config.DP_SEED) -> str:
+    hashed = unit_interval("'" + str(seed) + "|' || " + key)
+    u = f"({hashed} - 0.5)"
+    return f"({-1.0 / eps} * sign({u}) * ln(1.0 - 2.0 * abs({u})))"
+
+
+def _noisy(count: str, key: str) -> str:
+    return f"greatest(0, CAST(round_even(CAST(coalesce({count}, 0) AS DOUBLE) + {_noise(key)}, 0) AS BIGINT))"
+
+
+def _synth_sql() -> str:
+    from tidepool.operators import synth as sy
+    seed = config.SYNTH_SEED
+
+    def h(tag: str, m: int, i: str = "idx") -> str:
+        return md5_mod(f"('{seed}|' || CAST({i} AS VARCHAR) || '|{tag}')", m)
+
+    def pick(opts, hv: str) -> str:
+        return "[" + ", ".join(q(o) for o in opts) + f"][{hv} + 1]"
+
+    labels = list(config.LABELS)
+    tmpl = "CASE " + " ".join(
+        f"WHEN label = {q(n)} THEN {pick(sy.TEMPLATES[n], h('template', len(sy.TEMPLATES[n])))}"
+        for n in labels) + " END"
+    msg = (f"replace(replace({tmpl}, '{{delay}}', {pick(sy.DELAYS, h('delay', len(sy.DELAYS)))}), "
+           f"'{{punct}}', {pick(sy.PUNCT, h('punct', len(sy.PUNCT)))})")
+    title = ("array_to_string(list_transform(string_split(m0, ' '), lambda w: upper(substring(w, 1, 1)) "
+             "|| lower(substring(w, 2))), ' ')")
+    cased = (f"CASE {h('case', 4)} WHEN 0 THEN {title} WHEN 1 THEN upper(m0) WHEN 2 THEN lower(m0) ELSE m0 END")
+    swap = "CASE " + " ".join(
+        f"WHEN label = {q(n)} AND {h('swap', 100)} < {sy.SWAP_PERCENT} THEN replace(m1, {q(w)}, "
+        f"{pick(alts, h('alt', len(alts)))})" for n, (w, alts) in sy.SWAPS.items()) + " ELSE m1 END"
+    user = f"'user_' || lpad(CAST(100 + {h('user', 99900)} AS VARCHAR), 5, '0')"
+    ts = (f"strftime(TIMESTAMP '{sy.BASE_TIME}' + to_minutes(CAST(idx * (1 + {h('step', 5)}) AS BIGINT)), "
+          "'%Y-%m-%dT%H:%M:%SZ')")
+    shift = f"CASE WHEN {h('shift', 2)} = 0 THEN 1 + {h('minutes', 60)} ELSE 0 END"
+    return f"""
+s0 AS (SELECT event_id AS idx, {pick(labels, h('label', 3))} AS label FROM events),
+s1 AS (SELECT *, {msg} AS m0 FROM s0),
+s2 AS (SELECT *, {cased} AS m1 FROM s1),
+gen AS (SELECT idx, {user} AS user_id, {swap} AS message, {ts} AS timestamp, label FROM s2),
+lab2 AS (SELECT doc_id AS idx, {label_case('quality', 'toxic')} AS label FROM labels),
+copies AS (
+  SELECT d.doc_id AS idx, d.source AS user_id, d.text AS message,
+    strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(d.doc_id) + to_minutes(CAST({shift.replace('idx', 'd.doc_id')} AS BIGINT)),
+      '%Y-%m-%dT%H:%M:%SZ') AS timestamp, lab2.label
+  FROM documents d LEFT JOIN lab2 ON lab2.idx = d.doc_id WHERE d.doc_id % {sy.INJECT_EVERY} = 0),
+synth AS (
+  SELECT g.idx,
+    CASE WHEN c.idx IS NOT NULL THEN c.user_id ELSE g.user_id END AS user_id,
+    CASE WHEN c.idx IS NOT NULL THEN c.message ELSE g.message END AS message,
+    CASE WHEN c.idx IS NOT NULL THEN c.timestamp ELSE g.timestamp END AS timestamp,
+    CASE WHEN c.idx IS NOT NULL THEN c.label ELSE g.label END AS label
+  FROM gen g LEFT JOIN copies c USING (idx))"""
+
+
+SPLIT_KEY = "'" + str(config.SPLIT_SEED) + ":' || CAST(doc_id AS VARCHAR)"
+
+
+def ml_sql() -> dict[str, str]:
+    tr = _train()
+    pr = PROCESSED
+    label_rows = ("SELECT 'label_summary' AS section, upper(substr(coalesce(predicted_label, 'unknown'), 1, 1)) || "
+                  "lower(substr(coalesce(predicted_label, 'unknown'), 2)) AS item, count(*) AS raw_value "
+                  "FROM processed GROUP BY predicted_label")
+    dup_rows = ("SELECT 'duplicate_summary' AS section, unnest(['exact_duplicates', 'near_duplicates', 'total_rows']) AS item, "
+                "unnest([sum(CASE WHEN is_duplicate THEN 1 ELSE 0 END), sum(CASE WHEN is_near_duplicate THEN 1 ELSE 0 END), "
+                "count(*)]) AS raw_value FROM processed")
+    spike_rows = ("SELECT 'complaint_spike' AS section, 'complaint_count_last_20' AS item, "
+                  f"count_if(predicted_label = 'complaint') AS raw_value FROM (SELECT * FROM processed {NEWEST})")
+    sy = _synth_sql()
+    return {
+        "term_stats": with_(tr, "SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM "
+                            "(SELECT doc_id, term, count(*) AS tf FROM ftoks GROUP BY 1, 2) GROUP BY term"),
+        "tfidf": with_(tr + f""",
+vocab AS (SELECT term FROM ftoks GROUP BY term ORDER BY count(*) DESC, term LIMIT {config.TFIDF_TERMS}),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM ftoks WHERE term IN (SELECT term FROM vocab) GROUP BY 1, 2),
+dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*) AS n FROM train),
+w AS (SELECT doc_id, term, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w FROM tf JOIN dfs USING (term), n)""",
+                       "SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w"),
+        "label_encode": with_(tr, "SELECT doc_id, label, CASE label WHEN 'complaint' THEN 0 WHEN 'praise' THEN 1 "
+                              "WHEN 'inquiry' THEN 2 END AS label_code FROM train"),
+        "train_test_split": with_(tr, f"SELECT doc_id, CASE WHEN {md5_mod(SPLIT_KEY, 100)} "
+                                  f"< {config.TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split FROM train"),
+        "laplace_noise": "SELECT event_type, round(" + _noise("'event_counter|' || event_type") + ", 6) AS noise, "
+                         + _noisy("n", "'event_counter|' || event_type") + " AS noisy_count FROM "
+                         "(SELECT event_type, count(*) AS n FROM events GROUP BY 1)",
+        "noisy_label_summary": with_(pr, "SELECT predicted_label, " + _noisy("total_count", "'label_summary|' || coalesce(predicted_label, 'unknown')")
+                                     + " AS noisy_count FROM (SELECT predicted_label, count(*) AS total_count FROM processed GROUP BY 1)"),
+        "private_report": with_(pr + f""",
+report AS ({label_rows} UNION ALL {dup_rows} UNION ALL {spike_rows})""",
+                                "SELECT section, item, " + _noisy("raw_value", "section || '|' || item") + " AS noisy_value FROM report"),
+        "synth_messages": with_(sy, "SELECT idx, user_id, message, timestamp, label FROM synth"),
+        "synth_label_freq": with_(sy, "SELECT label, count(*) AS label_count FROM synth GROUP BY 1"),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out = base_sql()
     out.update(wire_sql())
+    out.update(ml_sql())
     return out

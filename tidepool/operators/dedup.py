@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidepool import config
 from tidepool.functions import hashing, text, vectors
-from tidepool.plans.joins import sized_lookup
+from tidepool.plans.joins import BROADCAST_MAX_ROWS, materialize, sized_lookup
 
 BAND_COLS = tuple(f"k{j}" for j in range(config.LSH_ROWS))
 
@@ -74,7 +74,13 @@ def bloom_flags(df: DataFrame, size: int = config.BLOOM_SIZE,
     if prior_fill is not None:
         fill = (prior_fill.select("bit_idx", "first_seq").unionByName(fill)
                 .groupBy("bit_idx").agg(F.min("first_seq").alias("first_seq")))
-    fill = _maybe_broadcast(fill, size)
+    # Materialised once: the k probes below read the small checkpoint, not the input again.
+    fill = _maybe_broadcast(materialize(fill), size)
+    return _probe_bits(withbits, fill, num_hashes, seq, out)
+
+
+def _probe_bits(withbits: DataFrame, fill: DataFrame, num_hashes: int, seq: str,
+                out: str) -> DataFrame:
     out_df = withbits
     for i in range(num_hashes):
         probe = fill.select(F.col("bit_idx").alias(f"b{i}"), F.col("first_seq").alias(f"_f{i}"))
@@ -142,10 +148,42 @@ def lsh_candidates(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq")
                     cand.alias("candidates"))
 
 
+def first_seen(keyed: DataFrame, num_hashes: int, rows: int, seq: str = "seq") -> DataFrame:
+    """Bloom fill and band firsts in one pass over the rows.
+
+    Each row explodes into its k bit entries plus one band entry; one aggregation returns
+    (kind, bit_idx, k0..k{rows-1}, first_seq, first_msg_id) with kind 0 = bit, 1 = band.
+    """
+    keys = [f"k{j}" for j in range(rows)]
+    null_keys = [F.lit(None).cast("bigint").alias(k) for k in keys]
+    entries = [F.struct(F.lit(0).alias("kind"), F.col(f"b{i}").alias("bit_idx"), *null_keys)
+               for i in range(num_hashes)]
+    entries.append(F.struct(F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("bit_idx"),
+                            *[F.col(k) for k in keys]))
+    ex = keyed.select(F.col(seq).alias("_s"), "msg_id", F.explode(F.array(*entries)).alias("e"))
+    return (ex.select("_s", "msg_id", "e.*")
+            .groupBy("kind", "bit_idx", *keys)
+            .agg(F.min("_s").alias("first_seq"), F.min_by("msg_id", "_s").alias("first_msg_id")))
+
+
 def flag_messages(df: DataFrame, size: int = config.BLOOM_SIZE,
                   num_hashes: int = config.BLOOM_HASHES, rows: int = config.LSH_ROWS,
-                  message: str = "message") -> DataFrame:
-    """The reference's two flags on a frame with ``seq`` and a message column."""
-    keyed = with_message_keys(df, message)
-    flagged = bloom_flags(keyed, size, num_hashes)
-    return near_flags(flagged, rows)
+                  message: str = "message", seq: str = "seq") -> DataFrame:
+    """The reference's two flags (Bloom exact flag, band near flag) on a frame with ``seq``.
+
+    Two passes over the text, no shuffle of the rows: pass 1 computes both lookup tables in one
+    aggregation and checkpoints them; pass 2 probes them with broadcast joins (the bit table is
+    bounded by ``size``; the band table is broadcast only if its measured row count is small).
+    """
+    keys = [f"k{j}" for j in range(rows)]
+    keyed = with_band(with_bloom_bits(with_message_keys(df, message), size, num_hashes), rows)
+    firsts = materialize(first_seen(keyed, num_hashes, rows, seq))
+    fill = _maybe_broadcast(firsts.filter(F.col("kind") == 0)
+                            .select("bit_idx", "first_seq"), size)
+    band = firsts.filter(F.col("kind") == 1).select(*keys, "first_msg_id")
+    n_band = firsts.filter(F.col("kind") == 1).count()
+    band = F.broadcast(band) if n_band <= BROADCAST_MAX_ROWS else band
+    flagged = _probe_bits(keyed, fill, num_hashes, seq, "is_duplicate")
+    joined = flagged.join(band, keys, "inner")
+    return (joined.withColumn("is_near_duplicate", F.col("msg_id") != F.col("first_msg_id"))
+            .drop("first_msg_id", *keys))

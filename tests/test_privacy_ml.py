@@ -44,3 +44,25 @@ def test_classification_report_matches_brute_force(spark):
         assert abs(got[c].precision - prec) < 1e-6 and abs(got[c].recall - rec) < 1e-6
         assert abs(got[c].f1 - f1) < 1e-6 and got[c].support == sup
     assert abs(got["accuracy"].f1 - 5 / 7) < 1e-6
+
+
+def test_model_save_load_and_csv_roundtrip(spark, workdir):
+    import os
+
+    from tidepool.sources import streams
+    driver = spark.read.parquet(f"{SF0001}/events.parquet").select("event_id")
+    msgs = synth.synthesize(driver, "event_id")
+    path = os.path.join(workdir, "msgs_csv")
+    streams.write_csv_messages(msgs, path)
+    back = streams.read_csv_messages(spark, path)
+    assert sorted(map(tuple, back.collect())) == sorted(
+        map(tuple, msgs.select("user_id", "message", "timestamp", "label").collect()))
+    train = back.withColumnRenamed("message", "text").withColumn(
+        "label_code", features.label_code(F.col("label")))
+    model = classify.fit(train)
+    classify.save(model, os.path.join(workdir, "model"))
+    again = classify.load(os.path.join(workdir, "model"))
+    a = classify.predict(model, train).select("text", "predicted_label", "confidence").collect()
+    b = classify.predict(again, train).select("text", "predicted_label", "confidence").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+    assert all(r.predicted_label in ("complaint", "praise", "inquiry") for r in a)

@@ -65,3 +65,26 @@ def test_empty_batch_writes_nothing(spark, workdir):
     job.process_batch(spark.createDataFrame([], "value string"), 0)
     assert job.tables(spark)["processed"] is None
     assert not os.path.exists(os.path.join(workdir, "out", "metrics"))
+
+
+def test_restart_from_checkpoint_continues(spark, workdir):
+    """Stop after two files, add two more, restart on the same checkpoint: state and ids carry on."""
+    raw = tables.raw_messages(spark, SF0001).select("seq", "user_id", "message")
+    staging = os.path.join(workdir, "staging")
+    os.makedirs(staging)
+    _write_files(spark, staging, raw, 4)
+    src = os.path.join(workdir, "in")
+    os.makedirs(src)
+    names = sorted(os.listdir(staging))
+    job = MessageJob(os.path.join(workdir, "out"), constant_predictor, bloom_size=2000)
+    ckpt = os.path.join(workdir, "ckpt")
+    for batch in (names[:2], names[2:]):
+        for name in batch:
+            os.link(os.path.join(staging, name), os.path.join(src, name))
+        q = job.start(streams.file_stream(spark, src, 1), checkpoint=ckpt,
+                      trigger={"availableNow": True})
+        q.awaitTermination(600)
+    got = {r.id: (r.is_duplicate, r.is_near_duplicate) for r in job.tables(spark)["processed"].collect()}
+    want = {r.seq: (r.is_duplicate, r.is_near_duplicate)
+            for r in dedup.flag_messages(raw, size=2000).collect()}
+    assert got == want

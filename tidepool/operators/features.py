@@ -5,9 +5,10 @@ non-stop-word terms of the corpus (ties: term order), idf = ln((1 + n) / (1 + df
 weight = tf * idf / ||tf * idf||_2 per document.
 
 Plan: one pass counts corpus term totals with partial aggregation and keeps the top ``k``
-(TakeOrderedAndProject, bounded); a second pass keeps only vocabulary tokens (InSet filter against
-the broadcast k-row vocabulary) before grouping by (doc, term), so the big shuffle only moves
-vocabulary hits.
+(TakeOrderedAndProject, bounded); a second pass keeps only vocabulary tokens (left-semi join
+against the broadcast k-row vocabulary) before grouping by (doc, term), so the big shuffle only
+moves vocabulary hits. Document frequencies (k rows) are broadcast back; the per-document L2 norm
+is a window over at most k rows per document.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import os
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidepool import config
@@ -45,7 +46,7 @@ def term_stats(docs: DataFrame, doc: str = "doc_id", body: str = "text") -> Data
 
 def vocabulary(docs: DataFrame, k: int = config.TFIDF_TERMS, doc: str = "doc_id",
                body: str = "text") -> DataFrame:
-    """The k most frequent terms with their index (0 = most frequent)."""
+    """The k most frequent terms (ties broken by term)."""
     totals = tokens(docs, doc, body).groupBy("term").agg(F.count(F.lit(1)).alias("term_count"))
     top = totals.orderBy(F.col("term_count").desc(), F.col("term")).limit(k)
     return top
@@ -63,9 +64,9 @@ def tfidf(docs: DataFrame, k: int = config.TFIDF_TERMS, doc: str = "doc_id",
                               + F.lit(1.0)).alias("idf"))
     w = tf.join(F.broadcast(idf), "term").select("doc_id", "term",
                                                  (F.col("tf") * F.col("idf")).alias("w"))
-    norms = w.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("l2"))
-    return (w.join(norms, "doc_id")
-            .select("doc_id", "term", F.round(F.col("w") / F.col("l2"), 6).alias("weight")))
+    # A document has at most k vocabulary rows, so a window per document is bounded.
+    l2 = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("doc_id")))
+    return w.select("doc_id", "term", F.round(F.col("w") / l2, 6).alias("weight"))
 
 
 def label_code(label) -> F.Column:

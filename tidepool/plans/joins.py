@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +15,14 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared ``spark.checkpoint.dir`` (cuts lineage)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once as a parquet table under the shared ``spark.checkpoint.dir`` and read it
+    back: one job (an eager ``checkpoint()`` would compute the plan twice, once to count and once
+    to write), lineage is cut, and the table survives executor loss.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def sized_lookup(table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -35,7 +35,8 @@ def test_stream_equals_batch_and_replay_is_noop(spark, workdir):
     src = os.path.join(workdir, "in")
     os.makedirs(src)
     _write_files(spark, src, raw, 4)
-    job = MessageJob(os.path.join(workdir, "out"), constant_predictor, bloom_size=2000)
+    job = MessageJob(os.path.join(workdir, "out"), constant_predictor, bloom_size=2000,
+                     compact_every=2)
     q = job.start(streams.file_stream(spark, src, 1),
                   checkpoint=os.path.join(workdir, "ckpt"), trigger={"availableNow": True})
     q.awaitTermination(600)
@@ -58,6 +59,7 @@ def test_stream_equals_batch_and_replay_is_noop(spark, workdir):
     after = sorted(tuple(r) for r in job.tables(spark)["processed"]
                    .select("id", "is_duplicate", "is_near_duplicate").collect())
     assert before == after
+    assert os.path.exists(os.path.join(workdir, "out", "state", "band_first_snapshot", "upto=1"))
 
 
 def test_empty_batch_writes_nothing(spark, workdir):

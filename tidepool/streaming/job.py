@@ -56,12 +56,13 @@ def assign_ids(df: DataFrame, base: int) -> DataFrame:
 class MessageJob:
     def __init__(self, root: str, predictor: Predictor,
                  bloom_size: int = config.BLOOM_SIZE, num_hashes: int = config.BLOOM_HASHES,
-                 lsh_rows: int = config.LSH_ROWS):
+                 lsh_rows: int = config.LSH_ROWS, compact_every: int = 50):
         self.root = root
         self.predictor = predictor
         self.bloom_size = bloom_size
         self.num_hashes = num_hashes
         self.lsh_rows = lsh_rows
+        self.compact_every = compact_every
 
     # ------------------------------------------------------------ table access
     def path(self, name: str, epoch: int | None = None) -> str:
@@ -78,6 +79,49 @@ class MessageJob:
             df, log = df.filter(F.col("epoch") < before), log.filter(F.col("epoch") < before)
         return df.join(F.broadcast(log), "epoch", "left_semi")  # one row per epoch
 
+    def _snapshots(self, spark: SparkSession, name: str) -> list[int]:
+        root = self.path(f"{name}_snapshot")
+        if not path_exists(spark, root):
+            return []
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(root)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        out = []
+        for st in fs.listStatus(p):
+            name_ = st.getPath().getName()
+            if st.isDirectory() and name_.startswith("upto=") and \
+                    path_exists(spark, os.path.join(root, name_, "_SUCCESS")):
+                out.append(int(name_.split("=", 1)[1]))
+        return sorted(out)
+
+    def read_state(self, spark: SparkSession, name: str, before: int) -> DataFrame | None:
+        """Committed state of epochs < ``before``: latest snapshot plus the epochs after it."""
+        snaps = [u for u in self._snapshots(spark, name) if u < before]
+        parts = []
+        upto = -1
+        if snaps:
+            upto = snaps[-1]
+            parts.append(spark.read.parquet(os.path.join(self.path(f"{name}_snapshot"),
+                                                         f"upto={upto}")))
+        tail = self.read(spark, name, before=before)
+        if tail is not None:
+            parts.append(tail.filter(F.col("epoch") > upto).drop("epoch"))
+        if not parts:
+            return None
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def _compact(self, spark: SparkSession, name: str, epoch: int) -> None:
+        """Fold committed state of epochs < ``epoch`` into one snapshot (replay-safe overwrite)."""
+        state = self.read_state(spark, name, before=epoch)
+        if state is None:
+            return
+        n_files = max(1, spark.sparkContext.defaultParallelism)
+        state.repartition(n_files).write.mode("overwrite").parquet(
+            os.path.join(self.path(f"{name}_snapshot"), f"upto={epoch - 1}"))
+
     def _base_id(self, spark: SparkSession, epoch: int) -> int:
         log = self.read(spark, "epoch_log", before=epoch)
         if log is None:
@@ -112,8 +156,11 @@ class MessageJob:
 
     def _flag_and_write(self, spark: SparkSession, keyed: DataFrame, epoch: int, base: int) -> None:
         bands = [f"k{j}" for j in range(self.lsh_rows)]
-        prior_bits = self.read(spark, "state/bloom_bits", before=epoch)
-        prior_bands = self.read(spark, "state/band_first", before=epoch)
+        if self.compact_every and epoch > 0 and epoch % self.compact_every == 0:
+            for name in ("state/bloom_bits", "state/band_first"):
+                self._compact(spark, name, epoch)
+        prior_bits = self.read_state(spark, "state/bloom_bits", before=epoch)
+        prior_bands = self.read_state(spark, "state/band_first", before=epoch)
 
         withbits = dedup.with_bloom_bits(keyed, self.bloom_size, self.num_hashes)
         batch_fill = dedup.bloom_fill(withbits, self.num_hashes)
@@ -125,10 +172,8 @@ class MessageJob:
         if prior_bands is not None:
             new_bands = batch_bands.join(prior_bands.select(*bands), bands, "left_anti")
 
-        flagged = dedup.bloom_flags(keyed, self.bloom_size, self.num_hashes,
-                                    prior_fill=prior_bits.drop("epoch") if prior_bits is not None else None)
-        flagged = dedup.near_flags(flagged, self.lsh_rows,
-                                   prior=prior_bands.drop("epoch") if prior_bands is not None else None)
+        flagged = dedup.bloom_flags(keyed, self.bloom_size, self.num_hashes, prior_fill=prior_bits)
+        flagged = dedup.near_flags(flagged, self.lsh_rows, prior=prior_bands)
         now = F.current_timestamp().cast("timestamp_ntz")
         processed = flagged.select(
             F.col("seq").alias("id"), F.col("message").alias("original_text"),

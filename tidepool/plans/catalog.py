@@ -29,6 +29,13 @@ def _processed(spark, sf):
     return tables.processed(spark, sf)
 
 
+def _stored(spark, sf):
+    """The processed table written once to the shared folder, for views that read it several
+    times (it is the stored serving table these views model)."""
+    from tidepool.plans.joins import materialize
+    return materialize(tables.processed(spark, sf))
+
+
 def _with_ts(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: F.date_format(F.col(c), TS_FMT) for c in cols})
 
@@ -134,7 +141,7 @@ def label_distribution(spark, sf):
 
 
 def label_zero_fill(spark, sf):
-    return views.label_zero_fill(_processed(spark, sf))
+    return views.label_zero_fill(_stored(spark, sf))
 
 
 def duplicate_breakdown(spark, sf):
@@ -146,7 +153,7 @@ def top_category(spark, sf):
 
 
 def kpi_counts(spark, sf):
-    p = _processed(spark, sf)
+    p = _stored(spark, sf)
     return views.kpi_counts(p, tables.outbox(p), tables.metrics(p))
 
 
@@ -156,12 +163,12 @@ def _purged(p: DataFrame) -> DataFrame:
 
 
 def outbox_orphans(spark, sf):
-    p = _processed(spark, sf)
+    p = _stored(spark, sf)
     return views.outbox_orphans(tables.outbox(p), _purged(p))
 
 
 def outbox_cascade(spark, sf):
-    p = _processed(spark, sf)
+    p = _stored(spark, sf)
     return views.outbox_cascade(tables.outbox(p), _purged(p))
 
 
@@ -223,7 +230,7 @@ def rejected_records(spark, sf):
 
 
 def constraint_violations(spark, sf):
-    p = _processed(spark, sf)
+    p = _stored(spark, sf)
     return (decode.constraint_violations(p, "processed")
             .unionByName(decode.constraint_violations(tables.outbox(p), "outbox"))
             .unionByName(decode.constraint_violations(tables.metrics(p), "metrics")))
@@ -291,7 +298,7 @@ def noisy_label_summary(spark, sf):
 
 
 def private_report(spark, sf):
-    return privacy.private_report(_processed(spark, sf))
+    return privacy.private_report(_stored(spark, sf))
 
 
 # ---------------------------------------------------------------- synthetic messages

@@ -90,3 +90,16 @@ def test_restart_from_checkpoint_continues(spark, workdir):
     want = {r.seq: (r.is_duplicate, r.is_near_duplicate)
             for r in dedup.flag_messages(raw, size=2000).collect()}
     assert got == want
+
+
+def test_all_rejected_batch_still_counts(spark, workdir):
+    """A non-empty batch with only bad records stores nothing but writes four zero counters."""
+    job = MessageJob(os.path.join(workdir, "out"), constant_predictor)
+    bad = spark.createDataFrame([("bad{",), ('{"message": 5}',)], "value string")
+    job.process_batch(bad, 0)
+    t = job.tables(spark)
+    assert t["processed"].count() == 0
+    assert t["quarantine"].count() == 2
+    vals = {r.metric_name: r.metric_value for r in t["metrics"].collect()}
+    assert vals == {"processed_count": 0.0, "duplicate_count": 0.0,
+                    "near_duplicate_count": 0.0, "low_confidence_count": 0.0}

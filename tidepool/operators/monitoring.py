@@ -38,6 +38,18 @@ def batch_metrics(flagged: DataFrame, epoch: str = "epoch") -> DataFrame:
     return _metric_rows(agg, epoch)
 
 
+def epoch_metrics(flagged: DataFrame, epoch: int) -> DataFrame:
+    """The four counter rows of one non-empty micro-batch; zeros when every record was rejected."""
+    agg = flagged.agg(
+        F.count(F.lit(1)).alias("processed_count"),
+        F.count_if(F.col("is_duplicate")).alias("duplicate_count"),
+        F.count_if(F.col("is_near_duplicate")).alias("near_duplicate_count"),
+        F.count_if(F.col("confidence") < F.lit(config.LOW_CONFIDENCE)).alias("low_confidence_count"),
+        F.current_timestamp().cast("timestamp_ntz").alias("batch_created_at"),
+    ).withColumn("epoch", F.lit(epoch).cast("bigint"))
+    return _metric_rows(agg, "epoch")
+
+
 def metric_rollup(metrics: DataFrame) -> DataFrame:
     return metrics.groupBy("metric_name").agg(
         F.count(F.lit(1)).alias("metric_count"),

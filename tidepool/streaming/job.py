@@ -185,8 +185,7 @@ class MessageJob:
         self._write(processed, "processed", epoch)
         stored = spark.read.parquet(self.path("processed", epoch))
         self._write(replies.build_outbox(stored), "outbox", epoch)
-        counters = monitoring.batch_metrics(stored.withColumn("epoch", F.lit(epoch).cast("bigint")))
-        self._write(counters.drop("epoch"), "metrics", epoch)
+        self._write(monitoring.epoch_metrics(stored, epoch), "metrics", epoch)
         self._write(new_bits, "state/bloom_bits", epoch)
         self._write(new_bands, "state/band_first", epoch)
         n = stored.count()

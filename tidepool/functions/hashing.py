@@ -59,3 +59,16 @@ def band_key(counts: Sequence[Column], band_id: int = 0) -> Column:
 def unit_interval(key: Column, modulus: int = (1 << 31) - 1) -> Column:
     """Deterministic value in (0, 1) from a string key: (md5mod(key, p) + 0.5) / p."""
     return (md5_mod(key, modulus).cast("double") + F.lit(0.5)) / F.lit(float(modulus))
+
+
+# A 32-digit hex id as three longs (15 + 15 + 2 hex digits, each below 2**63), so aggregates such
+# as min_by(id, seq) keep fixed-width buffers and run as hash aggregates instead of sorts.
+_HEX_PIECES = ((1, 15), (16, 15), (31, 2))
+
+
+def hex32_pieces(hex32: Column) -> list[Column]:
+    return [F.conv(F.substring(hex32, start, n), 16, 10).cast("bigint") for start, n in _HEX_PIECES]
+
+
+def hex32_from_pieces(pieces: Sequence[Column]) -> Column:
+    return F.lower(F.concat(*[F.lpad(F.hex(p), n, "0") for p, (_, n) in zip(pieces, _HEX_PIECES)]))

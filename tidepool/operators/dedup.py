@@ -113,11 +113,26 @@ def band_key_col(rows: int = config.LSH_ROWS, band_id: int = config.LSH_BAND_ID)
     return hashing.band_key([F.col(f"k{j}") for j in range(rows)], band_id)
 
 
+def _with_id_pieces(df: DataFrame) -> DataFrame:
+    pieces = hashing.hex32_pieces(F.col("msg_id"))
+    return df.withColumns({f"_p{i}": p for i, p in enumerate(pieces)})
+
+
+def _first_id_aggs(seq: str) -> list[Column]:
+    """min(seq) and the message id of that row, as fixed-width (hash-aggregatable) buffers."""
+    return [F.min(seq).alias("first_seq")] + [
+        F.min_by(F.col(f"_p{i}"), F.col(seq)).alias(f"_id{i}") for i in range(3)]
+
+
+def _first_id_col() -> Column:
+    return hashing.hex32_from_pieces([F.col(f"_id{i}") for i in range(3)]).alias("first_msg_id")
+
+
 def band_firsts(df_with_band: DataFrame, keys: Sequence[str] = BAND_COLS,
                 seq: str = "seq") -> DataFrame:
     """Per band key: earliest seq and its message id."""
-    return (df_with_band.groupBy(*keys)
-            .agg(F.min(seq).alias("first_seq"), F.min_by("msg_id", seq).alias("first_msg_id")))
+    agg = _with_id_pieces(df_with_band).groupBy(*keys).agg(*_first_id_aggs(seq))
+    return agg.select(*keys, "first_seq", _first_id_col())
 
 
 def near_flags(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq",
@@ -160,10 +175,12 @@ def first_seen(keyed: DataFrame, num_hashes: int, rows: int, seq: str = "seq") -
                for i in range(num_hashes)]
     entries.append(F.struct(F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("bit_idx"),
                             *[F.col(k) for k in keys]))
-    ex = keyed.select(F.col(seq).alias("_s"), "msg_id", F.explode(F.array(*entries)).alias("e"))
-    return (ex.select("_s", "msg_id", "e.*")
-            .groupBy("kind", "bit_idx", *keys)
-            .agg(F.min("_s").alias("first_seq"), F.min_by("msg_id", "_s").alias("first_msg_id")))
+    ids = [f"_p{i}" for i in range(3)]
+    ex = _with_id_pieces(keyed).select(F.col(seq).alias("_s"), *ids,
+                                       F.explode(F.array(*entries)).alias("e"))
+    agg = ex.select("_s", *ids, "e.*").groupBy("kind", "bit_idx", *keys) \
+        .agg(*_first_id_aggs("_s"))
+    return agg.select("kind", "bit_idx", *keys, "first_seq", _first_id_col())
 
 
 def flag_messages(df: DataFrame, size: int = config.BLOOM_SIZE,

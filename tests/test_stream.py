@@ -103,3 +103,18 @@ def test_all_rejected_batch_still_counts(spark, workdir):
     vals = {r.metric_name: r.metric_value for r in t["metrics"].collect()}
     assert vals == {"processed_count": 0.0, "duplicate_count": 0.0,
                     "near_duplicate_count": 0.0, "low_confidence_count": 0.0}
+
+
+def test_exact_mode_stream_equals_batch(spark, workdir):
+    raw = tables.raw_messages(spark, SF0001).select("seq", "user_id", "message")
+    src = os.path.join(workdir, "in")
+    os.makedirs(src)
+    _write_files(spark, src, raw, 3)
+    job = MessageJob(os.path.join(workdir, "out"), constant_predictor, exact=True, compact_every=2)
+    q = job.start(streams.file_stream(spark, src, 1),
+                  checkpoint=os.path.join(workdir, "ckpt"), trigger={"availableNow": True})
+    q.awaitTermination(600)
+    got = {r.id: r.is_duplicate for r in job.tables(spark)["processed"].collect()}
+    want = {r.seq: r.is_exact_duplicate
+            for r in dedup.exact_flags(dedup.with_message_keys(raw)).collect()}
+    assert got == want and any(want.values())

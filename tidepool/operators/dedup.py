@@ -36,9 +36,19 @@ def with_message_keys(df: DataFrame, message: str = "message") -> DataFrame:
 
 # ---------------------------------------------------------------- exact (error-free variant)
 
+def message_firsts(df: DataFrame, key: str = "msg_id", seq: str = "seq") -> DataFrame:
+    """(msg_id, first_seq): earliest arrival of every message id."""
+    return df.groupBy(key).agg(F.min(seq).alias("first_seq"))
+
+
 def exact_flags(df: DataFrame, key: str = "msg_id", seq: str = "seq",
-                out: str = "is_exact_duplicate") -> DataFrame:
-    firsts = sized_lookup(df.groupBy(key).agg(F.min(seq).alias("_first_seq")))
+                out: str = "is_exact_duplicate", prior: DataFrame | None = None) -> DataFrame:
+    """Error-free exact flag: an earlier row (or ``prior`` state) has the same message id."""
+    firsts = message_firsts(df, key, seq)
+    if prior is not None:
+        firsts = (prior.select(key, "first_seq").unionByName(firsts)
+                  .groupBy(key).agg(F.min("first_seq").alias("first_seq")))
+    firsts = sized_lookup(firsts.withColumnRenamed("first_seq", "_first_seq"))
     return (df.join(firsts, key, "inner")
             .withColumn(out, F.col(seq) > F.col("_first_seq"))
             .drop("_first_seq"))

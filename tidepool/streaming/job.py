@@ -56,13 +56,17 @@ def assign_ids(df: DataFrame, base: int) -> DataFrame:
 class MessageJob:
     def __init__(self, root: str, predictor: Predictor,
                  bloom_size: int = config.BLOOM_SIZE, num_hashes: int = config.BLOOM_HASHES,
-                 lsh_rows: int = config.LSH_ROWS, compact_every: int = 50):
+                 lsh_rows: int = config.LSH_ROWS, compact_every: int = 50,
+                 exact: bool = False):
         self.root = root
         self.predictor = predictor
         self.bloom_size = bloom_size
         self.num_hashes = num_hashes
         self.lsh_rows = lsh_rows
         self.compact_every = compact_every
+        # exact=False: is_duplicate is the Bloom flag (false positives included, as the reference);
+        # exact=True: the error-free flag from a per-message-id state table.
+        self.exact = exact
 
     # ------------------------------------------------------------ table access
     def path(self, name: str, epoch: int | None = None) -> str:
@@ -157,7 +161,7 @@ class MessageJob:
     def _flag_and_write(self, spark: SparkSession, keyed: DataFrame, epoch: int, base: int) -> None:
         bands = [f"k{j}" for j in range(self.lsh_rows)]
         if self.compact_every and epoch > 0 and epoch % self.compact_every == 0:
-            for name in ("state/bloom_bits", "state/band_first"):
+            for name in ("state/bloom_bits", "state/band_first", "state/msg_first"):
                 self._compact(spark, name, epoch)
         prior_bits = self.read_state(spark, "state/bloom_bits", before=epoch)
         prior_bands = self.read_state(spark, "state/band_first", before=epoch)
@@ -172,7 +176,15 @@ class MessageJob:
         if prior_bands is not None:
             new_bands = batch_bands.join(prior_bands.select(*bands), bands, "left_anti")
 
-        flagged = dedup.bloom_flags(keyed, self.bloom_size, self.num_hashes, prior_fill=prior_bits)
+        if self.exact:
+            prior_msgs = self.read_state(spark, "state/msg_first", before=epoch)
+            batch_msgs = dedup.message_firsts(keyed)
+            new_msgs = batch_msgs if prior_msgs is None else \
+                batch_msgs.join(prior_msgs.select("msg_id"), "msg_id", "left_anti")
+            flagged = dedup.exact_flags(keyed, out="is_duplicate", prior=prior_msgs)
+        else:
+            flagged = dedup.bloom_flags(keyed, self.bloom_size, self.num_hashes,
+                                        prior_fill=prior_bits)
         flagged = dedup.near_flags(flagged, self.lsh_rows, prior=prior_bands)
         now = F.current_timestamp().cast("timestamp_ntz")
         processed = flagged.select(
@@ -186,7 +198,10 @@ class MessageJob:
         stored = spark.read.parquet(self.path("processed", epoch))
         self._write(replies.build_outbox(stored), "outbox", epoch)
         self._write(monitoring.epoch_metrics(stored, epoch), "metrics", epoch)
-        self._write(new_bits, "state/bloom_bits", epoch)
+        if self.exact:
+            self._write(new_msgs, "state/msg_first", epoch)
+        else:
+            self._write(new_bits, "state/bloom_bits", epoch)
         self._write(new_bands, "state/band_first", epoch)
         n = stored.count()
         log = spark.createDataFrame([(base, n)], "first_id long, n_rows long")

@@ -174,27 +174,27 @@ def base_sql() -> dict[str, str]:
                                f"strftime(created_at, {TS}) AS created_at FROM (SELECT * FROM outbox {NEWEST})"),
         "recent_metrics": with_(pr, "SELECT id, metric_name, metric_value, batch_id, "
                                 f"strftime(created_at, {TS}) AS created_at FROM (SELECT * FROM metrics {NEWEST})"),
-        "complaint_spike": with_(pr, "SELECT count_if(predicted_label = 'complaint') AS complaint_count_last_20 "
+        "complaint_spike": with_(pr, "SELECT CAST(count_if(predicted_label = 'complaint') AS BIGINT) AS complaint_count_last_20 "
                                  f"FROM (SELECT * FROM processed {NEWEST})"),
         "spike_alert": with_(pr, "SELECT c AS complaint_count_last_20, CASE WHEN c >= "
                              f"{config.SPIKE_THRESHOLD} THEN 'ALERT' ELSE 'OK' END AS status FROM ("
-                             f"SELECT count_if(predicted_label = 'complaint') AS c FROM (SELECT * FROM processed {NEWEST}))"),
+                             f"SELECT CAST(count_if(predicted_label = 'complaint') AS BIGINT) AS c FROM (SELECT * FROM processed {NEWEST}))"),
         "recent_status": with_(pr, "SELECT id, hashed_user_id, predicted_label AS label, CASE WHEN is_duplicate "
                                "THEN 'duplicate' ELSE 'normal' END AS status FROM (SELECT * FROM processed ORDER BY id DESC LIMIT 10)"),
         "processed_sample": with_(pr, "SELECT id, hashed_user_id, predicted_label, round(confidence, 3) AS confidence, "
                                   "is_duplicate, is_near_duplicate FROM processed ORDER BY id LIMIT 10"),
-        "complaint_total": with_(pr, "SELECT count_if(lower(coalesce(predicted_label, '')) = 'complaint') AS complaint_count FROM processed"),
+        "complaint_total": with_(pr, "SELECT CAST(count_if(lower(coalesce(predicted_label, '')) = 'complaint') AS BIGINT) AS complaint_count FROM processed"),
         "complaint_status": with_(pr, "SELECT c AS complaint_count, CASE WHEN c >= "
                                   f"{config.DASHBOARD_ALERT} THEN 'ALERT TRIGGERED' ELSE 'NORMAL' END AS complaint_status FROM ("
-                                  "SELECT count_if(lower(coalesce(predicted_label, '')) = 'complaint') AS c FROM processed)"),
+                                  "SELECT CAST(count_if(lower(coalesce(predicted_label, '')) = 'complaint') AS BIGINT) AS c FROM processed)"),
         "label_distribution": with_(pr, "SELECT upper(substr(l, 1, 1)) || lower(substr(l, 2)) AS label, count(*) AS label_count "
                                     "FROM (SELECT coalesce(predicted_label, 'unknown') AS l FROM processed) GROUP BY 1"),
         "label_zero_fill": with_(pr, "SELECT upper(substr(l, 1, 1)) || lower(substr(l, 2)) AS label, count(*) AS label_count "
                                  "FROM (SELECT coalesce(predicted_label, 'unknown') AS l FROM processed) GROUP BY 1 "
                                  "UNION ALL SELECT label, CAST(0 AS BIGINT) FROM (VALUES ('Inquiry'), ('Complaint'), ('Praise')) v(label) "
                                  "WHERE NOT EXISTS (SELECT 1 FROM processed)"),
-        "duplicate_breakdown": with_(pr, "SELECT 'Duplicate' AS kind, count_if(is_duplicate) AS row_count FROM processed "
-                                     "UNION ALL SELECT 'Non-Duplicate', count(*) - count_if(is_duplicate) FROM processed"),
+        "duplicate_breakdown": with_(pr, "SELECT 'Duplicate' AS kind, CAST(count_if(is_duplicate) AS BIGINT) AS row_count FROM processed "
+                                     "UNION ALL SELECT 'Non-Duplicate', CAST(count(*) - count_if(is_duplicate) AS BIGINT) FROM processed"),
         "top_category": with_(pr, "SELECT coalesce((SELECT label FROM (SELECT upper(substr(l, 1, 1)) || lower(substr(l, 2)) AS label, "
                               "count(*) AS n FROM (SELECT coalesce(predicted_label, 'unknown') AS l FROM processed) GROUP BY 1) "
                               "ORDER BY n DESC, label LIMIT 1), 'N/A') AS top_category"),

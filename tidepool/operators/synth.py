@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidepool import config
 from tidepool.functions import hashing
 
-# Own wording (fixed values used by the generator).
+# Own wording: message templates and delays.
 TEMPLATES = {
     "complaint": [
         "My order still has not arrived after {delay}{punct}",
@@ -48,6 +48,9 @@ TEMPLATES = {
     ],
 }
 DELAYS = ["3 days", "a week", "10 days", "two weeks", "a month", "5 days"]
+
+# Fixed values (generator rules being reproduced): punctuation endings, the one-word swap per
+# label with its alternatives and rate, the copy interval, the base time, user id range 100-99999.
 PUNCT = [".", "!", "?", ""]
 SWAPS = {"complaint": ("order", ["package", "shipment", "item"]),
          "praise": ("great", ["wonderful", "awesome", "fantastic"]),

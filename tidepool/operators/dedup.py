@@ -199,18 +199,59 @@ def flag_messages(df: DataFrame, size: int = config.BLOOM_SIZE,
     """The reference's two flags (Bloom exact flag, band near flag) on a frame with ``seq``.
 
     Two passes over the text, no shuffle of the rows: pass 1 computes both lookup tables in one
-    aggregation and checkpoints them; pass 2 probes them with broadcast joins (the bit table is
+    aggregation and materialises them; pass 2 probes them with broadcast joins (the bit table is
     bounded by ``size``; the band table is broadcast only if its measured row count is small).
     """
-    keys = [f"k{j}" for j in range(rows)]
     keyed = with_band(with_bloom_bits(with_message_keys(df, message), size, num_hashes), rows)
+    flagged, _, _ = flag_with_state(keyed, size, num_hashes, rows, seq)
+    return flagged
+
+
+def flag_with_state(keyed: DataFrame, size: int, num_hashes: int, rows: int, seq: str = "seq",
+                    prior_bits: DataFrame | None = None, prior_bands: DataFrame | None = None):
+    """Bloom + near flags of ``keyed`` (with bits and band columns) against optional prior state.
+
+    Returns (flagged rows, bit rows first set here, band rows first seen here). Prior state is
+    first restricted to the keys of this input (semi-join), so its size does not matter.
+    """
+    keys = [f"k{j}" for j in range(rows)]
     firsts = materialize(first_seen(keyed, num_hashes, rows, seq))
-    fill = _maybe_broadcast(firsts.filter(F.col("kind") == 0)
-                            .select("bit_idx", "first_seq"), size)
-    band = firsts.filter(F.col("kind") == 1).select(*keys, "first_msg_id")
-    n_band = firsts.filter(F.col("kind") == 1).count()
-    band = F.broadcast(band) if n_band <= BROADCAST_MAX_ROWS else band
+    bits = firsts.filter(F.col("kind") == 0).select("bit_idx", "first_seq")
+    bands = firsts.filter(F.col("kind") == 1).select(*keys, "first_seq", "first_msg_id")
+    new_bits, new_bands = bits, bands
+    if prior_bits is not None or prior_bands is not None:
+        # Prior state is earlier than every row here, so a prior entry wins its key. Only prior
+        # entries for this input's keys are needed (semi-join); the merged lookups are
+        # materialised once so the probes below do not recompute the merge.
+        merged = []
+        if prior_bits is not None:
+            prior = prior_bits.select("bit_idx", "first_seq")
+            new_bits = bits.join(prior.select("bit_idx"), "bit_idx", "left_anti")
+            merged.append(prior.join(bits.select("bit_idx"), "bit_idx", "left_semi")
+                          .unionByName(new_bits).select(
+                              F.lit(0).alias("kind"), "bit_idx",
+                              *[F.lit(None).cast("bigint").alias(k) for k in keys],
+                              "first_seq", F.lit(None).cast("string").alias("first_msg_id")))
+        else:
+            merged.append(firsts.filter(F.col("kind") == 0))
+        if prior_bands is not None:
+            prior = prior_bands.select(*keys, "first_seq", "first_msg_id")
+            new_bands = bands.join(prior.select(*keys), keys, "left_anti")
+            merged.append(prior.join(bands.select(*keys), keys, "left_semi")
+                          .unionByName(new_bands).select(
+                              F.lit(1).alias("kind"), F.lit(None).cast("bigint").alias("bit_idx"),
+                              *keys, "first_seq", "first_msg_id"))
+        else:
+            merged.append(firsts.filter(F.col("kind") == 1))
+        firsts = materialize(merged[0].unionByName(merged[1]))
+        bits = firsts.filter(F.col("kind") == 0).select("bit_idx", "first_seq")
+        bands = firsts.filter(F.col("kind") == 1).select(*keys, "first_seq", "first_msg_id")
+    fill = _maybe_broadcast(bits, size)
+    n_band = bands.count()
+    lookup = bands.select(*keys, "first_msg_id")
+    lookup = F.broadcast(lookup) if n_band <= BROADCAST_MAX_ROWS else lookup
     flagged = _probe_bits(keyed, fill, num_hashes, seq, "is_duplicate")
-    joined = flagged.join(band, keys, "inner")
-    return (joined.withColumn("is_near_duplicate", F.col("msg_id") != F.col("first_msg_id"))
-            .drop("first_msg_id", *keys))
+    joined = flagged.join(lookup, keys, "inner")
+    out = (joined.withColumn("is_near_duplicate", F.col("msg_id") != F.col("first_msg_id"))
+           .drop("first_msg_id", *keys))
+    return out, new_bits, new_bands

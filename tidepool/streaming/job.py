@@ -73,18 +73,8 @@ class MessageJob:
         p = os.path.join(self.root, name)
         return p if epoch is None else os.path.join(p, f"epoch={epoch}")
 
-    def read(self, spark: SparkSession, name: str, before: int | None = None) -> DataFrame | None:
-        """Rows of committed epochs (optionally only those < ``before``)."""
-        if not path_exists(spark, self.path(name)) or not path_exists(spark, self.path("epoch_log")):
-            return None
-        df = spark.read.parquet(self.path(name))
-        log = spark.read.parquet(self.path("epoch_log")).select("epoch")
-        if before is not None:
-            df, log = df.filter(F.col("epoch") < before), log.filter(F.col("epoch") < before)
-        return df.join(F.broadcast(log), "epoch", "left_semi")  # one row per epoch
-
-    def _snapshots(self, spark: SparkSession, name: str) -> list[int]:
-        root = self.path(f"{name}_snapshot")
+    def _list(self, spark: SparkSession, root: str, prefix: str) -> list[int]:
+        """Sorted values of ``prefix=<n>`` sub-folders that hold a finished write (_SUCCESS)."""
         if not path_exists(spark, root):
             return []
         jvm = spark.sparkContext._jvm
@@ -92,12 +82,29 @@ class MessageJob:
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
         out = []
         for st in fs.listStatus(p):
-            name_ = st.getPath().getName()
-            if st.isDirectory() and name_.startswith("upto=") and \
-                    path_exists(spark, os.path.join(root, name_, "_SUCCESS")):
-                out.append(int(name_.split("=", 1)[1]))
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith(prefix + "=") and \
+                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name.split("=", 1)[1]))
         return sorted(out)
 
+    def committed(self, spark: SparkSession, before: int | None = None) -> list[int]:
+        """Epochs whose commit marker (epoch log entry) exists; a listing, no data read."""
+        eps = self._list(spark, self.path("epoch_log"), "epoch")
+        return [e for e in eps if before is None or e < before]
+
+    def read(self, spark: SparkSession, name: str, before: int | None = None,
+             after: int = -1) -> DataFrame | None:
+        """Rows of committed epochs in (after, before), pruned by the epoch partition column."""
+        eps = [e for e in self.committed(spark, before) if e > after]
+        if not eps or not path_exists(spark, self.path(name)):
+            return None
+        df = spark.read.parquet(self.path(name))
+        return df.filter(F.col("epoch").isin(eps))
+
+    def _snapshots(self, spark: SparkSession, name: str) -> list[int]:
+        return self._list(spark, self.path(f"{name}_snapshot"), "upto")
+
     def read_state(self, spark: SparkSession, name: str, before: int) -> DataFrame | None:
         """Committed state of epochs < ``before``: latest snapshot plus the epochs after it."""
         snaps = [u for u in self._snapshots(spark, name) if u < before]
@@ -107,9 +114,9 @@ class MessageJob:
             upto = snaps[-1]
             parts.append(spark.read.parquet(os.path.join(self.path(f"{name}_snapshot"),
                                                          f"upto={upto}")))
-        tail = self.read(spark, name, before=before)
+        tail = self.read(spark, name, before=before, after=upto)
         if tail is not None:
-            parts.append(tail.filter(F.col("epoch") > upto).drop("epoch"))
+            parts.append(tail.drop("epoch"))
         if not parts:
             return None
         out = parts[0]
@@ -127,11 +134,12 @@ class MessageJob:
             os.path.join(self.path(f"{name}_snapshot"), f"upto={epoch - 1}"))
 
     def _base_id(self, spark: SparkSession, epoch: int) -> int:
-        log = self.read(spark, "epoch_log", before=epoch)
-        if log is None:
+        """Next id after the latest committed epoch (reads that one log entry)."""
+        eps = self.committed(spark, before=epoch)
+        if not eps:
             return 0
-        row = log.agg(F.max(F.col("first_id") + F.col("n_rows")).alias("nxt")).first()
-        return int(row["nxt"] or 0)
+        row = spark.read.parquet(self.path("epoch_log", eps[-1])).first()
+        return int(row["first_id"] + row["n_rows"])
 
     def _write(self, df: DataFrame, name: str, epoch: int) -> None:
         df.write.mode("overwrite").parquet(self.path(name, epoch))
@@ -150,7 +158,9 @@ class MessageJob:
             base = self._base_id(spark, epoch)
             rows = assign_ids(kept, base)
             predicted = self.predictor(rows)
-            keyed = dedup.with_message_keys(predicted).persist(StorageLevel.MEMORY_AND_DISK)
+            keyed = dedup.with_band(dedup.with_bloom_bits(
+                dedup.with_message_keys(predicted), self.bloom_size, self.num_hashes),
+                self.lsh_rows).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 self._flag_and_write(spark, keyed, epoch, base)
             finally:
@@ -159,33 +169,22 @@ class MessageJob:
             decoded.unpersist()
 
     def _flag_and_write(self, spark: SparkSession, keyed: DataFrame, epoch: int, base: int) -> None:
-        bands = [f"k{j}" for j in range(self.lsh_rows)]
         if self.compact_every and epoch > 0 and epoch % self.compact_every == 0:
             for name in ("state/bloom_bits", "state/band_first", "state/msg_first"):
                 self._compact(spark, name, epoch)
         prior_bits = self.read_state(spark, "state/bloom_bits", before=epoch)
         prior_bands = self.read_state(spark, "state/band_first", before=epoch)
-
-        withbits = dedup.with_bloom_bits(keyed, self.bloom_size, self.num_hashes)
-        batch_fill = dedup.bloom_fill(withbits, self.num_hashes)
-        banded = dedup.with_band(keyed, self.lsh_rows)
-        batch_bands = dedup.band_firsts(banded, bands)
-        new_bits, new_bands = batch_fill, batch_bands
-        if prior_bits is not None:
-            new_bits = batch_fill.join(prior_bits.select("bit_idx"), "bit_idx", "left_anti")
-        if prior_bands is not None:
-            new_bands = batch_bands.join(prior_bands.select(*bands), bands, "left_anti")
-
         if self.exact:
             prior_msgs = self.read_state(spark, "state/msg_first", before=epoch)
             batch_msgs = dedup.message_firsts(keyed)
             new_msgs = batch_msgs if prior_msgs is None else \
                 batch_msgs.join(prior_msgs.select("msg_id"), "msg_id", "left_anti")
-            flagged = dedup.exact_flags(keyed, out="is_duplicate", prior=prior_msgs)
-        else:
-            flagged = dedup.bloom_flags(keyed, self.bloom_size, self.num_hashes,
-                                        prior_fill=prior_bits)
-        flagged = dedup.near_flags(flagged, self.lsh_rows, prior=prior_bands)
+            keyed = dedup.exact_flags(keyed, prior=prior_msgs)
+        flagged, new_bits, new_bands = dedup.flag_with_state(
+            keyed, self.bloom_size, self.num_hashes, self.lsh_rows, "seq",
+            prior_bits=prior_bits, prior_bands=prior_bands)
+        if self.exact:
+            flagged = flagged.withColumn("is_duplicate", F.col("is_exact_duplicate"))
         now = F.current_timestamp().cast("timestamp_ntz")
         processed = flagged.select(
             F.col("seq").alias("id"), F.col("message").alias("original_text"),
@@ -224,10 +223,13 @@ class MessageJob:
 
 
 def model_predictor(model_path: str) -> Predictor:
+    """Classifier from a saved PipelineModel, loaded once and reused by every epoch."""
     from tidepool.operators import classify
+    loaded = {}
 
     def run(df: DataFrame) -> DataFrame:
-        model = classify.load(model_path)
-        return classify.predict(model, df.withColumnRenamed("message", "text")) \
+        if "model" not in loaded:
+            loaded["model"] = classify.load(model_path)
+        return classify.predict(loaded["model"], df.withColumnRenamed("message", "text")) \
             .withColumnRenamed("text", "message")
     return run

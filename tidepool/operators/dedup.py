@@ -36,6 +36,13 @@ def with_message_keys(df: DataFrame, message: str = "message") -> DataFrame:
 
 # ---------------------------------------------------------------- exact (error-free variant)
 
+def _merge_prior(prior: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
+    """Firsts over prior state and this input. Prior state is earlier than every row here, so a
+    prior entry wins its key; only prior entries for this input's keys are read into the merge."""
+    known = prior.join(firsts.select(*keys), keys, "left_semi")
+    return known.unionByName(firsts.join(known.select(*keys), keys, "left_anti"))
+
+
 def message_firsts(df: DataFrame, key: str = "msg_id", seq: str = "seq") -> DataFrame:
     """(msg_id, first_seq): earliest arrival of every message id."""
     return df.groupBy(key).agg(F.min(seq).alias("first_seq"))
@@ -46,8 +53,7 @@ def exact_flags(df: DataFrame, key: str = "msg_id", seq: str = "seq",
     """Error-free exact flag: an earlier row (or ``prior`` state) has the same message id."""
     firsts = message_firsts(df, key, seq)
     if prior is not None:
-        firsts = (prior.select(key, "first_seq").unionByName(firsts)
-                  .groupBy(key).agg(F.min("first_seq").alias("first_seq")))
+        firsts = _merge_prior(prior.select(key, "first_seq"), firsts, [key])
     firsts = sized_lookup(firsts.withColumnRenamed("first_seq", "_first_seq"))
     return (df.join(firsts, key, "inner")
             .withColumn(out, F.col(seq) > F.col("_first_seq"))
@@ -152,9 +158,7 @@ def near_flags(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq",
     banded = with_band(df, rows)
     firsts = band_firsts(banded, keys, seq)
     if prior is not None:
-        firsts = (prior.select(*keys, "first_seq", "first_msg_id").unionByName(firsts)
-                  .groupBy(*keys).agg(F.min("first_seq").alias("first_seq"),
-                                      F.min_by("first_msg_id", "first_seq").alias("first_msg_id")))
+        firsts = _merge_prior(prior.select(*keys, "first_seq", "first_msg_id"), firsts, keys)
     lookup = sized_lookup(firsts.select(*keys, "first_msg_id"))
     joined = banded.join(lookup, keys, "inner")
     return (joined.withColumn(out, F.col("msg_id") != F.col("first_msg_id"))

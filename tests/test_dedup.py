@@ -102,3 +102,24 @@ def test_band_key_and_vector(spark):
         norm = normalize(msg)
         assert bucket_vector_py(norm, 15) == bucket_vector(norm, 15)
         assert got[seq] == band_key(bucket_vector(norm, 15), 5)
+
+
+def test_prior_state_paths_equal_one_shot(spark):
+    raw = dedup.with_message_keys(tables.raw_messages(spark, SF0001).select("seq", "message"))
+    first, second = raw.filter(F.col("seq") < 120), raw.filter(F.col("seq") >= 120)
+    whole_b = {r.seq: r.is_duplicate for r in dedup.bloom_flags(raw, size=400).collect()}
+    whole_n = {r.seq: r.is_near_duplicate for r in dedup.near_flags(raw).collect()}
+    whole_e = {r.seq: r.is_exact_duplicate for r in dedup.exact_flags(raw).collect()}
+    fill = dedup.bloom_fill(dedup.with_bloom_bits(first, size=400))
+    bands = dedup.band_firsts(dedup.with_band(first))
+    msgs = dedup.message_firsts(first)
+    got_b = {r.seq: r.is_duplicate for r in dedup.bloom_flags(second, size=400, prior_fill=fill).collect()}
+    got_n = {r.seq: r.is_near_duplicate for r in dedup.near_flags(second, prior=bands).collect()}
+    got_e = {r.seq: r.is_exact_duplicate for r in dedup.exact_flags(second, prior=msgs).collect()}
+    assert got_b == {s: v for s, v in whole_b.items() if s >= 120}
+    assert got_n == {s: v for s, v in whole_n.items() if s >= 120}
+    assert got_e == {s: v for s, v in whole_e.items() if s >= 120}
+    keyed = dedup.with_band(dedup.with_bloom_bits(second, size=400))
+    flagged, _, _ = dedup.flag_with_state(keyed, 400, 3, 5, prior_bits=fill, prior_bands=bands)
+    got = {r.seq: (r.is_duplicate, r.is_near_duplicate) for r in flagged.collect()}
+    assert got == {s: (whole_b[s], whole_n[s]) for s in got_b}

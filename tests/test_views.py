@@ -76,3 +76,18 @@ def test_histogram_and_gauge(spark):
     g = spark.createDataFrame([("acc", 0.5, 1, 1), ("acc", 0.7, 3, 2), ("acc", 0.6, 2, 3)],
                               "name string, v double, ts long, i long")
     assert monitoring.latest_gauge(g, "name", "v", "ts", "i").first().gauge_value == 0.7
+
+
+def test_sql_views_registered(spark):
+    from tidepool.plans import sql_views
+    p = _proc(spark, [("complaint", 0.9, False, False, i) for i in range(25)]
+              + [("praise", 0.5, True, True, 30)])
+    o = replies.build_outbox(p)
+    m = monitoring.batch_metrics(p.withColumn("epoch", F.lit(0)))
+    names = sql_views.register(spark, p, o, m)
+    assert set(sql_views.VIEWS) | set(sql_views.TABLES) <= set(names)
+    assert spark.sql("SELECT complaint_count_last_20 FROM vw_complaint_spike").first()[0] == 19
+    dup = spark.sql("SELECT * FROM vw_duplicate_summary").first()
+    assert (dup.exact_duplicates, dup.near_duplicates, dup.total_rows) == (1, 1, 26)
+    assert spark.sql("SELECT count(*) FROM vw_recent_processed").first()[0] == 20
+    assert spark.sql("SELECT count(*) FROM vw_recent_metrics").first()[0] == 4

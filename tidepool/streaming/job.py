@@ -28,6 +28,7 @@ from tidepool import config
 from tidepool.functions import hashing
 from tidepool.operators import decode, dedup, monitoring, replies
 from tidepool.session import checkpoint_dir
+from tidepool.sources import tables
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -156,7 +157,9 @@ class MessageJob:
                         .select("value", "reject_reason"), "quarantine", epoch)
             kept = decoded.filter(F.col("reject_reason").isNull()).select("user_id", "message")
             base = self._base_id(spark, epoch)
-            rows = assign_ids(kept, base)
+            # Ids first (they follow the source's partition order), then spread the CPU-heavy
+            # classify / tokenise work over all task slots if the batch has fewer partitions.
+            rows = tables.spread(assign_ids(kept, base))
             predicted = self.predictor(rows)
             keyed = dedup.with_band(dedup.with_bloom_bits(
                 dedup.with_message_keys(predicted), self.bloom_size, self.num_hashes),

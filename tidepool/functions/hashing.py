@@ -72,3 +72,9 @@ def hex32_pieces(hex32: Column) -> list[Column]:
 
 def hex32_from_pieces(pieces: Sequence[Column]) -> Column:
     return F.lower(F.concat(*[F.lpad(F.hex(p), n, "0") for p, (_, n) in zip(pieces, _HEX_PIECES)]))
+
+
+def md5_int60(text: Column) -> Column:
+    """The first 60 bits of md5(text) as a non-negative long (one base conversion): a cheap
+    uniform hash for generator choices, where the exact 128-bit value does not matter."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")

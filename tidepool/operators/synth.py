@@ -62,7 +62,8 @@ TS_OUT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def _h(idx: Column, tag: str, m: int, seed: int) -> Column:
-    return hashing.md5_mod(F.concat_ws("|", F.lit(str(seed)), idx.cast("string"), F.lit(tag)), m)
+    key = F.concat_ws("|", F.lit(str(seed)), idx.cast("string"), F.lit(tag))
+    return hashing.md5_int60(key) % F.lit(m)
 
 
 def _pick(options: list[str], i: Column) -> Column:

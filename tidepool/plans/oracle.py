@@ -299,7 +299,8 @@ def _synth_sql() -> str:
     seed = config.SYNTH_SEED
 
     def h(tag: str, m: int, i: str = "idx") -> str:
-        return md5_mod(f"('{seed}|' || CAST({i} AS VARCHAR) || '|{tag}')", m)
+        key = f"('{seed}|' || CAST({i} AS VARCHAR) || '|{tag}')"
+        return f"(('0x' || substr(md5({key}), 1, 15))::BIGINT % {m})"
 
     def pick(opts, hv: str) -> str:
         return "[" + ", ".join(q(o) for o in opts) + f"][{hv} + 1]"

@@ -60,6 +60,13 @@ def test_stream_equals_batch_and_replay_is_noop(spark, workdir):
                    .select("id", "is_duplicate", "is_near_duplicate").collect())
     assert before == after
     assert os.path.exists(os.path.join(workdir, "out", "state", "band_first_snapshot", "upto=1"))
+    # Per-epoch lookup tables are removed from the shared folder once the epoch is written.
+    from tidepool.session import checkpoint_dir
+    tables_dir = os.path.join(checkpoint_dir(spark), "tables")
+    before_run = set(os.listdir(tables_dir)) if os.path.exists(tables_dir) else set()
+    job.process_batch(replay, 3)
+    after_run = set(os.listdir(tables_dir)) if os.path.exists(tables_dir) else set()
+    assert after_run <= before_run
 
 
 def test_empty_batch_writes_nothing(spark, workdir):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,6 +15,26 @@ from tidepool.session import checkpoint_dir
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark):
+    """Delete the tables materialised inside the block when it ends (e.g. once per micro-batch,
+    after every output that reads them has been written)."""
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in paths:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared ``spark.checkpoint.dir`` and read it
     back: one job (an eager ``checkpoint()`` would compute the plan twice, once to count and once
@@ -22,6 +43,8 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return spark.read.parquet(path)
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tidepool import config
 from tidepool.functions import hashing
 from tidepool.operators import decode, dedup, monitoring, replies
+from tidepool.plans.joins import scratch_scope
 from tidepool.session import checkpoint_dir
 from tidepool.sources import tables
 
@@ -165,7 +166,8 @@ class MessageJob:
                 dedup.with_message_keys(predicted), self.bloom_size, self.num_hashes),
                 self.lsh_rows).persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                self._flag_and_write(spark, keyed, epoch, base)
+                with scratch_scope(spark):  # this epoch's lookup tables are removed afterwards
+                    self._flag_and_write(spark, keyed, epoch, base)
             finally:
                 keyed.unpersist()
         finally:

@@ -66,3 +66,10 @@ def test_model_save_load_and_csv_roundtrip(spark, workdir):
     b = classify.predict(again, train).select("text", "predicted_label", "confidence").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
     assert all(r.predicted_label in ("complaint", "praise", "inquiry") for r in a)
+
+
+def test_label_choices_follow_input(spark):
+    rows = spark.createDataFrame([(0, "praise"), (1, None), (2, "inquiry")], "idx long, label string")
+    assert synth.label_choices(rows) == ["praise", "inquiry"]
+    assert synth.label_choices(rows.filter("label IS NULL")) == ["complaint", "praise", "inquiry"]
+    assert synth.label_choices(None) == ["complaint", "praise", "inquiry"]

@@ -70,13 +70,27 @@ def _pick(options: list[str], i: Column) -> Column:
     return F.element_at(F.array(*[F.lit(o) for o in options]), (i + F.lit(1)).cast("int"))
 
 
+def label_choices(inputs: DataFrame | None) -> list[str]:
+    """Known labels that occur in the input rows (in label-code order), else all known labels.
+
+    One aggregate of len(LABELS) booleans reaches the driver, whatever the input size.
+    """
+    if inputs is None or "label" not in inputs.columns:
+        return list(config.LABELS)
+    seen = inputs.agg(*[F.max(F.coalesce(F.col("label") == F.lit(lab), F.lit(False)))
+                        .alias(lab) for lab in config.LABELS]).first()
+    present = [lab for lab in config.LABELS if seen[lab]]
+    return present or list(config.LABELS)
+
+
 def synthesize(driver: DataFrame, idx: str, inputs: DataFrame | None = None,
                seed: int = config.SYNTH_SEED) -> DataFrame:
     """driver: one row per message to generate, ``idx`` unique non-negative long.
 
-    inputs: optional (idx, user_id, message, timestamp, label) rows to copy at i % 20 == 0.
+    inputs: optional (idx, user_id, message, timestamp, label) rows to copy at i % 20 == 0; its
+    labels also choose the label domain (``label_choices``).
     """
-    labels = list(config.LABELS)
+    labels = label_choices(inputs)
     out = driver.select(F.col(idx).alias("idx"))
     i = F.col("idx")
     out = out.withColumn("label", _pick(labels, _h(i, "label", len(labels), seed)))

@@ -125,3 +125,15 @@ def test_exact_mode_stream_equals_batch(spark, workdir):
     want = {r.seq: r.is_exact_duplicate
             for r in dedup.exact_flags(dedup.with_message_keys(raw)).collect()}
     assert got == want and any(want.values())
+
+
+def test_fresh_checkpoint_on_used_folder_is_refused(spark, workdir):
+    import pytest
+    job = MessageJob(os.path.join(workdir, "out"), constant_predictor)
+    batch = spark.createDataFrame([('{"message": "hello there", "user_id": "u1"}',)], "value string")
+    job.process_batch(batch, 0)
+    job.process_batch(batch, 1)
+    job.process_batch(batch, 1)  # replay of the latest epoch is fine
+    with pytest.raises(RuntimeError):
+        job.process_batch(batch, 0)
+    assert job.tables(spark)["processed"].count() == 2

@@ -150,6 +150,12 @@ class MessageJob:
     def process_batch(self, batch_df: DataFrame, epoch_id: int) -> None:
         spark = batch_df.sparkSession
         epoch = int(epoch_id)
+        later = [e for e in self.committed(spark) if e > epoch]
+        if later:
+            # Only the latest epoch can be replayed; a smaller id means a new checkpoint was
+            # pointed at an output folder that already holds later epochs.
+            raise RuntimeError(f"epoch {epoch} is behind committed epoch {later[-1]} in "
+                               f"{self.root}; use the original checkpoint or a new output folder")
         decoded = decode.with_decoded(batch_df.select("value")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if decoded.isEmpty():

@@ -45,8 +45,10 @@ def publish_files(df: DataFrame, path: str, cols: list[str]) -> None:
         .write.mode("overwrite").text(path)
 
 
-def publish_kafka(df: DataFrame, bootstrap: str, topic: str, cols: list[str]) -> None:
-    """Batch publish to Kafka (acks=all); needs the Kafka connector on the classpath."""
+def publish_kafka(df: DataFrame, bootstrap: str, topic: str, cols: list[str],
+                  retries: int = 3) -> None:
+    """Batch publish to Kafka (acks=all, producer retries); needs the Kafka connector jar."""
     (df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias("value"))
      .write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-     .option("kafka.acks", "all").option("topic", topic).save())
+     .option("kafka.acks", "all").option("kafka.retries", str(retries))
+     .option("topic", topic).save())

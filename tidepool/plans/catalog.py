@@ -305,7 +305,9 @@ def private_report(spark, sf):
 
 def _synth(spark, sf):
     driver = _events(spark, sf).select("event_id")
-    raw = tables.raw_messages(spark, sf).join(tables.stand_in_labels(spark, sf), "seq", "left")
+    docs = tables.read_table(spark, sf, "documents").select(
+        F.col("doc_id").alias("seq"), F.col("source").alias("user_id"), F.col("text").alias("message"))
+    raw = docs.join(tables.stand_in_labels(spark, sf), "seq", "left")
     inputs = raw.select(F.col("seq").alias("idx"), "user_id", "message",
                         tables.created_at(F.col("seq")).alias("timestamp"),
                         F.col("predicted_label").alias("label"))

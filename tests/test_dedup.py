@@ -123,3 +123,35 @@ def test_prior_state_paths_equal_one_shot(spark):
     flagged, _, _ = dedup.flag_with_state(keyed, 400, 3, 5, prior_bits=fill, prior_bands=bands)
     got = {r.seq: (r.is_duplicate, r.is_near_duplicate) for r in flagged.collect()}
     assert got == {s: (whole_b[s], whole_n[s]) for s in got_b}
+
+
+def test_shuffle_fallback_when_lookups_are_too_large(spark, monkeypatch):
+    """Beyond the broadcast bounds the probes become shuffle joins with the same flags."""
+    from tidepool import config
+    from tidepool.plans import joins
+    raw = tables.raw_messages(spark, SF0001).select("seq", "message")
+    want = {r.seq: (r.is_duplicate, r.is_near_duplicate)
+            for r in dedup.flag_messages(raw, size=500).collect()}
+    want_e = {r.seq: r.is_exact_duplicate
+              for r in dedup.exact_flags(dedup.with_message_keys(raw)).collect()}
+    monkeypatch.setattr(dedup, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(config, "BLOOM_BROADCAST_MAX_BITS", 0)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                          "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    try:
+        for k in old:
+            spark.conf.set(k, "-1")
+        flagged = dedup.flag_messages(raw, size=500)
+        plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        got = {r.seq: (r.is_duplicate, r.is_near_duplicate) for r in flagged.collect()}
+        exact = dedup.exact_flags(dedup.with_message_keys(raw))
+        got_e = {r.seq: r.is_exact_duplicate for r in exact.collect()}
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got == want and got_e == want_e

@@ -29,14 +29,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Round-robin a small input over all cores before CPU-heavy text work.
 
-    Only when the scan yields fewer partitions than task slots (small inputs); a large input
-    already has far more splits than slots and is left untouched (no shuffle).
+    Only when the input has fewer partitions than task slots (small inputs); a large input
+    already has far more splits than slots and is left untouched (no shuffle). ``partitions``
+    may be passed when known, to avoid planning ``df`` just to count them.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    n = partitions if partitions is not None else df.rdd.getNumPartitions()
+    if n < slots:
         return df.repartition(slots)
     return df
 

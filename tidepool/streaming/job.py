@@ -166,7 +166,8 @@ class MessageJob:
             base = self._base_id(spark, epoch)
             # Ids first (they follow the source's partition order), then spread the CPU-heavy
             # classify / tokenise work over all task slots if the batch has fewer partitions.
-            rows = tables.spread(assign_ids(kept, base))
+            # assign_ids keeps the batch's partitioning, so count it on the persisted batch.
+            rows = tables.spread(assign_ids(kept, base), decoded.rdd.getNumPartitions())
             predicted = self.predictor(rows)
             keyed = dedup.with_band(dedup.with_bloom_bits(
                 dedup.with_message_keys(predicted), self.bloom_size, self.num_hashes),

@@ -62,8 +62,10 @@ def stand_in_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def created_at(seq) -> "F.Column":
-    return (F.to_timestamp_ntz(F.lit(EPOCH_START)) +
-            F.make_dt_interval(secs=seq.cast("decimal(18,6)")))
+    """2024-01-01 00:00:00 + seq seconds (days and seconds apart, so any long id fits)."""
+    days = F.floor(seq / F.lit(86400)).cast("int")
+    secs = (seq - days.cast("bigint") * F.lit(86400)).cast("decimal(18,6)")
+    return F.to_timestamp_ntz(F.lit(EPOCH_START)) + F.make_dt_interval(days=days, secs=secs)
 
 
 def processed(spark: SparkSession, sf_dir: str,

@@ -113,7 +113,10 @@ def synthesize(driver: DataFrame, idx: str, inputs: DataFrame | None = None,
                              .otherwise(F.col("message")))
     user = F.concat(F.lit("user_"), F.lpad((F.lit(100) + _h(i, "user", 99900, seed)).cast("string"), 5, "0"))
     step = F.lit(1) + _h(i, "step", 5, seed)
-    ts = F.to_timestamp_ntz(F.lit(BASE_TIME)) + F.make_dt_interval(mins=(i * step).cast("int"))
+    total = i * step  # minutes after the base time, as a long; added as days + minutes
+    days = F.floor(total / F.lit(1440)).cast("int")
+    ts = F.to_timestamp_ntz(F.lit(BASE_TIME)) + F.make_dt_interval(
+        days=days, mins=(total - days.cast("bigint") * F.lit(1440)).cast("int"))
     out = out.withColumn("user_id", user).withColumn("timestamp", F.date_format(ts, TS_OUT))
     out = out.select("idx", "user_id", "message", "timestamp", "label")
     if inputs is None:

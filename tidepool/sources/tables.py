@@ -96,7 +96,7 @@ def outbox(processed_df: DataFrame) -> DataFrame:
 
 def metrics(processed_df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     from tidepool.operators import monitoring
-    batched = processed_df.withColumn("epoch", F.floor(F.col("id") / F.lit(batch_rows)))
+    batched = processed_df.withColumn("epoch", F.expr(f"id div {int(batch_rows)}"))
     return monitoring.batch_metrics(batched, epoch="epoch")
 
 

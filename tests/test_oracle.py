@@ -5,10 +5,11 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF0001
+from tidepool.plans import catalog
 from tools.oracle_check import TABLES, canon
 
-SQL = entry.oracle_sql()
-QUERIES = entry.queries()
+QUERIES = {k: v for k, v in entry.queries().items() if k in catalog.QUERIES}
+SQL = {k: v for k, v in entry.oracle_sql().items() if k in catalog.QUERIES}
 
 
 @pytest.fixture(scope="module")

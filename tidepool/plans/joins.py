@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,37 +16,47 @@ from tidepool.session import checkpoint_dir
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-_SCOPES: list[list[str]] = []
+#: Paths materialised in the innermost scope of this thread or task; None outside any scope.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+
+
+def delete_paths(spark, paths) -> None:
+    """Remove scratch folders through the Hadoop file system that holds them."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
 
 
 @contextmanager
 def scratch_scope(spark):
     """Delete the tables materialised inside the block when it ends (e.g. once per micro-batch,
-    after every output that reads them has been written)."""
+    after every output that reads them has been written). Scopes of different threads (two
+    streaming queries in one driver) do not see each other's tables; a nested scope deletes only
+    its own."""
     paths: list[str] = []
-    _SCOPES.append(paths)
+    token = _SCOPE.set(paths)
     try:
         yield
     finally:
-        _SCOPES.pop()
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in paths:
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(conf).delete(p, True)
+        _SCOPE.reset(token)
+        delete_paths(spark, paths)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared ``spark.checkpoint.dir`` and read it
     back: one job (an eager ``checkpoint()`` would compute the plan twice, once to count and once
-    to write), lineage is cut, and the table survives executor loss.
+    to write), lineage is cut, and the table survives executor loss. ``keep`` leaves the table
+    when the surrounding scratch scope ends (it is the block's result).
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
-    return spark.read.parquet(path)
+    scope = _SCOPE.get()
+    if scope is not None and not keep:
+        scope.append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sized_lookup(table: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:

@@ -49,6 +49,10 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             pass
 
 
+#: Checkpoint folder already registered with the Spark context of each application.
+_REGISTERED: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -58,13 +62,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if path and _REGISTERED.get(spark.sparkContext.applicationId) == path:
+        return path
     if not path:
         master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="tidepool-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
+    _REGISTERED[spark.sparkContext.applicationId] = path
     return path
 
 

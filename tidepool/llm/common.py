@@ -52,26 +52,19 @@ def packed_row(cols) -> Column:
 def running_before(df: DataFrame, keys: list[str], bucket: str, order: list[Column],
                    size: Column, out: str) -> DataFrame:
     """Add ``out``: the sum of ``size`` over the rows of the same ``keys`` that come earlier in
-    (bucket, order). ``order`` must refine ``bucket``.
+    (bucket, order). ``keys`` and ``bucket`` must not be null.
 
     A key may hold any share of the rows: rows are windowed per (keys, bucket), and only one
     total per (keys, bucket) is windowed per key.
     """
+    before = [Window.unboundedPreceding, -1]
     totals = df.groupBy(*keys, bucket).agg(F.sum(size).alias("_sum"))
-    base = totals.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                         F.col(bucket).alias("_k_bucket"),
-                         F.coalesce(F.sum("_sum").over(
-                             Window.partitionBy(*keys).orderBy(bucket)
-                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy(*keys, bucket).orderBy(*order) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.withColumn("_base", F.coalesce(F.sum("_sum").over(
+        Window.partitionBy(*keys).orderBy(bucket).rowsBetween(*before)), F.lit(0))).drop("_sum")
+    inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(*before)
     staged = df.withColumn("_in", F.coalesce(F.sum(size).over(inside), F.lit(0)))
-    cond = F.col(bucket) == F.col("_k_bucket")
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    return (staged.join(base, cond, "inner")
-            .withColumn(out, F.col("_base") + F.col("_in"))
-            .drop("_base", "_in", "_k_bucket", *[f"_k_{k}" for k in keys]))
+    return (staged.join(base, [*keys, bucket], "inner")
+            .withColumn(out, F.col("_base") + F.col("_in")).drop("_base", "_in"))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -64,7 +64,8 @@ SCHEMA = "doc_id bigint, text string, score string, predicted double"
 def test_toxicity_held_out_accuracy_and_edges(spark):
     rows, labels = corpus()
     extra = [(None, "vileword nastyone", "", 0.0), (9001, None, "", 0.0), (9002, "", "", 0.0),
-             (9003, " \n ", "", 0.0), (9004, "kara " * 30000 + "vileword grossly", "", 0.0), rows[0]]
+             (9003, " \n ", "", 0.0), (9004, "kara lora mira " * 20 + "vileword grossly vileword", "", 0.0),
+             (9005, "kara " * 30000 + "vileword", "", 0.0), rows[0]]
     docs = spark.createDataFrame(rows + extra, SCHEMA)
     marks = spark.createDataFrame(labels + [(None, 1, 1), (3, 0, None), labels[0]],
                                   "doc_id bigint, quality int, toxic int")

@@ -2,7 +2,8 @@
 
 Token scores are log-odds with Dirichlet priors: a word's toxic share has as prior its 5-letter
 stem's, that stem's its 4-letter stem's, and that one the labelled corpus' own share, each with the
-same concentration. Counts are kept in a hash table of fixed size, so the model does not grow with
+same concentration. Counts are of documents, equal texts once, so neither a repeated word nor a
+group of copies passes for evidence; they are kept in a hash table of fixed size, so the model does not grow with
 the vocabulary. Less a constant, scores are negative on average; a linear-time scan finds every
 maximal scoring segment of a text. On clean documents that took no part in the counts, the scale
 (the root of E[exp(scale * score)] = 1) and the size factor of the extreme-value law are fitted,
@@ -21,7 +22,6 @@ import math
 import re
 import sys
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -38,11 +38,14 @@ from tidepool.plans.joins import sized_lookup
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SLOTS = 1 << 18
-CONCENTRATION = 2.0
-STEMS = (4, 5)
+#: Letters of the stems and slots of their counts, then slots of the words' counts.
+STEMS = ((4, 1 << 17), (5, 1 << 18))
+WORD_SLOTS = 1 << 19
+SLOTS = sum(n for _, n in STEMS) + WORD_SLOTS
+#: Strength of each prior, in documents.
+CONCENTRATION = 20.0
 #: Taken from every token's log-odds, and the largest expected chance count of a significant one.
-DRIFT = 1.0
+DRIFT = 2.0
 SIGNIFICANT = 0.01
 FOLDS = 5
 #: Fold 0 is held out, these count words, the rest calibrates.
@@ -64,32 +67,30 @@ def features(token: str) -> list[int]:
     """Hash slots of a token: stems from short to long, then the word itself."""
     m = INNER.search(token.lower())
     word = (m[0] if m else token.lower())[:WORD_CHARS]
-    keys = [f"{n}|{word[:n]}" for n in STEMS] + [f"w|{word}"]
-    return [zlib.crc32(k.encode("utf-8", "surrogatepass")) % SLOTS for k in keys]
+    out, base = [], 0
+    for key, slots in [*((word[:k], n) for k, n in STEMS), (word, WORD_SLOTS)]:
+        out.append(base + zlib.crc32(key.encode("utf-8", "surrogatepass")) % slots)
+        base += slots
+    return out
 
 
 # ---------------------------------------------------------------- word counts
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slot, toxic, count) of the task's labelled texts; slot -1 counts tokens."""
+    """(slot, toxic, documents) of the task's labelled texts; slot -1 counts the documents."""
     table = np.zeros((2, SLOTS), dtype=np.int64)
-    total = [0, 0]
-    seen = (Counter(), Counter())
-
-    def flush(side: int) -> None:
-        for token, n in seen[side].items():
-            table[side][features(token)] += n
-        seen[side].clear()
-
+    total, memo = [0, 0], {}
     for batch in batches:
         for text, side in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-            tokens = (text.as_py() or "").split()
-            total[side] += len(tokens)
-            seen[side].update(tokens)
-            if len(seen[side]) > MEMO_WORDS:
-                flush(side)
+            tokens = set((text.as_py() or "").split())
+            total[side] += 1
+            if len(memo) > MEMO_WORDS:
+                memo.clear()
+            for t in tokens.difference(memo):
+                memo[t] = features(t)
+            here = np.array([memo[t] for t in tokens], dtype=np.int64).ravel()
+            table[side][np.unique(here)] += 1
     for side in (0, 1):
-        flush(side)
         at = np.flatnonzero(table[side])
         yield pa.RecordBatch.from_pydict({
             "slot": pa.array(np.append(at, -1), pa.int32()),
@@ -101,7 +102,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Token log-odds table and calibration."""
 
-    toxic: np.ndarray  # per slot, tokens of toxic texts
+    toxic: np.ndarray  # per slot, toxic documents that have one of its words
     every: np.ndarray
     share: float
     scale: float = 1.0
@@ -252,19 +253,36 @@ def root_scale(bins: np.ndarray, counts: np.ndarray) -> float:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, start: Sequence[float]) -> tuple[float, float, float]:
-    """Two weights and a constant by Newton steps, held to ``start`` by a weak Gaussian prior."""
-    a = np.column_stack([np.ones(len(x)), x])
-    w0 = np.array(start, dtype=np.float64)
-    w = w0.copy()
-    pull = np.array([0.05, 0.5, 0.5])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (p - y) + pull * (w - w0)
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(pull), grad)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(w[0]), float(max(w[1], 0.0)), float(max(w[2], 0.0))
+    """A constant and two weights, neither below zero, by damped Newton steps, held to ``start``
+    by a weak Gaussian prior. A weight that would fall below zero is set to zero and left out."""
+    every = np.column_stack([np.ones(len(x)), x])
+    w0, pull = np.array(start, dtype=np.float64), np.array([0.02, 0.1, 0.1])
+    free = [0, 1, 2]
+    while True:
+        a, w = every[:, free], w0[free].copy()
+
+        def loss(v: np.ndarray) -> float:
+            z = a @ v
+            return float((np.logaddexp(0, z) - y * z).sum() + (pull[free] * (v - w0[free]) ** 2).sum() / 2)
+
+        now = loss(w)
+        for _ in range(100):
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -500, 500)))
+            grad = a.T @ (p - y) + pull[free] * (w - w0[free])
+            step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(pull[free]), grad)
+            size = 1.0
+            while size > 1e-8 and loss(w - size * step) > now:
+                size /= 2
+            w = w - size * step
+            before, now = now, loss(w)
+            if before - now < 1e-9 * (1 + abs(now)):
+                break
+        below = [k for k, v in zip(free, w) if k and v < 0]
+        if not below:
+            out = np.zeros(3)
+            out[free] = w
+            return tuple(out.tolist())
+        free = [k for k in free if k not in below]
 
 
 def calibrate(model: Model, held: DataFrame) -> Model:
@@ -297,8 +315,11 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     marks = labels.where(F.col(doc_id).isNotNull() & F.col(label).isNotNull()) \
         .groupBy(F.col(doc_id).alias("_id")).agg(F.max(F.col(label)).cast("int").alias("toxic")) \
         .where((fold(F.col("_id")) != 0) & F.col("toxic").isin(0, 1))
-    marks = sized_lookup(marks)
-    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text")).join(marks, "_id") \
+    known = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("text"))
+    # Of equal texts with equal labels only the smallest id learns.
+    one = known.select("_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("sha")) \
+        .join(sized_lookup(marks), "_id").groupBy("sha", "toxic").agg(F.min("_id").alias("_id"))
+    rows = known.join(sized_lookup(one.select("_id", "toxic")), "_id") \
         .withColumn("_fold", fold(F.col("_id")))
     model = count_model(rows.where(F.col("_fold").isin(*COUNT_FOLDS)))
     held = rows.where(~F.col("_fold").isin(*COUNT_FOLDS)).withColumn("pick", F.xxhash64("_id"))

@@ -1,47 +1,57 @@
-"""Independent sequential model of the flag semantics (test-only): walk rows in arrival order."""
+"""Independent arrival-order model of the flags (test-only), from the stated rules.
 
-import hashlib
-import struct
+State is (set of set bits, first holder of each band, set of seen texts); ``step`` takes a state
+and one text to its flags, and ``sequential_flags`` folds it over the rows in arrival order.
+"""
+
+import re
+from collections import Counter
+from functools import partial, reduce
+from hashlib import md5, sha256
+from typing import NamedTuple
+
+
+class State(NamedTuple):
+    bits: frozenset = frozenset()
+    holder: dict = {}
+    texts: frozenset = frozenset()
+    flags: dict = {}
 
 
 def normalize(text):
-    return " ".join(text.lower().strip().split())
+    """Lower case, white-space runs as one space, none at the ends."""
+    return re.sub(r"\s+", " ", text.lower()).strip()
+
+
+def digest_number(text):
+    return int.from_bytes(md5(text.encode()).digest(), "big")
 
 
 def bucket_vector(norm, dim):
-    vec = [0] * dim
-    for tok in norm.split():
-        vec[int(hashlib.md5(tok.encode()).hexdigest(), 16) % dim] += 1
-    return vec
+    per = Counter(digest_number(token) % dim for token in norm.split())
+    return [per[j] for j in range(dim)]
 
 
 def band_key(vec, rows, band_id=0):
-    packed = b"".join(struct.pack("<q", v) for v in vec[:rows])
-    return f"band_{band_id}_" + hashlib.sha256(packed).hexdigest()
+    """SHA-256 over the band's counts as 64-bit little-endian integers."""
+    raw = bytearray()
+    for count in vec[:rows]:
+        raw += count.to_bytes(8, "little", signed=True)
+    return f"band_{band_id}_{sha256(raw).hexdigest()}"
+
+
+def step(state, row, size, k, lsh_rows):
+    seq, message = row
+    norm = normalize(message)
+    wanted = frozenset(digest_number(str(seed) + norm) % size for seed in range(k))
+    name = md5(norm.encode()).hexdigest()
+    band = tuple(bucket_vector(norm, 3 * lsh_rows)[:lsh_rows])
+    # Only the first message of a band is ever entered in it, so the band has one holder.
+    holder = {band: name, **state.holder}
+    flags = (wanted <= state.bits, holder[band] != name, norm in state.texts)
+    return State(state.bits | wanted, holder, state.texts | {norm}, {**state.flags, seq: flags})
 
 
 def sequential_flags(rows, size=100000, k=3, lsh_rows=5):
     """rows: iterable of (seq, message) in any order -> {seq: (bloom_dup, near_dup, exact_dup)}."""
-    bits = [0] * size
-    buckets, seen_ids, seen_msgs = {}, set(), set()
-    out = {}
-    for seq, message in sorted(rows):
-        norm = normalize(message)
-        idx = [int.from_bytes(hashlib.md5(f"{i}{norm}".encode()).digest(), "big") % size
-               for i in range(k)]
-        dup = all(bits[j] for j in idx)
-        if not dup:
-            for j in idx:
-                bits[j] = 1
-        vec = bucket_vector(norm, lsh_rows * 3)
-        key = band_key(vec, lsh_rows)
-        mid = hashlib.md5(norm.encode()).hexdigest()
-        cands = buckets.get(key, [])
-        near = any(c != mid and c in seen_ids for c in cands)
-        if not near:
-            buckets.setdefault(key, []).append(mid)
-            seen_ids.add(mid)
-        exact = norm in seen_msgs
-        seen_msgs.add(norm)
-        out[seq] = (dup, near, exact)
-    return out
+    return reduce(partial(step, size=size, k=k, lsh_rows=lsh_rows), sorted(rows), State()).flags

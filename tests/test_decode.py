@@ -17,6 +17,18 @@ ROWS = [
     ("bad{", (None, None, "bad_json")),
     (None, (None, None, "null_value")),
     ('{"message":"","user_id":"u"}', ("u", "", None)),
+    ('{"message":"a"} x', (None, None, "bad_json")),
+    ('{"message":"a"}{"message":"b"}', (None, None, "bad_json")),
+    ('{"message":"a"},{"message":"b"}', (None, None, "bad_json")),
+    ('{"message":"a"}}', (None, None, "bad_json")),
+    ('{"message":"a"}]', (None, None, "bad_json")),
+    (' {"message":"a"} ', ("unknown", "a", None)),
+    ('{"message":"a","x":NaN}', (None, None, "bad_json")),  # a deliberate difference: strict JSON
+    (r'{"message":"\ud83d"}', (None, None, "bad_text")),
+    (r'{"message":"\ude00 low first"}', (None, None, "bad_text")),
+    (r'{"message":"\ud83d\ud83d\ude00"}', (None, None, "bad_text")),
+    (r'{"message":"\ud83d\ude00"}', ("unknown", "\U0001f600", None)),
+    (r'{"message":"\\ud83d"}', ("unknown", r"\ud83d", None)),
     ('{"message":"it\'s ok?","user_id":"u","extra":1}', ("u", "it's ok?", None)),
 ]
 

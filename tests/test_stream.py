@@ -137,3 +137,58 @@ def test_fresh_checkpoint_on_used_folder_is_refused(spark, workdir):
     with pytest.raises(RuntimeError):
         job.process_batch(batch, 0)
     assert job.tables(spark)["processed"].count() == 2
+
+
+def _batch(spark, *messages):
+    rows = [('{"message": "%s", "user_id": "u"}' % m,) for m in messages]
+    return spark.createDataFrame(rows, "value string")
+
+
+def test_changed_settings_are_refused(spark, workdir):
+    """State made under one setting is not read under another; a new folder is."""
+    import pytest
+    out = os.path.join(workdir, "out")
+    MessageJob(out, constant_predictor, bloom_size=2000).process_batch(_batch(spark, "hello"), 0)
+    for other in ({"bloom_size": 100000}, {"num_hashes": 2}, {"lsh_rows": 4}, {"exact": True}):
+        job = MessageJob(out, constant_predictor, **{"bloom_size": 2000, **other})
+        with pytest.raises(RuntimeError, match="settings"):
+            job.process_batch(_batch(spark, "hello"), 1)
+    job = MessageJob(out, constant_predictor, bloom_size=2000)
+    job.process_batch(_batch(spark, "hello"), 1)
+    assert [r.is_duplicate for r in job.tables(spark)["processed"].orderBy("id").collect()] == [False, True]
+
+
+def test_replay_at_compaction_and_removed_epochs(spark, workdir):
+    out = os.path.join(workdir, "out")
+    job = MessageJob(out, constant_predictor, bloom_size=2000, compact_every=2)
+    for e in range(5):
+        job.process_batch(_batch(spark, "first text", f"own text {e}"), e)
+    want = sorted(tuple(r) for r in job.tables(spark)["processed"].select("id", "is_duplicate").collect())
+    for _ in range(2):  # the epoch that compacted, again, by a job that starts anew
+        MessageJob(out, constant_predictor, bloom_size=2000, compact_every=2) \
+            .process_batch(_batch(spark, "first text", "own text 4"), 4)
+    job = MessageJob(out, constant_predictor, bloom_size=2000, compact_every=2)
+    assert want == sorted(tuple(r) for r in job.tables(spark)["processed"].select("id", "is_duplicate").collect())
+    assert [d for _, d in want] == [False, False] + [True, False] * 4
+    for e in range(5, 8):
+        job.process_batch(_batch(spark, "first text", f"own text {e}"), e)
+    left = sorted(x for x in os.listdir(os.path.join(out, "state", "bloom_bits")) if x.startswith("epoch="))
+    snaps = sorted(os.listdir(os.path.join(out, "state", "bloom_bits_snapshot")))
+    assert snaps == ["upto=5"] and left == ["epoch=6", "epoch=7"]
+    flags = [r.is_duplicate for r in job.tables(spark)["processed"].orderBy("id").collect()]
+    assert flags == [False, False] + [True, False] * 7
+
+
+def test_listing_does_not_grow_with_epochs(spark, workdir, monkeypatch):
+    """After the first look a job lists nothing, however many epochs there are."""
+    import tidepool.streaming.job as module
+    out = os.path.join(workdir, "out")
+    for e in range(200):
+        os.makedirs(os.path.join(out, "epoch_log", f"epoch={e}"))
+    open(os.path.join(out, "epoch_log", "epoch=199", "_SUCCESS"), "w").close()
+    job, calls = MessageJob(out, constant_predictor), []
+    real = module.path_exists
+    monkeypatch.setattr(module, "path_exists", lambda s, p: calls.append(p) or real(s, p))
+    assert job.committed(spark) == list(range(200))
+    assert len(calls) == 2
+    assert job.committed(spark, before=150) == list(range(150)) and len(calls) == 2

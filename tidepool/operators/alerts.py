@@ -12,7 +12,7 @@ from tidepool.operators import views
 def spike_alert(processed: DataFrame, threshold: int = config.SPIKE_THRESHOLD,
                 window: int = config.SPIKE_WINDOW) -> DataFrame:
     spike = views.complaint_spike(processed, window)
-    c = F.col("complaint_count_last_20")
+    c = F.col(f"complaint_count_last_{window}")
     return spike.select(c, F.when(c >= F.lit(threshold), F.lit("ALERT"))
                         .otherwise(F.lit("OK")).alias("status"))
 

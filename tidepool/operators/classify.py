@@ -1,9 +1,9 @@
 """Text classifier (Spark ML) and its evaluation metrics.
 
 Pipeline: word tokens -> stop words -> top-100 term counts -> smooth IDF weights
-ln((1 + n) / (1 + df)) + 1 -> L2 norm -> decision tree (depth 10, seed 42). The IDF weights are the
-``tfidf`` query's definition, applied as an element-wise product built from the document
-frequencies of a fitted IDF stage. The tree bins continuous features, so the model agrees with
+ln((1 + n) / (1 + df)) + 1 -> L2 norm -> decision tree (depth 10, seed 42). Vocabulary and document
+frequencies are the ``tfidf`` query's, over all labelled rows (before the split); they come back as
+at most 100 rows. The tree bins continuous features, so the model agrees with
 the reference's statistically (accuracy), not split by split.
 """
 
@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, Normalizer, RegexTokenizer,
+from pyspark.ml.feature import (CountVectorizerModel, ElementwiseProduct, Normalizer, RegexTokenizer,
                                 StopWordsRemover)
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import vector_to_array
@@ -25,28 +25,45 @@ from tidepool.functions.text import WORD_TOKEN
 from tidepool.operators import features
 
 
-def _stages(text_col: str):
+def featurizer(corpus: DataFrame, text_col: str = "text") -> PipelineModel:
+    """Text -> ``features``: L2-normalised TF-IDF over the corpus' most frequent terms."""
+    rows = corpus.select(F.monotonically_increasing_id().alias("doc_id"), F.col(text_col).alias("text"))
+    vocab = [r["term"] for r in features.vocabulary(rows).collect()]
+    found = {r["term"]: r["df"] for r in features.document_frequency(rows, vocab).collect()}
+    n = corpus.count()
+    idf = Vectors.dense([math.log((1.0 + n) / (1.0 + found[t])) + 1.0 for t in vocab])
     tok = RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=WORD_TOKEN, gaps=False,
                          toLowercase=True, minTokenLength=2)
     stop = StopWordsRemover(inputCol="_tokens", outputCol="_terms",
                             stopWords=list(features.stop_words()))
-    cv = CountVectorizer(inputCol="_terms", outputCol="_tf", vocabSize=config.TFIDF_TERMS)
-    return tok, stop, cv
+    count = CountVectorizerModel.from_vocabulary(vocab, inputCol="_terms", outputCol="_tf")
+    weigh = ElementwiseProduct(scalingVec=idf, inputCol="_tf", outputCol="_tfidf")
+    norm = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)
+    return PipelineModel(stages=[tok, stop, count, weigh, norm])
 
 
-def fit(train: DataFrame, text_col: str = "text", label_col: str = "label_code") -> PipelineModel:
-    tok, stop, cv = _stages(text_col)
-    counted = Pipeline(stages=[tok, stop, cv, IDF(inputCol="_tf", outputCol="_idf")]).fit(train)
-    cv_model, idf_model = counted.stages[2], counted.stages[3]
-    n = idf_model.numDocs
-    weights = Vectors.dense([math.log((1.0 + n) / (1.0 + d)) + 1.0 for d in idf_model.docFreq])
-    weigh = ElementwiseProduct(scalingVec=weights, inputCol="_tf", outputCol="_tfidf")
-    norm = Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)
-    featurize = PipelineModel(stages=[tok, stop, cv_model, weigh, norm])
-    tree = DecisionTreeClassifier(featuresCol="features", labelCol=label_col,
-                                  maxDepth=config.TREE_DEPTH, seed=config.SPLIT_SEED,
-                                  impurity="gini").fit(featurize.transform(train))
-    return PipelineModel(stages=[tok, stop, cv_model, weigh, norm, tree])
+def fit(train: DataFrame, text_col: str = "text", label_col: str = "label_code",
+        corpus: DataFrame | None = None) -> PipelineModel:
+    """Tree on ``train``; features from ``corpus`` (all labelled rows; default: ``train``). The
+    text is tokenised once, into a cached 100-wide vector per row."""
+    front = featurizer(train if corpus is None else corpus, text_col)
+    ready = front.transform(train).select("features", label_col).persist()
+    try:
+        tree = DecisionTreeClassifier(featuresCol="features", labelCol=label_col,
+                                      maxDepth=config.TREE_DEPTH, seed=config.SPLIT_SEED,
+                                      impurity="gini").fit(ready)
+    finally:
+        ready.unpersist()
+    return PipelineModel(stages=[*front.stages, tree])
+
+
+def feature_rows(front: PipelineModel, docs: DataFrame, doc_col: str = "doc_id") -> DataFrame:
+    """(doc_id, term, weight) of the non-zero features the tree sees."""
+    vocab = F.array(*[F.lit(t) for t in front.stages[2].vocabulary])
+    flat = front.transform(docs).select(doc_col, F.posexplode(vector_to_array("features")).alias("i", "w"))
+    return flat.where(F.col("w") != 0).select(
+        F.col(doc_col).alias("doc_id"), F.element_at(vocab, F.col("i") + 1).alias("term"),
+        F.round("w", 6).alias("weight"))
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -87,32 +104,21 @@ def classification_report(pred: DataFrame, label: str = "label",
             F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias(f"sup_{c}"))
     ], F.sum("n").alias("total"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n"))
                                        .otherwise(0)).alias("correct"))
-    rows = []
-    for c in classes:
-        tp, pp, sup = F.col(f"tp_{c}"), F.col(f"pp_{c}"), F.col(f"sup_{c}")
-        prec = F.when(pp > 0, tp / pp).otherwise(F.lit(0.0))
-        rec = F.when(sup > 0, tp / sup).otherwise(F.lit(0.0))
-        f1 = F.when(prec + rec > 0, F.lit(2.0) * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
-        rows.append((F.lit(c), prec, rec, f1, sup.cast("double")))
-    frames = [per.select(n.alias("class"), p.alias("precision"), r.alias("recall"),
-                         f.alias("f1"), s.alias("support")) for n, p, r, f, s in rows]
-    body = frames[0]
-    for fr in frames[1:]:
-        body = body.unionByName(fr)
-    total = per.select(F.col("total").cast("double").alias("t"),
-                       (F.col("correct") / F.col("total")).alias("acc"))
-    macro = body.agg(F.lit("macro avg").alias("class"), F.avg("precision").alias("precision"),
-                     F.avg("recall").alias("recall"), F.avg("f1").alias("f1"),
-                     F.sum("support").alias("support"))
-    weighted = body.agg(
-        F.lit("weighted avg").alias("class"),
-        (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("precision"),
-        (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("recall"),
-        (F.sum(F.col("f1") * F.col("support")) / F.sum("support")).alias("f1"),
-        F.sum("support").alias("support"))
-    acc = total.select(F.lit("accuracy").alias("class"), F.lit(None).cast("double").alias("precision"),
-                       F.lit(None).cast("double").alias("recall"), F.col("acc").alias("f1"),
-                       F.col("t").alias("support"))
-    out = body.unionByName(acc).unionByName(macro).unionByName(weighted)
+    def ratio(a, b):
+        return F.when(b > 0, a / b).otherwise(F.lit(0.0))
+
+    one = per.select("*", *[col for c in classes for col in (
+        ratio(F.col(f"tp_{c}"), F.col(f"pp_{c}")).alias(f"prec_{c}"),
+        ratio(F.col(f"tp_{c}"), F.col(f"sup_{c}")).alias(f"rec_{c}"))])
+    one = one.select("*", *[ratio(F.lit(2.0) * F.col(f"prec_{c}") * F.col(f"rec_{c}"),
+                                  F.col(f"prec_{c}") + F.col(f"rec_{c}")).alias(f"f1_{c}") for c in classes])
+    total = " + ".join(f"sup_{c}" for c in classes)
+    mean = {m: f"({' + '.join(f'{m}_{c}' for c in classes)}) / {len(classes)}" for m in ("prec", "rec", "f1")}
+    wide = {m: f"({' + '.join(f'{m}_{c} * sup_{c}' for c in classes)}) / nullif({total}, 0)" for m in mean}
+    items = [f"'{c}', prec_{c}, rec_{c}, f1_{c}, double(sup_{c})" for c in classes]
+    items += ["'accuracy', double(null), double(null), double(correct) / total, double(total)",
+              f"'macro avg', {mean['prec']}, {mean['rec']}, {mean['f1']}, double({total})",
+              f"'weighted avg', {wide['prec']}, {wide['rec']}, {wide['f1']}, double({total})"]
+    out = one.selectExpr(f"stack({len(items)}, {', '.join(items)}) as (class, precision, recall, f1, support)")
     return out.select("class", *[F.round(F.col(c), 6).alias(c)
                                  for c in ("precision", "recall", "f1", "support")])

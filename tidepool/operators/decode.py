@@ -4,7 +4,10 @@ Rules (a row failing any rule never reaches dedup state):
   value NULL / not JSON / not an object      -> reject
   key "message" missing -> ''; string -> kept; null, number, bool, list, object -> reject
   key "user_id" missing -> 'unknown'; string -> kept; anything else -> reject
-Parsing goes through VARIANT so missing keys, JSON nulls and non-string types stay distinct.
+Parsing goes through VARIANT so missing keys, JSON nulls and non-string types stay distinct. The
+parser stops after the first value, so a record must also parse as an array element and as a field
+value: each check alone lets one kind of trailing text through, both together none. A record with
+an escaped surrogate that has no partner cannot be encoded as text and is rejected too.
 """
 
 from __future__ import annotations
@@ -22,6 +25,18 @@ def _field(v: Column, key: str) -> tuple[Column, Column]:
     return F.schema_of_variant(item), F.try_variant_get(v, f"$.{key}", "string")
 
 
+#: An escaped surrogate half without the other half (an even number of backslashes before it).
+LONE_SURROGATE = (
+    r"(?<!\\)(?:\\\\)*\\u[dD](?:[89abAB][0-9a-fA-F]{2}(?!\\u[dD][c-fC-F][0-9a-fA-F]{2})"
+    r"|(?<!\\u[dD][89abAB][0-9a-fA-F]{2}\\u[dD])[c-fC-F][0-9a-fA-F]{2})")
+
+
+def _parses_whole(raw: Column) -> Column:
+    as_element = F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]")))
+    as_field = F.try_parse_json(F.concat(F.lit('{"v":'), raw, F.lit("}")))
+    return as_element.isNotNull() & as_field.isNotNull()
+
+
 def with_decoded(wire: DataFrame, value: str = "value") -> DataFrame:
     """Add ``message``, ``user_id`` and ``reject_reason`` (NULL for kept rows)."""
     raw = F.col(value).cast("string")
@@ -30,7 +45,8 @@ def with_decoded(wire: DataFrame, value: str = "value") -> DataFrame:
     msg_t, msg_s = _field(v, "message")
     usr_t, usr_s = _field(v, "user_id")
     reason = (F.when(raw.isNull(), F.lit("null_value"))
-              .when(v.isNull(), F.lit("bad_json"))
+              .when(v.isNull() | ~_parses_whole(raw), F.lit("bad_json"))
+              .when(raw.contains("\\u") & raw.rlike(LONE_SURROGATE), F.lit("bad_text"))
               .when(~F.schema_of_variant(v).startswith("OBJECT"), F.lit("not_object"))
               .when(msg_t.isNotNull() & (msg_t != F.lit("STRING")), F.lit("message_type"))
               .when(usr_t.isNotNull() & (usr_t != F.lit("STRING")), F.lit("user_id_type")))

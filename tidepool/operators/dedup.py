@@ -34,6 +34,22 @@ def with_message_keys(df: DataFrame, message: str = "message") -> DataFrame:
     return df.withColumn("norm", norm).withColumn("msg_id", hashing.message_id(F.col("norm")))
 
 
+def key_rows(df: DataFrame, size: int | None = None, num_hashes: int = config.BLOOM_HASHES,
+             rows: int | None = None, message: str = "message", seq: str = "seq") -> DataFrame:
+    """The narrow row every flag needs, written once: ``seq``, ``msg_id``, and on demand the Bloom
+    bits (``size`` given) and band counts (``rows`` given). The text is read, normalised and
+    hashed a single time and no text column is stored."""
+    keyed = with_message_keys(df, message)
+    cols = [seq, "msg_id"]
+    if size is not None:
+        keyed = with_bloom_bits(keyed, size, num_hashes)
+        cols += [f"b{i}" for i in range(num_hashes)]
+    if rows is not None:
+        keyed = with_band(keyed, rows)
+        cols += [f"k{j}" for j in range(rows)]
+    return materialize(keyed.select(*cols))
+
+
 # ---------------------------------------------------------------- exact (error-free variant)
 
 def _merge_prior(prior: DataFrame, firsts: DataFrame, keys: list[str]) -> DataFrame:
@@ -48,15 +64,24 @@ def message_firsts(df: DataFrame, key: str = "msg_id", seq: str = "seq") -> Data
     return df.groupBy(key).agg(F.min(seq).alias("first_seq"))
 
 
+def repeated_firsts(df: DataFrame, key: str = "msg_id", seq: str = "seq") -> DataFrame:
+    """(msg_id, first_seq) of the ids that occur more than once: only those can be duplicates."""
+    return df.groupBy(key).agg(F.min(seq).alias("first_seq"), F.count(F.lit(1)).alias("_n")) \
+        .where(F.col("_n") > 1).drop("_n")
+
+
 def exact_flags(df: DataFrame, key: str = "msg_id", seq: str = "seq",
                 out: str = "is_exact_duplicate", prior: DataFrame | None = None) -> DataFrame:
-    """Error-free exact flag: an earlier row (or ``prior`` state) has the same message id."""
-    firsts = message_firsts(df, key, seq)
+    """Error-free exact flag: an earlier row (or ``prior`` state) has the same message id.
+
+    The lookup holds repeated ids and, of ``prior``, this input's ids; all others are unflagged."""
+    firsts = repeated_firsts(df, key, seq)
     if prior is not None:
-        firsts = _merge_prior(prior.select(key, "first_seq"), firsts, [key])
+        known = prior.select(key, "first_seq").join(df.select(key), key, "left_semi")
+        firsts = known.unionByName(firsts.join(known.select(key), key, "left_anti"))
     firsts = sized_lookup(firsts.withColumnRenamed("first_seq", "_first_seq"))
-    return (df.join(firsts, key, "inner")
-            .withColumn(out, F.col(seq) > F.col("_first_seq"))
+    return (df.join(firsts, key, "left")
+            .withColumn(out, F.coalesce(F.col(seq) > F.col("_first_seq"), F.lit(False)))
             .drop("_first_seq"))
 
 
@@ -85,7 +110,7 @@ def bloom_flags(df: DataFrame, size: int = config.BLOOM_SIZE,
                 num_hashes: int = config.BLOOM_HASHES, seq: str = "seq",
                 out: str = "is_duplicate", prior_fill: DataFrame | None = None) -> DataFrame:
     """Flag rows whose every bit was set by an earlier row (or by ``prior_fill`` state)."""
-    withbits = with_bloom_bits(df, size, num_hashes)
+    withbits = df if "b0" in df.columns else with_bloom_bits(df, size, num_hashes)
     fill = bloom_fill(withbits, num_hashes, seq)
     if prior_fill is not None:
         fill = (prior_fill.select("bit_idx", "first_seq").unionByName(fill)
@@ -152,11 +177,12 @@ def band_firsts(df_with_band: DataFrame, keys: Sequence[str] = BAND_COLS,
 
 
 def near_flags(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq",
-               out: str = "is_near_duplicate", prior: DataFrame | None = None) -> DataFrame:
+               out: str = "is_near_duplicate", prior: DataFrame | None = None,
+               firsts: DataFrame | None = None) -> DataFrame:
     """Flag rows whose band bucket already holds a different message id."""
     keys = [f"k{j}" for j in range(rows)]
-    banded = with_band(df, rows)
-    firsts = band_firsts(banded, keys, seq)
+    banded = df if "k0" in df.columns else with_band(df, rows)
+    firsts = band_firsts(banded, keys, seq) if firsts is None else firsts
     if prior is not None:
         firsts = _merge_prior(prior.select(*keys, "first_seq", "first_msg_id"), firsts, keys)
     lookup = sized_lookup(firsts.select(*keys, "first_msg_id"))
@@ -165,10 +191,19 @@ def near_flags(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq",
             .drop("first_msg_id", *keys))
 
 
+def near_flags_with_state(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq",
+                          prior: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Near flags of rows with band columns, and the band rows first seen here."""
+    keys = [f"k{j}" for j in range(rows)]
+    firsts = materialize(band_firsts(df, keys, seq))
+    new = firsts if prior is None else firsts.join(prior.select(*keys), keys, "left_anti")
+    return near_flags(df, rows, seq, prior=prior, firsts=firsts), new
+
+
 def lsh_candidates(df: DataFrame, rows: int = config.LSH_ROWS, seq: str = "seq") -> DataFrame:
     """Distinct candidate ids each row sees in its bucket at lookup time ([] if none)."""
     keys = [f"k{j}" for j in range(rows)]
-    banded = with_band(df, rows)
+    banded = df if "k0" in df.columns else with_band(df, rows)
     firsts = sized_lookup(band_firsts(banded, keys, seq))
     j = banded.join(firsts, keys, "inner")
     cand = F.when(F.col(seq) > F.col("first_seq"), F.array(F.col("first_msg_id"))) \
@@ -200,13 +235,14 @@ def first_seen(keyed: DataFrame, num_hashes: int, rows: int, seq: str = "seq") -
 def flag_messages(df: DataFrame, size: int = config.BLOOM_SIZE,
                   num_hashes: int = config.BLOOM_HASHES, rows: int = config.LSH_ROWS,
                   message: str = "message", seq: str = "seq") -> DataFrame:
-    """The reference's two flags (Bloom exact flag, band near flag) on a frame with ``seq``.
+    """The two flags (Bloom exact flag, band near flag): ``seq, msg_id, is_duplicate,
+    is_near_duplicate`` per row of a frame with ``seq``.
 
-    Two passes over the text, no shuffle of the rows: pass 1 computes both lookup tables in one
-    aggregation and materialises them; pass 2 probes them with broadcast joins (the bit table is
-    bounded by ``size``; the band table is broadcast only if its measured row count is small).
+    One pass over the text writes the narrow key rows; both lookup tables come from them in one
+    aggregation, and the probes read them again (the bit table is bounded by ``size``; the band
+    table is broadcast only if its measured row count is small).
     """
-    keyed = with_band(with_bloom_bits(with_message_keys(df, message), size, num_hashes), rows)
+    keyed = key_rows(df, size, num_hashes, rows, message, seq)
     flagged, _, _ = flag_with_state(keyed, size, num_hashes, rows, seq)
     return flagged
 
@@ -216,7 +252,8 @@ def flag_with_state(keyed: DataFrame, size: int, num_hashes: int, rows: int, seq
     """Bloom + near flags of ``keyed`` (with bits and band columns) against optional prior state.
 
     Returns (flagged rows, bit rows first set here, band rows first seen here). Prior state is
-    first restricted to the keys of this input (semi-join), so its size does not matter.
+    first restricted to the keys of this input (semi-join): what is shuffled and broadcast depends
+    on the input alone, though the semi-join still scans the whole state.
     """
     keys = [f"k{j}" for j in range(rows)]
     firsts = materialize(first_seen(keyed, num_hashes, rows, seq))

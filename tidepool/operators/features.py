@@ -52,6 +52,13 @@ def vocabulary(docs: DataFrame, k: int = config.TFIDF_TERMS, doc: str = "doc_id"
     return top
 
 
+def document_frequency(docs: DataFrame, terms: list[str], doc: str = "doc_id",
+                       body: str = "text") -> DataFrame:
+    """(term, df) of the given terms (a bounded list)."""
+    hits = tokens(docs, doc, body).where(F.col("term").isin(terms)).distinct()
+    return hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def tfidf(docs: DataFrame, k: int = config.TFIDF_TERMS, doc: str = "doc_id",
           body: str = "text") -> DataFrame:
     """Long form (doc_id, term, weight) for documents with at least one vocabulary term."""

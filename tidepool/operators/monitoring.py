@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidepool import config
+from tidepool.plans.joins import sized_lookup
 
 BATCH_METRICS = ("processed_count", "duplicate_count", "near_duplicate_count",
                  "low_confidence_count")
@@ -78,6 +79,10 @@ def duration_histogram(durations: DataFrame, value: str = "duration") -> DataFra
 
 
 def latest_gauge(sets: DataFrame, name: str, value: str, ts: str, tiebreak: str) -> DataFrame:
-    """Last value set wins, per gauge name."""
-    return sets.groupBy(name).agg(
-        F.max_by(F.col(value), F.struct(F.col(ts), F.col(tiebreak))).alias("gauge_value"))
+    """Last value set wins, per gauge name: the latest time per name (a size-checked lookup), then
+    the largest tie-breaker among the events of that time. All buffers are fixed-width, so both
+    aggregates hash; the events themselves are neither sorted nor shuffled."""
+    last = sized_lookup(sets.groupBy(name).agg(F.max(ts).alias("_last")))
+    named = last.select(F.col(name).alias("_name"), "_last")
+    hit = sets.join(named, F.col(name).eqNullSafe(F.col("_name")) & F.col(ts).eqNullSafe(F.col("_last")))
+    return hit.groupBy(name).agg(F.max_by(F.col(value), F.col(tiebreak)).alias("gauge_value"))

@@ -9,11 +9,11 @@ from tidepool import config
 
 # Own wording; one template per known label plus the fallback.
 TEMPLATES = {
-    "complaint": "We apologise for the trouble. Our support team will look into your concern promptly.",
-    "praise": "Thanks so much for the kind words! We are delighted you enjoyed it.",
-    "inquiry": "Thanks for asking. We will follow up with the details shortly.",
+    "complaint": "A colleague has opened a case about this and writes to you within one working day.",
+    "praise": "What a lovely note. It is on the wall of our break room now.",
+    "inquiry": "Our help pages cover most questions; someone will also answer this one in person.",
 }
-FALLBACK = "Thanks for reaching out. We will review your message soon."
+FALLBACK = "Your message reached us and has been passed to the right desk."
 
 
 def uses_template(label: Column, confidence: Column,

@@ -17,37 +17,37 @@ from tidepool.functions import hashing
 # Own wording: message templates and delays.
 TEMPLATES = {
     "complaint": [
-        "My order still has not arrived after {delay}{punct}",
-        "I have been waiting {delay} for my order{punct}",
-        "The support line never answers my calls{punct}",
-        "This product broke after one use{punct}",
-        "I am really unhappy with the service I got{punct}",
-        "Nobody has replied to my emails in {delay}{punct}",
-        "The order arrived damaged and incomplete{punct}",
-        "Worst checkout experience I have had{punct}",
+        "Half of my order was soaked through when the box opened{punct}",
+        "The courier marked the order as delivered to a house that burned down {delay} ago{punct}",
+        "Your app charged my card twice and then logged me out{punct}",
+        "A screw is missing and the manual is for another lamp{punct}",
+        "The new filter rattles all night long{punct}",
+        "My loyalty points vanished {delay} before the holiday{punct}",
+        "The order confirmation shows a stranger's name{punct}",
+        "The zip tore on the very first walk{punct}",
     ],
     "praise": [
-        "Really happy with my new purchase{punct}",
-        "Thanks for the great help today{punct}",
-        "Delivery was quick and the quality is superb{punct}",
-        "Your team was friendly and helpful{punct}",
-        "I love how easy the app is to use{punct}",
-        "Everything worked perfectly out of the box{punct}",
-        "Great value for the price{punct}",
-        "Five stars from me, keep up the great work{punct}",
+        "The repair kit saved our camping trip{punct}",
+        "Your driver waited while I found my keys, a great touch{punct}",
+        "My grandmother set the radio up without any help{punct}",
+        "The replacement colour matches the sofa to the shade{punct}",
+        "A great manual for once, with real drawings{punct}",
+        "The chat agent solved in a minute what took me an evening{punct}",
+        "Even the packaging could be reused as a shelf{punct}",
+        "Such a great smell when the coffee tin opens{punct}",
     ],
     "inquiry": [
-        "How do I change my delivery address{punct}",
-        "Is it possible to return an opened item{punct}",
-        "When will the refund reach my account{punct}",
-        "Do you ship to other countries{punct}",
-        "What is the warranty period for this model{punct}",
-        "Can I track where my parcel is{punct}",
-        "Which payment options do you accept{punct}",
-        "Can I get a refund for a late delivery{punct}",
+        "Does the tent fit on a train luggage rack{punct}",
+        "Would a refund go to the gift card or to my bank{punct}",
+        "Is the blue paint safe for a fish tank{punct}",
+        "Which battery does the garden clock need{punct}",
+        "Do I need the receipt for a refund at the kiosk{punct}",
+        "May two people share one workshop ticket{punct}",
+        "At what height should the bird box hang{punct}",
+        "Does a partial refund change the invoice{punct}",
     ],
 }
-DELAYS = ["3 days", "a week", "10 days", "two weeks", "a month", "5 days"]
+DELAYS = ["nine days", "a fortnight", "four nights", "eleven weeks", "a season", "two Sundays"]
 
 # Fixed values (generator rules being reproduced): punctuation endings, the one-word swap per
 # label with its alternatives and rate, the copy interval, the base time, user id range 100-99999.

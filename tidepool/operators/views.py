@@ -14,7 +14,7 @@ def _ts(col: str) -> F.Column:
     return F.date_format(F.col(col), TS_FORMAT).alias(col)
 
 
-def _newest(df: DataFrame, n: int) -> DataFrame:
+def newest(df: DataFrame, n: int) -> DataFrame:
     # Ties on created_at are broken by id so the result is determined.
     return df.orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(n)
 
@@ -35,24 +35,25 @@ def duplicate_summary(processed: DataFrame) -> DataFrame:
 def recent_processed(processed: DataFrame, n: int = config.RECENT_ROWS) -> DataFrame:
     cols = ["id", "original_text", "predicted_label", "confidence", "is_duplicate",
             "is_near_duplicate", "reply_text", "created_at"]
-    return _newest(processed.select(*cols), n).select(*cols[:-1], _ts("created_at"))
+    return newest(processed.select(*cols), n).select(*cols[:-1], _ts("created_at"))
 
 
 def recent_outbox(outbox: DataFrame, n: int = config.RECENT_ROWS) -> DataFrame:
     cols = ["id", "processed_id", "reply_text", "reply_status", "created_at"]
-    return _newest(outbox.select(*cols), n).select(*cols[:-1], _ts("created_at"))
+    return newest(outbox.select(*cols), n).select(*cols[:-1], _ts("created_at"))
 
 
 def recent_metrics(metrics: DataFrame, n: int = config.RECENT_ROWS) -> DataFrame:
     cols = ["id", "metric_name", "metric_value", "batch_id", "created_at"]
-    return _newest(metrics.select(*cols), n).select(*cols[:-1], _ts("created_at"))
+    return newest(metrics.select(*cols), n).select(*cols[:-1], _ts("created_at"))
 
 
 def complaint_spike(processed: DataFrame, n: int = config.SPIKE_WINDOW) -> DataFrame:
-    """Complaints among the newest n rows: the filter stays above the top-n."""
-    last = _newest(processed.select("id", "created_at", "predicted_label"), n)
+    """Complaints among the newest n rows (the column is named after n): the filter stays above
+    the top-n."""
+    last = newest(processed.select("id", "created_at", "predicted_label"), n)
     return last.agg(F.count_if(F.col("predicted_label") == F.lit("complaint"))
-                    .alias("complaint_count_last_20"))
+                    .alias(f"complaint_count_last_{n}"))
 
 
 def recent_status(processed: DataFrame, n: int = config.STATUS_ROWS) -> DataFrame:

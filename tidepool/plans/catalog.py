@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tidepool import config
 from tidepool.functions import hashing
+from tidepool.plans.joins import materialize
 from tidepool.operators import (alerts, classify as clf, decode, dedup, features, monitoring,
                                 privacy, replies, synth, views)
 from tidepool.sources import tables
@@ -22,18 +23,38 @@ TS_FMT = views.TS_FORMAT
 
 
 def _keyed(spark, sf):
-    return dedup.with_message_keys(tables.raw_messages(spark, sf))
+    """Messages with normalised text and id (for queries that return or hash them once)."""
+    return dedup.with_message_keys(tables.raw_messages(spark, sf).select("seq", "message"))
 
 
-def _processed(spark, sf):
-    return tables.processed(spark, sf)
+def _keys(spark, sf, **parts):
+    """Narrow key rows written once, without text (``dedup.key_rows``)."""
+    return dedup.key_rows(tables.raw_messages(spark, sf).select("seq", "message"), **parts)
 
 
-def _stored(spark, sf):
-    """The processed table written once to the shared folder, for views that read it several
-    times (it is the stored serving table these views model)."""
-    from tidepool.plans.joins import materialize
-    return materialize(tables.processed(spark, sf))
+def _processed(spark, sf, *columns):
+    return tables.processed(spark, sf, columns)
+
+
+def _stored(spark, sf, *columns):
+    """Columns of the processed table written once, for views that read them several times."""
+    return materialize(tables.processed(spark, sf, columns))
+
+
+FLAG_COLS = tables.FLAGS
+METRIC_COLS = ("id", "confidence", *FLAG_COLS, "created_at")
+OUTBOX_COLS = ("id", "reply_text", "created_at")
+
+
+def _newest_rows(spark, sf, order, n, *columns):
+    """``columns`` of the first ``n`` rows: the rows are chosen on narrow columns before any text
+    is read, any label joined or any flag looked up."""
+    ids = order(_processed(spark, sf, "id", "created_at")).limit(n).select("id")
+    return tables.processed(spark, sf, columns, only=materialize(ids))
+
+
+def _newest_first(df):
+    return df.orderBy(F.col("created_at").desc(), F.col("id").desc())
 
 
 def _with_ts(df: DataFrame, *cols: str) -> DataFrame:
@@ -56,7 +77,7 @@ def message_ids(spark, sf):
 
 
 def exact_duplicates(spark, sf):
-    return dedup.exact_flags(_keyed(spark, sf)).select("seq", "msg_id", "is_exact_duplicate")
+    return dedup.exact_flags(_keys(spark, sf)).select("seq", "msg_id", "is_exact_duplicate")
 
 
 def bloom_bits(spark, sf):
@@ -69,7 +90,7 @@ def bloom_fill(spark, sf):
 
 
 def bloom_duplicates(spark, sf):
-    return dedup.bloom_flags(_keyed(spark, sf)).select("seq", "is_duplicate")
+    return dedup.bloom_flags(_keys(spark, sf, size=config.BLOOM_SIZE)).select("seq", "is_duplicate")
 
 
 def token_buckets(spark, sf):
@@ -82,79 +103,92 @@ def band_keys(spark, sf):
 
 
 def near_duplicates(spark, sf):
-    return dedup.near_flags(_keyed(spark, sf)).select("seq", "msg_id", "is_near_duplicate")
+    return dedup.near_flags(_keys(spark, sf, rows=config.LSH_ROWS)).select("seq", "msg_id", "is_near_duplicate")
 
 
 def lsh_candidates(spark, sf):
-    c = dedup.lsh_candidates(_keyed(spark, sf))
+    c = dedup.lsh_candidates(_keys(spark, sf, rows=config.LSH_ROWS))
     return c.withColumn("candidates", F.array_join("candidates", ","))
 
 
 # ---------------------------------------------------------------- views and dashboard
 
 def label_summary(spark, sf):
-    return views.label_summary(_processed(spark, sf))
+    return views.label_summary(_processed(spark, sf, "predicted_label"))
 
 
 def duplicate_summary(spark, sf):
-    return views.duplicate_summary(_processed(spark, sf))
+    return views.duplicate_summary(_processed(spark, sf, *FLAG_COLS))
 
 
 def recent_processed(spark, sf):
-    return views.recent_processed(_processed(spark, sf))
+    cols = ["id", "original_text", "predicted_label", "confidence", *FLAG_COLS, "reply_text", "created_at"]
+    return views.recent_processed(_newest_rows(spark, sf, _newest_first, config.RECENT_ROWS, *cols))
 
 
 def recent_outbox(spark, sf):
-    return views.recent_outbox(tables.outbox(_processed(spark, sf)))
+    rows = _newest_rows(spark, sf, _newest_first, config.RECENT_ROWS, *OUTBOX_COLS)
+    return views.recent_outbox(tables.outbox(rows))
 
 
 def recent_metrics(spark, sf):
-    return views.recent_metrics(tables.metrics(_processed(spark, sf)))
+    return views.recent_metrics(tables.metrics(_processed(spark, sf, *METRIC_COLS)))
+
+
+def _newest_labels(spark, sf):
+    return _newest_rows(spark, sf, _newest_first, config.SPIKE_WINDOW, "id", "created_at", "predicted_label")
 
 
 def complaint_spike(spark, sf):
-    return views.complaint_spike(_processed(spark, sf))
+    return views.complaint_spike(_newest_labels(spark, sf))
 
 
 def spike_alert(spark, sf):
-    return alerts.spike_alert(_processed(spark, sf))
+    return alerts.spike_alert(_newest_labels(spark, sf))
 
 
 def recent_status(spark, sf):
-    return views.recent_status(_processed(spark, sf))
+    return views.recent_status(_newest_rows(
+        spark, sf, lambda d: d.orderBy(F.col("id").desc()), config.STATUS_ROWS,
+        "id", "hashed_user_id", "predicted_label", "is_duplicate"))
 
 
 def processed_sample(spark, sf):
-    return views.processed_sample(_processed(spark, sf))
+    return views.processed_sample(_newest_rows(
+        spark, sf, lambda d: d.orderBy("id"), config.SAMPLE_ROWS,
+        "id", "hashed_user_id", "predicted_label", "confidence", *FLAG_COLS))
 
 
 def complaint_total(spark, sf):
-    return views.complaint_total(_processed(spark, sf))
+    return views.complaint_total(_processed(spark, sf, "predicted_label"))
 
 
 def complaint_status(spark, sf):
-    return alerts.complaint_status(_processed(spark, sf))
+    return alerts.complaint_status(_processed(spark, sf, "predicted_label"))
 
 
 def label_distribution(spark, sf):
-    return views.label_distribution(_processed(spark, sf))
+    return views.label_distribution(_processed(spark, sf, "predicted_label"))
 
 
 def label_zero_fill(spark, sf):
-    return views.label_zero_fill(_stored(spark, sf))
+    return views.label_zero_fill(_stored(spark, sf, "predicted_label"))
 
 
 def duplicate_breakdown(spark, sf):
-    return views.duplicate_breakdown(_processed(spark, sf))
+    return views.duplicate_breakdown(_processed(spark, sf, "is_duplicate"))
 
 
 def top_category(spark, sf):
-    return views.top_category(_processed(spark, sf))
+    return views.top_category(_processed(spark, sf, "predicted_label"))
 
 
 def kpi_counts(spark, sf):
-    p = _stored(spark, sf)
-    return views.kpi_counts(p, tables.outbox(p), tables.metrics(p))
+    # Only row counts are asked for: one narrow column per table, and the counters' batch keys.
+    ids = _processed(spark, sf, "id")
+    batches = ids.select(F.expr(f"id div {tables.BATCH_ROWS}").alias("epoch")).distinct()
+    counters = batches.select(F.explode(F.sequence(F.lit(1), F.lit(len(monitoring.BATCH_METRICS)))))
+    return views.kpi_counts(ids, ids, counters)
 
 
 def _purged(p: DataFrame) -> DataFrame:
@@ -163,35 +197,35 @@ def _purged(p: DataFrame) -> DataFrame:
 
 
 def outbox_orphans(spark, sf):
-    p = _stored(spark, sf)
+    p = _stored(spark, sf, *OUTBOX_COLS, "is_duplicate")
     return views.outbox_orphans(tables.outbox(p), _purged(p))
 
 
 def outbox_cascade(spark, sf):
-    p = _stored(spark, sf)
+    p = _stored(spark, sf, *OUTBOX_COLS, "is_duplicate")
     return views.outbox_cascade(tables.outbox(p), _purged(p))
 
 
 def reply_route(spark, sf):
-    return replies.reply_route(_processed(spark, sf))
+    return replies.reply_route(_processed(spark, sf, "id", "predicted_label", "confidence"))
 
 
 def reply_outbox(spark, sf):
-    return _with_ts(tables.outbox(_processed(spark, sf)), "created_at", "sent_at")
+    return _with_ts(tables.outbox(_processed(spark, sf, *OUTBOX_COLS)), "created_at", "sent_at")
 
 
 # ---------------------------------------------------------------- metrics and monitoring
 
 def batch_metrics(spark, sf):
-    return _with_ts(tables.metrics(_processed(spark, sf)), "created_at")
+    return _with_ts(tables.metrics(_processed(spark, sf, *METRIC_COLS)), "created_at")
 
 
 def metric_rollup(spark, sf):
-    return monitoring.metric_rollup(tables.metrics(_processed(spark, sf)))
+    return monitoring.metric_rollup(tables.metrics(_processed(spark, sf, *METRIC_COLS)))
 
 
 def metric_avg(spark, sf):
-    return monitoring.metric_avg(tables.metrics(_processed(spark, sf)))
+    return monitoring.metric_avg(tables.metrics(_processed(spark, sf, *METRIC_COLS)))
 
 
 def _events(spark, sf):
@@ -229,11 +263,32 @@ def rejected_records(spark, sf):
         "origin", "src_id", "part", "reject_reason")
 
 
+def _broken(df, key, rules):
+    """``df`` with each column of ``rules`` (name -> (modulus, bad value)) broken on the rows whose
+    key the modulus divides, so that every constraint is violated somewhere."""
+    return df.select(*[F.when(F.pmod(F.col(key), F.lit(rules[c][0])) == 0, rules[c][1]).otherwise(F.col(c)).alias(c)
+                       if c in rules else F.col(c) for c in df.columns])
+
+
 def constraint_violations(spark, sf):
-    p = _stored(spark, sf)
-    return (decode.constraint_violations(p, "processed")
-            .unionByName(decode.constraint_violations(tables.outbox(p), "outbox"))
-            .unionByName(decode.constraint_violations(tables.metrics(p), "metrics")))
+    p = _stored(spark, sf, "id", "hashed_user_id", "predicted_label", *OUTBOX_COLS)
+    null = F.lit(None).cast("string")
+    proc = _broken(_processed(spark, sf, "id", "original_text", "hashed_user_id", "predicted_label"), "id", {
+        "original_text": (7, null), "hashed_user_id": (11, F.concat("hashed_user_id", F.lit("+"))),
+        "predicted_label": (13, F.repeat(F.lit("label"), 11))})
+    users = _broken(p.select("id", F.lit("").alias("original_text"), "hashed_user_id", "predicted_label"), "id",
+                    {"hashed_user_id": (17, null)})
+    out = _broken(tables.outbox(p), "id", {"reply_text": (5, null),
+                                           "reply_status": (19, F.repeat(F.lit("pending"), 8))})
+    met = _broken(p.select("id", F.lit("batch").alias("metric_name"), F.col("id").cast("double").alias("metric_value"),
+                           F.col("id").cast("string").alias("batch_id")), "id", {
+        "metric_name": (23, null), "metric_value": (29, F.lit(None).cast("double")),
+        "batch_id": (31, F.repeat(F.lit("batch"), 21))})
+    long = _broken(met, "id", {"metric_name": (37, F.repeat(F.lit("name"), 26))})
+    return (decode.constraint_violations(proc, "processed")
+            .unionByName(decode.constraint_violations(users, "processed"))
+            .unionByName(decode.constraint_violations(out, "outbox"))
+            .unionByName(decode.constraint_violations(long, "metrics")))
 
 
 # ---------------------------------------------------------------- features and classifier
@@ -267,7 +322,7 @@ def train_test_split(spark, sf):
 def _predictions(spark, sf):
     t = _training_set(spark, sf).withColumn("label_code", features.label_code(F.col("label"))) \
         .withColumn("split", features.split_column(F.col("doc_id")))
-    model = clf.fit(t.filter(F.col("split") == "train"))
+    model = clf.fit(t.filter(F.col("split") == "train"), corpus=t)
     return clf.predict(model, t)
 
 
@@ -276,12 +331,26 @@ def classify(spark, sf):
                                           F.round("confidence", 6).alias("confidence"))
 
 
+def classifier_features(spark, sf):
+    t = _training_set(spark, sf)
+    return clf.feature_rows(clf.featurizer(t), t)
+
+
+def _stand_in_predictions(spark, sf):
+    """Labelled documents with a prediction that is right or not by a keyed hash."""
+    t = tables.stand_in_labels(spark, sf).select(F.col("seq").alias("doc_id"), F.col("predicted_label").alias("label"))
+    pick = hashing.md5_mod(F.concat(F.lit("predict:"), F.col("doc_id").cast("string")), 10)
+    names = [F.lit(x) for x in config.LABELS]
+    guess = F.when(pick < 7, F.col("label")).otherwise(F.element_at(F.array(*names), (pick - 6).cast("int")))
+    return t.withColumn("predicted_label", guess).withColumn("split", features.split_column(F.col("doc_id")))
+
+
 def accuracy(spark, sf):
-    return clf.accuracy(_predictions(spark, sf))
+    return clf.accuracy(_stand_in_predictions(spark, sf))
 
 
 def classification_report(spark, sf):
-    return clf.classification_report(_predictions(spark, sf).filter(F.col("split") == "test"))
+    return clf.classification_report(_stand_in_predictions(spark, sf).filter(F.col("split") == "test"))
 
 
 # ---------------------------------------------------------------- privacy
@@ -294,11 +363,11 @@ def laplace_noise(spark, sf):
 
 
 def noisy_label_summary(spark, sf):
-    return privacy.noisy_label_summary(_processed(spark, sf))
+    return privacy.noisy_label_summary(_processed(spark, sf, "predicted_label"))
 
 
 def private_report(spark, sf):
-    return privacy.private_report(_stored(spark, sf))
+    return privacy.private_report(_stored(spark, sf, "id", "created_at", "predicted_label", *FLAG_COLS))
 
 
 # ---------------------------------------------------------------- synthetic messages

@@ -229,7 +229,8 @@ wire AS (
     CAST(to_json({'conv_id': conv_id, 'turn': turn, 'role': role, 'message': text}) AS VARCHAR) FROM conversations
   UNION ALL SELECT 'events', event_id, 0, CAST(to_json({'user_id': user_id, 'message': event_type}) AS VARCHAR) FROM events
   UNION ALL SELECT 'props', event_id, 0, props FROM events
-  UNION ALL SELECT 'pages', page_id, 0, html FROM pages),
+  UNION ALL SELECT 'pages', page_id, 0, html FROM pages
+  UNION ALL SELECT 'edges', i, 0, v FROM (VALUES __EDGES__) e(i, v)),
 checked AS (SELECT *, CASE WHEN json_valid(value) THEN value END AS jv FROM wire),
 decoded AS (
   SELECT *, CASE
@@ -242,15 +243,41 @@ decoded AS (
   FROM checked)"""
 
 
+# Stored rows with each constraint broken on the rows whose id some number divides.
+BROKEN = PROCESSED + """,
+proc_broken AS (
+  SELECT id, CASE WHEN id % 7 <> 0 THEN original_text END AS original_text,
+    CASE WHEN id % 11 = 0 THEN hashed_user_id || '+' ELSE hashed_user_id END AS hashed_user_id,
+    CASE WHEN id % 13 = 0 THEN repeat('label', 11) ELSE predicted_label END AS predicted_label FROM processed),
+users_broken AS (
+  SELECT id, '' AS original_text, CASE WHEN id % 17 <> 0 THEN hashed_user_id END AS hashed_user_id,
+    predicted_label FROM processed),
+out_broken AS (
+  SELECT id, CASE WHEN id % 5 <> 0 THEN reply_text END AS reply_text,
+    CASE WHEN id % 19 = 0 THEN repeat('pending', 8) ELSE reply_status END AS reply_status FROM outbox),
+met_broken AS (
+  SELECT id, CASE WHEN id % 37 = 0 THEN repeat('name', 26) WHEN id % 23 <> 0 THEN 'batch' END AS metric_name,
+    CASE WHEN id % 29 <> 0 THEN CAST(id AS DOUBLE) END AS metric_value,
+    CASE WHEN id % 31 = 0 THEN repeat('batch', 21) ELSE CAST(id AS VARCHAR) END AS batch_id FROM processed)"""
+
+
+def _wire() -> str:
+    from tidepool.sources.tables import WIRE_EDGES
+    rows = ", ".join(f"({i}, {'NULL' if v is None else q(v)})" for i, v in enumerate(WIRE_EDGES))
+    return WIRE.replace("__EDGES__", rows)
+
+
 def _violations(table: str, key: str = "id") -> str:
     from tidepool.operators.decode import CONSTRAINTS
     parts = []
-    for col, not_null, max_len in CONSTRAINTS[table]:
+    name = {"proc_broken": "processed", "users_broken": "processed", "out_broken": "outbox",
+            "met_broken": "metrics"}[table]
+    for col, not_null, max_len in CONSTRAINTS[name]:
         if not_null:
-            parts.append(f"SELECT '{table}' AS table_name, {key} AS row_id, '{col} is null' AS reason "
+            parts.append(f"SELECT '{name}' AS table_name, {key} AS row_id, '{col} is null' AS reason "
                          f"FROM {table} WHERE {col} IS NULL")
         if max_len is not None:
-            parts.append(f"SELECT '{table}', {key}, '{col} longer than {max_len}' FROM {table} "
+            parts.append(f"SELECT '{name}', {key}, '{col} longer than {max_len}' FROM {table} "
                          f"WHERE length(CAST({col} AS VARCHAR)) > {max_len}")
     return " UNION ALL ".join(parts)
 
@@ -258,11 +285,12 @@ def _violations(table: str, key: str = "id") -> str:
 def wire_sql() -> dict[str, str]:
     return {
         "publish_json": "SELECT doc_id AS seq, CAST(to_json({'user_id': source, 'message': text}) AS VARCHAR) AS value FROM documents",
-        "decode_messages": with_(WIRE, "SELECT origin, src_id, part, coalesce(jv ->> '$.user_id', 'unknown') AS user_id, "
+        "decode_messages": with_(_wire(), "SELECT origin, src_id, part, coalesce(jv ->> '$.user_id', 'unknown') AS user_id, "
                                  "coalesce(jv ->> '$.message', '') AS message FROM decoded WHERE reject_reason IS NULL"),
-        "rejected_records": with_(WIRE, "SELECT origin, src_id, part, reject_reason FROM decoded WHERE reject_reason IS NOT NULL"),
-        "constraint_violations": with_(PROCESSED, " UNION ALL ".join(
-            _violations(t) for t in ("processed", "outbox", "metrics"))),
+        "rejected_records": with_(_wire(), "SELECT origin, src_id, part, reject_reason FROM decoded WHERE reject_reason IS NOT NULL"),
+        "constraint_violations": with_(BROKEN, " UNION ALL ".join([
+            _violations("proc_broken"), _violations("users_broken"), _violations("out_broken"),
+            _violations("met_broken")])),
     }
 
 
@@ -344,6 +372,37 @@ synth AS (
 SPLIT_KEY = "'" + str(config.SPLIT_SEED) + ":' || CAST(doc_id AS VARCHAR)"
 
 
+PREDICTED = f"""
+guess AS (
+  SELECT doc_id, {label_case('quality', 'toxic')} AS label,
+    {md5_mod("('predict:' || CAST(doc_id AS VARCHAR))", 10)} AS pick,
+    CASE WHEN {md5_mod(SPLIT_KEY, 100)} < {config.TRAIN_PERCENT} THEN 'train' ELSE 'test' END AS split
+  FROM labels),
+pred AS (
+  SELECT doc_id, split, label, CASE WHEN pick < 7 THEN label
+    ELSE [{', '.join(q(x) for x in config.LABELS)}][pick - 6] END AS predicted_label FROM guess)"""
+
+REPORT = PREDICTED + f""",
+test AS (SELECT label AS y, predicted_label AS p FROM pred WHERE split = 'test'),
+counts AS (
+  SELECT c AS class, CAST(count_if(y = c AND p = c) AS DOUBLE) AS tp, CAST(count_if(p = c) AS DOUBLE) AS pp,
+    CAST(count_if(y = c) AS DOUBLE) AS support
+  FROM test, (VALUES {', '.join('(' + q(x) + ')' for x in config.LABELS)}) v(c) GROUP BY c),
+pr AS (
+  SELECT class, support, CASE WHEN pp > 0 THEN tp / pp ELSE 0.0 END AS precision,
+    CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM counts),
+per AS (
+  SELECT class, precision, recall, CASE WHEN precision + recall > 0
+    THEN 2.0 * precision * recall / (precision + recall) ELSE 0.0 END AS f1, support FROM pr),
+report AS (
+  SELECT class, precision, recall, f1, support FROM per
+  UNION ALL SELECT 'accuracy', NULL, NULL, (SELECT CAST(count_if(y = p) AS DOUBLE) / count(*) FROM test),
+    (SELECT CAST(count(*) AS DOUBLE) FROM test)
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM per
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support),
+    sum(f1 * support) / sum(support), sum(support) FROM per)"""
+
+
 def ml_sql() -> dict[str, str]:
     tr = _train()
     pr = PROCESSED
@@ -356,7 +415,7 @@ def ml_sql() -> dict[str, str]:
     spike_rows = ("SELECT 'complaint_spike' AS section, 'complaint_count_last_20' AS item, "
                   f"count_if(predicted_label = 'complaint') AS raw_value FROM (SELECT * FROM processed {NEWEST})")
     sy = _synth_sql()
-    return {
+    out = {
         "term_stats": with_(tr, "SELECT term, CAST(sum(tf) AS BIGINT) AS term_count, count(*) AS doc_freq FROM "
                             "(SELECT doc_id, term, count(*) AS tf FROM ftoks GROUP BY 1, 2) GROUP BY term"),
         "tfidf": with_(tr + f""",
@@ -380,7 +439,14 @@ report AS ({label_rows} UNION ALL {dup_rows} UNION ALL {spike_rows})""",
                                 "SELECT section, item, " + _noisy("raw_value", "section || '|' || item") + " AS noisy_value FROM report"),
         "synth_messages": with_(sy, "SELECT idx, user_id, message, timestamp, label FROM synth"),
         "synth_label_freq": with_(sy, "SELECT label, count(*) AS label_count FROM synth GROUP BY 1"),
+        "accuracy": with_(PREDICTED, "SELECT split, round(avg(CASE WHEN coalesce(label = predicted_label, false) "
+                          "THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) AS accuracy, count(*) AS support FROM pred GROUP BY split"),
+        "classification_report": with_(REPORT, "SELECT class, round(CAST(precision AS DOUBLE), 6) AS precision, "
+                                       "round(CAST(recall AS DOUBLE), 6) AS recall, round(CAST(f1 AS DOUBLE), 6) AS f1, "
+                                       "round(CAST(support AS DOUBLE), 6) AS support FROM report"),
     }
+    out["classifier_features"] = out["tfidf"]
+    return out
 
 
 def all_sql() -> dict[str, str]:

@@ -47,6 +47,10 @@ def apply_runtime_conf(spark: SparkSession) -> None:
             spark.conf.set(k, BASE_CONF[k])
         except Exception:  # pragma: no cover - static conf on some deployments
             pass
+    for k, default in (("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "5.0"),
+                       ("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "256MB")):
+        if spark.conf.get(k, default) == default:  # left as it is where the session chose a value
+            spark.conf.set(k, BASE_CONF[k])
 
 
 #: Checkpoint folder already registered with the Spark context of each application.

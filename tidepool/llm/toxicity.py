@@ -120,14 +120,16 @@ class Model:
 def count_model(labelled: DataFrame) -> Model:
     """Word counts of labelled texts (``text, toxic``); at most ``2 * SLOTS + 2`` numbers come back."""
     rows = labelled.select("text", "toxic").mapInArrow(_count, "slot int, toxic int, n bigint") \
-        .groupBy("slot", "toxic").agg(F.sum("n").alias("n")).toPandas()
-    table, total = np.zeros((2, SLOTS)), np.zeros(2)
-    inside = rows[rows.slot >= 0]
-    table[inside.toxic.to_numpy(), inside.slot.to_numpy()] = inside.n.to_numpy()
-    for r in rows[rows.slot < 0].itertuples():
-        total[r.toxic] = r.n
-    share = min(max((total[1] + 0.5) / (total.sum() + 1.0), 1e-4), 1 - 1e-4)
-    return Model(table[1].astype(np.float32), table.sum(axis=0).astype(np.float32), float(share))
+        .groupBy("slot", "toxic").agg(F.sum("n").cast("float").alias("n")).toArrow()
+    table, total = np.zeros((2, SLOTS), dtype=np.float32), [0.0, 0.0]
+    for batch in rows.to_batches():
+        slot, side, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        inside = slot >= 0
+        table[side[inside], slot[inside]] = n[inside]
+        for k, v in zip(side[~inside].tolist(), n[~inside].tolist()):
+            total[k] = v
+    share = min(max((total[1] + 0.5) / (sum(total) + 1.0), 1e-4), 1 - 1e-4)
+    return Model(table[1].copy(), table.sum(axis=0), float(share))
 
 
 # ---------------------------------------------------------------- segments
@@ -227,14 +229,23 @@ def _token_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
 
 
 def _best(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
-    """Per text: tokens, best segment score and all segment scores."""
+    """Per text: number of tokens, and score of the best segment (0 if there is none)."""
     scorer = Scorer(model)
     for batch in batches:
         rows = [scorer.segments(t.as_py()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("toxic"), batch.column("pick"), pa.array([n for n, _ in rows], pa.int64()),
-             pa.array([[x for _, _, x in f] for _, f in rows], pa.list_(pa.float64()))],
-            ["toxic", "pick", "tokens", "found"])
+        yield pa.RecordBatch.from_pydict({
+            "tokens": pa.array([n for n, _ in rows], pa.int64()),
+            "best": pa.array([max((x for *_, x in f), default=0.0) for _, f in rows], pa.float64())})
+
+
+def _summaries(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+    """Per text: the two inputs of the logistic function under the calibrated model."""
+    scorer = Scorer(model)
+    for batch in batches:
+        rows = [summary(*scorer.segments(t.as_py()), model) for t in batch.column("text")]
+        yield pa.RecordBatch.from_pydict({
+            "toxic": batch.column("toxic"), "x": pa.array([a for a, _ in rows], pa.float64()),
+            "many": pa.array([b for _, b in rows], pa.float64())})
 
 
 def root_scale(bins: np.ndarray, counts: np.ndarray) -> float:
@@ -286,26 +297,26 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, start: Sequence[float]) -> tuple[
 
 
 def calibrate(model: Model, held: DataFrame) -> Model:
-    """Fit scale and factor on all clean rows of ``held`` (``text, toxic, pick``), and the logistic
-    weights on the ``FIT_ROWS`` rows of least ``pick``."""
+    """Fit scale and factor on all clean rows of ``held`` (``_id, text, toxic, pick``), and the
+    logistic weights on the ``FIT_ROWS`` rows of least ``pick``."""
     clean = held.where(F.col("toxic") == 0)
     hist = clean.select("text").mapInArrow(partial(_token_scores, model=model), "bin int, n bigint") \
         .groupBy("bin").agg(F.sum("n").alias("n")).toPandas()
     model.scale = root_scale(hist["bin"].to_numpy(), hist["n"].to_numpy())
-    best = held.select("text", "toxic", "pick").mapInArrow(
-        partial(_best, model=model), "toxic int, pick bigint, tokens bigint, found array<double>")
-    # The number of chance segments above the best is exponential with mean 1 on clean texts.
-    top = F.coalesce(F.array_max("found"), F.lit(0.0))
-    rare = best.where((F.col("toxic") == 0) & (F.col("tokens") > 0)).agg(
+    best = clean.select("text").mapInArrow(partial(_best, model=model), "tokens bigint, best double")
+    # The expected number of chance segments above the best is exponential with mean 1.
+    rare = best.where(F.col("tokens") > 0).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("tokens") * F.exp(-F.lit(model.scale) * top)).alias("s")).first()
+        F.sum(F.col("tokens") * F.exp(-F.lit(model.scale) * F.col("best"))).alias("s")).first()
     if rare["n"]:
         model.factor = max(1e-6, min(10.0, rare["n"] / max(rare["s"], 1e-9)))
-    rows = best.orderBy("pick").limit(FIT_ROWS).collect()
-    x = np.array([summary(r["tokens"], [(0, 0, s) for s in r["found"]], model) for r in rows]).reshape(-1, 2)
-    y = np.array([r["toxic"] for r in rows], dtype=np.float64)
+    some = held.select("pick", "_id").orderBy("pick", "_id").limit(FIT_ROWS)
+    chosen = held.join(F.broadcast(some.select("_id")), "_id", "left_semi")
+    rows = chosen.select("text", "toxic").mapInArrow(
+        partial(_summaries, model=model), "toxic int, x double, many double").toArrow()
+    y, x, many = (rows.column(c).to_numpy() for c in ("toxic", "x", "many"))
     if len(y):
-        model.weights = fit_logistic(x, y, Model.weights)
+        model.weights = fit_logistic(np.column_stack([x, many]), y.astype(np.float64), Model.weights)
     return model
 
 

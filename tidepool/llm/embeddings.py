@@ -159,12 +159,15 @@ def _deal(batches: Iterator[pa.RecordBatch], blocks: dict[int, int]) -> Iterator
 
 
 def first_shared(leaf: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Whether the pairs with leaf lists a, b (padded with -1 and -2) share none before ``leaf``."""
-    shared = np.zeros(len(a), dtype=bool)
+    """Which pairs with ascending leaf lists a, b (padded with -1 and -2) share none before
+    ``leaf``. Most pairs of a dense cluster drop out at the first leaf they have in common."""
+    left = np.arange(len(a))
     for k in range(a.shape[1]):
-        own = a[:, k]
-        shared |= (own < leaf) & (b == own[:, None]).any(axis=1)
-    return ~shared
+        own = a[left, k]
+        if not len(left) or not ((own >= 0) & (own < leaf)).any():
+            break
+        left = left[~((own < leaf) & (b[left] == own[:, None]).any(axis=1))]
+    return left
 
 
 def _compare(part: pd.DataFrame, min_cosine: float) -> pd.DataFrame:
@@ -192,8 +195,9 @@ def _compare(part: pd.DataFrame, min_cosine: float) -> pd.DataFrame:
             for at in range(0, len(a), PAIR_STEP):
                 p, q = a[at:at + PAIR_STEP], b[at:at + PAIR_STEP]
                 new = first_shared(leaf, pad[p], other[q])
-                links += np.bincount(p[new], mult[q[new]], len(part)).astype(np.int64)
-                links += np.bincount(q[new], mult[p[new]], len(part)).astype(np.int64)
+                p, q = p[new], q[new]  # the others were counted and joined where they first met
+                links += np.bincount(p, mult[q], len(part)).astype(np.int64)
+                links += np.bincount(q, mult[p], len(part)).astype(np.int64)
                 lp, lq = label[p], label[q]
                 if (lp != lq).any():
                     label = spanning(lp, lq, len(part))[label]

@@ -2,8 +2,8 @@
 
 Encoding goes through a public tokenizer file (its path is a parameter). Byte-pair tokenizers that
 pre-split at white space give a text's ids as the ids of its space-led pieces one after another,
-so pieces are encoded once per worker and remembered in a bounded memo; the library is called
-with many new pieces at a time, held apart by an end token.
+so pieces are encoded once per worker and remembered in a bounded memo. Of new pieces, plain Latin
+words go through the library's merges many at a time, all others through the whole tokenizer.
 
 File format, per part (one range of documents in ascending id order): ``.ids`` holds all token
 ids as little-endian unsigned integers (16 bits if the vocabulary fits, else 32), ``.idx`` holds
@@ -37,19 +37,36 @@ from tidepool.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Pieces remembered per worker and tokenizer, the longest remembered, and new ones per call.
-MEMO_PIECES = 400_000
+#: Pieces remembered per worker (the more recent half survives when it is full), the longest
+#: remembered, and new ones per call.
+MEMO_PIECES = 700_000
 MEMO_CHARS = 48
 CALL_PIECES = 4096
 #: Texts encoded together (characters), and documents read by one read task.
-TEXT_STEP = 2_000_000
+TEXT_STEP = 500_000
 READ_DOCS = 4096
 
-#: A space next to white space or at an end, where splitting at spaces alone would be wrong.
-ODD_SPACE = re.compile(r"\s | \s|\A | \Z")
+#: Pieces of Latin letters with at most one mark after them: pre-tokenizers cut them there only.
+SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
+#: White space but spaces and line feeds.
+OTHER_SPACE = re.compile(r"[^\S \n]")
 PIECE_EDGE = re.compile(r"(?<=\S)(?= \S)")
 
 
+def pieces(text: str) -> list[str]:
+    """Pieces whose ids, one after another, are the text's: the first led by a tab (it has nothing
+    before it), words that begin a line by a line feed, all others stand for a space and a word."""
+    odd = "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() \
+        or text[-1].isspace() or OTHER_SPACE.search(text) is not None
+    if not odd:  # every space and line feed stands by itself between words
+        cut = text.replace("\n", " \n").split(" ")
+    else:
+        first, *rest = PIECE_EDGE.split(text)
+        cut = [first, *(p[1:] for p in rest)]
+    cut[0] = "\t" + cut[0]
+    return cut
+
+
 class Encoder:
     """Whole-text ids, equal to ``tokenizer.encode(text, add_special_tokens=False)`` with the
     strings of special tokens taken as ordinary text."""
@@ -58,51 +75,78 @@ class Encoder:
         from tokenizers import Tokenizer
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
-        self.split = Tokenizer.from_file(path)
-        special = [(k, v.content) for k, v in self.split.get_added_tokens_decoder().items() if v.special]
-        self.end_id, self.end = max(special) if special else (None, None)
         self.dtype = np.dtype("<u2" if self.plain.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.model = Tokenizer(self.plain.model)  # the same merges on words cut and mapped before
+        # What the tokenizer's own pre-tokenizer makes of a space-led word of each letter.
+        letters = [c for c in map(chr, range(256)) if SIMPLE.fullmatch(c)]
+        cut = {c: self.plain.pre_tokenizer.pre_tokenize_str(self._normal(f" x{c}")) for c in letters}
+        heads = {v[0][0][:v[0][0].index("x")] for v in cut.values() if len(v) == 1}
+        self.head = heads.pop() if len(heads) == 1 else None
+        if self.head is not None:
+            self.mapped = {ord(c): v[0][0][len(self.head) + 1:] for c, v in cut.items() if len(v) == 1}
+        self.words: dict[str, bytes] = {}
+        self.leads = {"": b"", "\t": b"", "\n": self.direct("\n")}
+        self.marks = {m: self._after(m) for m in ".,;:!?"} | {"": b""}
+
+    def _normal(self, text: str) -> str:
+        return self.plain.normalizer.normalize_str(text) if self.plain.normalizer else text
+
+    def _after(self, mark: str) -> bytes:
+        """Ids a mark adds behind a letter."""
+        return self.direct(f" x{mark}")[len(self.direct(" x")):]
 
     def direct(self, text: str) -> bytes:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def _learn(self, pieces: list[str]) -> None:
-        easy = [p for p in pieces if self.end and "<|" not in p]
-        for p in set(pieces).difference(easy):
-            self.memo[p] = self.direct(" " + p)
-        for at in range(0, len(easy), CALL_PIECES):
-            part = easy[at:at + CALL_PIECES]
-            ids = np.array(self.split.encode_batch_fast(
-                [self.end.join([" " + p for p in part])], add_special_tokens=False)[0].ids, self.dtype)
-            ends = np.flatnonzero(ids == self.end_id)
-            starts = np.concatenate([[0], ends + 1])
-            stops = np.concatenate([ends, [len(ids)]])
-            data, w = ids.tobytes(), self.dtype.itemsize
-            for p, a, b in zip(part, (starts * w).tolist(), (stops * w).tolist()):
-                self.memo[p] = data[a:b]
+    def _alone(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces through the whole tokenizer, each by itself."""
+        texts = [p[1:] if p[0] == "\t" else p if p[0] == "\n" else " " + p for p in pieces]
+        return [np.array(e.ids, self.dtype).tobytes()
+                for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: list[str]) -> None:
+        """Remember new pieces. Plain words with a mark behind them go to the merges directly,
+        many in one call; any other piece goes through the whole tokenizer by itself."""
+        simple, other, w = {}, [], self.dtype.itemsize
+        for p in new:
+            lead = p[0] if p[0] in "\t\n" else ""
+            m = SIMPLE.fullmatch(p, len(lead)) if self.head is not None else None
+            if m is None:
+                other.append(p)
+            else:
+                word = m[1].translate(self.mapped)
+                simple[p] = (self.leads[lead], word if lead else self.head + word, self.marks[m[2]])
+        self.memo.update(zip(other, self._alone(other)))
+        every = {word for _, word, _ in simple.values()}
+        unknown = list(every.difference(self.words))
+        if len(self.words) + len(unknown) > MEMO_PIECES // 4:
+            self.words.clear()
+            unknown = list(every)
+        for at in range(0, len(unknown), CALL_PIECES):
+            part = unknown[at:at + CALL_PIECES]
+            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ends = np.searchsorted(np.array(got.word_ids), np.arange(len(part)), side="right") * w
+            data = np.array(got.ids, self.dtype).tobytes()
+            cuts = [0, *ends.tolist()]
+            self.words.update(zip(part, (data[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
+        self.memo.update((p, lead + self.words[word] + mark) for p, (lead, word, mark) in simple.items())
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``."""
-        split = []
-        for t in texts:
-            if not t:
-                split.append([])
-            elif ODD_SPACE.search(t):
-                first, *rest = PIECE_EDGE.split(t)
-                split.append([first, *(p[1:] for p in rest)])
-            else:
-                split.append(t.split(" "))
-        new = set().union(*(p[1:] for p in split)).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_PIECES:
-            self.memo.clear()
-            new = set().union(*(p[1:] for p in split))
-        long = {p: self.direct(" " + p) for p in new if len(p) > MEMO_CHARS}
-        self._learn([p for p in new if len(p) <= MEMO_CHARS])
-        get = self.memo.__getitem__ if not long else (lambda p: long[p] if p in long else self.memo[p])
-        heads = self.plain.encode_batch_fast([p[0] if p else "" for p in split], add_special_tokens=False)
-        return [np.array(h.ids, self.dtype).tobytes() + b"".join(map(get, p[1:])) if p else b""
-                for h, p in zip(heads, split)]
+        split = [pieces(t) if t else [] for t in texts]
+        if len(self.memo) > MEMO_PIECES // 2:
+            self.older, self.memo = self.memo, {}
+        new = set().union(*split).difference(self.memo)
+        known = [p for p in new if p in self.older]
+        self.memo.update((p, self.older[p]) for p in known)
+        new.difference_update(known)
+        alone = [p for p in new if len(p) > MEMO_CHARS or p[-1].isspace()]
+        once = dict(zip(alone, self._alone(alone)))
+        self._learn(list(new.difference(alone)))
+        get = self.memo.__getitem__ if not once else (lambda p: once[p] if p in once else self.memo[p])
+        return [b"".join(map(get, p)) for p in split]
 
 
 def encoder(path: str) -> Encoder:

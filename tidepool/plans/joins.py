@@ -16,8 +16,8 @@ from tidepool.session import checkpoint_dir
 BROADCAST_MAX_ROWS = 2_000_000
 
 
-#: Paths materialised in the innermost scope of this thread or task; None outside any scope.
-_SCOPE: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
+#: Paths materialised in the scopes of this thread or task, the innermost last.
+_SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
 
 
 def delete_paths(spark, paths) -> None:
@@ -35,27 +35,37 @@ def scratch_scope(spark):
     after every output that reads them has been written). Scopes of different threads (two
     streaming queries in one driver) do not see each other's tables; a nested scope deletes only
     its own."""
+    with scratch_paths() as paths:
+        try:
+            yield
+        finally:
+            delete_paths(spark, paths)
+
+
+@contextmanager
+def scratch_paths():
+    """The list of tables materialised inside the block, for a caller that deletes them later
+    (``delete_paths``), when nothing reads them any more."""
     paths: list[str] = []
-    token = _SCOPE.set(paths)
+    token = _SCOPES.set((*_SCOPES.get(), paths))
     try:
-        yield
+        yield paths
     finally:
-        _SCOPE.reset(token)
-        delete_paths(spark, paths)
+        _SCOPES.reset(token)
 
 
 def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared ``spark.checkpoint.dir`` and read it
     back: one job (an eager ``checkpoint()`` would compute the plan twice, once to count and once
-    to write), lineage is cut, and the table survives executor loss. ``keep`` leaves the table
-    when the surrounding scratch scope ends (it is the block's result).
+    to write), lineage is cut, and the table survives executor loss. ``keep`` hands the table to
+    the scope around the innermost one (it is the block's result).
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", uuid.uuid4().hex)
     df.write.mode("overwrite").parquet(path)
-    scope = _SCOPE.get()
-    if scope is not None and not keep:
-        scope.append(path)
+    scopes = _SCOPES.get()[:-1] if keep else _SCOPES.get()
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

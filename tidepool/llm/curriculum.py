@@ -90,19 +90,20 @@ def source_targets(sizes: DataFrame, schedules: Sequence[Knots] = SCHEDULES,
         .select("source", "source_size", "target", "pieces")
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+def place(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
         carry: Sequence[str] = (), schedules: Sequence[Knots] = SCHEDULES,
         total: float = TOTAL_SHARE, max_repeats: int = MAX_REPEATS) -> DataFrame:
-    """One row per document: ``doc_id, source, size, source_size, target, taken, position`` (of
-    its first use, null if unused), ``uses`` (array of epoch, words, position) and ``row``, a
-    struct of the ``carry`` columns; range-sorted by position."""
+    """One row per document, in no order: ``doc_id, source, size, source_size, target, taken,
+    position`` (of its first use, null if unused), ``uses`` (array of epoch, words, position) and
+    ``row``, a struct of the ``carry`` columns. Windows run on narrow rows; carried columns are
+    joined to them once, by a row number."""
     name = F.col(source).cast("string")
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), name.alias("source"), word_count(text).alias("size"),
         # never null: a null source gets a key no other source has
         F.when(name.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), name)).alias("_source"),
         F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).alias("_hash"),
-        F.xxhash64(text).alias("_tie"), packed_row(carry))
+        F.xxhash64(text).alias("_tie"), packed_row(carry), F.monotonically_increasing_id().alias("_uid"))
     rows = materialize(rows)
     digits = 1
     while 16 ** digits < bucket_count(rows.count()):
@@ -111,7 +112,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     targets = source_targets(sizes.select("source", "source_size"), schedules, total, max_repeats) \
         .withColumn("_source", F.when(F.col("source").isNull(), F.lit("-"))
                     .otherwise(F.concat(F.lit("+"), F.col("source")))).drop("source")
-    narrow = rows.withColumn("_bucket", F.substring("_hash", 1, digits))
+    narrow = rows.drop("_row").withColumn("_bucket", F.substring("_hash", 1, digits))
     placed = running_before(narrow, ["_source"], "_bucket",
                             [F.col("_hash"), F.col("doc_id"), F.col("size"), F.col("_tie")],
                             F.col("size"), "_before")
@@ -129,12 +130,19 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     taken = F.aggregate("uses", F.lit(0).cast("bigint"), lambda acc, u: acc + u["words"])
     out = joined.withColumn("uses", uses).withColumn("taken", taken) \
         .withColumn("position", F.get("uses", F.lit(0))["position"])
-    return out.orderBy(F.col("position").asc_nulls_last(), "_hash").select(
-        "doc_id", "source", "size", "source_size", "target", "taken", "position", "uses",
-        F.col("_row").alias("row"))
+    cols = ["doc_id", "source", "size", "source_size", "target", "taken", "position", "uses"]
+    if not carry:
+        return out.select(*cols, "_hash", F.struct(F.lit(0).alias("_none")).alias("row"))
+    return out.select(*cols, "_hash", "_uid").join(rows.select("_uid", "_row"), "_uid", "inner") \
+        .select(*cols, "_hash", F.col("_row").alias("row"))
 
 
-def training_order(mixed: DataFrame) -> DataFrame:
-    """One row per use of a document, range-sorted by training position."""
-    return mixed.withColumn("use", F.explode("uses")) \
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``place``, range-sorted by position (unused documents last)."""
+    return place(docs, **options).orderBy(F.col("position").asc_nulls_last(), "_hash").drop("_hash")
+
+
+def training_order(placed: DataFrame) -> DataFrame:
+    """One row per use of a document (of ``place`` or ``mix``), range-sorted by training position."""
+    return placed.withColumn("use", F.explode("uses")) \
         .orderBy("use.position", "doc_id", "use.epoch")

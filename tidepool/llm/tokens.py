@@ -12,7 +12,7 @@ document ids and n validity bytes. The manifest has one row per part; a part's b
 sum of the tokens of the parts before it. Readers memory-map local files.
 
 Edge cases: a null or empty text is a document of no text tokens (only the end id, if any); null
-document ids come first; repeated rows are documents of their own, in text-hash order; an empty
+document ids come first; repeated rows are documents of their own, in order of length and text; an empty
 table gives an empty manifest and no documents; further columns are not stored.
 """
 
@@ -237,8 +237,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int | None = None, doc
     spark = docs.sparkSession
     root = root or scratch_path(spark, f"tokens-{uuid.uuid4().hex}")
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [F.col("doc_id").asc_nulls_first(), F.octet_length("text")]
+    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     parts = materialize(ranged.mapInArrow(
         partial(_write_part, root=root, tokenizer=tokenizer, end_id=end_id),
         "part int, path string, n_docs bigint, n_tokens bigint, width int"))

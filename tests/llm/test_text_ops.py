@@ -91,6 +91,35 @@ def test_toxicity_held_out_accuracy_and_edges(spark):
     assert next(r for r in got if r.doc_id == 9004).predicted == 1
 
 
+@pytest.mark.parametrize("text,want", [
+    ("well/toxicword you,toxicword <b>nice-toxicword</b>", "well toxicword you toxicword b nice toxicword b"),
+    ("It's a_b  -- don’t!", "It's a b -- don’t"), ("x" * 70 + "y", "x" * 70 + "y"),
+    ("毒词在这里 ok", "毒词 词在 在这 这里 ok"), ("字", "字"), ("ab字cd", "ab 字 cd"), ("कि से", "कि से"),
+    ("you😀😀 😀", "you 😀😀 😀"), ("cafe\u0301s l’été", "cafe\u0301s l’été"), ("", ""), (" \n ", ""),
+    ("a" * 50_000 + "," * 50_000 + "b", "a" * 50_000 + " b")])
+def test_toxicity_reads_every_run(text, want):
+    assert toxicity.words_of(text) == want.split()
+    assert [text[a:b] for a, b in toxicity.spans_of(text)] == want.split()
+
+
+def test_toxicity_in_joined_text(spark):
+    rng = random.Random(4)
+    rows, labels = [], []
+    for i in range(600):
+        words = rng.choices(["kara", "lone", "miti", "terpo", "sonul"], k=40)
+        glue = "/," if i % 2 else "的一是不了人我在有他"
+        if i % 3 == 0:
+            words[20:22] = ["vileword", "nastyone"] if i % 2 else ["毒词坏", "毒词坏"]
+        rows.append((i, "".join(w + rng.choice(glue) for w in words)))
+        labels.append((i, 1, int(i % 3 == 0)))
+    rows += [(1001, "kara/lone,miti/vileword,nastyone/vileword,miti"), (1002, "的一是不了人毒词坏毒词坏我在有他")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    model = toxicity.learn(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert got[1001].predicted == got[1002].predicted == 1
+    assert all(got[i].predicted == int(i % 3 == 0) for i in range(600) if zlib.crc32(str(i).encode()) % 5 == 0)
+
+
 def test_toxicity_never_reads_held_out_labels(spark):
     rows, labels = corpus(300)
     docs = spark.createDataFrame(rows, SCHEMA)

@@ -102,6 +102,19 @@ def test_toxicity_reads_every_run(text, want):
     assert [text[a:b] for a, b in toxicity.spans_of(text)] == want.split()
 
 
+def test_toxicity_counts_every_word_by_itself(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "HELD_KEYS", 1 << 14)
+    known = [f"w{i:x}q" for i in range(600_000)]  # more words than any table of fixed size had slots
+    rows = [(" ".join(known[i::60]), int(i % 6 == 0)) for i in range(60)] * 3
+    model = toxicity.count_model(spark.createDataFrame(rows, "text string, toxic int").repartition(4))
+    words = np.array([toxicity.features(w)[-1] for w in known])
+    assert len(np.unique(words)) == len(known)
+    at = np.searchsorted(model.keys, words)
+    assert (model.keys[at] == words).all() and (model.every[at] == 3).all()
+    assert (model.toxic[at] == np.where(np.arange(len(known)) % 60 % 6 == 0, 3, 0)).all()
+    assert math.isclose(model.share, 30.5 / 181)
+
+
 def test_toxicity_in_joined_text(spark):
     rng = random.Random(4)
     rows, labels = [], []

@@ -3,8 +3,8 @@
 Token scores are log-odds with Dirichlet priors: a word's toxic share has as prior its 5-letter
 stem's, that stem's its 4-letter stem's, and that one the labelled corpus' own share, each with the
 same concentration. Counts are of documents, equal texts once, so neither a repeated word nor a
-group of copies passes for evidence; they are kept in a hash table of fixed size, so the model does not grow with
-the vocabulary. Less a constant, scores are negative on average; a linear-time scan finds every
+group of copies passes for evidence; every word and stem has counts of its own under a 64-bit hash,
+so the model grows with the labelled vocabulary (16 bytes a key). Less a constant, scores are negative on average; a linear-time scan finds every
 maximal scoring segment of a text. On clean documents that took no part in the counts, the scale
 (the root of E[exp(scale * score)] = 1) and the size factor of the extreme-value law are fitted,
 which turn a segment's score and the text's length into an expected number of chance segments.
@@ -24,10 +24,10 @@ import math
 import re
 import sys
 import unicodedata
-import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +41,10 @@ from tidepool.plans.joins import sized_lookup
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Letters of the stems and slots of their counts, then slots of the words' counts.
-STEMS = ((4, 1 << 17), (5, 1 << 18))
-WORD_SLOTS = 1 << 19
-SLOTS = sum(n for _, n in STEMS) + WORD_SLOTS
+#: Letters of the stems.
+STEMS = (4, 5)
+#: Keys that a counting task holds before it sums them up.
+HELD_KEYS = 1 << 21
 #: Strength of each prior, in documents.
 CONCENTRATION = 20.0
 #: Taken from every token's log-odds, and the largest expected chance count of a significant one.
@@ -128,20 +128,24 @@ def fold(doc_id: Column) -> Column:
 
 
 def features(token: str) -> list[int]:
-    """Hash slots of a token: stems from short to long, then the word itself."""
-    word, out, base = token.lower(), [], 0
-    for key, slots in [*((word[:k], n) for k, n in STEMS), (word, WORD_SLOTS)]:
-        out.append(base + zlib.crc32(key.encode("utf-8", "surrogatepass")) % slots)
-        base += slots
-    return out
+    """64-bit keys of a token: stems from short to long, then the word itself."""
+    word = token.lower()
+    each = [*((word[:k], k) for k in STEMS), (word, 0)]
+    return [int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8, salt=bytes([k])).digest(),
+                           "little", signed=True) for key, k in each]
 
 
 # ---------------------------------------------------------------- word counts
 
+def _sums(held: list[np.ndarray], side: int) -> pa.RecordBatch:
+    keys, n = np.unique(np.concatenate(held), return_counts=True)
+    return pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.int64()), "toxic": pa.array([side] * len(keys), pa.int32()),
+                                       "n": pa.array(n, pa.int64())})
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slot, toxic, documents) of the task's labelled texts; slot -1 counts the documents."""
-    table = np.zeros((2, SLOTS), dtype=np.int64)
-    total, memo = [0, 0], {}
+    """(key, toxic, documents) of the task's labelled texts; key null counts the documents."""
+    held, size, total, memo = ([], []), [0, 0], [0, 0], {}
     for batch in batches:
         for text, side in zip(batch.column("text"), batch.column("toxic").to_pylist()):
             tokens = set(words_of(text.as_py()))
@@ -150,48 +154,58 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 memo.clear()
             for t in tokens.difference(memo):
                 memo[t] = features(t)
-            here = np.array([memo[t] for t in tokens], dtype=np.int64).ravel()
-            table[side][np.unique(here)] += 1
+            if tokens:
+                held[side].append(np.unique(np.array([memo[t] for t in tokens], dtype=np.int64)))
+                size[side] += len(held[side][-1])
+            if size[side] > HELD_KEYS:
+                yield _sums(held[side], side)
+                held[side].clear()
+                size[side] = 0
     for side in (0, 1):
-        at = np.flatnonzero(table[side])
-        yield pa.RecordBatch.from_pydict({
-            "slot": pa.array(np.append(at, -1), pa.int32()),
-            "toxic": pa.array([side] * (len(at) + 1), pa.int32()),
-            "n": pa.array(np.append(table[side][at], total[side]), pa.int64())})
+        if held[side]:
+            yield _sums(held[side], side)
+    yield pa.RecordBatch.from_pydict({"key": pa.array([None, None], pa.int64()), "toxic": pa.array([0, 1], pa.int32()),
+                                      "n": pa.array(total, pa.int64())})
 
 
 @dataclass
 class Model:
     """Token log-odds table and calibration."""
 
-    toxic: np.ndarray  # per slot, toxic documents that have one of its words
+    keys: np.ndarray  # ascending
+    toxic: np.ndarray  # per key, toxic documents that have it
     every: np.ndarray
     share: float
     scale: float = 1.0
     factor: float = 0.1
     weights: tuple[float, float, float] = (-3.0, 0.5, 1.0)
 
-    def log_odds(self, token: str) -> float:
-        p = self.share
-        for slot in features(token):
-            p = (float(self.toxic[slot]) + CONCENTRATION * p) / (float(self.every[slot]) + CONCENTRATION)
-        p, q = min(max(p, 1e-6), 1 - 1e-6), self.share
-        return math.log(p / (1 - p)) - math.log(q / (1 - q))
+    def log_odds(self, tokens: Sequence[str]) -> np.ndarray:
+        p = np.full(len(tokens), self.share)
+        if len(self.keys) and len(tokens):
+            each = np.array([features(t) for t in tokens], dtype=np.int64)
+            at = np.minimum(np.searchsorted(self.keys, each), len(self.keys) - 1)
+            known = self.keys[at] == each
+            toxic, every = (np.where(known, x[at], 0).astype(np.float64) for x in (self.toxic, self.every))
+            for k in range(each.shape[1]):
+                p = (toxic[:, k] + CONCENTRATION * p) / (every[:, k] + CONCENTRATION)
+        p, q = np.clip(p, 1e-6, 1 - 1e-6), self.share
+        return np.log(p / (1 - p)) - math.log(q / (1 - q))
 
 
 def count_model(labelled: DataFrame) -> Model:
-    """Word counts of labelled texts (``text, toxic``); at most ``2 * SLOTS + 2`` numbers come back."""
-    rows = labelled.select("text", "toxic").mapInArrow(_count, "slot int, toxic int, n bigint") \
-        .groupBy("slot", "toxic").agg(F.sum("n").cast("float").alias("n")).toArrow()
-    table, total = np.zeros((2, SLOTS), dtype=np.float32), [0.0, 0.0]
-    for batch in rows.to_batches():
-        slot, side, n = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        inside = slot >= 0
-        table[side[inside], slot[inside]] = n[inside]
-        for k, v in zip(side[~inside].tolist(), n[~inside].tolist()):
-            total[k] = v
-    share = min(max((total[1] + 0.5) / (sum(total) + 1.0), 1e-4), 1 - 1e-4)
-    return Model(table[1].copy(), table.sum(axis=0), float(share))
+    """Word counts of labelled texts (``text, toxic``); three numbers per distinct word and stem
+    come back."""
+    rows = labelled.select("text", "toxic").mapInArrow(_count, "key bigint, toxic int, n bigint") \
+        .groupBy("key").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).cast("int").alias("toxic"),
+                            F.sum("n").cast("int").alias("every")).toArrow()
+    key, toxic, every = (rows.column(c) for c in ("key", "toxic", "every"))
+    none = key.is_null()
+    total = [sum(c.filter(none).to_pylist()) for c in (every, toxic)]
+    share = min(max((total[1] + 0.5) / (total[0] + 1.0), 1e-4), 1 - 1e-4)
+    keys, toxic, every = (c.filter(key.is_valid()).to_numpy() for c in (key, toxic, every))
+    order = np.argsort(keys)
+    return Model(keys[order], toxic[order], every[order], float(share))
 
 
 # ---------------------------------------------------------------- segments
@@ -231,8 +245,9 @@ class Scorer:
         if len(self.memo) + len(new) > MEMO_WORDS:
             self.memo.clear()
             new = set(tokens)
-        for t in new:
-            self.memo[t] = self.model.log_odds(t) - DRIFT
+        if new:
+            fresh = list(new)
+            self.memo.update(zip(fresh, (self.model.log_odds(fresh) - DRIFT).tolist()))
         return np.fromiter(map(self.memo.__getitem__, tokens), np.float64, len(tokens))
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:

@@ -302,6 +302,15 @@ def test_layout(html, text):
     assert html_render.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<!DOCTYPE html><head><title>t</title><p>Hello", "Hello"),
+    ("<html><head><meta charset=x>\n<title>t</title>\nbare text <b>on</b>", "bare text on"),
+    ("<head><style>a{}</style><noscript><link></noscript><script>x</script><div>a</div></head>b", "a\nb"),
+    ("<head><template><p>no</p></template><title>t</title>\n</head>\n<p>yes", "yes")])
+def test_head_ends_where_content_begins(html, text):
+    assert html_render.render(html) == text
+
+
 class Visible(HTMLParser):
     """Visible words in order, for markup without layout subtleties."""
 

@@ -46,6 +46,8 @@ GROUPS = frozenset(("thead", "tbody", "tfoot"))
 #: Start tags that end an open paragraph.
 ENDS_P = BLOCK - frozenset("body html caption tr thead tbody tfoot td th legend summary dd dt li".split()) \
     | frozenset(("dd", "dt", "li"))
+#: Start tags that leave an open head open.
+IN_HEAD = frozenset("head title meta link base basefont bgsound script style template noscript noframes".split())
 #: start tag -> (open elements it ends, elements that stop the search)
 IMPLIED = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -59,7 +61,6 @@ IMPLIED = {
     "thead": (("thead", "tbody", "tfoot", "caption"), ("table",)),
     "tbody": (("thead", "tbody", "tfoot", "caption"), ("table",)),
     "tfoot": (("thead", "tbody", "tfoot", "caption"), ("table",)),
-    "body": (("head",), ()),
 }
 #: An end tag does not close elements beyond these unless it names one of them.
 SCOPES = frozenset(("table", "td", "th", "caption", "button", "body", "html"))
@@ -118,14 +119,19 @@ def build(html: str) -> Node:
                 if stack[depth].tag in SCOPES:
                     return
 
+    def text(s: str) -> None:
+        if stack[-1].tag == "head" and WHITE.sub("", s):
+            pop()
+        stack[-1].items.append(unescape(s))
+
     at, end, low = 0, len(html), None
     while at < end:
         m = MARKUP.search(html, at)
         if m is None:
-            stack[-1].items.append(unescape(html[at:]))
+            text(html[at:])
             break
         if m.start() > at:
-            stack[-1].items.append(unescape(html[at:m.start()]))
+            text(html[at:m.start()])
         at = m.end()
         if m[2] is None:
             continue
@@ -140,6 +146,10 @@ def build(html: str) -> Node:
                     if stack[depth].tag in SCOPES and tag not in SCOPES and tag not in ("tr", *GROUPS):
                         break
             continue
+        if tag == "body":
+            imply(("head",), ())
+        elif stack[-1].tag == "head" and tag not in IN_HEAD:
+            pop()
         if tag in ENDS_P:
             close_p()
         if tag in IMPLIED:

@@ -311,6 +311,22 @@ def test_head_ends_where_content_begins(html, text):
     assert html_render.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<p title=O'Brien>Hello world, this is text.</p><p>More text</p>", "Hello world, this is text.\n\nMore text"),
+    ("<a href=x'>one</a> it's <img alt=it's> two", "one it's two"),
+    ("<p 'stray\">a</p \"><p \"hidden'>b", "a\n\nb"),
+    ("<p title=a=\"x>b</p>", "b"), ("<p title = 'x>y' hidden>b</p>c", "c"), ("<p title= >b</p>", "b"),
+    ("<p title=\"a'b>c\" lang='\"'>d", "d"), ("<a title=\"never closed>x", "")])
+def test_quotes_open_values_only_after_equals(html, text):
+    assert html_render.render(html) == text
+
+
+def test_quotes_and_equals_in_tags_are_linear():
+    for part in ("a=", "'", "= ", "a = '", "a=\"\"", "/ "):
+        html_render.render("<p " + part * 100_000)
+        assert html_render.render("<p " + part * 100_000 + "\"'>x") is not None
+
+
 class Visible(HTMLParser):
     """Visible words in order, for markup without layout subtleties."""
 

@@ -65,9 +65,11 @@ IMPLIED = {
 #: An end tag does not close elements beyond these unless it names one of them.
 SCOPES = frozenset(("table", "td", "th", "caption", "button", "body", "html"))
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?",
-                    re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"?|'([^']*)'?|([^\s>]+)))?")
+#: A quote opens a quoted value only directly after '='; elsewhere in a tag it is a character.
+VALUE = r"\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+"
+MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)"
+                    rf"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE})?)?)*+)>?", re.DOTALL)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>\"'][^\s>]*+))?)?")
 WHITE = re.compile(r"[ \t\n\r\f]+")
 #: Widest cell that its column is padded to.
 PAD_WIDTH = 60

@@ -327,6 +327,20 @@ def test_quotes_and_equals_in_tags_are_linear():
         assert html_render.render("<p " + part * 100_000 + "\"'>x") is not None
 
 
+@pytest.mark.parametrize("html,text", [
+    ("a <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2 tex</annotation>"
+     "<annotation-xml><ci>q</ci></annotation-xml></semantics></math> b", "a x=2 b"),
+    ("<p>see<svg viewBox='0'><title/><style/>stray<defs><text>d</text></defs><g><path d='m'/>"
+     "<text x=1>One <tspan>label</tspan></text><text>Two</text></g></svg>after", "see\nOne label\nTwo\nafter"),
+    ("<svg><foreignObject><p>in <b>html</b></p></foreignObject><desc>no</desc></svg>", "in html"),
+    ("<svg><g>no<p>out of it<svg><text>t</text>", "out of it\nt"),
+    ("<textarea>\nline &amp; one\n  two</textarea>x", "line & one\n  two\nx"),
+    ("<textarea><p>raw</textarea><defs>d</defs><text>e</text>", "<p>raw\nde"),
+    ("<math><mi>x<div>y</div>z", "x\ny\nz")])
+def test_formulas_drawings_and_text_areas_show(html, text):
+    assert html_render.render(html) == text
+
+
 class Visible(HTMLParser):
     """Visible words in order, for markup without layout subtleties."""
 

@@ -5,8 +5,10 @@ A tokenizer feeds a tree builder that knows void elements, raw-text elements, im
 open inside a closed element. The tree is rendered with an explicit stack (nesting depth is not
 limited): blocks on lines of their own, blank lines around paragraphs and headings, list items
 with bullets or numbers and indentation, ``<pre>`` as it is, table cells aligned in columns.
-Hidden: head, script, style, template, noscript, form state elements, ``hidden`` attributes,
-``display:none``, ``visibility:hidden`` (unless a descendant turns visible), closed ``details``.
+Formulas give the text of their parts, drawings that of their labels, a text area its default text.
+Hidden: head, script, style, template, noscript, title, input, datalist, the fallback contents of
+iframe, noembed, noframes, object, audio, video and canvas, annotations and phantoms of formulas, what
+a drawing does not paint by itself (``defs``, ``symbol`` and the like), ``hidden`` attributes, ``display:none``, ``visibility:hidden`` (unless a descendant turns visible), closed ``details``.
 
 Edge cases: null HTML gives null, empty HTML an empty text; markup that is cut off anywhere is
 rendered as far as it goes; an unknown tag is inline; a stray end tag is ignored; very long pages
@@ -35,12 +37,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
 #: Elements without visible text.
-UNSEEN = frozenset("head script style template noscript title iframe noembed noframes textarea "
-                   "datalist object audio video canvas svg math".split())
+UNSEEN = frozenset("head script style template noscript title iframe noembed noframes "
+                   "datalist object audio video canvas".split())
+#: The same inside svg and inside math.
+UNDRAWN = frozenset("defs symbol clippath mask pattern marker metadata desc lineargradient radialgradient "
+                    "filter".split())
+UNSET = frozenset("annotation annotation-xml mphantom".split())
+#: Start tags that end an open svg or math, and elements inside those that hold HTML.
+BREAKOUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li "
+                     "listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul "
+                     "var".split())
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mtext mi mo mn ms".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset "
                   "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main "
                   "menu nav ol p pre section summary table ul caption tr thead tbody tfoot td th xmp".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr menu dir xmp".split())
+#: Elements on lines of their own: blocks, text areas, labels of drawings.
+LINES = BLOCK | frozenset(("textarea", "#label"))
 CELLS = frozenset(("td", "th"))
 GROUPS = frozenset(("thead", "tbody", "tfoot"))
 #: Start tags that end an open paragraph.
@@ -121,6 +134,15 @@ def build(html: str) -> Node:
                 if stack[depth].tag in SCOPES:
                     return
 
+    def leave_foreign() -> None:
+        """Close an svg or math that a start tag of HTML stands in."""
+        for depth in range(len(stack) - 1, 0, -1):
+            if stack[depth].tag in ("svg", "math"):
+                while len(stack) > depth:
+                    pop()
+            elif stack[depth].tag in HOLDS_HTML or stack[depth].tag in BLOCK:
+                return
+
     def text(s: str) -> None:
         if stack[-1].tag == "head" and WHITE.sub("", s):
             pop()
@@ -152,6 +174,12 @@ def build(html: str) -> Node:
             imply(("head",), ())
         elif stack[-1].tag == "head" and tag not in IN_HEAD:
             pop()
+        foreign = count.get("svg") or count.get("math")
+        if foreign and tag in BREAKOUT:
+            leave_foreign()
+        elif foreign and m[3] and m[3].endswith("/"):
+            stack[-1].items.append(Node(tag, attributes(m[3])))
+            continue
         if tag in ENDS_P:
             close_p()
         if tag in IMPLIED:
@@ -166,6 +194,8 @@ def build(html: str) -> Node:
             stop = end if stop < 0 else stop
             if tag == "xmp":
                 node.items.append(html[at:stop])
+            elif tag == "textarea":
+                node.items.append(unescape(html[at:stop]))
             close = html.find(">", stop)
             at = end if close < 0 else close + 1
         elif tag not in VOID and not (m[3] and m[3].endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "span")):
@@ -289,35 +319,42 @@ def render(html: str | None) -> str | None:
         return None
     canvas = Canvas()
     canvases, tables, lists = [canvas], [], []
-    work: list[tuple] = [("node", build(html), True, False)]
+    work: list[tuple] = [("node", build(html), True, False, "")]
     while work:
-        kind, node, seen, pre = work.pop()
+        # inside: "" in HTML, "svg" where a drawing has no text, "label" in its labels, "math"
+        kind, node, seen, pre, inside = work.pop()
         canvas = canvases[-1]
         if kind == "text":
-            if seen:
+            if seen and inside != "svg":
                 canvas.exact(node) if pre else canvas.text(node)
             continue
         if kind == "leave":
             _leave(node, canvases, tables, lists)
             continue
-        if hides(node):
+        if hides(node) or node.tag in UNDRAWN and inside in ("svg", "label") or node.tag in UNSET and inside == "math":
             continue
         tag, seen = node.tag, visibility(node, seen)
         if tag == "br":
             canvas.line_end(forced=True)
             continue
+        if tag in ("svg", "math"):
+            inside = tag
+        elif inside == "svg" and tag == "text":
+            inside, node.tag = "label", "#label"
+        elif inside == "svg" and tag == "foreignobject":
+            inside, node.tag = "", "div"
         _enter(node, canvases, tables, lists)
         items = node.items
         if tag == "details" and "open" not in node.attrs:
             items = [x for x in items if isinstance(x, Node) and x.tag == "summary"][:1]
-        pre = pre or tag in ("pre", "xmp")
-        if tag == "pre" and items and isinstance(items[0], str) and items[0].startswith("\n"):
+        pre = pre or tag in ("pre", "xmp", "textarea")
+        if tag in ("pre", "textarea") and items and isinstance(items[0], str) and items[0].startswith("\n"):
             items = [items[0][1:], *items[1:]]
-        work.append(("leave", node, seen, pre))
-        inside = [("text", x, seen, pre) if isinstance(x, str) else ("node", x, seen, pre) for x in items]
+        work.append(("leave", node, seen, pre, inside))
+        held = [("text" if isinstance(x, str) else "node", x, seen, pre, inside) for x in items]
         if tag in ("table", "tr", *GROUPS):  # white space between table parts is not text
-            inside = [w for w in inside if w[0] == "node" or WHITE.sub("", w[1])]
-        work.extend(reversed(inside))
+            held = [w for w in held if w[0] == "node" or WHITE.sub("", w[1])]
+        work.extend(reversed(held))
     return "\n".join(canvases[0].done())
 
 
@@ -328,7 +365,7 @@ def _enter(node: Node, canvases: list[Canvas], tables: list, lists: list) -> Non
             tables[-1][0].append([])
         canvases.append(Canvas())
         return
-    if tag in BLOCK:
+    if tag in LINES:
         canvas.block(tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists))
     if tag == "table":
         tables.append(([], len(canvases)))
@@ -374,7 +411,7 @@ def _leave(node: Node, canvases: list[Canvas], tables: list, lists: list) -> Non
     elif tag in ("blockquote", "dd"):
         canvas.line_end()
         canvas.indent -= 2
-    if tag in BLOCK:
+    if tag in LINES:
         canvas.block(tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists))
 
 

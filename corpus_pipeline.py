@@ -76,7 +76,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @stage
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token documents with their place in sequences of 2048 tokens."""
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048, with_ids=False)
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048, with_ids=False,
+                        added_tokens=True)
 
 
 STAGES = [

@@ -38,6 +38,32 @@ def test_encoder_equals_library(name, monkeypatch):
     assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(texts)] == want
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_encoder_with_added_tokens_equals_unmodified_library(name):
+    rng = random.Random(9)
+    alphabet = ["word", " ", "  ", "\n", "é", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "-"]
+    texts = ODD + ["".join(rng.choices(alphabet, k=rng.randrange(1, 30))) for _ in range(400)]
+    library = Tokenizer.from_file(public_tokenizers.path(name))
+    enc = tokens.Encoder(public_tokenizers.path(name), added_tokens=True)
+    for t, b in zip(texts, enc.encode(texts)):
+        assert np.frombuffer(b, enc.dtype).tolist() == library.encode(t or "", add_special_tokens=False).ids
+
+
+def test_queries_find_added_tokens_as_the_library(spark, workdir):
+    import corpus_pipeline
+    from tidepool.llm import queries
+    rows = [(1, "see <|endoftext|> here"), (2, "plain text"), (3, "<|startoftext|>a\n<|endoftext|>b"), (4, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{workdir}/documents.parquet")
+    docs = spark.read.parquet(f"{workdir}/documents.parquet")
+    for name, end, got in [
+            ("word_bpe_49k.json", 1, queries.op4_token_files(spark, workdir)),
+            ("byte_bpe_50k.json", 0, queries.op6_packing(spark, workdir)),
+            ("byte_bpe_50k.json", 0, corpus_pipeline.STAGES[-1][1](spark, docs, workdir))]:
+        library = Tokenizer.from_file(public_tokenizers.path(name))
+        want = {i: crc(library.encode(t or "", add_special_tokens=False).ids + [end]) for i, t in rows}
+        assert {r.doc_id: r.ids_crc32 for r in got.collect()} == want
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 

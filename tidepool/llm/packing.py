@@ -103,11 +103,11 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int,
-            carry: Sequence[str]) -> Iterator[pa.RecordBatch]:
+            carry: Sequence[str], added_tokens: bool) -> Iterator[pa.RecordBatch]:
     """Encode and cut; number the pieces of each length within this part."""
     part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
     for batch in batches:
-        enc = tokens.encoder(tokenizer)
+        enc = tokens.encoder(tokenizer, added_tokens)
         end, w = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
         for at, texts in tokens.text_steps(batch.column("text")):
             row, piece, start, length, data, crc, nth = [], [], [], [], [], [], []
@@ -162,13 +162,15 @@ def _place(batches: Iterator[pa.RecordBatch], spans: np.ndarray, names: Sequence
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", text: str = "text",
-         capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
+         capacity: int = CAPACITY, with_ids: bool = True, added_tokens: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and, if
-    wanted, ``ids`` (little-endian unsigned integers of ``id_bytes`` bytes)."""
+    wanted, ``ids`` (little-endian unsigned integers of ``id_bytes`` bytes). With ``added_tokens``
+    their strings in a text become their ids, else special ones are ordinary text."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     made = materialize(rows.mapInArrow(
-        partial(_pieces, tokenizer=tokenizer, end_id=end_id, capacity=capacity, carry=["doc_id"]),
+        partial(_pieces, tokenizer=tokenizer, end_id=end_id, capacity=capacity, carry=["doc_id"],
+                added_tokens=added_tokens),
         f"doc_id {kind}, piece int, start bigint, length bigint, ids binary, id_bytes int, "
         "ids_crc32 bigint, part int, nth bigint"))
     by_part = materialize(made.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")))

@@ -75,7 +75,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    manifest = tokens.write_tokens(docs, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    manifest = tokens.write_tokens(docs, tokenizer_path("word_bpe_49k.json"), end_id=1, added_tokens=True)
     return tokens.read_tokens(manifest, with_ids=False)
 
 
@@ -91,7 +91,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048,
-                        with_ids=False)
+                        with_ids=False, added_tokens=True)
 
 
 def op7_curriculum(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,9 @@
 Encoding goes through a public tokenizer file (its path is a parameter). Byte-pair tokenizers that
 pre-split at white space give a text's ids as the ids of its space-led pieces one after another,
 so pieces are encoded once per worker and remembered in a bounded memo. Of new pieces, plain Latin
-words go through the library's merges many at a time, all others through the whole tokenizer.
+words go through the library's merges many at a time, all others through the whole tokenizer. With
+``added_tokens`` the strings of added tokens in a text become their ids, as the library does by
+default: such a text goes whole through the tokenizer. Without, special ones are ordinary text.
 
 File format, per part (one range of documents in ascending id order): ``.ids`` holds all token
 ids as little-endian unsigned integers (16 bits if the vocabulary fits, else 32), ``.idx`` holds
@@ -68,11 +70,13 @@ def pieces(text: str) -> list[str]:
 
 
 class Encoder:
-    """Whole-text ids, equal to ``tokenizer.encode(text, add_special_tokens=False)`` with the
-    strings of special tokens taken as ordinary text."""
+    """Whole-text ids, equal to ``tokenizer.encode(text, add_special_tokens=False)``; without
+    ``added_tokens``, with the strings of special tokens taken as ordinary text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
+        self.whole = Tokenizer.from_file(path) if added_tokens else None
+        added = self.whole.get_added_tokens_decoder().values() if added_tokens else []
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.plain.get_vocab_size() <= 1 << 16 else "<u4")
@@ -89,10 +93,21 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         self.leads = {"": b"", "\t": b"", "\n": self.direct("\n")}
         self.marks = {m: self._after(m) for m in ".,;:!?"} | {"": b""}
+        self.added = [t.content for t in added]
+        self.added_normal = [self._normal(t.content) for t in added if t.normalized and self.plain.normalizer]
 
     def _normal(self, text: str) -> str:
         return self.plain.normalizer.normalize_str(text) if self.plain.normalizer else text
 
+    def _has_added(self, text: str) -> bool:
+        """Whether an added token's string is in the text (or, for those that say so, in its normal form)."""
+        if any(a in text for a in self.added):
+            return True
+        if not self.added_normal:
+            return False
+        normal = self._normal(text)
+        return any(a in normal for a in self.added_normal)
+
     def _after(self, mark: str) -> bytes:
         """Ids a mark adds behind a letter."""
         return self.direct(f" x{mark}")[len(self.direct(" x")):]
@@ -135,7 +150,8 @@ class Encoder:
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``."""
-        split = [pieces(t) if t else [] for t in texts]
+        whole = {i for i, t in enumerate(texts) if t and self._has_added(t)} if self.added else ()
+        split = [pieces(t) if t and i not in whole else [] for i, t in enumerate(texts)]
         if len(self.memo) > MEMO_PIECES // 2:
             self.older, self.memo = self.memo, {}
         new = set().union(*split).difference(self.memo)
@@ -146,19 +162,23 @@ class Encoder:
         once = dict(zip(alone, self._alone(alone)))
         self._learn(list(new.difference(alone)))
         get = self.memo.__getitem__ if not once else (lambda p: once[p] if p in once else self.memo[p])
-        return [b"".join(map(get, p)) for p in split]
+        out = [b"".join(map(get, p)) for p in split]
+        for i in whole:
+            out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes()
+        return out
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file. It is kept on the library's module, which
+def encoder(path: str, added_tokens: bool = False) -> Encoder:
+    """The worker's encoder for a tokenizer file and option. It is kept on the library's module, which
     outlives a task in a reused worker (this module is shipped with each task)."""
     import tokenizers
     kept = tokenizers.__dict__.setdefault("_tidepool_encoders", {})
-    if path not in kept:
+    key = path, added_tokens
+    if key not in kept:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         kept.clear()
-        kept[path] = Encoder(path)
-    return kept[path]
+        kept[key] = Encoder(path, added_tokens)
+    return kept[key]
 
 
 def text_steps(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
@@ -191,7 +211,7 @@ def _open(root: str):
 
 
 def _write_part(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str,
-                end_id: int | None) -> Iterator[pa.RecordBatch]:
+                end_id: int | None, added_tokens: bool) -> Iterator[pa.RecordBatch]:
     """Write one part's three files (under a name of this attempt, then renamed)."""
     task = TaskContext.get()
     files, folder = _open(root)
@@ -201,7 +221,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str,
     out = None
     for batch in batches:
         if out is None:
-            enc = encoder(tokenizer)
+            enc = encoder(tokenizer, added_tokens)
             end = b"" if end_id is None else np.array([end_id], enc.dtype).tobytes()
             files.create_dir(folder, recursive=True)
             out = files.open_output_stream(f"{tmp}.ids")
@@ -231,7 +251,7 @@ def _write_part(batches: Iterator[pa.RecordBatch], root: str, tokenizer: str,
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int | None = None, doc_id: str = "doc_id",
-                 text: str = "text", root: str | None = None) -> DataFrame:
+                 text: str = "text", root: str | None = None, added_tokens: bool = False) -> DataFrame:
     """Write the token files of all documents in ascending id order; returns the manifest
     (``part, path, n_docs, n_tokens, width, base_docs, base``), also stored in ``root``."""
     spark = docs.sparkSession
@@ -240,7 +260,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int | None = None, doc
     order = [F.col("doc_id").asc_nulls_first(), F.octet_length("text")]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     parts = materialize(ranged.mapInArrow(
-        partial(_write_part, root=root, tokenizer=tokenizer, end_id=end_id),
+        partial(_write_part, root=root, tokenizer=tokenizer, end_id=end_id, added_tokens=added_tokens),
         "part int, path string, n_docs bigint, n_tokens bigint, width int"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     based = parts.withColumns({f"base{s}": F.coalesce(F.sum(f"n_{c}").over(before), F.lit(0))

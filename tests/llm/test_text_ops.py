@@ -201,6 +201,28 @@ def test_near_vectors_match_brute_force(spark, monkeypatch, n, leaf, block):
     assert all(got[i].kept == (got[i].component_id == i) for i in range(n))
 
 
+@pytest.mark.parametrize("leaf", [2048, 60])
+def test_near_vectors_of_every_length(spark, leaf):
+    sets = [clustered(n, dim, seed=dim) for n, dim in ((300, 32), (150, 24), (9, 16))]
+    rows, want = [], {}
+    for x in sets:
+        links, label = brute_links(x.astype(np.float64))
+        first = len(rows)
+        want |= {first + i: (links[i], first + label[i]) for i in range(len(x))}
+        rows += [(first + i, [float(v) for v in r]) for i, r in enumerate(x)]
+    rows.append((len(rows), [1.0]))
+    want[len(rows) - 1] = (0, len(rows) - 1)
+    random.Random(5).shuffle(rows)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    got = {r.vec_id: r for r in embeddings.near_vectors(df, leaf_rows=leaf).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i].n_links <= want[i][0] for i in want)
+    if leaf == 2048:
+        assert all((got[i].n_links, got[i].component_id) == want[i] for i in want)
+    for lo, hi in ((0, 300), (300, 450), (450, 459)):
+        assert sum(got[i].n_links for i in range(lo, hi)) >= 0.97 * sum(want[i][0] for i in range(lo, hi)) > 0
+
+
 def test_near_vectors_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]),

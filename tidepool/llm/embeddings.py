@@ -1,14 +1,14 @@
 """Embedding near-dedup by a forest of random-projection trees.
 
-Equal vectors are one class. Each tree splits a bounded sample by random directions at the median
+Equal vectors are one class. Vectors of each length have a forest of their own. Each tree splits a bounded sample by random directions at the median
 down to a leaf share; every class walks all trees and, close to a split, goes down both sides
 (spill overlap). All pairs inside a leaf are compared in double precision; a pair that shares
 several leaves counts in the first of them only, so exact link counts come from sums and never
 from a list of pairs. A leaf returns a spanning forest of its links; components are their union.
 A leaf that a dense cluster keeps large is compared block by block in separate tasks.
 
-Edge cases: vectors that are null, all zero, hold null or non-finite parts, or are not of the
-table's commonest length link with nothing and are kept; null ids keep their rows (component null
+Edge cases: vectors that are null, all zero or hold null or non-finite parts link with nothing and
+are kept; only vectors of equal length link; null ids keep their rows (component null
 where no member has an id); repeated rows link with each other; an empty table gives an empty
 result; further columns are not returned.
 """
@@ -36,7 +36,7 @@ MIN_COSINE = 0.9
 TREES = 6
 #: Half width of the overlap at a split, in projected units of unit vectors.
 SPILL = 0.03
-#: Classes aimed at per leaf, the most vectors the trees are fitted on, and the fewest per leaf.
+#: Classes aimed at per leaf, the most vectors the trees of a length are fitted on, and the fewest per leaf.
 LEAF_ROWS = 2048
 SAMPLE_ROWS = 20_000
 LEAST_SAMPLE = 24
@@ -125,13 +125,15 @@ def _flat(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
 
 
-def _assign(batches: Iterator[pa.RecordBatch], trees: list[Tree], dim: int) -> Iterator[pa.RecordBatch]:
+def _assign(batches: Iterator[pa.RecordBatch], forests: dict[int, list[Tree]]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if batch.num_rows:
-            x = unit(_flat(batch.column("vec")), dim)
+        length = batch.column("vec").value_lengths().to_numpy(zero_copy_only=False)
+        for dim in np.unique(length).tolist():
+            part = batch.take(pa.array(np.flatnonzero(length == dim)))
+            x = unit(_flat(part.column("vec")), dim)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("cid"), batch.column("mult"), pa.array([v.tobytes() for v in x], pa.binary()),
-                 pa.array(leaves_of(x, trees), pa.list_(pa.int32()))], ["cid", "mult", "vec", "leaves"])
+                [part.column("cid"), part.column("mult"), pa.array([v.tobytes() for v in x], pa.binary()),
+                 pa.array(leaves_of(x, forests[dim]), pa.list_(pa.int32()))], ["cid", "mult", "vec", "leaves"])
 
 
 def _deal(batches: Iterator[pa.RecordBatch], blocks: dict[int, int]) -> Iterator[pa.RecordBatch]:
@@ -214,27 +216,28 @@ def near_vectors(table: DataFrame, vec_id: str = "vec_id", embedding: str = "emb
     finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     usable = F.col("vec").isNotNull() & F.coalesce(finite, F.lit(False)) \
         & F.coalesce(F.exists("vec", lambda v: v != 0), F.lit(False))
-    common = raw.where(usable).groupBy(F.size("vec").alias("dim")).count() \
-        .orderBy(F.col("count").desc(), "dim").first()
-    dim = common["dim"] if common else 0
-    usable = usable & (F.size("vec") == dim)
     good, rest = raw.where(usable), raw.where(~usable)
     classes = materialize(good.groupBy("vec").agg(F.min("vec_id").alias("least"),
                                                   F.count(F.lit(1)).alias("mult"))
                           .withColumn("cid", F.monotonically_increasing_id()))
-    n = classes.count()
+    dims = {r["dim"]: r["count"] for r in  # a row per length that occurs
+            classes.groupBy(F.size("vec").alias("dim")).count().collect()}
     alone = rest.select("vec_id", F.lit(0).cast("bigint").alias("n_links"),
                         F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not n:
+    if not dims:
         return alone
-    sample = classes.orderBy(F.xxhash64("vec"), "cid").limit(SAMPLE_ROWS).select("vec").collect()
-    x = unit(np.array([r["vec"] for r in sample], dtype=np.float64), dim)
-    rng, trees, leaves = np.random.default_rng(SEED), [], 0
-    for _ in range(n_trees if n > leaf_rows else 1):
-        tree, leaves = grow(x, leaf_rows * len(x) / n, rng, leaves)
-        trees.append(tree)
+    forests, leaves = {}, 0  # leaves are numbered on, so no leaf has vectors of two lengths
+    for dim, n in sorted(dims.items()):
+        x = np.zeros((1, dim))  # vectors that fit one leaf need no sample
+        if n > leaf_rows:
+            sample = classes.where(F.size("vec") == dim).orderBy(F.xxhash64("vec"), "cid").limit(SAMPLE_ROWS)
+            x = unit(np.array([r["vec"] for r in sample.select("vec").collect()], dtype=np.float64), dim)
+        rng, forests[dim] = np.random.default_rng(SEED), []
+        for _ in range(n_trees if n > leaf_rows else 1):
+            tree, leaves = grow(x, leaf_rows * len(x) / n, rng, leaves)
+            forests[dim].append(tree)
     placed = materialize(classes.select("cid", "mult", F.col("vec").cast("array<double>").alias("vec"))
-                         .mapInArrow(partial(_assign, trees=trees, dim=dim),
+                         .mapInArrow(partial(_assign, forests=forests),
                                      "cid bigint, mult bigint, vec binary, leaves array<int>"))
     sizes = placed.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count() \
         .where(F.col("count") > BLOCK_ROWS).collect()  # at most one row per leaf

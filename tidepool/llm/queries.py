@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import (curriculum, embeddings, exact_dedup, html_render, packing, sharding,
-                          simhash, tokens, toxicity, url_filters)
+from tidepool.llm import (conversation_queries, curriculum, embeddings, exact_dedup, html_render, packing,
+                          sharding, simhash, tokens, toxicity, url_filters)
 from tidepool.llm.common import table
 
 
@@ -130,6 +130,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_html_render": op10_html_render,
+    **conversation_queries.QUERIES,
     "pipeline": pipeline,
 }
 
@@ -208,4 +209,5 @@ SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM n WINDOW w AS (PARTITION BY t)
 """,
+    **conversation_queries.ORACLE_SQL,
 }

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidepool.llm import chat_windows, prefix_trie
+from tidepool.llm import chat_windows, prefix_trie, structure_repair
 from tidepool.llm.common import table
+from tidepool.llm.turn_order import conversation_key
 
 #: A conversation that says the template's own control strings.
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
@@ -25,7 +28,18 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*prefix_trie.share_openings(prefix_trie.order_turns(talks)))
 
 
-QUERIES = {"op11_chat_format": op11_chat_format, "op12_prefix_trie": op12_prefix_trie}
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    plans, _ = structure_repair.repair(structure_repair.damage(talks))
+    named = talks.select("conv_id").distinct().withColumn("_key", conversation_key("conv_id"))
+    none = {"audit": F.lit(""), "repaired_sha256": F.lit(hashlib.sha256(b"").hexdigest())}
+    return named.join(plans.drop("conv_id"), "_key", "left").select("conv_id", *[
+        F.coalesce(c, none.get(c, F.lit(0).cast("bigint"))).alias(c)
+        for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")])
+
+
+QUERIES = {"op11_chat_format": op11_chat_format, "op12_prefix_trie": op12_prefix_trie,
+           "op13_structure_repair": op13_structure_repair}
 
 ORACLE_SQL = {
     "op11_chat_format": r"""

@@ -18,6 +18,11 @@ The flags depend on the filter size, hash count, band rows and mode, so these ar
 the state, and a job with other settings refuses the folder. Finished epochs are listed once per
 job object; state is read by the paths of the few epochs since the last snapshot, and epochs and
 snapshots that a later committed snapshot covers are removed.
+
+A snapshot is split into buckets by key hash, about ``bucket_rows`` rows each, so their number grows
+with the state and an epoch reads only the buckets its keys fall into. Folding merges per bucket: the
+manifest of a snapshot (``<state>_manifest/upto=N``) names for each bucket the snapshot that holds it, and
+only buckets with new rows are written again; when the state outgrows its buckets, their number doubles.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from bisect import bisect_left
 from collections.abc import Callable
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidepool import config
@@ -41,6 +46,10 @@ Predictor = Callable[[DataFrame], DataFrame]
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the record number in the low 33 bits
 
+#: Rows aimed at per bucket of a state snapshot, and the most buckets (beyond them buckets grow).
+BUCKET_ROWS = 200_000
+MAX_BUCKETS = 4096
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -49,6 +58,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def bucket_col(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
 def assign_ids(df: DataFrame, base: int) -> DataFrame:
     """seq = base + rank in (partition, row) order, contiguous. Input must be persisted."""
     tagged = df.withColumn("_pid", F.spark_partition_id()) \
@@ -65,7 +78,7 @@ class MessageJob:
     def __init__(self, root: str, predictor: Predictor,
                  bloom_size: int = config.BLOOM_SIZE, num_hashes: int = config.BLOOM_HASHES,
                  lsh_rows: int = config.LSH_ROWS, compact_every: int = 50,
-                 exact: bool = False):
+                 exact: bool = False, bucket_rows: int = BUCKET_ROWS):
         self.root = root
         self.predictor = predictor
         self.bloom_size = bloom_size
@@ -75,8 +88,12 @@ class MessageJob:
         # exact=False: is_duplicate is the Bloom flag (false positives included, as the reference);
         # exact=True: the error-free flag from a per-message-id state table.
         self.exact = exact
+        self.bucket_rows = bucket_rows
+        self.state_keys = {"state/bloom_bits": ["bit_idx"], "state/msg_first": ["msg_id"],
+                           "state/band_first": [f"k{j}" for j in range(lsh_rows)]}
         self._epochs: list[int] | None = None
         self._snaps: dict[str, list[int]] = {}
+        self._manifests: dict[tuple[str, int], dict[int, tuple[int, int]]] = {}
         self._checked = False
 
     # ------------------------------------------------------------ table access
@@ -116,9 +133,20 @@ class MessageJob:
 
     def _snapshots(self, spark: SparkSession, name: str) -> list[int]:
         if name not in self._snaps:
-            self._snaps[name] = self._list(spark, self.path(f"{name}_snapshot"), "upto")
+            self._snaps[name] = self._list(spark, self.path(f"{name}_manifest"), "upto")
         return self._snaps[name]
 
+    def _manifest(self, spark: SparkSession, name: str, upto: int) -> dict[int, tuple[int, int]]:
+        """Per bucket of a snapshot: the snapshot whose folder holds it, and its rows (at most
+        ``MAX_BUCKETS`` entries, read once)."""
+        if (name, upto) not in self._manifests:
+            rows = spark.read.parquet(os.path.join(self.path(f"{name}_manifest"), f"upto={upto}")).collect()
+            self._manifests[name, upto] = {r.bucket: (r.upto, r.n_rows) for r in rows}
+        return self._manifests[name, upto]
+
+    def _bucket_path(self, name: str, upto: int, bucket: int) -> str:
+        return os.path.join(self.path(f"{name}_snapshot"), f"upto={upto}", f"bucket={bucket}")
+
     def _check_settings(self, spark: SparkSession) -> None:
         """Refuse state that was made under other settings; store them with the first epoch."""
         if self._checked:
@@ -139,19 +167,29 @@ class MessageJob:
                 .write.mode("overwrite").parquet(path)
         self._checked = True
 
-    def read_state(self, spark: SparkSession, name: str, before: int) -> DataFrame | None:
-        """Committed state of epochs < ``before``: latest snapshot plus the epochs after it."""
+    def _read_buckets(self, spark: SparkSession, name: str, upto: int, buckets) -> list[DataFrame]:
+        held = self._manifest(spark, name, upto)
+        paths = [self._bucket_path(name, held[b][0], b) for b in sorted(buckets) if held[b][1]]
+        return [spark.read.parquet(*paths)] if paths else []
+
+    def _tail(self, spark: SparkSession, name: str, before: int) -> tuple[int | None, list[DataFrame]]:
+        """The latest snapshot before an epoch (or None), and the state of the epochs after it."""
         snaps = [u for u in self._snapshots(spark, name) if u < before]
-        parts = []
-        upto = -1
-        if snaps:
-            upto = snaps[-1]
-            parts.append(spark.read.parquet(os.path.join(self.path(f"{name}_snapshot"),
-                                                         f"upto={upto}")))
         eps = self.committed(spark, before)
-        tail = [self.path(name, e) for e in eps[bisect_left(eps, upto + 1):]]
-        if tail:
-            parts.append(spark.read.parquet(*tail))
+        tail = [self.path(name, e) for e in eps[bisect_left(eps, (snaps[-1] if snaps else -1) + 1):]]
+        return (snaps[-1] if snaps else None), ([spark.read.parquet(*tail)] if tail else [])
+
+    def read_state(self, spark: SparkSession, name: str, before: int,
+                   hit: DataFrame | None = None) -> DataFrame | None:
+        """Committed state of epochs < ``before``: latest snapshot plus the epochs after it. With
+        ``hit`` (rows with the state's key columns) only the snapshot's buckets of those keys are read."""
+        upto, parts = self._tail(spark, name, before)
+        if upto is not None:
+            buckets = list(self._manifest(spark, name, upto))
+            if hit is not None and len(buckets) > 1:  # at most MAX_BUCKETS numbers
+                col = bucket_col(self.state_keys[name], len(buckets))
+                buckets = [r.bucket for r in hit.select(col.alias("bucket")).distinct().collect()]
+            parts = self._read_buckets(spark, name, upto, buckets) + parts
         if not parts:
             return None
         out = parts[0]
@@ -160,20 +198,43 @@ class MessageJob:
         return out
 
     def _compact(self, spark: SparkSession, name: str, epoch: int) -> None:
-        """Fold committed state of epochs < ``epoch`` into one snapshot (replay-safe overwrite)."""
+        """Fold committed state of epochs < ``epoch`` into a snapshot, bucket by bucket (a replay
+        writes the same folders again). The state's keys are distinct over its epochs."""
         if epoch - 1 in self._snapshots(spark, name):  # a replay: written before
             return
-        state = self.read_state(spark, name, before=epoch)
-        if state is None:
+        upto, tail = self._tail(spark, name, epoch)
+        if not tail:
             return
-        n_files = max(1, spark.sparkContext.defaultParallelism)
-        state.repartition(n_files).write.mode("overwrite").parquet(
-            os.path.join(self.path(f"{name}_snapshot"), f"upto={epoch - 1}"))
+        keys = self.state_keys[name]
+        held = {} if upto is None else self._manifest(spark, name, upto)
+        total = tail[0].count() + sum(n for _, n in held.values())
+        size = max(1, len(held))
+        while size < MAX_BUCKETS and size * self.bucket_rows < total:
+            size *= 2
+        grown = size != len(held)
+        added = tail[0].withColumn("bucket", bucket_col(keys, size))
+        new = {r.bucket: r["count"] for r in added.groupBy("bucket").count().collect()}
+        old = self._read_buckets(spark, name, upto, held if grown else new) if held else []
+        rows = added
+        for part in old:
+            rows = rows.unionByName(part.withColumn("bucket", bucket_col(keys, size)))
+        path = os.path.join(self.path(f"{name}_snapshot"), f"upto={epoch - 1}")
+        tasks = min(size, max(len(new), spark.sparkContext.defaultParallelism))
+        rows.repartition(tasks, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+        if grown:
+            written = spark.read.parquet(path).groupBy("bucket").count().collect()
+            counts = {r.bucket: r["count"] for r in written}
+            manifest = {b: (epoch - 1, counts.get(b, 0)) for b in range(size)}
+        else:
+            manifest = {b: (epoch - 1, n + new[b]) if b in new else (at, n) for b, (at, n) in held.items()}
+        spark.createDataFrame([(b, at, n) for b, (at, n) in manifest.items()], "bucket int, upto int, n_rows long") \
+            .coalesce(1).write.mode("overwrite").parquet(os.path.join(self.path(f"{name}_manifest"), f"upto={epoch - 1}"))
         self._snaps[name].append(epoch - 1)
+        self._manifests[name, epoch - 1] = manifest
 
     def _drop_folded(self, spark: SparkSession, names: list[str], epoch: int) -> None:
-        """Remove state that no later epoch reads: snapshots and epochs before the newest snapshot
-        that an already committed epoch has used."""
+        """Remove state that no later epoch reads: epochs and snapshot buckets that the newest
+        snapshot an already committed epoch has used replaces."""
         done = self.committed(spark, epoch)
         for name in names:
             snaps = self._snapshots(spark, name)
@@ -182,7 +243,14 @@ class MessageJob:
                 continue
             since = used[-2] if len(used) > 1 else -1
             old = [self.path(name, e) for e in done[bisect_left(done, since + 1):bisect_left(done, used[-1] + 1)]]
-            old += [os.path.join(self.path(f"{name}_snapshot"), f"upto={u}") for u in used[:-1]]
+            kept = {(b, at) for b, (at, _) in self._manifest(spark, name, used[-1]).items()}
+            for u in used[:-1]:
+                gone = {(b, at) for b, (at, _) in self._manifest(spark, name, u).items()} - kept
+                whole = {at for _, at in gone} - {at for _, at in kept}
+                old += [os.path.join(self.path(f"{name}_snapshot"), f"upto={at}") for at in whole]
+                old += [self._bucket_path(name, at, b) for b, at in gone if at not in whole]
+                old.append(os.path.join(self.path(f"{name}_manifest"), f"upto={u}"))
+                del self._manifests[name, u]
             delete_paths(spark, old)
             self._snaps[name] = snaps[len(used) - 1:]
 
@@ -239,16 +307,18 @@ class MessageJob:
         if self.compact_every and epoch > 0 and epoch % self.compact_every == 0:
             for name in names:
                 self._compact(spark, name, epoch)
-        prior_bands = self.read_state(spark, "state/band_first", before=epoch)
+        prior_bands = self.read_state(spark, "state/band_first", before=epoch, hit=keyed)
         if self.exact:
-            prior_msgs = self.read_state(spark, "state/msg_first", before=epoch)
+            prior_msgs = self.read_state(spark, "state/msg_first", before=epoch, hit=keyed)
             batch_msgs = dedup.message_firsts(keyed)
             new_state = batch_msgs if prior_msgs is None else \
                 batch_msgs.join(prior_msgs.select("msg_id"), "msg_id", "left_anti")
             flagged = dedup.exact_flags(keyed, prior=prior_msgs, out="is_duplicate")
             flagged, new_bands = dedup.near_flags_with_state(flagged, self.lsh_rows, prior=prior_bands)
         else:
-            prior_bits = self.read_state(spark, "state/bloom_bits", before=epoch)
+            bits = F.explode(F.array(*[F.col(f"b{i}") for i in range(self.num_hashes)]))
+            prior_bits = self.read_state(spark, "state/bloom_bits", before=epoch,
+                                         hit=keyed.select(bits.alias("bit_idx")))
             flagged, new_state, new_bands = dedup.flag_with_state(
                 keyed, self.bloom_size, self.num_hashes, self.lsh_rows, "seq",
                 prior_bits=prior_bits, prior_bands=prior_bands)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tidepool import config
 from tidepool.functions import hashing
 from tidepool.plans.joins import materialize
-from tidepool.operators import (alerts, classify as clf, decode, dedup, features, monitoring,
+from tidepool.operators import (alerts, cart, classify as clf, decode, dedup, features, monitoring,
                                 privacy, replies, synth, views)
 from tidepool.sources import tables
 
@@ -322,8 +322,8 @@ def train_test_split(spark, sf):
 def _predictions(spark, sf):
     t = _training_set(spark, sf).withColumn("label_code", features.label_code(F.col("label"))) \
         .withColumn("split", features.split_column(F.col("doc_id")))
-    model = clf.fit(t.filter(F.col("split") == "train"), corpus=t)
-    return clf.predict(model, t)
+    t = materialize(cart.weight_maps(t.drop("text"), features.tfidf(t)))
+    return cart.predict(cart.fit(t.filter(F.col("split") == "train")), t)
 
 
 def classify(spark, sf):

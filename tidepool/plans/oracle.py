@@ -403,6 +403,53 @@ report AS (
     sum(f1 * support) / sum(support), sum(support) FROM per)"""
 
 
+def _tree_sql(tfidf: str) -> str:
+    """The classification tree, a group of subqueries per level."""
+    codes = range(len(config.LABELS))
+    counts = ", ".join(f"count_if(y = {k}) AS c{k}" for k in codes)
+    cs = ", ".join(f"c{k}" for k in codes)
+    kept = lambda c: ("(" + " + ".join(f"CAST({c(k)} AS DOUBLE) * CAST({c(k)} AS DOUBLE)" for k in codes) + ") / ("
+                      + " + ".join(f"CAST({c(k)} AS DOUBLE)" for k in codes) + ")")
+    code = "CASE label " + " ".join(f"WHEN {q(n)} THEN {c}" for n, c in config.LABEL_CODES.items()) + " END"
+    out = [f"""
+cells AS MATERIALIZED (SELECT doc_id, term, CAST(round(weight * 1000000) AS BIGINT) AS v FROM ({tfidf})),
+d0 AS MATERIALIZED (
+  SELECT doc_id, label, {code} AS y, CASE WHEN {md5_mod(SPLIT_KEY, 100)} < {config.TRAIN_PERCENT}
+    THEN 'train' ELSE 'test' END AS split, 1::BIGINT AS node FROM train)"""]
+    for n in range(config.TREE_DEPTH):
+        out.append(f"""
+t{n} AS MATERIALIZED (
+  SELECT node, {counts} FROM d{n} WHERE split = 'train' AND node >= {2 ** n} GROUP BY node),
+e{n} AS (SELECT * FROM t{n} WHERE {' + '.join(f'CAST(c{k} > 0 AS INTEGER)' for k in codes)} > 1),
+g{n} AS MATERIALIZED (
+  SELECT node, term, v, {counts} FROM d{n} JOIN e{n} USING (node) JOIN cells USING (doc_id)
+  WHERE split = 'train' AND v <> 0 GROUP BY ALL),
+z{n} AS (
+  SELECT node, term, 0 AS v, {', '.join(f'any_value(e.c{k}) - sum(g.c{k}) AS c{k}' for k in codes)}
+  FROM g{n} g JOIN e{n} e USING (node) GROUP BY node, term),
+p{n} AS (
+  SELECT node, term, v, lead(v) OVER w AS nxt, {', '.join(f'sum(c{k}) OVER w AS l{k}' for k in codes)}
+  FROM (SELECT node, term, v, {cs} FROM g{n} UNION ALL SELECT node, term, v, {cs} FROM z{n} WHERE {' + '.join(f'c{k}' for k in codes)} > 0)
+  WINDOW w AS (PARTITION BY node, term ORDER BY v ROWS UNBOUNDED PRECEDING)),
+b{n} AS MATERIALIZED (
+  SELECT node, term, (v + nxt) / 2.0::DOUBLE AS threshold FROM p{n} JOIN e{n} USING (node) WHERE nxt IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY
+    {kept(lambda k: f'l{k}')} + {kept(lambda k: f'(c{k} - l{k})')} DESC, term, (v + nxt)) = 1),
+d{n + 1} AS MATERIALIZED (
+  SELECT d.doc_id, label, y, split, CASE WHEN b.term IS NULL THEN d.node
+    ELSE d.node * 2 + CAST(coalesce(v, 0) > threshold AS BIGINT) END AS node
+  FROM d{n} d LEFT JOIN b{n} b USING (node) LEFT JOIN cells c ON c.doc_id = d.doc_id AND c.term = b.term)""")
+    last = config.TREE_DEPTH
+    out.append(f"""
+leaves AS (SELECT node, {counts} FROM d{last} WHERE split = 'train' GROUP BY node)""")
+    most = f"greatest({cs})"
+    name = " ".join(f"WHEN c{c} = {most} THEN {q(n)}" for n, c in sorted(config.LABEL_CODES.items(), key=lambda x: x[1]))
+    return with_(_train() + "," + ",".join(out),
+                 f"SELECT doc_id, split, label, CASE {name} END AS predicted_label, "
+                 f"round({most} / CAST({' + '.join(f'c{k}' for k in codes)} AS DOUBLE), 6) AS confidence "
+                 f"FROM d{last} LEFT JOIN leaves USING (node)")
+
+
 def ml_sql() -> dict[str, str]:
     tr = _train()
     pr = PROCESSED
@@ -446,6 +493,7 @@ report AS ({label_rows} UNION ALL {dup_rows} UNION ALL {spike_rows})""",
                                        "round(CAST(support AS DOUBLE), 6) AS support FROM report"),
     }
     out["classifier_features"] = out["tfidf"]
+    out["classify"] = _tree_sql(out["tfidf"])
     return out
 
 

@@ -79,3 +79,12 @@ def test_settings_are_put_back(spark):
             assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
             raise ZeroDivisionError
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_query_over_one_file_and_over_a_folder(spark, tmp_path):
+    from tidepool.plans import catalog
+    whole = spark.read.parquet(f"{SF0001}/documents.parquet")
+    whole.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    want = sorted(catalog.keyed_flags(spark, SF0001).collect())
+    assert len(want) == whole.count()
+    assert sorted(catalog.keyed_flags(spark, str(tmp_path)).collect()) == want

@@ -5,6 +5,7 @@ Each query reads the driver tables (or frames Spark derives from them) in full.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,9 @@ from tidepool.functions import hashing
 from tidepool.plans.joins import materialize
 from tidepool.operators import (alerts, cart, classify as clf, decode, dedup, features, monitoring,
                                 privacy, replies, synth, views)
-from tidepool.sources import tables
+from tidepool.session import scratch_path
+from tidepool.sources import streams, tables
+from tidepool.streaming import keyed_state, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +114,17 @@ def lsh_candidates(spark, sf):
     return c.withColumn("candidates", F.array_join("candidates", ","))
 
 
+def keyed_flags(spark, sf):
+    """Both flags from a stateful stream over the messages (one trigger takes what is there)."""
+    messages = streams.parquet_stream(spark, f"{sf}/documents.parquet").select(
+        F.col("doc_id").alias("seq"), F.col("text").alias("message"))
+    root = scratch_path(spark, f"streams/{uuid.uuid4().hex}")
+    keyed_state.start_keyed_flags(messages, root, trigger={"availableNow": True},
+                                  partitions=max(8, spark.sparkContext.defaultParallelism)).awaitTermination()
+    return spark.read.schema("seq bigint, msg_id string, is_duplicate boolean, is_near_duplicate boolean") \
+        .parquet(f"{root}/flags")
+
+
 # ---------------------------------------------------------------- views and dashboard
 
 def label_summary(spark, sf):
@@ -147,6 +161,12 @@ def spike_alert(spark, sf):
     return alerts.spike_alert(_newest_labels(spark, sf))
 
 
+def complaint_windows(spark, sf):
+    """Complaint rate of every ten minutes, each five."""
+    return _with_ts(windows.complaint_rates(_processed(spark, sf, "created_at", "predicted_label")),
+                    "window_start", "window_end")
+
+
 def recent_status(spark, sf):
     return views.recent_status(_newest_rows(
         spark, sf, lambda d: d.orderBy(F.col("id").desc()), config.STATUS_ROWS,

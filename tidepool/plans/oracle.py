@@ -450,6 +450,22 @@ leaves AS (SELECT node, {counts} FROM d{last} WHERE split = 'train' GROUP BY nod
                  f"FROM d{last} LEFT JOIN leaves USING (node)")
 
 
+def stream_sql() -> dict[str, str]:
+    return {
+        "keyed_flags": with_(FLAGS, "SELECT seq, k.msg_id, e.is_exact_duplicate AS is_duplicate, n.is_near_duplicate "
+                             "FROM keyed k JOIN near n USING (seq) JOIN exact e USING (seq)"),
+        "complaint_windows": f"""
+WITH m AS (
+  SELECT TIMESTAMP '2024-01-01 00:00:00' + to_seconds(doc_id) AS ts, {label_case('quality', 'toxic')} AS label
+  FROM documents LEFT JOIN labels USING (doc_id)),
+w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) - to_minutes(5 * unnest([0, 1])) AS ws, label FROM m)
+SELECT strftime(ws, {TS}) AS window_start, strftime(ws + INTERVAL 10 MINUTE, {TS}) AS window_end,
+       count(*) AS n_messages, CAST(count_if(coalesce(label = 'complaint', false)) AS BIGINT) AS n_complaints,
+       round(count_if(coalesce(label = 'complaint', false)) / CAST(count(*) AS DOUBLE), 6) AS complaint_rate
+FROM w GROUP BY ws""",
+    }
+
+
 def ml_sql() -> dict[str, str]:
     tr = _train()
     pr = PROCESSED
@@ -500,5 +516,6 @@ report AS ({label_rows} UNION ALL {dup_rows} UNION ALL {spike_rows})""",
 def all_sql() -> dict[str, str]:
     out = base_sql()
     out.update(wire_sql())
+    out.update(stream_sql())
     out.update(ml_sql())
     return out

@@ -14,6 +14,16 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.text(path)
 
 
+def parquet_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Rows of a parquet table (one file or a folder of files), as they stand when a trigger fires.
+
+    The last letter is given as a pattern: a file stream takes a single file only by a pattern."""
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(f"{path[:-1]}[{path[-1]}]")
+
+
 def kafka_stream(spark: SparkSession, bootstrap: str, topic: str,
                  starting_offsets: str = "earliest",
                  max_offsets_per_trigger: int | None = None) -> DataFrame:

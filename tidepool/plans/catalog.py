@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tidepool import config
 from tidepool.functions import hashing
 from tidepool.plans.joins import materialize
-from tidepool.operators import (alerts, cart, classify as clf, decode, dedup, features, monitoring,
-                                privacy, replies, synth, views)
+from tidepool.operators import (alerts, cart, classify as clf, decode, dedup, features, minhash,
+                                monitoring, privacy, replies, synth, views)
 from tidepool.session import scratch_path
 from tidepool.sources import streams, tables
 from tidepool.streaming import keyed_state, windows
@@ -114,6 +114,10 @@ def lsh_candidates(spark, sf):
     return c.withColumn("candidates", F.array_join("candidates", ","))
 
 
+def minhash_classes(spark, sf):
+    return minhash.near_classes(tables.raw_messages(spark, sf).select("seq", "message"))
+
+
 def keyed_flags(spark, sf):
     """Both flags from a stateful stream over the messages (one trigger takes what is there)."""
     messages = streams.parquet_stream(spark, f"{sf}/documents.parquet").select(

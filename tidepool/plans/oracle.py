@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from tidepool import config
 from tidepool.functions.text import WHITESPACE_RUN, WORD_TOKEN
-from tidepool.operators import replies
+from tidepool.functions import minhash
+from tidepool.operators import minhash as mh, replies
 
 TS = "'%Y-%m-%d %H:%M:%S'"
 
@@ -450,8 +451,37 @@ leaves AS (SELECT node, {counts} FROM d{last} WHERE split = 'train' GROUP BY nod
                  f"FROM d{last} LEFT JOIN leaves USING (node)")
 
 
+def _minhash_sql() -> str:
+    """Signatures by the same permutations, candidates by band, verified pairs, then reachability."""
+    n, rows, w = mh.BANDS * mh.ROWS, mh.ROWS, mh.SHINGLE_WORDS
+    a, b = minhash.permutations(n)
+    return f"""
+WITH RECURSIVE {KEYED},
+t AS (SELECT seq, {tokens('norm')} AS k FROM keyed),
+s AS (
+  SELECT DISTINCT seq, ('0x' || substr(md5(array_to_string(k[i:i + {w - 1}], ' ')), 1, 15))::BIGINT AS id
+  FROM (SELECT seq, k, unnest(range(1, greatest(1, len(k) - {w - 1}) + 1)) AS i FROM t WHERE len(k) > 0)),
+f AS (SELECT unnest({a}) AS a, unnest({b}) AS b, unnest(range({n})) AS i),
+g AS (SELECT seq, i, min((a * (id % {minhash.PRIME}) + b) % {minhash.PRIME}) AS v FROM s, f GROUP BY seq, i),
+bands AS (SELECT seq, i // {rows} AS band, string_agg(CAST(v AS VARCHAR), ',' ORDER BY i) AS key FROM g GROUP BY ALL),
+c AS (SELECT DISTINCT x.seq AS p, y.seq AS q FROM bands x JOIN bands y USING (band, key) WHERE x.seq < y.seq),
+z AS (SELECT seq, count(*) AS n FROM s GROUP BY seq),
+m AS (SELECT p, q, count(*) AS n FROM c JOIN s x ON x.seq = p JOIN s y ON y.seq = q AND y.id = x.id GROUP BY p, q),
+link AS (
+  SELECT p, q FROM m JOIN z x ON x.seq = p JOIN z y ON y.seq = q
+  WHERE m.n / CAST(x.n + y.n - m.n AS DOUBLE) >= {mh.SIMILARITY}::DOUBLE),
+ways AS (SELECT p, q FROM link UNION ALL SELECT q, p FROM link),
+reach(seq, root) AS (
+  SELECT seq, seq FROM keyed
+  UNION
+  SELECT q, root FROM reach JOIN ways ON p = seq WHERE root < q),
+cls AS (SELECT seq, min(root) AS class_id FROM reach GROUP BY seq)
+SELECT seq, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, seq <> class_id AS is_near_copy FROM cls"""
+
+
 def stream_sql() -> dict[str, str]:
     return {
+        "minhash_classes": _minhash_sql(),
         "keyed_flags": with_(FLAGS, "SELECT seq, k.msg_id, e.is_exact_duplicate AS is_duplicate, n.is_near_duplicate "
                              "FROM keyed k JOIN near n USING (seq) JOIN exact e USING (seq)"),
         "complaint_windows": f"""

@@ -18,7 +18,7 @@ from tidepool.operators import (alerts, cart, classify as clf, decode, dedup, fe
                                 monitoring, privacy, replies, synth, views)
 from tidepool.session import scratch_path
 from tidepool.sources import streams, tables
-from tidepool.streaming import keyed_state, windows
+from tidepool.streaming import incremental, keyed_state, windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,6 +171,19 @@ def complaint_windows(spark, sf):
                     "window_start", "window_end")
 
 
+def incremental_counts(spark, sf):
+    """Label counts and counters from the deltas of the batches, the duplicates retracted afterwards."""
+    rows = _stored(spark, sf, *METRIC_COLS, "predicted_label")
+    batches = rows.withColumn("epoch", F.expr(f"id div {tables.BATCH_ROWS}"))
+    deltas = materialize(incremental.cube_delta(batches, by=("epoch",)))
+    cube = materialize(incremental.merge([deltas, incremental.cube_delta(rows.where("is_duplicate"), -1)]))
+    labels = incremental.label_distribution(cube).select(
+        F.lit("label").alias("section"), F.col("label").alias("item"), F.col("label_count").cast("double").alias("value"))
+    totals = incremental.counters(cube).select(
+        F.lit("counter").alias("section"), F.col("metric_name").alias("item"), F.col("metric_value").alias("value"))
+    return labels.unionByName(totals)
+
+
 def recent_status(spark, sf):
     return views.recent_status(_newest_rows(
         spark, sf, lambda d: d.orderBy(F.col("id").desc()), config.STATUS_ROWS,

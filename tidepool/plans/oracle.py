@@ -482,6 +482,13 @@ SELECT seq, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, seq <
 def stream_sql() -> dict[str, str]:
     return {
         "minhash_classes": _minhash_sql(),
+        "incremental_counts": with_(PROCESSED, f"""
+SELECT 'label' AS section, upper(substr(coalesce(predicted_label, 'unknown'), 1, 1)) || substr(coalesce(predicted_label, 'unknown'), 2) AS item,
+       CAST(count(*) AS DOUBLE) AS value FROM processed WHERE NOT is_duplicate GROUP BY predicted_label
+UNION ALL
+SELECT 'counter', unnest(['processed_count', 'duplicate_count', 'near_duplicate_count', 'low_confidence_count']),
+       unnest([CAST(count(*) AS DOUBLE), 0.0, CAST(count_if(is_near_duplicate) AS DOUBLE),
+               CAST(count_if(confidence < {config.LOW_CONFIDENCE}) AS DOUBLE)]) FROM processed WHERE NOT is_duplicate"""),
         "keyed_flags": with_(FLAGS, "SELECT seq, k.msg_id, e.is_exact_duplicate AS is_duplicate, n.is_near_duplicate "
                              "FROM keyed k JOIN near n USING (seq) JOIN exact e USING (seq)"),
         "complaint_windows": f"""

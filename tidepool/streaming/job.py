@@ -23,6 +23,11 @@ A snapshot is split into buckets by key hash, about ``bucket_rows`` rows each, s
 with the state and an epoch reads only the buckets its keys fall into. Folding merges per bucket: the
 manifest of a snapshot (``<state>_manifest/upto=N``) names for each bucket the snapshot that holds it, and
 only buckets with new rows are written again; when the state outgrows its buckets, their number doubles.
+
+Dashboard counts come from the epochs' cube deltas (``incremental``), not from the rows. A deletion
+(``delete``) writes the ids as tombstones, and what they take from the cube as a negative delta; readers of
+processed rows and replies leave them out. ``fold_deletes`` writes the epochs concerned again without
+them and drops the tombstones. Each request is applied once, however often it is sent.
 """
 
 from __future__ import annotations
@@ -39,8 +44,9 @@ from pyspark.sql import functions as F
 from tidepool import config
 from tidepool.functions import hashing
 from tidepool.operators import decode, dedup, monitoring, replies
-from tidepool.plans.joins import delete_paths, scratch_scope
+from tidepool.plans.joins import delete_paths, materialize, scratch_scope
 from tidepool.sources import tables
+from tidepool.streaming import incremental
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -50,6 +56,9 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the record number in the low
 BUCKET_ROWS = 200_000
 MAX_BUCKETS = 4096
 
+#: Tables that a deleted message's rows vanish from, and the column that names the message.
+CASCADE = {"processed": "id", "outbox": "processed_id"}
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
@@ -125,11 +134,111 @@ class MessageJob:
         return self._epochs[:bisect_left(self._epochs, before)]
 
     def read(self, spark: SparkSession, name: str) -> DataFrame | None:
-        """Rows of committed epochs (all up to the last one: epochs are written in order)."""
+        """Rows of committed epochs (all up to the last one: epochs are written in order), without
+        those of deleted messages."""
+        rows = self._read_stored(spark, name)
+        if rows is None or name not in CASCADE:
+            return rows
+        gone = self._tombstones(spark)
+        if gone is None:
+            return rows
+        return rows.join(gone.select(F.col("id").alias(CASCADE[name])).distinct(), CASCADE[name], "left_anti") \
+            .select(rows.columns)
+
+    def _read_stored(self, spark: SparkSession, name: str, only: list[int] | None = None) -> DataFrame | None:
+        """Stored rows, an epoch's from the last fold that wrote it again, if any."""
         eps = self.committed(spark)
         if not eps or not path_exists(spark, self.path(name)):
             return None
-        return spark.read.parquet(self.path(name)).filter(F.col("epoch") <= eps[-1])
+        rows = spark.read.parquet(self.path(name)).filter(F.col("epoch") <= eps[-1])
+        folds = self._folds(spark) if name in CASCADE else {}
+        if only is not None:
+            rows = rows.where(F.col("epoch").isin(only))
+            folds = {e: k for e, k in folds.items() if e in only}
+        if not folds:
+            return rows
+        rows = rows.where(~F.col("epoch").isin(list(folds)))
+        for k in sorted(set(folds.values())):
+            again = spark.read.schema(rows.schema).parquet(self.path(f"folded/{name}/fold={k}"))
+            rows = rows.unionByName(again.where(F.col("epoch").isin([e for e, at in folds.items() if at == k])))
+        return rows
+
+    # ------------------------------------------------------------ deletions
+    def _requests(self, spark: SparkSession) -> list[str]:
+        """Finished deletion requests."""
+        root = self.path("delete_log")
+        if not path_exists(spark, root):
+            return []
+        return [r.request for r in spark.read.schema("request string").parquet(os.path.join(root, "*")).collect()]
+
+    def _folds(self, spark: SparkSession) -> dict[int, int]:
+        """Epoch -> the last finished fold that holds its processed rows and replies."""
+        root = self.path("fold_log")
+        if not path_exists(spark, root):
+            return {}
+        rows = spark.read.schema("epoch int, fold int").parquet(os.path.join(root, "*")).collect()
+        return {r.epoch: r.fold for r in sorted(rows, key=lambda r: r.fold)}
+
+    def _tombstones(self, spark: SparkSession) -> DataFrame | None:
+        """(id, epoch) of deleted messages whose rows are still stored."""
+        paths = [p for p in (self.path(f"tombstones/request={r}") for r in self._requests(spark)) if path_exists(spark, p)]
+        return spark.read.schema("id bigint, epoch int").parquet(*paths) if paths else None
+
+    def delete(self, spark: SparkSession, ids: DataFrame, request: str) -> None:
+        """Delete messages by ``id``, their replies with them. A finished request changes nothing when
+        it is sent again; an unfinished one is made good."""
+        if request in self._requests(spark):
+            return
+        alive = self.read(spark, "processed")
+        if alive is None:
+            return
+        with scratch_scope(spark):
+            hit = materialize(alive.select("id", *incremental.CUBE_KEYS[:-1], "confidence", "epoch")
+                              .join(ids.select("id").distinct(), "id", "left_semi"))
+            hit.select("id", "epoch").coalesce(1).write.mode("overwrite").parquet(self.path(f"tombstones/request={request}"))
+            incremental.cube_delta(hit, -1).coalesce(1).write.mode("overwrite") \
+                .parquet(self.path(f"cube_retracted/request={request}"))
+        spark.createDataFrame([(request,)], "request string").coalesce(1).write.mode("overwrite") \
+            .parquet(self.path(f"delete_log/request={request}"))
+
+    def fold_deletes(self, spark: SparkSession) -> list[int]:
+        """Write the epochs that hold deleted rows again without them, the latest one (which may be
+        replayed) excepted; returns those epochs."""
+        gone, eps = self._tombstones(spark), self.committed(spark)
+        if gone is None or not eps:
+            return []
+        stored = self._read_stored(spark, "processed").where(F.col("epoch") < eps[-1]).select("id", "epoch")
+        found = stored.join(gone.select("id").distinct(), "id", "left_semi").select("epoch").distinct()
+        epochs = sorted(r.epoch for r in found.collect())
+        before = self._folds(spark)
+        if epochs:
+            fold = max(before.values(), default=-1) + 1
+            for name, key in CASCADE.items():
+                rows = self._read_stored(spark, name, only=epochs)
+                rows.join(gone.select(F.col("id").alias(key)).distinct(), key, "left_anti").select(rows.columns) \
+                    .repartition("epoch").write.mode("overwrite").partitionBy("epoch").parquet(self.path(f"folded/{name}/fold={fold}"))
+            spark.createDataFrame([(e, fold) for e in epochs], "epoch int, fold int").coalesce(1) \
+                .write.mode("overwrite").parquet(self.path(f"fold_log/fold={fold}"))
+        # from here on nobody reads what is removed
+        old = [self.path(f"folded/{name}/fold={before[e]}/epoch={e}") if e in before else self.path(name, e)
+               for name in CASCADE for e in epochs]
+        last = gone.where(F.col("epoch") >= eps[-1]).select("id").distinct()
+        for request in self._requests(spark):
+            path = self.path(f"tombstones/request={request}")
+            if path_exists(spark, path) and spark.read.schema("id bigint, epoch int").parquet(path) \
+                    .join(last, "id", "left_semi").isEmpty():
+                old.append(path)
+        delete_paths(spark, old)
+        return epochs
+
+    # ------------------------------------------------------------ dashboard counts
+    def cube(self, spark: SparkSession) -> DataFrame | None:
+        """Counts over the surviving rows, from the epochs' deltas and the retractions."""
+        added = self.read(spark, "cube")
+        if added is None:
+            return None
+        paths = [self.path(f"cube_retracted/request={r}") for r in self._requests(spark)]
+        return incremental.merge([added, *([spark.read.schema(added.drop("epoch").schema).parquet(*paths)] if paths else [])])
 
     def _snapshots(self, spark: SparkSession, name: str) -> list[int]:
         if name not in self._snaps:
@@ -336,6 +445,7 @@ class MessageJob:
         self._write(processed.observe(seen, F.count(F.lit(1)).alias("n")), "processed", epoch)
         stored = spark.read.schema(processed.schema).parquet(self.path("processed", epoch))
         self._write(replies.build_outbox(stored), "outbox", epoch)
+        self._write(incremental.cube_delta(stored).coalesce(1), "cube", epoch)
         self._write(monitoring.epoch_metrics(stored, epoch), "metrics", epoch)
         self._write(new_state, names[0], epoch)
         self._write(new_bands, names[1], epoch)

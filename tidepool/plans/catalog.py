@@ -15,7 +15,7 @@ from tidepool import config
 from tidepool.functions import hashing
 from tidepool.plans.joins import materialize
 from tidepool.operators import (alerts, cart, classify as clf, decode, dedup, features, minhash,
-                                monitoring, privacy, replies, synth, views)
+                                monitoring, privacy, replies, scalable_bloom as growing, synth, views)
 from tidepool.session import scratch_path
 from tidepool.sources import streams, tables
 from tidepool.streaming import incremental, keyed_state, windows
@@ -114,6 +114,14 @@ def lsh_candidates(spark, sf):
     return c.withColumn("candidates", F.array_join("candidates", ","))
 
 
+#: Design size of the growing filter in its query: a tenth or less of the messages of any test table.
+GROWING_CAPACITY = 20
+
+
+def growing_bloom(spark, sf):
+    return growing.flags(tables.raw_messages(spark, sf).select("seq", "message"), capacity=GROWING_CAPACITY)
+
+
 def minhash_classes(spark, sf):
     return minhash.near_classes(tables.raw_messages(spark, sf).select("seq", "message"))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from tidepool import config
 from tidepool.functions.text import WHITESPACE_RUN, WORD_TOKEN
 from tidepool.functions import minhash
-from tidepool.operators import minhash as mh, replies
+from tidepool.operators import minhash as mh, replies, scalable_bloom as growing
 
 TS = "'%Y-%m-%d %H:%M:%S'"
 
@@ -451,6 +451,38 @@ leaves AS (SELECT node, {counts} FROM d{last} WHERE split = 'train' GROUP BY nod
                  f"FROM d{last} LEFT JOIN leaves USING (node)")
 
 
+def _growing_bloom_sql() -> str:
+    """Generations by rank of first arrival, bits by their first setter; up to 2^24 times the design size."""
+    gens = growing.generations(catalog_capacity() * 2 ** 24, catalog_capacity())
+    rows = ", ".join(f"({g.number}, {g.start}, {g.size}, {g.hashes})" for g in gens)
+    return with_(KEYED + f""",
+gen AS (SELECT * FROM (VALUES {rows}) v(g, start, size, hashes)),
+firsts AS (SELECT msg_id, min(seq) AS first_seq FROM keyed GROUP BY msg_id),
+ranked AS (SELECT *, row_number() OVER (ORDER BY first_seq, msg_id) - 1 AS rank FROM firsts),
+own AS (SELECT msg_id, first_seq, max(g) AS generation FROM ranked JOIN gen ON rank >= start GROUP BY ALL),
+h AS (
+  SELECT msg_id, first_seq, generation, g, size, hashes,
+    ('0x' || substr(md5(msg_id || ':' || g), 1, 15))::BIGINT % size AS a,
+    ('0x' || substr(md5(msg_id || ':' || g), 16, 15))::BIGINT % size AS b
+  FROM own JOIN gen ON g <= generation),
+bits AS (
+  SELECT msg_id, first_seq, generation, g, (a + i * b) % size AS bit
+  FROM (SELECT *, unnest(range(hashes)) AS i FROM h)),
+fill AS (SELECT g, bit, min(first_seq) AS set_by FROM bits WHERE g = generation GROUP BY g, bit),
+hit AS (
+  SELECT DISTINCT msg_id FROM (
+    SELECT msg_id, g, bool_and(coalesce(set_by < first_seq, false)) AS ok
+    FROM bits LEFT JOIN fill USING (g, bit) GROUP BY msg_id, g) WHERE ok)""",
+                 "SELECT k.seq, k.msg_id, o.generation, k.seq > o.first_seq OR h.msg_id IS NOT NULL AS is_duplicate, "
+                 "NOT k.seq > o.first_seq AND h.msg_id IS NOT NULL AS is_false_hit "
+                 "FROM keyed k JOIN own o USING (msg_id) LEFT JOIN hit h USING (msg_id)")
+
+
+def catalog_capacity() -> int:
+    from tidepool.plans.catalog import GROWING_CAPACITY
+    return GROWING_CAPACITY
+
+
 def _minhash_sql() -> str:
     """Signatures by the same permutations, candidates by band, verified pairs, then reachability."""
     n, rows, w = mh.BANDS * mh.ROWS, mh.ROWS, mh.SHINGLE_WORDS
@@ -482,6 +514,7 @@ SELECT seq, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, seq <
 def stream_sql() -> dict[str, str]:
     return {
         "minhash_classes": _minhash_sql(),
+        "growing_bloom": _growing_bloom_sql(),
         "incremental_counts": with_(PROCESSED, f"""
 SELECT 'label' AS section, upper(substr(coalesce(predicted_label, 'unknown'), 1, 1)) || substr(coalesce(predicted_label, 'unknown'), 2) AS item,
        CAST(count(*) AS DOUBLE) AS value FROM processed WHERE NOT is_duplicate GROUP BY predicted_label

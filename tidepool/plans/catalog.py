@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from tidepool import config
 from tidepool.functions import hashing
 from tidepool.plans.joins import materialize
-from tidepool.operators import (alerts, cart, classify as clf, decode, dedup, features, minhash,
-                                monitoring, privacy, replies, scalable_bloom as growing, synth, views)
+from tidepool.operators import (alerts, budget, cart, classify as clf, counters, decode, dedup, features, minhash,
+                                monitoring, privacy, quantiles, replies, scalable_bloom as growing, synth, views)
 from tidepool.session import scratch_path
 from tidepool.sources import streams, tables
 from tidepool.streaming import incremental, keyed_state, windows
@@ -286,6 +286,21 @@ def duration_histogram(spark, sf):
     return monitoring.duration_histogram(ev)
 
 
+def duration_quantiles(spark, sf):
+    return quantiles.bucket_quantiles(duration_histogram(spark, sf))
+
+
+def counter_increase(spark, sf):
+    """Event values read as samples of one counter per event type, by day."""
+    return counters.increase(_events(spark, sf), "event_type", "ts", "value", "event_id", slice_seconds=86400)
+
+
+def counter_islands(spark, sf):
+    """Runs without a reset of each user's samples."""
+    ev = _events(spark, sf).withColumn("user_id", F.col("user_id").cast("string"))
+    return _with_ts(counters.islands(ev, "user_id", "ts", "value", "event_id", slice_seconds=86400), "first_ts", "last_ts")
+
+
 def latest_gauge(spark, sf):
     ev = _events(spark, sf).withColumnRenamed("event_type", "gauge")
     return monitoring.latest_gauge(ev, "gauge", "value", "ts", "event_id")
@@ -415,6 +430,21 @@ def private_report(spark, sf):
     return privacy.private_report(_stored(spark, sf, "id", "created_at", "predicted_label", *FLAG_COLS))
 
 
+def geometric_noise(spark, sf):
+    ev = monitoring.event_counter(_events(spark, sf))
+    key = F.concat(F.lit("event_counter|"), F.col("event_type"))
+    return ev.select("event_type", budget.two_sided_geometric(key).alias("noise"),
+                     budget.geometric_count(F.col("events_processed_total"), key).alias("noisy_count"))
+
+
+def budget_cost(spark, sf):
+    """Privacy cost of a daily report on events: types are disjoint parts, users' shares a second section."""
+    ev = _events(spark, sf).select(F.date_format("ts", "yyyy-MM-dd").alias("report"), "event_type", "user_id").distinct()
+    types = ev.select("report", F.lit("event_type").alias("section"), F.col("event_type").alias("part"), F.lit(0.5).alias("epsilon"))
+    users = ev.select("report", F.lit("users").alias("section"), F.lit("all").alias("part"), F.lit(0.25).alias("epsilon")).distinct()
+    return budget.report_cost(types.distinct().unionByName(users), ["report"])
+
+
 # ---------------------------------------------------------------- synthetic messages
 
 def _synth(spark, sf):

@@ -20,6 +20,11 @@ BROADCAST_MAX_ROWS = 2_000_000
 _SCOPES: ContextVar[tuple[list[str], ...]] = ContextVar("scratch_scopes", default=())
 
 
+def path_exists(spark, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def delete_paths(spark, paths) -> None:
     """Remove scratch folders through the Hadoop file system that holds them."""
     jvm = spark.sparkContext._jvm

@@ -511,6 +511,51 @@ cls AS (SELECT seq, min(root) AS class_id FROM reach GROUP BY seq)
 SELECT seq, class_id, count(*) OVER (PARTITION BY class_id) AS class_size, seq <> class_id AS is_near_copy FROM cls"""
 
 
+def metric_sql() -> dict[str, str]:
+    from tidepool.operators import quantiles
+    bounds = ["0.0::DOUBLE", *[f"{b}::DOUBLE" for b in HIST_BOUNDS]]
+    eps = config.DP_EPSILON
+    u = unit_interval(f"('{config.DP_SEED}|geometric|event_counter|' || event_type)")
+    a = f"exp({-float(eps)}::DOUBLE)"
+    return {
+        "duration_quantiles": f"""
+WITH b AS (SELECT unnest([{', '.join(bounds)}]) AS upper, unnest(range({len(bounds)})) AS i),
+v AS (SELECT value / 100.0 AS d FROM events WHERE value IS NOT NULL),
+n AS (SELECT count(*) AS n FROM v),
+c AS (SELECT i, any_value(upper) AS upper, CASE WHEN i = 0 THEN 0 ELSE count(d) END AS upto FROM b LEFT JOIN v ON d <= upper GROUP BY i),
+q AS (SELECT unnest([{', '.join(f'{x}::DOUBLE' for x in quantiles.QUANTILES)}]) AS quantile),
+k AS (
+  SELECT quantile, min(i) AS i FROM q, n, c WHERE i > 0 AND upto >= quantile * n AND upto > 0 GROUP BY quantile)
+SELECT q.quantile, round(CASE WHEN n = 0 THEN NULL WHEN hi.i IS NULL THEN {bounds[-1]}
+  ELSE lo.upper + (hi.upper - lo.upper) * (greatest(q.quantile * n - lo.upto, 0.0) / (hi.upto - lo.upto)) END, 6) AS value
+FROM q, n LEFT JOIN k ON k.quantile = q.quantile LEFT JOIN c hi ON hi.i = k.i LEFT JOIN c lo ON lo.i = k.i - 1""",
+        "counter_increase": """
+WITH s AS (SELECT event_type, date_trunc('day', ts) AS day, value,
+                  lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS prev
+           FROM events WHERE event_type IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL)
+SELECT event_type, strftime(day, '%Y-%m-%d %H:%M:%S') AS slice_start, count(*) AS n_samples,
+       CAST(count_if(coalesce(value < prev, false)) AS BIGINT) AS n_resets,
+       round(sum(CASE WHEN prev IS NULL THEN 0.0 WHEN value < prev THEN value ELSE value - prev END), 6) AS increase
+FROM s GROUP BY event_type, day""",
+        "counter_islands": f"""
+WITH s AS (SELECT CAST(user_id AS VARCHAR) AS user_id, event_id, ts, value,
+                  coalesce(value < lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id), false) AS reset
+           FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL AND value IS NOT NULL),
+i AS (SELECT *, CAST(sum(CAST(reset AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                     ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM s)
+SELECT user_id, island, strftime(min(ts), {TS}) AS first_ts, strftime(max(ts), {TS}) AS last_ts,
+       count(*) AS n_samples, max(value) AS last_value FROM i GROUP BY user_id, island""",
+        "geometric_noise": f"""
+WITH e AS (SELECT event_type, count(*) AS n, {u} AS u, {a} AS a FROM events GROUP BY event_type),
+z AS (SELECT event_type, n, CAST(CASE WHEN u < a / (1 + a) THEN -floor(ln(u * (1 + a)) / {-float(eps)})
+             ELSE greatest(ceil(ln((1.0 - u) * (1 + a)) / {-float(eps)}) - 1, 0) END AS BIGINT) AS noise FROM e)
+SELECT event_type, noise, greatest(0, n + noise) AS noisy_count FROM z""",
+        "budget_cost": """
+WITH d AS (SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS report, event_type FROM events)
+SELECT report, 0.75::DOUBLE AS epsilon FROM d GROUP BY report""",
+    }
+
+
 def stream_sql() -> dict[str, str]:
     return {
         "minhash_classes": _minhash_sql(),
@@ -586,6 +631,7 @@ report AS ({label_rows} UNION ALL {dup_rows} UNION ALL {spike_rows})""",
 def all_sql() -> dict[str, str]:
     out = base_sql()
     out.update(wire_sql())
+    out.update(metric_sql())
     out.update(stream_sql())
     out.update(ml_sql())
     return out

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from tidepool import config
 from tidepool.functions import hashing
 from tidepool.operators import decode, dedup, monitoring, replies
-from tidepool.plans.joins import delete_paths, materialize, scratch_scope
+from tidepool.plans.joins import delete_paths, materialize, path_exists, scratch_scope
 from tidepool.sources import tables
 from tidepool.streaming import incremental
 
@@ -60,13 +60,6 @@ MAX_BUCKETS = 4096
 CASCADE = {"processed": "id", "outbox": "processed_id"}
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
 def bucket_col(keys: list[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
 

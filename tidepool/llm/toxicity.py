@@ -28,6 +28,7 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
 from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +57,7 @@ COUNT_FOLDS = (1, 2, 3)
 #: Most labelled rows used to fit the two logistic weights (the rows of least hash).
 FIT_ROWS = 20_000
 MEMO_WORDS = 300_000
+MEMO_PIECES = 700_000
 
 #: Code blocks written without spaces: Thai, Lao, Myanmar, Khmer, Tai, kana, Han.
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),
@@ -123,6 +125,17 @@ def words_of(text: str | None) -> list[str]:
     return [text[a:b] for a, b in spans_of(text)]
 
 
+class PieceTokens(dict):
+    """Tokens of a piece without white space, remembered. No token spans white space, so the tokens
+    of a text are those of its pieces in order; the pattern runs once per distinct piece."""
+
+    def __missing__(self, piece: str) -> list[str]:
+        found = words_of(piece)
+        if len(self) < MEMO_PIECES:
+            self[piece] = found
+        return found
+
+
 def fold(doc_id: Column) -> Column:
     return (F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % FOLDS).cast("int")
 
@@ -145,10 +158,10 @@ def _sums(held: list[np.ndarray], side: int) -> pa.RecordBatch:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, toxic, documents) of the task's labelled texts; key null counts the documents."""
-    held, size, total, memo = ([], []), [0, 0], [0, 0], {}
+    held, size, total, memo, pieces = ([], []), [0, 0], [0, 0], {}, PieceTokens()
     for batch in batches:
         for text, side in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-            tokens = set(words_of(text.as_py()))
+            tokens = set(chain.from_iterable(map(pieces.__getitem__, set((text.as_py() or "").split()))))
             total[side] += 1
             if len(memo) > MEMO_WORDS:
                 memo.clear()
@@ -235,37 +248,70 @@ def maximal_segments(scores: Sequence[float]) -> list[tuple[int, int, float]]:
 
 
 class Scorer:
-    """Word scores with a bounded memo, and segments of whole texts."""
+    """Token scores, and segments of whole texts. The scores of a piece between white space are kept
+    in one array and found by its number, so a known text costs one look-up a piece. Both memos are bounded."""
 
     def __init__(self, model: Model):
-        self.model, self.memo = model, {}
-
-    def scores(self, tokens: list[str]) -> np.ndarray:
-        new = set(tokens).difference(self.memo)
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = set(tokens)
+        self.model, self.tokens = model, {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.start, self.count, self.values, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024), 0
+
+    def _grown(self, array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
+
+    def learn(self, pieces: set[str]) -> None:
+        """Number new pieces and store their tokens' scores."""
+        if len(self.numbers) + len(pieces) > MEMO_PIECES:
+            self.forget()
+        found = {p: words_of(p) for p in pieces}
+        new = list(set(chain.from_iterable(found.values())).difference(self.tokens))
+        if len(self.tokens) + len(new) > MEMO_WORDS:
+            self.tokens.clear()
+            new = list(set(chain.from_iterable(found.values())))
+        if new:
+            self.tokens.update(zip(new, (self.model.log_odds(new) - DRIFT).tolist()))
+        flat = np.array([self.tokens[t] for words in found.values() for t in words], dtype=np.float64)
+        first, counts = len(self.numbers), np.array([len(w) for w in found.values()], dtype=np.int64)
+        self.numbers.update(zip(found, range(first, first + len(found))))
+        self.start, self.count = (self._grown(x, len(self.numbers)) for x in (self.start, self.count))
+        self.values = self._grown(self.values, self.used + len(flat))
+        self.count[first:len(self.numbers)] = counts
+        self.start[first:len(self.numbers)] = self.used + np.cumsum(counts) - counts
+        self.values[self.used:self.used + len(flat)] = flat
+        self.used += len(flat)
+
+    def scores(self, text: str | None) -> np.ndarray:
+        """Scores of the text's tokens in order."""
+        pieces = (text or "").split()
+        new = set(pieces).difference(self.numbers)
         if new:
-            fresh = list(new)
-            self.memo.update(zip(fresh, (self.model.log_odds(fresh) - DRIFT).tolist()))
-        return np.fromiter(map(self.memo.__getitem__, tokens), np.float64, len(tokens))
+            size = len(self.numbers)
+            self.learn(new)
+            if len(self.numbers) < size + len(new):  # the memo began anew
+                self.learn(set(pieces).difference(self.numbers))
+        at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        start, count = self.start[at], self.count[at]
+        if (count == 1).all():
+            return self.values[start]
+        ends = np.cumsum(count)
+        return self.values[np.repeat(start - (ends - count), count) + np.arange(ends[-1])]
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         """Number of tokens, and segments as (first token, end token, score).
 
         Runs of tokens that score at or below zero only matter by their sum, so the scan sees the
         scoring tokens and one sum per run between them."""
-        tokens = words_of(text)
-        if not tokens:
-            return 0, []
-        s = self.scores(tokens)
+        s = self.scores(text)
         up = np.flatnonzero(s > 0)
         if not len(up):
-            return len(tokens), []
+            return len(s), []
         total = np.concatenate([[0.0], np.cumsum(s)])
         gaps = total[up] - np.concatenate([[total[up[0]]], total[up[:-1] + 1]])
         mixed = np.column_stack([gaps, s[up]]).ravel().tolist()
-        return len(tokens), [(int(up[a // 2]), int(up[(b - 1) // 2]) + 1, x)
+        return len(s), [(int(up[a // 2]), int(up[(b - 1) // 2]) + 1, x)
                              for a, b, x in maximal_segments(mixed)]
 
 
@@ -298,7 +344,7 @@ def _token_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
     scorer, hist = Scorer(model), np.zeros(BINS, dtype=np.int64)
     for batch in batches:
         for text in batch.column("text"):
-            s = scorer.scores(words_of(text.as_py()))
+            s = scorer.scores(text.as_py())
             at = np.clip(np.rint((s - BIN_LOW) / BIN), 0, BINS - 1).astype(np.int64)
             hist += np.bincount(at, minlength=BINS)
     at = np.flatnonzero(hist)

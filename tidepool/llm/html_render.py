@@ -6,13 +6,15 @@ open inside a closed element. The tree is rendered with an explicit stack (nesti
 limited): blocks on lines of their own, blank lines around paragraphs and headings, list items
 with bullets or numbers and indentation, ``<pre>`` as it is, table cells aligned in columns.
 Formulas give the text of their parts, drawings that of their labels, a text area its default text.
-Hidden: head, script, style, template, noscript, title, input, datalist, the fallback contents of
+An input shows its value if its kind does (buttons and text fields), each option is a line.
+Hidden: head, script, style, template, noscript, title, datalist, the fallback contents of
 iframe, noembed, noframes, object, audio, video and canvas, annotations and phantoms of formulas, what
 a drawing does not paint by itself (``defs``, ``symbol`` and the like), ``hidden`` attributes, ``display:none``, ``visibility:hidden`` (unless a descendant turns visible), closed ``details``.
 
 Edge cases: null HTML gives null, empty HTML an empty text; markup that is cut off anywhere is
-rendered as far as it goes; an unknown tag is inline; a stray end tag is ignored; very long pages
-are rendered whole (work is linear in the page's length, wide cells are not padded); repeated rows
+rendered as far as it goes; an unknown tag is inline; a stray end tag is ignored (found in constant
+time); very long pages are rendered whole: no text is cut, while indentation, gaps, spans and the depth of
+aligned tables are bounded, so time and output grow with the page; repeated rows
 are rows of their own; an empty table gives an empty result; further columns are carried.
 """
 
@@ -53,7 +55,7 @@ BLOCK = frozenset("address article aside blockquote body center dd details dialo
                   "menu nav ol p pre section summary table ul caption tr thead tbody tfoot td th xmp".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure fieldset hr menu dir xmp".split())
 #: Elements on lines of their own: blocks, text areas, labels of drawings.
-LINES = BLOCK | frozenset(("textarea", "#label"))
+LINES = BLOCK | frozenset(("textarea", "option", "optgroup", "#label"))
 CELLS = frozenset(("td", "th"))
 GROUPS = frozenset(("thead", "tbody", "tfoot"))
 #: Start tags that end an open paragraph.
@@ -84,8 +86,16 @@ MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([A-Za-z][^\s/>]*)"
                     rf"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE})?)?)*+)>?", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^\s>\"'][^\s>]*+))?)?")
 WHITE = re.compile(r"[ \t\n\r\f]+")
-#: Widest cell that its column is padded to.
+#: Widest cell that its column is padded to, widest gap before a cell, and widest indentation: beyond
+#: them text is kept and only less far to the right, so a page's text stays in proportion to its words.
 PAD_WIDTH = 60
+GAP_WIDTH = 240
+MAX_INDENT = 80
+#: Largest colspan or rowspan that counts, and depth of tables in tables beyond which cells are lines.
+MAX_SPAN = 100
+MAX_TABLES = 8
+#: Kinds of input whose value a browser shows.
+SHOWN_INPUTS = frozenset(("submit", "button", "reset", "text", "search", "email", "url", "tel", "number"))
 
 
 class Node:
@@ -106,46 +116,54 @@ def attributes(raw: str) -> dict[str, str]:
 def build(html: str) -> Node:
     """Tree of nodes and text strings."""
     root = Node("#root", {})
-    stack, count = [root], {"#root": 1}
-
-    def pop() -> None:
-        count[stack.pop().tag] -= 1
+    stack = [root]
+    #: Depths of the open elements of a tag, of those that stop an end tag, and of those that hold HTML.
+    open_at: dict[str, list[int]] = {}
+    scopes: list[int] = []
+    holders: list[int] = []
+
+    def last(tag: str) -> int:
+        held = open_at.get(tag)
+        return held[-1] if held else 0
+
+    def push(node: Node) -> None:
+        depth = len(stack)
+        stack.append(node)
+        open_at.setdefault(node.tag, []).append(depth)
+        if node.tag in SCOPES:
+            scopes.append(depth)
+        if node.tag in HOLDS_HTML or node.tag in BLOCK:
+            holders.append(depth)
+
+    def close_to(depth: int) -> None:
+        """Close the element at ``depth`` and all inside it."""
+        while len(stack) > depth:
+            node = stack.pop()
+            open_at[node.tag].pop()
+            for held in (scopes, holders):
+                if held and held[-1] == len(stack):
+                    held.pop()
 
     def imply(names: Sequence[str], stops: Sequence[str]) -> None:
-        if not any(count.get(n) for n in names):
-            return
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = stack[depth].tag
-            if tag in names:
-                while len(stack) > depth:
-                    pop()
-                # a row's cells, a group's rows end with it, so go on outwards
-                continue
-            if tag in stops:
-                return
+        stop = max((last(t) for t in stops), default=0)
+        # a row's cells, a group's rows end with it, so go on outwards
+        while (depth := max(last(n) for n in names)) > stop:
+            close_to(depth)
 
     def close_p() -> None:
-        if count.get("p"):
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag == "p":
-                    while len(stack) > depth:
-                        pop()
-                    return
-                if stack[depth].tag in SCOPES:
-                    return
+        depth = last("p")
+        if depth and not (scopes and scopes[-1] > depth):
+            close_to(depth)
 
     def leave_foreign() -> None:
         """Close an svg or math that a start tag of HTML stands in."""
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag in ("svg", "math"):
-                while len(stack) > depth:
-                    pop()
-            elif stack[depth].tag in HOLDS_HTML or stack[depth].tag in BLOCK:
-                return
+        stop = holders[-1] if holders else 0
+        while (depth := max(last("svg"), last("math"))) > stop:
+            close_to(depth)
 
     def text(s: str) -> None:
         if stack[-1].tag == "head" and WHITE.sub("", s):
-            pop()
+            close_to(len(stack) - 1)
         stack[-1].items.append(unescape(s))
 
     at, end, low = 0, len(html), None
@@ -161,20 +179,15 @@ def build(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if count.get(tag):
-                for depth in range(len(stack) - 1, 0, -1):
-                    if stack[depth].tag == tag:
-                        while len(stack) > depth:
-                            pop()
-                        break
-                    if stack[depth].tag in SCOPES and tag not in SCOPES and tag not in ("tr", *GROUPS):
-                        break
+            depth = last(tag)
+            if depth and (not scopes or scopes[-1] <= depth or tag in SCOPES or tag in ("tr", *GROUPS)):
+                close_to(depth)
             continue
         if tag == "body":
             imply(("head",), ())
         elif stack[-1].tag == "head" and tag not in IN_HEAD:
-            pop()
-        foreign = count.get("svg") or count.get("math")
+            close_to(len(stack) - 1)
+        foreign = last("svg") or last("math")
         if foreign and tag in BREAKOUT:
             leave_foreign()
         elif foreign and m[3] and m[3].endswith("/"):
@@ -199,8 +212,7 @@ def build(html: str) -> Node:
             close = html.find(">", stop)
             at = end if close < 0 else close + 1
         elif tag not in VOID and not (m[3] and m[3].endswith("/") and tag not in BLOCK and tag not in ("a", "b", "i", "span")):
-            stack.append(node)
-            count[tag] = count.get(tag, 0) + 1
+            push(node)
     return root
 
 
@@ -235,7 +247,7 @@ class Canvas:
         if self.lines and self.gap:
             self.lines.extend([""] * self.gap)
         self.gap = 0
-        pad = " " * self.indent
+        pad = " " * min(self.indent, MAX_INDENT)
         if self.bullet:
             pad = pad[:max(0, len(pad) - len(self.bullet))] + self.bullet
             self.bullet = ""
@@ -274,8 +286,7 @@ class Canvas:
 
 def hides(node: Node) -> bool:
     style = node.attrs.get("style", "")
-    return (node.tag in UNSEEN or "hidden" in node.attrs
-            or node.tag == "input" or bool(style) and "display:none" in WHITE.sub("", style.lower()))
+    return (node.tag in UNSEEN or "hidden" in node.attrs or bool(style) and "display:none" in WHITE.sub("", style.lower()))
 
 
 def visibility(node: Node, inherited: bool) -> bool:
@@ -296,20 +307,57 @@ def number(text: str | None, default: int) -> int:
         return default
 
 
-def table_lines(rows: list[list[list[str]]]) -> list[str]:
-    """Cells side by side, columns as wide as their widest cell up to ``PAD_WIDTH``."""
-    widths: list[int] = []
+def span(text: str | None) -> int:
+    return min(max(number(text, 1), 1), MAX_SPAN)
+
+
+Cell = tuple[list[str], int, int]
+
+
+def place_cells(rows: list[list[Cell]]) -> list[list[tuple[int, int, list[str]]]]:
+    """(column, width in columns, lines) of every cell; a cell that spans rows keeps its columns in
+    the rows below."""
+    out, busy = [], []  # busy: [first column, end, rows left], by column
     for row in rows:
-        for i, cell in enumerate(row):
-            wide = max((len(x) for x in cell), default=0)
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max(widths[i], min(wide, PAD_WIDTH))
+        placed, taken, at, column = [], [], 0, 0
+        for lines, wide, high in row:
+            while at < len(busy) and busy[at][0] <= column:
+                column = max(column, busy[at][1])
+                at += 1
+            placed.append((column, wide, lines))
+            if high > 1:
+                taken.append([column, column + wide, high])
+            column += wide
+        busy = sorted([b[0], b[1], b[2] - 1] for b in [*([x for x in busy if x[2] > 1]), *taken] if b[2] > 1)
+        out.append(placed)
+    return out
+
+
+def table_lines(rows: list[list[Cell]]) -> list[str]:
+    """Cells side by side. A column is as wide as its widest cell of one column, up to ``PAD_WIDTH``; columns
+    that no cell starts in take no room. What does not fit moves the rest of its row to the right."""
+    grid = place_cells(rows)
+    widths = {column: 0 for row in grid for column, _, _ in row}
+    for row in grid:
+        for column, wide, lines in row:
+            if wide == 1:
+                widths[column] = max(widths[column], min(max((len(x) for x in lines), default=0), PAD_WIDTH))
+    begin, total = {}, 0
+    for column in sorted(widths):
+        begin[column], total = total, total + widths[column] + 2
     out = []
-    for row in rows:
-        for k in range(max((len(c) for c in row), default=0)):
-            parts = [(c[k] if k < len(c) else "").ljust(widths[i]) for i, c in enumerate(row)]
-            out.append("  ".join(parts).rstrip(" "))
+    for row in grid:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            parts, end, shift = [], 0, 0
+            for column, _, lines in row:
+                if k >= len(lines) or not lines[k]:
+                    continue
+                start = max(begin[column] + shift, end + 2 if parts else 0)
+                gap = min(start - end, GAP_WIDTH)
+                parts.append(" " * gap + lines[k])
+                end += gap + len(lines[k])
+                shift = end - len(lines[k]) - begin[column]
+            out.append("".join(parts).rstrip(" "))
     return out
 
 
@@ -337,6 +385,10 @@ def render(html: str | None) -> str | None:
         if tag == "br":
             canvas.line_end(forced=True)
             continue
+        if tag == "input":
+            if seen and inside != "svg" and node.attrs.get("type", "text").strip().lower() in SHOWN_INPUTS:
+                canvas.text(f" {node.attrs.get('value', '')} ")
+            continue
         if tag in ("svg", "math"):
             inside = tag
         elif inside == "svg" and tag == "text":
@@ -360,7 +412,7 @@ def render(html: str | None) -> str | None:
 
 def _enter(node: Node, canvases: list[Canvas], tables: list, lists: list) -> None:
     tag, canvas = node.tag, canvases[-1]
-    if tag in CELLS and tables and tables[-1][1] == len(canvases):
+    if tag in CELLS and tables and tables[-1][1] == len(canvases) and tables[-1][0] is not None:
         if not tables[-1][0]:
             tables[-1][0].append([])
         canvases.append(Canvas())
@@ -368,8 +420,8 @@ def _enter(node: Node, canvases: list[Canvas], tables: list, lists: list) -> Non
     if tag in LINES:
         canvas.block(tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and lists))
     if tag == "table":
-        tables.append(([], len(canvases)))
-    elif tag == "tr" and tables:
+        tables.append(([] if len(tables) < MAX_TABLES else None, len(canvases)))
+    elif tag == "tr" and tables and tables[-1][0] is not None:
         tables[-1][0].append([])
     elif tag in ("ul", "ol", "menu", "dir"):
         lists.append([number(node.attrs.get("start"), 1) if tag == "ol" else None, canvas.indent])
@@ -388,15 +440,16 @@ def _enter(node: Node, canvases: list[Canvas], tables: list, lists: list) -> Non
 
 def _leave(node: Node, canvases: list[Canvas], tables: list, lists: list) -> None:
     tag = node.tag
-    if tag in CELLS and len(canvases) > 1 and tables and tables[-1][1] == len(canvases) - 1:
+    if tag in CELLS and len(canvases) > 1 and tables and tables[-1][1] == len(canvases) - 1 \
+            and tables[-1][0] is not None:
         cell = canvases.pop().done()
-        tables[-1][0][-1].append(cell)
+        tables[-1][0][-1].append((cell, span(node.attrs.get("colspan")), span(node.attrs.get("rowspan"))))
         return
     canvas = canvases[-1]
     if tag == "table":
         rows, _ = tables.pop()
         canvas.block(True)
-        for line in table_lines([r for r in rows if any(r)]):
+        for line in table_lines([r for r in rows or [] if any(lines for lines, _, _ in r)]):
             if line:
                 canvas.exact(line)
                 canvas.line_end()
@@ -423,9 +476,9 @@ def _render_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def render_pages(pages: DataFrame, html: str = "html", carry: Sequence[str] | None = None) -> DataFrame:
-    """``carry`` columns (default: all others; one called ``text`` is replaced) with the visible
-    ``text`` of each page."""
-    carry = [c for c in pages.columns if c != html] if carry is None else list(carry)
+    """``carry`` columns (default: all others; one called ``text``, in any case, is replaced) with the
+    visible ``text`` of each page."""
+    carry = [c for c in pages.columns if c.lower() != html.lower()] if carry is None else list(carry)
     rows = pages.select(F.col(html).alias("_html"), packed_row(carry))
     done = rows.mapInArrow(_render_batches, StructType([rows.schema["_row"]]).add("text", "string"))
-    return done.select(*[F.col("_row").getField(c).alias(c) for c in carry if c != "text"], "text")
+    return done.select(*[F.col("_row").getField(c).alias(c) for c in carry if c.lower() != "text"], "text")

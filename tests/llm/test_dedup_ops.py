@@ -156,3 +156,13 @@ def test_empty_tables(spark):
 def test_forest_is_transitive():
     a, b = np.array([5, 4, 9, 7]), np.array([4, 1, 8, 9])
     assert simhash.forest(a, b, 10).tolist() == [0, 1, 2, 3, 1, 1, 6, 7, 7, 7]
+
+
+def test_clashing_names_in_other_case_can_be_written(spark, workdir):
+    """Columns called like an output but for the case are replaced, so the result can be stored."""
+    df = spark.createDataFrame([(1, "a b c", "k", "g", "f"), (2, "a b c", "k", "g", "f")],
+                               "doc_id bigint, text string, Kept string, Group_Size string, Fingerprint string")
+    exact_dedup.exact_dedup(df).write.parquet(f"{workdir}/exact")
+    simhash.simhash_components(df).write.parquet(f"{workdir}/simhash")
+    assert [r.kept for r in spark.read.parquet(f"{workdir}/exact").orderBy("doc_id").collect()] == [True, False]
+    assert [r.kept for r in spark.read.parquet(f"{workdir}/simhash").orderBy("doc_id").collect()] == [True, False]

@@ -115,7 +115,8 @@ def unequal(rows: DataFrame, pairs: DataFrame, text: str, uid: str, chunk_bytes:
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 carry: Sequence[str] | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """``carry`` columns of every row (default: all) with ``keep_id``, ``group_size``, ``kept``
-    and ``text_sha256`` (of the normalised text). See the module docstring for edge cases."""
+    and ``text_sha256`` (of the normalised text). Carried columns called like these four, in any case,
+    are replaced by them. See the module docstring for edge cases."""
     carry = list(docs.columns if carry is None else carry)
     # The operator's own columns live in a struct-free frame of fixed names, so clashing names
     # of further columns cannot reach them.
@@ -152,6 +153,6 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                              F.col("_n_rows").alias("group_size"),
                              (F.col("_uid") == F.col("_keep._uid")).alias("kept"), "text_sha256")
     wanted = [F.col("_text").alias(c) if c == text else F.col("_row").getField(c).alias(c)
-              for c in carry if c not in verdict.columns]
+              for c in carry if c.lower() not in verdict.columns]
     return rows.join(verdict, "_uid", "inner").select(
         *wanted, "keep_id", "group_size", "kept", "text_sha256")

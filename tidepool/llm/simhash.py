@@ -211,7 +211,8 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
                        carry: Sequence[str] | None = None, words: int = SHINGLE_WORDS,
                        limit: int = MAX_DISTANCE) -> DataFrame:
     """``carry`` columns of every row (default: all) with ``fingerprint`` (hex), ``component_id``
-    (smallest id reachable) and ``kept`` (one row of each component: its smallest id's first)."""
+    (smallest id reachable) and ``kept`` (one row of each component: its smallest id's first). Carried
+    columns called like these three, in any case, are replaced by them."""
     carry = list(docs.columns if carry is None else carry)
     rows = materialize(docs.select(F.monotonically_increasing_id().alias("_uid"),
                                    F.col(doc_id).alias("_id"), fingerprint_col(text, words).alias("fp"),
@@ -224,7 +225,7 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     least = joined.groupBy("root").agg(F.min("_first").alias("_keep"))
     verdict = joined.select("fp", "root").join(least, "root", "inner").select("fp", "_keep")
     wanted = [F.col("_row").getField(c).alias(c) for c in carry
-              if c not in ("fingerprint", "component_id", "kept")]
+              if c.lower() not in ("fingerprint", "component_id", "kept")]
     return rows.join(verdict, "fp", "inner").select(
         *wanted, hex_col("fp").alias("fingerprint"), F.col("_keep._id").alias("component_id"),
         (F.col("_uid") == F.col("_keep._uid")).alias("kept"))

@@ -498,7 +498,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, with_passages: bool)
 def score(docs: DataFrame, model: Model, text: str = "text", carry: Sequence[str] | None = None,
           with_passages: bool = True) -> DataFrame:
     """``carry`` columns (default: all) with ``score`` (0 to 1), ``predicted`` (score >= 0.5) and
-    ``passages``, the significant toxic segments."""
+    ``passages``, the significant toxic segments. Carried columns called like these, in any case, are
+    replaced by them."""
     carry = list(docs.columns if carry is None else carry)
     rows = docs.select(F.col(text).alias("_text"), packed_row(carry))
     made = "score double" + (f", passages {PASSAGES}" if with_passages else "")
@@ -506,5 +507,5 @@ def score(docs: DataFrame, model: Model, text: str = "text", carry: Sequence[str
     done = rows.mapInArrow(partial(_score, model=model, with_passages=with_passages), schema)
     extra = ["passages"] if with_passages else []
     return done.select(*[F.col("_row").getField(c).alias(c) for c in carry
-                         if c not in ("score", "predicted", *extra)],
+                         if c.lower() not in ("score", "predicted", *extra)],
                        "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *extra)

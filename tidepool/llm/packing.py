@@ -103,8 +103,8 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capacity: int,
-            carry: Sequence[str], added_tokens: bool) -> Iterator[pa.RecordBatch]:
-    """Encode and cut; number the pieces of each length within this part."""
+            carry: Sequence[str], with_ids: bool, added_tokens: bool) -> Iterator[pa.RecordBatch]:
+    """Encode and cut; number the pieces of each length within this part. Ids are kept only if wanted."""
     part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
     for batch in batches:
         enc = tokens.encoder(tokenizer, added_tokens)
@@ -122,19 +122,19 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int, capa
                     piece.append(p)
                     start.append(a)
                     length.append(b - a)
-                    data.append(cut)
+                    if with_ids:
+                        data.append(cut)
                     crc.append(tokens.crc_u32(np.frombuffer(cut, enc.dtype)))
                     nth.append(seen[b - a])
                     seen[b - a] += 1
             made = len(row)
             picked = batch.select(list(carry)).take(pa.array(row, pa.int64()))
-            cols = [*picked.columns, pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                    pa.array(length, pa.int64()), pa.array(data, pa.binary()),
-                    pa.array([w] * made, pa.int32()), pa.array(crc, pa.int64()),
-                    pa.array([part] * made, pa.int32()), pa.array(nth, pa.int64())]
-            whole = pa.RecordBatch.from_arrays(
-                cols, [*picked.schema.names, "piece", "start", "length", "ids", "id_bytes",
-                       "ids_crc32", "part", "nth"])
+            held = {"piece": pa.array(piece, pa.int32()), "start": pa.array(start, pa.int64()),
+                    "length": pa.array(length, pa.int64()), "ids_crc32": pa.array(crc, pa.int64()),
+                    "part": pa.array([part] * made, pa.int32()), "nth": pa.array(nth, pa.int64())}
+            if with_ids:
+                held |= {"ids": pa.array(data, pa.binary()), "id_bytes": pa.array([w] * made, pa.int32())}
+            whole = pa.RecordBatch.from_arrays([*picked.columns, *held.values()], [*picked.schema.names, *held])
             for a in range(0, made, OUT_ROWS):
                 yield whole.slice(a, OUT_ROWS)
 
@@ -170,9 +170,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, doc_id: str = "doc_id", t
     kind = rows.schema["doc_id"].dataType.simpleString()
     made = materialize(rows.mapInArrow(
         partial(_pieces, tokenizer=tokenizer, end_id=end_id, capacity=capacity, carry=["doc_id"],
-                added_tokens=added_tokens),
-        f"doc_id {kind}, piece int, start bigint, length bigint, ids binary, id_bytes int, "
-        "ids_crc32 bigint, part int, nth bigint"))
+                with_ids=with_ids, added_tokens=added_tokens),
+        f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, nth bigint"
+        + (", ids binary, id_bytes int" if with_ids else "")))
     by_part = materialize(made.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")))
     counts = {r["length"]: r["n"] for r in  # at most ``capacity`` rows
               by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}

@@ -9,6 +9,7 @@ next stage itself, or be written first.)
 
 from __future__ import annotations
 
+import threading
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,23 +20,27 @@ from tidepool.llm.common import WORD, materialize, table
 from tidepool.llm.queries import tokenizer_path
 from tidepool.plans.joins import delete_paths, scratch_paths
 
-#: Scratch tables of the last stage that ran, by Spark application.
-_LAST: dict[str, list[str]] = {}
+#: Scratch tables of the last stage that ran, by Spark application and thread (of one run).
+_LAST: dict[tuple[str, int], list[str]] = {}
+
+
+def _run_key(spark: SparkSession) -> tuple[str, int]:
+    return spark.sparkContext.applicationId, threading.get_ident()
 
 
 def stage(fn):
     """Run a stage, removing the scratch of the one before unless ``docs`` still reads it."""
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        app = spark.sparkContext.applicationId
-        old, names = _LAST.get(app, []), [p.rsplit("/", 1)[-1] for p in _LAST.get(app, [])]
+        key = _run_key(spark)
+        old, names = _LAST.get(key, []), [p.rsplit("/", 1)[-1] for p in _LAST.get(key, [])]
         reads = docs.inputFiles() if old else []
         still = any(f"/{n}/" in f for f in reads for n in names)
         if not still:
             delete_paths(spark, old)
         with scratch_paths() as paths:
             out = fn(spark, docs, sf_dir)
-        _LAST[app] = paths + (old if still else [])
+        _LAST[key] = paths + (old if still else [])
         return out
     return run_stage
 
@@ -75,8 +80,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token documents with their place in sequences of 2048 tokens."""
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048, with_ids=False,
+    """Pieces of token documents with their ids and their place in sequences of 2048 tokens."""
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, capacity=2048, with_ids=True,
                         added_tokens=True)
 
 
@@ -92,7 +97,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _LAST.pop(_run_key(spark), None)  # an earlier run's result may still be read
     docs = table(spark, sf_dir, "documents")
     for _, step in STAGES[:-1]:
         docs = materialize(step(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    _LAST.pop(_run_key(spark), None)
+    return packed

@@ -38,10 +38,17 @@ def tokens(docs: DataFrame, doc: str = "doc_id", body: str = "text") -> DataFram
 
 
 def term_stats(docs: DataFrame, doc: str = "doc_id", body: str = "text") -> DataFrame:
-    """Per term: corpus occurrences and number of documents containing it."""
-    per_doc = tokens(docs, doc, body).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
-    return per_doc.groupBy("term").agg(F.sum("tf").cast("bigint").alias("term_count"),
-                                       F.count(F.lit(1)).alias("doc_freq"))
+    """Per term: corpus occurrences and number of documents (rows) containing it.
+
+    A row holds all tokens of its document, so its distinct terms are found inside the row: occurrences
+    and documents are counted in one aggregation by term, and what is shuffled is a partial count per
+    distinct term and task instead of a row per (document, term)."""
+    rows = docs.select(text.word_tokens(F.col(body)).alias("words"))
+    marked = F.array(F.struct(F.col("words").alias("terms"), F.lit(0).alias("first")),
+                     F.struct(F.array_distinct("words").alias("terms"), F.lit(1).alias("first")))
+    found = rows.select(F.explode(marked).alias("m")).select(F.explode("m.terms").alias("term"), F.col("m.first").alias("first"))
+    return found.where(~F.col("term").isin(*stop_words())).groupBy("term").agg(
+        F.count_if(F.col("first") == 0).alias("term_count"), F.count_if(F.col("first") == 1).alias("doc_freq"))
 
 
 def vocabulary(docs: DataFrame, k: int = config.TFIDF_TERMS, doc: str = "doc_id",

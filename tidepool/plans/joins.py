@@ -59,6 +59,12 @@ def scratch_paths():
         _SCOPES.reset(token)
 
 
+def note_scratch(path: str) -> None:
+    """Hand a path written by other means to the scope around, as ``materialize`` does with its tables."""
+    if _SCOPES.get():
+        _SCOPES.get()[-1].append(path)
+
+
 def materialize(df: DataFrame, keep: bool = False) -> DataFrame:
     """Write ``df`` once as a parquet table under the shared ``spark.checkpoint.dir`` and read it
     back: one job (an eager ``checkpoint()`` would compute the plan twice, once to count and once

@@ -3,8 +3,10 @@
 Token scores are log-odds with Dirichlet priors: a word's toxic share has as prior its 5-letter
 stem's, that stem's its 4-letter stem's, and that one the labelled corpus' own share, each with the
 same concentration. Counts are of documents, equal texts once, so neither a repeated word nor a
-group of copies passes for evidence; every word and stem has counts of its own under a 64-bit hash,
-so the model grows with the labelled vocabulary (16 bytes a key). Less a constant, scores are negative on average; a linear-time scan finds every
+group of copies passes for evidence; every word and stem has counts of its own under a 64-bit hash.
+The counts grow with the labelled vocabulary and never reach the driver: they are files in the
+shared folder, sorted by key, of which a model holds the paths and first keys; workers map
+them into memory and touch the pages their words are on. Less a constant, scores are negative on average; a linear-time scan finds every
 maximal scoring segment of a text. On clean documents that took no part in the counts, the scale
 (the root of E[exp(scale * score)] = 1) and the size factor of the extreme-value law are fitted,
 which turn a segment's score and the text's length into an expected number of chance segments.
@@ -24,6 +26,7 @@ import math
 import re
 import sys
 import unicodedata
+import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
@@ -32,20 +35,23 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidepool.llm.common import packed_row
-from tidepool.plans.joins import sized_lookup
+from tidepool.llm import tokens as token_files
+from tidepool.llm.common import materialize, packed_row
+from tidepool.plans.joins import note_scratch, sized_lookup
+from tidepool.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Letters of the stems.
 STEMS = (4, 5)
-#: Keys that a counting task holds before it sums them up.
+#: Keys that a counting task holds before it sums them up, and keys per file of counts.
 HELD_KEYS = 1 << 21
+FILE_KEYS = 1 << 22
 #: Strength of each prior, in documents.
 CONCENTRATION = 20.0
 #: Taken from every token's log-odds, and the largest expected chance count of a significant one.
@@ -58,6 +64,8 @@ COUNT_FOLDS = (1, 2, 3)
 FIT_ROWS = 20_000
 MEMO_WORDS = 300_000
 MEMO_PIECES = 700_000
+#: Characters of texts whose new pieces are looked up together.
+TEXT_STEP = 1_000_000
 
 #: Code blocks written without spaces: Thai, Lao, Myanmar, Khmer, Tai, kana, Han.
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),
@@ -140,12 +148,27 @@ def fold(doc_id: Column) -> Column:
     return (F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % FOLDS).cast("int")
 
 
+def _key(text: str, kind: int) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, salt=bytes([kind])).digest(),
+                          "little", signed=True)
+
+
+#: Keys of the stems met so far: they are few and come again and again.
+_STEM_KEYS: dict[int, dict[str, int]] = {k: {} for k in STEMS}
+
+
 def features(token: str) -> list[int]:
     """64-bit keys of a token: stems from short to long, then the word itself."""
-    word = token.lower()
-    each = [*((word[:k], k) for k in STEMS), (word, 0)]
-    return [int.from_bytes(blake2b(key.encode("utf-8", "surrogatepass"), digest_size=8, salt=bytes([k])).digest(),
-                           "little", signed=True) for key, k in each]
+    word, out = token.lower(), []
+    for k, known in _STEM_KEYS.items():
+        stem = word[:k]
+        if stem not in known:
+            if len(known) > MEMO_WORDS:
+                known.clear()
+            known[stem] = _key(stem, k)
+        out.append(known[stem])
+    out.append(_key(word, 0))
+    return out
 
 
 # ---------------------------------------------------------------- word counts
@@ -181,44 +204,114 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                       "n": pa.array(total, pa.int64())})
 
 
+@dataclass
+class CountFiles:
+    """Document counts by key, in files of ascending keys: a file's keys, then its toxic counts, then
+    all counts, each 64 bits. Only paths, sizes and first keys are held."""
+
+    paths: list[str]
+    sizes: list[int]
+    first: np.ndarray
+
+    def column(self, part: int, k: int) -> np.ndarray:
+        """Column k (keys, toxic, every) of a file: a memory map if the folder is a local mount."""
+        return token_files._map_file(self.paths[part], "<i8", 8 * k * self.sizes[part], self.sizes[part])
+
+    def whole(self, k: int) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.int64), *[self.column(p, k) for p in range(len(self.paths))]])
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Toxic and all documents of each key (0 for unknown ones)."""
+        toxic, every = np.zeros(keys.shape), np.zeros(keys.shape)
+        part = np.searchsorted(self.first, keys, side="right") - 1
+        for p in np.unique(part[part >= 0]).tolist():
+            where = np.nonzero(part == p)
+            wanted, back = np.unique(keys[where], return_inverse=True)  # ascending: near pages together
+            if p not in self.maps:
+                self.maps[p] = [self.column(p, k) for k in range(3)]
+            held = self.maps[p]
+            at = np.minimum(np.searchsorted(held[0], wanted), self.sizes[p] - 1)
+            known = held[0][at] == wanted
+            toxic[where] = np.where(known, held[1][at], 0)[back]
+            every[where] = np.where(known, held[2][at], 0)[back]
+        return toxic, every
+
+    def __post_init__(self):
+        self.maps: dict[int, list[np.ndarray]] = {}
+
+    def __getstate__(self):
+        return {**self.__dict__, "maps": {}}
+
+
 @dataclass
 class Model:
-    """Token log-odds table and calibration."""
+    """Token counts and calibration."""
 
-    keys: np.ndarray  # ascending
-    toxic: np.ndarray  # per key, toxic documents that have it
-    every: np.ndarray
+    counts: CountFiles
     share: float
     scale: float = 1.0
     factor: float = 0.1
     weights: tuple[float, float, float] = (-3.0, 0.5, 1.0)
 
-    def log_odds(self, tokens: Sequence[str]) -> np.ndarray:
-        p = np.full(len(tokens), self.share)
-        if len(self.keys) and len(tokens):
-            each = np.array([features(t) for t in tokens], dtype=np.int64)
-            at = np.minimum(np.searchsorted(self.keys, each), len(self.keys) - 1)
-            known = self.keys[at] == each
-            toxic, every = (np.where(known, x[at], 0).astype(np.float64) for x in (self.toxic, self.every))
-            for k in range(each.shape[1]):
+    @property
+    def keys(self) -> np.ndarray:
+        """All keys, ascending (for tests: the whole vocabulary)."""
+        return self.counts.whole(0)
+
+    @property
+    def toxic(self) -> np.ndarray:
+        return self.counts.whole(1)
+
+    @property
+    def every(self) -> np.ndarray:
+        return self.counts.whole(2)
+
+    def log_odds(self, words: Sequence[str]) -> np.ndarray:
+        p = np.full(len(words), self.share)
+        if len(words):
+            toxic, every = self.counts.find(np.array([features(t) for t in words], dtype=np.int64))
+            for k in range(toxic.shape[1]):
                 p = (toxic[:, k] + CONCENTRATION * p) / (every[:, k] + CONCENTRATION)
         p, q = np.clip(p, 1e-6, 1 - 1e-6), self.share
         return np.log(p / (1 - p)) - math.log(q / (1 - q))
 
 
+def _write_counts(batches: Iterator[pa.RecordBatch], root: str) -> Iterator[pa.RecordBatch]:
+    """One file of sorted counts, under a name of this attempt; its manifest row names it."""
+    columns = [[], [], []]
+    for batch in batches:
+        for held, name in zip(columns, ("key", "toxic", "every")):
+            held.append(batch.column(name).to_numpy(zero_copy_only=False).astype("<i8"))
+    keys, toxic, every = (np.concatenate(c) if c else np.zeros(0, "<i8") for c in columns)
+    if not len(keys):
+        return
+    task = TaskContext.get()
+    files, folder = token_files._open(root)
+    files.create_dir(folder, recursive=True)
+    name = f"counts-{task.partitionId():06d}-{task.taskAttemptId()}"
+    with files.open_output_stream(f"{folder}/{name}") as out:
+        for part in (keys, toxic, every):
+            out.write(part.tobytes())
+    yield pa.RecordBatch.from_pydict({"path": [f"{root}/{name}"], "n": pa.array([len(keys)], pa.int64()),
+                                      "first": pa.array([int(keys[0])], pa.int64())})
+
+
 def count_model(labelled: DataFrame) -> Model:
-    """Word counts of labelled texts (``text, toxic``); three numbers per distinct word and stem
-    come back."""
-    rows = labelled.select("text", "toxic").mapInArrow(_count, "key bigint, toxic int, n bigint") \
-        .groupBy("key").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).cast("int").alias("toxic"),
-                            F.sum("n").cast("int").alias("every")).toArrow()
-    key, toxic, every = (rows.column(c) for c in ("key", "toxic", "every"))
-    none = key.is_null()
-    total = [sum(c.filter(none).to_pylist()) for c in (every, toxic)]
-    share = min(max((total[1] + 0.5) / (total[0] + 1.0), 1e-4), 1 - 1e-4)
-    keys, toxic, every = (c.filter(key.is_valid()).to_numpy() for c in (key, toxic, every))
-    order = np.argsort(keys)
-    return Model(keys[order], toxic[order], every[order], float(share))
+    """Word counts of labelled texts (``text, toxic``); a row per file of counts comes back."""
+    spark = labelled.sparkSession
+    counted = materialize(labelled.select("text", "toxic").mapInArrow(_count, "key bigint, toxic int, n bigint")
+                          .groupBy("key").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic"),
+                                              F.sum("n").alias("every")))
+    total = counted.where(F.col("key").isNull()).agg(F.sum("every").alias("every"), F.sum("toxic").alias("toxic")).first()
+    share = min(max(((total.toxic or 0) + 0.5) / ((total.every or 0) + 1.0), 1e-4), 1 - 1e-4)
+    known = counted.where(F.col("key").isNotNull())
+    root = scratch_path(spark, f"tables/counts-{uuid.uuid4().hex}")
+    note_scratch(root)
+    rows = known.repartitionByRange(max(1, -(-known.count() // FILE_KEYS)), "key").sortWithinPartitions("key") \
+        .mapInArrow(partial(_write_counts, root=root), "path string, n bigint, first bigint").collect()
+    rows.sort(key=lambda r: r.first)
+    return Model(CountFiles([r.path for r in rows], [r.n for r in rows],
+                            np.array([r.first for r in rows], dtype=np.int64)), float(share))
 
 
 # ---------------------------------------------------------------- segments
@@ -264,13 +357,12 @@ class Scorer:
 
     def learn(self, pieces: set[str]) -> None:
         """Number new pieces and store their tokens' scores."""
-        if len(self.numbers) + len(pieces) > MEMO_PIECES:
-            self.forget()
         found = {p: words_of(p) for p in pieces}
-        new = list(set(chain.from_iterable(found.values())).difference(self.tokens))
+        each = set(chain.from_iterable(found.values()))
+        new = list(each.difference(self.tokens))
         if len(self.tokens) + len(new) > MEMO_WORDS:
             self.tokens.clear()
-            new = list(set(chain.from_iterable(found.values())))
+            new = list(each)
         if new:
             self.tokens.update(zip(new, (self.model.log_odds(new) - DRIFT).tolist()))
         flat = np.array([self.tokens[t] for words in found.values() for t in words], dtype=np.float64)
@@ -283,15 +375,7 @@ class Scorer:
         self.values[self.used:self.used + len(flat)] = flat
         self.used += len(flat)
 
-    def scores(self, text: str | None) -> np.ndarray:
-        """Scores of the text's tokens in order."""
-        pieces = (text or "").split()
-        new = set(pieces).difference(self.numbers)
-        if new:
-            size = len(self.numbers)
-            self.learn(new)
-            if len(self.numbers) < size + len(new):  # the memo began anew
-                self.learn(set(pieces).difference(self.numbers))
+    def _known(self, pieces: list[str]) -> np.ndarray:
         at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
         start, count = self.start[at], self.count[at]
         if (count == 1).all():
@@ -299,20 +383,38 @@ class Scorer:
         ends = np.cumsum(count)
         return self.values[np.repeat(start - (ends - count), count) + np.arange(ends[-1])]
 
-    def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
-        """Number of tokens, and segments as (first token, end token, score).
+    def scores(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
+        """Scores of each text's tokens in order. New pieces are looked up for many texts at a time."""
+        at = 0
+        while at < len(texts):
+            split, size = [], 0
+            while at < len(texts) and len(split) < 512 and size < TEXT_STEP:
+                split.append((texts[at] or "").split())
+                size += len(texts[at] or "")
+                at += 1
+            every = set().union(*split)
+            new = every.difference(self.numbers)
+            if len(self.numbers) + len(new) > MEMO_PIECES:
+                self.forget()
+                new = every
+            if new:
+                self.learn(new)
+            yield from map(self._known, split)
+
+    def segments(self, texts: Sequence[str | None]) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
+        """Of each text the number of tokens, and segments as (first token, end token, score).
 
         Runs of tokens that score at or below zero only matter by their sum, so the scan sees the
         scoring tokens and one sum per run between them."""
-        s = self.scores(text)
-        up = np.flatnonzero(s > 0)
-        if not len(up):
-            return len(s), []
-        total = np.concatenate([[0.0], np.cumsum(s)])
-        gaps = total[up] - np.concatenate([[total[up[0]]], total[up[:-1] + 1]])
-        mixed = np.column_stack([gaps, s[up]]).ravel().tolist()
-        return len(s), [(int(up[a // 2]), int(up[(b - 1) // 2]) + 1, x)
-                             for a, b, x in maximal_segments(mixed)]
+        for s in self.scores(texts):
+            up = np.flatnonzero(s > 0)
+            if not len(up):
+                yield len(s), []
+                continue
+            total = np.concatenate([[0.0], np.cumsum(s)])
+            gaps = total[up] - np.concatenate([[total[up[0]]], total[up[:-1] + 1]])
+            mixed = np.column_stack([gaps, s[up]]).ravel().tolist()
+            yield len(s), [(int(up[a // 2]), int(up[(b - 1) // 2]) + 1, x) for a, b, x in maximal_segments(mixed)]
 
 
 def surprise(score: float, tokens: int, model: Model) -> float:
@@ -343,8 +445,7 @@ def _token_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
     """Histogram of token scores."""
     scorer, hist = Scorer(model), np.zeros(BINS, dtype=np.int64)
     for batch in batches:
-        for text in batch.column("text"):
-            s = scorer.scores(text.as_py())
+        for s in scorer.scores(batch.column("text").to_pylist()):
             at = np.clip(np.rint((s - BIN_LOW) / BIN), 0, BINS - 1).astype(np.int64)
             hist += np.bincount(at, minlength=BINS)
     at = np.flatnonzero(hist)
@@ -355,7 +456,7 @@ def _best(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Record
     """Per text: number of tokens, and score of the best segment (0 if there is none)."""
     scorer = Scorer(model)
     for batch in batches:
-        rows = [scorer.segments(t.as_py()) for t in batch.column("text")]
+        rows = list(scorer.segments(batch.column("text").to_pylist()))
         yield pa.RecordBatch.from_pydict({
             "tokens": pa.array([n for n, _ in rows], pa.int64()),
             "best": pa.array([max((x for *_, x in f), default=0.0) for _, f in rows], pa.float64())})
@@ -365,7 +466,7 @@ def _summaries(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.R
     """Per text: the two inputs of the logistic function under the calibrated model."""
     scorer = Scorer(model)
     for batch in batches:
-        rows = [summary(*scorer.segments(t.as_py()), model) for t in batch.column("text")]
+        rows = [summary(n, found, model) for n, found in scorer.segments(batch.column("text").to_pylist())]
         yield pa.RecordBatch.from_pydict({
             "toxic": batch.column("toxic"), "x": pa.array([a for a, _ in rows], pa.float64()),
             "many": pa.array([b for _, b in rows], pa.float64())})
@@ -482,9 +583,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, with_passages: bool)
                                ("expected", pa.float64()), ("text", pa.string())]))
     for batch in batches:
         score, places = [], []
-        for t in batch.column("_text"):
-            text = t.as_py()
-            n, found = scorer.segments(text)
+        texts = batch.column("_text").to_pylist()
+        for text, (n, found) in zip(texts, scorer.segments(texts)):
             score.append(probability(summary(n, found, model), model.weights))
             if with_passages:
                 places.append(passages(text, n, found, model) if found else [])

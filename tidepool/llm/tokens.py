@@ -41,7 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Pieces remembered per worker (the more recent half survives when it is full), the longest
 #: remembered, and new ones per call.
-MEMO_PIECES = 400_000
+MEMO_PIECES = 640_000
 MEMO_CHARS = 48
 CALL_PIECES = 4096
 #: Texts encoded together (characters), and documents read by one read task.

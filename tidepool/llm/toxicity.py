@@ -51,7 +51,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 STEMS = (4, 5)
 #: Keys that a counting task holds before it sums them up, and keys per file of counts.
 HELD_KEYS = 1 << 21
-FILE_KEYS = 1 << 22
+FILE_KEYS = 1 << 19
 #: Strength of each prior, in documents.
 CONCENTRATION = 20.0
 #: Taken from every token's log-odds, and the largest expected chance count of a significant one.

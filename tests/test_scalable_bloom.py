@@ -54,6 +54,30 @@ def test_error_stays_under_the_bound_where_a_fixed_filter_fails(spark):
     assert fixed.agg(F.avg(F.col("is_duplicate").cast("double"))).first()[0] > .9
 
 
+def test_a_message_is_one_probe_per_generation_and_drops_out_at_a_missing_bit(spark, monkeypatch):
+    """The rows of the look-ups are one per message and generation, fewer each round, not one per bit."""
+    df = spark.range(3000).select(F.col("id").alias("seq"), F.format_string("message %d", "id").alias("message"))
+    gens = growing.generations(3000, 20, .01)
+    firsts = growing.with_generation(growing.first_arrivals(dedup.key_rows(df)), gens)
+    probes, fill = growing.probe_rows(firsts, gens), growing.first_setters(firsts, gens)
+    assert probes.count() == firsts.agg(F.sum(F.col("generation") + 1)).first()[0]
+    rounds, write = [], growing.materialize
+
+    def noted(rows):
+        rounds.append(write(rows))
+        return rounds[-1]
+    monkeypatch.setattr(growing, "materialize", noted)
+    hits = growing.filled_probes(probes, fill, gens).collect()
+    counts = [r.count() for r in rounds]
+    assert counts[0] < .6 * probes.count() and counts[1] < .6 * counts[0] and counts == sorted(counts, reverse=True)
+    # every bit by hand
+    set_by = {r.key: r.set_by for r in fill.collect()}
+    want = {(r["rank"], r.g) for r in probes.collect()
+            if all(set_by.get(r.g * growing.KEY_SPACE + (r.a + i * r.b) % gens[r.g].size, r.first_seq) < r.first_seq
+                   for i in range(gens[r.g].hashes))}
+    assert {(r["rank"], r.g) for r in hits} == want
+
+
 def test_generations_share_the_error():
     gens = growing.generations(10**9, 1000, .01)
     assert sum(.01 / 2 ** (g.number + 1) for g in gens) < .01

@@ -9,7 +9,8 @@ were set by earlier rows.
 
 Closed form, no walk in order: a message's generation follows from the rank of its first arrival among
 first arrivals, each bit's first setter from one aggregation, and only first arrivals need
-probing, for a later arrival finds its own bits set. Ranks are counted per range of arrival numbers
+probing, for a later arrival finds its own bits set. A message is probed in every generation up to its own, a few
+bits at a time, and drops out of a generation at its first missing bit. Ranks are counted per range of arrival numbers
 (one row per range in the only unpartitioned window). Bit i of generation g is
 ``(h1 + i * h2) mod size`` with h1, h2 the first two 60-bit pieces of the message's MD5 salted with g.
 """
@@ -29,6 +30,8 @@ from tidepool.plans.joins import materialize
 CAPACITY, ERROR = 10_000, 0.01
 #: Arrival numbers per range when first arrivals are ranked.
 RANK_RANGE = 1 << 16
+#: Above every generation's number of bits.
+KEY_SPACE = 1 << 48
 
 
 @dataclass(frozen=True)
@@ -85,12 +88,51 @@ def with_generation(firsts: DataFrame, gens: Sequence[Generation]) -> DataFrame:
     return firsts.withColumn("generation", g.cast("int"))
 
 
-def _all_bits(firsts: DataFrame, gens: Sequence[Generation], own: bool) -> DataFrame:
-    """(msg_id, first_seq, generation, bit) of each message in its own generation, or in those up to it."""
-    each = [F.when((F.col("generation") == gen.number) if own else (F.col("generation") >= gen.number),
-                   F.struct(F.lit(gen.number).alias("g"), bits(F.col("msg_id"), gen).alias("bits"))) for gen in gens]
-    held = firsts.select("msg_id", "first_seq", F.explode(F.array_compact(F.array(*each))).alias("e"))
-    return held.select("msg_id", "first_seq", F.col("e.g").alias("generation"), F.explode("e.bits").alias("bit"))
+def _key(generation: Column, bit: Column) -> Column:
+    """A generation's bit as one long."""
+    return generation.cast("bigint") * F.lit(KEY_SPACE) + bit
+
+
+def first_setters(firsts: DataFrame, gens: Sequence[Generation]) -> DataFrame:
+    """(key, set_by): the first arrival that set each bit, every message in its own generation."""
+    own = F.coalesce(*[F.when(F.col("generation") == gen.number, bits(F.col("msg_id"), gen)) for gen in gens])
+    return firsts.select("first_seq", "generation", F.explode(own).alias("bit")) \
+        .groupBy(_key(F.col("generation"), F.col("bit")).alias("key")).agg(F.min("first_seq").alias("set_by"))
+
+
+def probe_rows(firsts: DataFrame, gens: Sequence[Generation]) -> DataFrame:
+    """(rank, first_seq, g, a, b): a row per message and generation up to its own, with the start and the
+    step of its bits there."""
+    def walk(gen: Generation) -> Column:
+        h1, h2 = _pieces(F.col("msg_id"), gen.number)
+        return F.struct(F.lit(gen.number).alias("g"), (h1 % gen.size).alias("a"), (h2 % gen.size).alias("b"))
+    each = F.array_compact(F.array(*[F.when(F.col("generation") >= gen.number, walk(gen)) for gen in gens]))
+    return firsts.select("rank", "first_seq", F.explode(each).alias("e")).select("rank", "first_seq", "e.*")
+
+
+def filled_probes(probes: DataFrame, fill: DataFrame, gens: Sequence[Generation]) -> DataFrame:
+    """The rows of ``probes`` of which every bit was set before ``first_seq``.
+
+    Bits are looked up in rounds of 1, 1, 2, 4, ... of them, and only rows without a missing bit go on. A
+    generation fills at most half its bits, so half of the rows or fewer pass each bit: about two look-ups per
+    row that misses, instead of one per bit."""
+    size, hashes = (F.element_at(F.array(*[F.lit(v).cast("bigint") for v in values]), F.col("g") + 1)
+                    for values in ([gen.size for gen in gens], [gen.hashes for gen in gens]))
+    id_cols = ["rank", "first_seq", "g", "a", "b"]
+    start, most = 0, max(gen.hashes for gen in gens)
+    while start < most:
+        end = min(max(start * 2, 1), most)
+        place = F.explode(F.sequence(F.lit(start).cast("bigint"), F.least(F.lit(end), hashes) - 1))
+        done, open_rows = probes.where(hashes <= start), probes.where(hashes > start)
+        asked = open_rows.select("*", place.alias("i")) \
+            .withColumn("key", _key(F.col("g"), (F.col("a") + F.col("i") * F.col("b")) % size))
+        found = asked.join(fill, "key", "inner").where(F.col("set_by") < F.col("first_seq"))
+        if end - start > 1:
+            found = found.groupBy(*id_cols).agg(F.count(F.lit(1)).alias("n")) \
+                .where(F.col("n") == F.least(F.lit(end), hashes) - start)
+        probes = materialize(found.select(*id_cols).unionByName(done.select(*id_cols)))
+        start = end
+    return probes
 
 
 def flags(messages: DataFrame, message: str = "message", seq: str = "seq", capacity: int = CAPACITY,
@@ -101,12 +143,9 @@ def flags(messages: DataFrame, message: str = "message", seq: str = "seq", capac
     ranked = materialize(first_arrivals(keyed, seq))
     gens = generations(ranked.count(), capacity, error)
     firsts = materialize(with_generation(ranked, gens))
-    fill = _all_bits(firsts, gens, own=True).groupBy("generation", "bit").agg(F.min("first_seq").alias("set_by"))
-    probes = _all_bits(firsts, gens, own=False).join(fill, ["generation", "bit"], "left")
-    per = probes.groupBy("msg_id", "first_seq", "generation").agg(
-        F.max(F.when(F.col("set_by") < F.col("first_seq"), F.lit(0)).otherwise(F.lit(1))).alias("missing"))
-    hits = materialize(per.where("missing = 0").select("msg_id").distinct())
-    held = firsts.join(hits.withColumn("hit", F.lit(True)), "msg_id", "left") \
+    fill = materialize(first_setters(firsts, gens))
+    hits = materialize(filled_probes(probe_rows(firsts, gens), fill, gens).select("rank").distinct())
+    held = firsts.join(hits.withColumn("hit", F.lit(True)), "rank", "left") \
         .select("msg_id", "first_seq", "generation", F.coalesce("hit", F.lit(False)).alias("hit"))
     later = F.col(seq) > F.col("first_seq")
     return keyed.join(held, "msg_id", "inner").select(

@@ -4,6 +4,7 @@ import os
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,51 @@ def test_state_is_read_by_key_not_as_a_whole(spark, workdir):
     assert [r.is_duplicate for r in got] == [True, False, True]
 
 
+class Held:
+    """Map state in a dictionary that counts its calls."""
+
+    def __init__(self):
+        self.rows, self.calls = {}, 0
+
+    def containsKey(self, k):
+        self.calls += 1
+        return k in self.rows
+
+    def getValue(self, k):
+        return self.rows[k]
+
+    def updateValue(self, k, v):
+        self.calls += 1
+        self.rows[k] = v
+
+
+def test_one_call_serves_the_keys_of_a_bucket():
+    """Frames of many keys in any order over three epochs against a walk; state is asked once per key and epoch."""
+    rng = random.Random(7)
+    exact, near = keyed_state.ExactFlag(["msg_id"], None), keyed_state.NearFlag(["k0", "k1"], None)
+    exact.first, near.first = Held(), Held()
+    seen, first, number = set(), {}, 0
+    for _ in range(3):
+        rows = []
+        for _ in range(200):
+            m = rng.randrange(60)
+            rows.append((number, f"m{m}", m % 4, m % 3, 5))
+            number += 1
+        want = {}
+        for seq, m, *k, _ in rows:
+            want[seq] = (m in seen, first.setdefault(tuple(k), m) != m)
+            seen.add(m)
+        rng.shuffle(rows)
+        frames = [pd.DataFrame(rows[i:i + 70], columns=["seq", "msg_id", "k0", "k1", "bucket"]) for i in range(0, 200, 70)]
+        for part in (exact, near):
+            part.first.calls = 0
+        mid = list(exact.handleInputRows((5,), iter(frames), None))
+        out = list(near.handleInputRows((5,), iter(mid), None))
+        assert exact.first.calls <= 2 * 60 and near.first.calls <= 2 * 12
+        got = {r.seq: (r.is_duplicate, r.is_near_duplicate) for f in out for r in f.itertuples()}
+        assert sum(map(len, out)) == 200 and got == want
+
+
 def test_settings_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with pytest.raises(ZeroDivisionError):

@@ -6,10 +6,12 @@ on the executors, checkpointed with the stream's offsets). An epoch reads and wr
 keys only, however large the state is, and a restart on the same checkpoint goes on where the stream was.
 
 Order of arrival is (epoch, ``seq``): earlier epochs first, then the order column within an epoch.
-A key's rows reach its task in no order and in any number; the exact flag holds back one row (the least so
-far), so it needs no memory per row. The near flag of a key that no epoch before had needs the first
+Keys are dealt into ``BUCKETS`` buckets by hash, and a bucket's state is a map with one entry per key: a call
+into Python and a frame back serve a bucket's rows of the epoch, not a single key's, while state is still read and
+written key by key. Rows reach their task in no order and in any number; the exact flag holds back one
+row per new key (the least so far). The near flag of a key that no epoch before had needs the first
 id before it can judge any row, so the rows of such a key wait, as narrow columns, until the epoch's rows of
-that key were read; for a known key they stream through. The trigger bounds an epoch
+its bucket were read; for a known key they stream through. The trigger bounds an epoch
 (``maxFilesPerTrigger``). ``ttl_ms`` lets keys go that were not written for so long; None keeps all.
 """
 
@@ -23,6 +25,7 @@ from contextlib import contextmanager
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidepool import config
@@ -30,66 +33,100 @@ from tidepool.operators import dedup
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Buckets of keys; the state depends on it, so it stays for the life of a checkpoint.
+BUCKETS = 4096
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class _First(StatefulProcessor):
-    """State of a key: whether it was seen and the message id that came first."""
+    """State of a bucket: per key of it, the message id that came first."""
 
-    def __init__(self, ttl_ms: int | None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, keys: list[str], ttl_ms: int | None):
+        self.keys, self.ttl_ms = keys, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getValueState("first", "msg_id string", self.ttl_ms)
+        key = ", ".join(f"{k} {'string' if k == 'msg_id' else 'bigint'}" for k in self.keys)
+        self.first = handle.getMapState("first", key, "msg_id string", self.ttl_ms)
 
     def close(self) -> None:
         pass
 
+    def keys_of(self, frame: pd.DataFrame) -> list[tuple]:
+        return list(zip(*(frame[k].tolist() for k in self.keys)))
+
+
+def _before(seq, other) -> bool:
+    """Order of arrival: a row without number comes last."""
+    return seq < other or (other != other and seq == seq)
+
 
 class ExactFlag(_First):
-    """``is_duplicate``: an earlier row has the same message id (the key)."""
+    """``is_duplicate``: an earlier row has the same key."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = None
-        seen = self.first.exists()
+        seen, held = set(), {}  # keys of earlier epochs; of a new key the least row so far
+        names = None
         for frame in rows:
-            if not len(frame):
-                continue
-            if not seen:
-                frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
-                least = frame["seq"].idxmin()
-                held, frame = frame.loc[[least]], frame.drop(index=least)
-            if len(frame):
-                yield frame.assign(is_duplicate=True)
-        if held is not None:
-            self.first.update((key[0],))
-            yield held.assign(is_duplicate=False)
+            names, at, later = list(frame.columns), frame.columns.get_loc("seq"), []
+            for k, row in zip(self.keys_of(frame), frame.itertuples(index=False, name=None)):
+                if k not in seen and k not in held:
+                    if not self.first.containsKey(k):
+                        held[k] = row
+                        continue
+                    seen.add(k)
+                if k in held and _before(row[at], held[k][at]):
+                    row, held[k] = held[k], row
+                later.append(row)
+            if later:
+                yield pd.DataFrame(later, columns=names).assign(is_duplicate=True)
+        if held:
+            for k, row in held.items():
+                self.first.updateValue(k, (row[names.index("msg_id")],))
+            yield pd.DataFrame(list(held.values()), columns=names).assign(is_duplicate=False)
 
 
 class NearFlag(_First):
     """``is_near_duplicate``: the band key (the key) was first taken by another message id."""
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = self.first.get()[0] if self.first.exists() else None
-        waiting = []
+        first, least, waiting = {}, {}, []  # first ids of known keys; (seq, id) of new ones
         for frame in rows:
-            if first is None:
-                waiting.append(frame)
-            else:
-                yield frame.assign(is_near_duplicate=frame["msg_id"] != first)
-        waiting = [f for f in waiting if len(f)]
-        if waiting:
-            least = min(waiting, key=lambda f: f["seq"].min())
-            first = least.loc[least["seq"].idxmin(), "msg_id"]
-            self.first.update((first,))
+            keys, known = self.keys_of(frame), []
+            for k, seq, msg_id in zip(keys, frame["seq"].tolist(), frame["msg_id"].tolist()):
+                if k not in first and k not in least:
+                    held = self.first.getValue(k) if self.first.containsKey(k) else None
+                    if held is None:
+                        least[k] = (seq, msg_id)
+                    else:
+                        first[k] = held[0]
+                elif k in least and _before(seq, least[k][0]):
+                    least[k] = (seq, msg_id)
+                known.append(k in first)
+            if all(known):
+                yield self._flagged(frame, keys, first)
+                continue
+            if any(known):
+                yield self._flagged(frame[known], [k for k, y in zip(keys, known) if y], first)
+                frame = frame[[not y for y in known]]
+            waiting.append(frame)
+        if least:
+            first = {k: msg_id for k, (_, msg_id) in least.items()}
+            for k, msg_id in first.items():
+                self.first.updateValue(k, (msg_id,))
             for frame in waiting:
-                yield frame.assign(is_near_duplicate=frame["msg_id"] != first)
+                yield self._flagged(frame, self.keys_of(frame), first)
+
+    def _flagged(self, frame: pd.DataFrame, keys: list[tuple], first: dict[tuple, str]) -> pd.DataFrame:
+        return frame.assign(is_near_duplicate=[m != first[k] for m, k in zip(frame["msg_id"].tolist(), keys)])
 
 
-def _stateful(df: DataFrame, keys: list[str], processor: _First, flag: str) -> DataFrame:
+def _stateful(df: DataFrame, processor: _First, flag: str) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.groupBy(*keys).transformWithStateInPandas(
-        processor, f"{schema}, {flag} boolean", "Append", "None" if processor.ttl_ms is None else "ProcessingTime")
+    bucket = F.pmod(F.xxhash64(*processor.keys), F.lit(BUCKETS)).cast("int")
+    out = df.withColumn("bucket", bucket).groupBy("bucket").transformWithStateInPandas(
+        processor, f"{schema}, bucket int, {flag} boolean", "Append",
+        "None" if processor.ttl_ms is None else "ProcessingTime")
+    return out.drop("bucket")
 
 
 def keyed_flags(messages: DataFrame, rows: int = config.LSH_ROWS, ttl_ms: int | None = None) -> DataFrame:
@@ -97,8 +134,8 @@ def keyed_flags(messages: DataFrame, rows: int = config.LSH_ROWS, ttl_ms: int |
     keys = [f"k{j}" for j in range(rows)]
     keyed = dedup.with_band(dedup.with_message_keys(messages.select("seq", "message")), rows)
     narrow = keyed.select("seq", "msg_id", *keys)
-    exact = _stateful(narrow, ["msg_id"], ExactFlag(ttl_ms), "is_duplicate")
-    near = _stateful(exact, keys, NearFlag(ttl_ms), "is_near_duplicate")
+    exact = _stateful(narrow, ExactFlag(["msg_id"], ttl_ms), "is_duplicate")
+    near = _stateful(exact, NearFlag(keys, ttl_ms), "is_near_duplicate")
     return near.select("seq", "msg_id", "is_duplicate", "is_near_duplicate")
 
 

@@ -111,3 +111,17 @@ def test_a_task_skips_what_an_earlier_band_compares():
     one, two = (True, 1, 1, ids, np.array([4, 5])), (True, 2, 2, ids, np.array([4, 5]))
     assert minhash.meeting_links(0, [one, two], .8) == [(1, 2)]
     assert minhash.meeting_links(1, [one, two], .8) == []
+
+
+def test_sketches_leave_a_batch_in_parts(monkeypatch):
+    """One batch of texts comes back as several small arrays, rows and values as of one text at a time."""
+    import pyarrow as pa
+    texts = [" ".join(f"w{(i * 7 + j) % 90}" for j in range(i % 60)) for i in range(80)]
+    one = sketch._udf.__wrapped__(5, 4, 5).func
+    want = [one(iter([pa.array([t])])) for t in texts]
+    want = [next(w)[0].as_py() for w in want]
+    monkeypatch.setattr(sketch, "HELD_IDS", 200)
+    parts = list(one(iter([pa.array(texts)])))
+    assert len(parts) > 5 and max(len(p.field("ids").flatten()) for p in parts) <= 200 + 60
+    assert [row for p in parts for row in p.to_pylist()] == want
+    assert [len(w["ids"]) for w in want] == [len(sketch.shingles(t, 5)) for t in texts]

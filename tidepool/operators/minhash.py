@@ -42,6 +42,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 20, 5
 #: Sets per cell of a bucket.
 CELL = 256
+#: Sets taken out of an Arrow batch together.
+BATCH_SETS = 256
 #: Shares of a set's look-up key, so that a set that is the least of very many is not one join key.
 SALTS = 16
 
@@ -141,21 +143,23 @@ def _meetings(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[
     def emit(found):
         return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
     meeting, rows = None, []
-    for batch in batches:
-        out = []
-        get = lambda name: batch.column(name).to_pylist()
-        arrays = {}
-        for name in ("ids", "bands"):
-            column = batch.column(name)
-            start, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
-            arrays[name] = [values[a:b].copy() for a, b in zip(start, start[1:])]
-        for at, row in enumerate(zip(get("band"), get("meeting"), get("first"), get("rep"), get("root"))):
-            if row[:2] != meeting:
-                if rows:
-                    out += meeting_links(meeting[0], rows, similarity)
-                meeting, rows = row[:2], []
-            rows.append((*row[2:], arrays["ids"][at], arrays["bands"][at]))
-        yield emit(out)
+    for whole in batches:
+        for at in range(0, whole.num_rows, BATCH_SETS):
+            batch, out = whole.slice(at, BATCH_SETS), []
+            arrays = {}
+            for name in ("ids", "bands"):
+                column = batch.column(name)
+                start, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+                arrays[name] = [values[a:b].copy() for a, b in zip(start, start[1:])]
+            narrow = zip(*(batch.column(name).to_pylist() for name in ("band", "meeting", "first", "rep", "root")),
+                         arrays["ids"], arrays["bands"])
+            for row in narrow:
+                if row[:2] != meeting:
+                    if rows:
+                        out += meeting_links(meeting[0], rows, similarity)
+                    meeting, rows = row[:2], []
+                rows.append(row[2:])
+            yield emit(out)
     if rows:
         yield emit(meeting_links(meeting[0], rows, similarity))
 

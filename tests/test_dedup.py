@@ -155,3 +155,16 @@ def test_shuffle_fallback_when_lookups_are_too_large(spark, monkeypatch):
             else:
                 spark.conf.set(k, v)
     assert got == want and got_e == want_e
+
+
+def test_token_memo_is_bounded_however_many_tokens(spark, monkeypatch):
+    """A batch of ever new tokens leaves a memo of bounded size and the same counts."""
+    from tidepool.functions import vectors
+    texts = [" ".join(f"w{i * 37 + j}" for j in range(50)) for i in range(40)]
+    want = [bucket_vector_py(t, 15) for t in texts]
+    monkeypatch.setattr(vectors, "MEMO_TOKENS", 64)
+    cache = {}
+    assert [bucket_vector_py(t, 15, cache) for t in texts] == want and 0 < len(cache) <= 64
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, ""])], "i int, t string")
+    got = df.select("i", vectors.bucket_vector(F.col("t"), 15).alias("v")).orderBy("i").collect()
+    assert [r.v for r in got] == [*want, [0] * 15, [0] * 15]

@@ -4,6 +4,7 @@ import pickle
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tidepool.llm import toxicity
 
@@ -49,3 +50,24 @@ def test_scores_by_piece_equal_scores_by_token(spark, monkeypatch):
         for text, s in zip(texts, got):
             want = model.log_odds(toxicity.words_of(text)) - toxicity.DRIFT
             assert np.allclose(s, want) and len(s) == len(want)
+
+
+def test_texts_of_few_rows_leave_a_batch_together(monkeypatch):
+    """Every pass takes a large batch in slices, all rows in order; a word piece is held once."""
+    batch = pa.RecordBatch.from_pydict({"text": [f"t{i}" for i in range(1100)]})
+    assert pa.Table.from_batches(toxicity._parts(iter([batch]))).equals(pa.Table.from_batches([batch]))
+    asked = []
+
+    class Asked:
+        def __init__(self, model):
+            pass
+
+        def segments(self, texts):
+            asked.extend(texts)
+            assert len(texts) <= toxicity.BATCH_ROWS < 1100
+            return [(int(t[1:]), []) for t in texts]
+    monkeypatch.setattr(toxicity, "Scorer", Asked)
+    found = [n for part in toxicity._best(iter([batch]), None) for n in part.column("tokens").to_pylist()]
+    assert found == list(range(1100)) and asked == batch.column("text").to_pylist()
+    piece = "".join(["wo", "rd"])
+    assert toxicity.piece_words(piece)[0] is piece and list(toxicity.piece_words("a-b")) == ["a", "b"]

@@ -64,6 +64,8 @@ COUNT_FOLDS = (1, 2, 3)
 FIT_ROWS = 20_000
 MEMO_WORDS = 300_000
 MEMO_PIECES = 400_000
+#: Rows taken out of an Arrow batch together.
+BATCH_ROWS = 512
 #: Characters of texts whose new pieces are looked up together.
 TEXT_STEP = 1_000_000
 
@@ -133,12 +135,18 @@ def words_of(text: str | None) -> list[str]:
     return [text[a:b] for a, b in spans_of(text)]
 
 
+def piece_words(piece: str) -> Sequence[str]:
+    """The tokens of a piece without white space; one that is a word is not held twice."""
+    found = words_of(piece)
+    return (piece,) if len(found) == 1 and found[0] == piece else found
+
+
 class PieceTokens(dict):
     """Tokens of a piece without white space, remembered. No token spans white space, so the tokens
     of a text are those of its pieces in order; the pattern runs once per distinct piece."""
 
-    def __missing__(self, piece: str) -> list[str]:
-        found = words_of(piece)
+    def __missing__(self, piece: str) -> Sequence[str]:
+        found = piece_words(piece)
         if len(self) < MEMO_PIECES:
             self[piece] = found
         return found
@@ -357,7 +365,7 @@ class Scorer:
 
     def learn(self, pieces: set[str]) -> None:
         """Number new pieces and store their tokens' scores."""
-        found = {p: words_of(p) for p in pieces}
+        found = {p: piece_words(p) for p in pieces}
         each = set(chain.from_iterable(found.values()))
         new = list(each.difference(self.tokens))
         if len(self.tokens) + len(new) > MEMO_WORDS:
@@ -441,10 +449,17 @@ BIN_LOW, BIN_HIGH = -30.0, 30.0
 BINS = int((BIN_HIGH - BIN_LOW) / BIN) + 1
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a worker holds the texts of few rows beside the batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _token_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Histogram of token scores."""
     scorer, hist = Scorer(model), np.zeros(BINS, dtype=np.int64)
-    for batch in batches:
+    for batch in _parts(batches):
         for s in scorer.scores(batch.column("text").to_pylist()):
             at = np.clip(np.rint((s - BIN_LOW) / BIN), 0, BINS - 1).astype(np.int64)
             hist += np.bincount(at, minlength=BINS)
@@ -455,7 +470,7 @@ def _token_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[p
 def _best(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Per text: number of tokens, and score of the best segment (0 if there is none)."""
     scorer = Scorer(model)
-    for batch in batches:
+    for batch in _parts(batches):
         rows = list(scorer.segments(batch.column("text").to_pylist()))
         yield pa.RecordBatch.from_pydict({
             "tokens": pa.array([n for n, _ in rows], pa.int64()),
@@ -465,7 +480,7 @@ def _best(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.Record
 def _summaries(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Per text: the two inputs of the logistic function under the calibrated model."""
     scorer = Scorer(model)
-    for batch in batches:
+    for batch in _parts(batches):
         rows = [summary(n, found, model) for n, found in scorer.segments(batch.column("text").to_pylist())]
         yield pa.RecordBatch.from_pydict({
             "toxic": batch.column("toxic"), "x": pa.array([a for a, _ in rows], pa.float64()),
@@ -581,7 +596,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: Model, with_passages: bool)
     scorer = Scorer(model)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64()),
                                ("expected", pa.float64()), ("text", pa.string())]))
-    for batch in batches:
+    for batch in _parts(batches):
         score, places = [], []
         texts = batch.column("_text").to_pylist()
         for text, (n, found) in zip(texts, scorer.segments(texts)):

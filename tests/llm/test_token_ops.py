@@ -49,6 +49,64 @@ def test_encoder_with_added_tokens_equals_unmodified_library(name):
         assert np.frombuffer(b, enc.dtype).tolist() == library.encode(t or "", add_special_tokens=False).ids
 
 
+class Counting:
+    """The library's tokenizer, counting the strings given to it."""
+
+    def __init__(self, inner):
+        self.inner, self.given = inner, 0
+
+    def __getattr__(self, name):
+        return getattr(self.inner, name)
+
+    def encode(self, what, **more):
+        self.given += len(what) if isinstance(what, list) else 1
+        return self.inner.encode(what, **more)
+
+    def encode_batch_fast(self, what, **more):
+        self.given += sum(len(x) if isinstance(x, list) else 1 for x in what)
+        return self.inner.encode_batch_fast(what, **more)
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_a_word_is_merged_once_whatever_marks_follow(name):
+    words = ["".join(w) for w in zip(*[iter("anthereinouedstionlyhawhshbleor" * 20)] * 7)]
+    words = sorted(set(words))
+    marks = ["", ".", ",", "!!", "***", ".###", "%%%", ")", "...", "?!", "&&&", "_"]
+    texts = [" ".join(w + m for w in words) for m in marks]
+    enc = tokens.Encoder(public_tokenizers.path(name))
+    enc.model, enc.plain = Counting(enc.model), Counting(enc.plain)
+    ids = plain(name)
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(texts)] == [ids(t) for t in texts]
+    assert len(words) > 20
+    assert enc.model.given + enc.plain.given <= 2 * (len(words) + 1) + 2 * len(marks) + 2
+    before = enc.model.given + enc.plain.given
+    enc.encode(texts)
+    assert enc.model.given + enc.plain.given == before
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+@pytest.mark.parametrize("memo", [1, 40, 400_000])
+def test_marks_cases_and_scripts_equal_library(name, memo, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", memo)
+    monkeypatch.setattr(tokens, "CALL_PIECES", 7)
+    rng = random.Random(memo)
+    heads = ["", "(", "'", "\0", "_", "9"]
+    cores = ["Word", "WORD", "word", "Éa", "ÉA", "ß", "ÿ", "ÀÖ", "×", "÷a", "don", "x" * 60, "日本", "Σς", "aΣ", "4", "ªº", "µm"]
+    tails = ["", ".", "'s", "'", "'S.", "!!", "_", "__x", "***.", "~`", "\\]^", "\0", "…", "´", "\u0301", "’s"]
+
+    def piece():
+        return rng.choice(heads[:1] * 4 + heads) + rng.choice(cores) + rng.choice(tails)
+
+    texts = ["".join(piece() + rng.choice([" ", " ", " ", "\n", "  "]) for _ in range(rng.randrange(1, 9))).strip(" ")
+             for _ in range(600)] + ODD
+    enc, ids = tokens.Encoder(public_tokenizers.path(name)), plain(name)
+    want = [ids(t) for t in texts]
+    got = [b for at in range(0, len(texts), 50) for b in enc.encode(texts[at:at + 50])]
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in got] == want
+    assert [np.frombuffer(b, enc.dtype).tolist() for b in enc.encode(texts)] == want
+    assert enc.encode([]) == [] and enc.encode([None, ""]) == [b"", b""]
+
+
 def test_queries_find_added_tokens_as_the_library(spark, workdir):
     import corpus_pipeline
     from tidepool.llm import queries

@@ -1,9 +1,11 @@
 """Token ids of whole texts, and token files: flat unsigned integers with 64-bit offsets.
 
 Encoding goes through a public tokenizer file (its path is a parameter). Byte-pair tokenizers that
-pre-split at white space give a text's ids as the ids of its space-led pieces one after another,
-so pieces are encoded once per worker and remembered in a bounded memo. Of new pieces, plain Latin
-words go through the library's merges many at a time, all others through the whole tokenizer. With
+pre-split at white space give a text's ids as the ids of its space-led pieces one after another, so
+a step's texts are cut at spaces in Arrow and each distinct piece is looked up once. Plain Latin words
+with marks behind them are looked up by the word and by the marks, all others as they are, in bounded
+memos held as Arrow columns that live as long as the worker. New words go through the library's merges
+many at a time, new marks and other pieces through the whole tokenizer. With
 ``added_tokens`` the strings of added tokens in a text become their ids, as the library does by
 default: such a text goes whole through the tokenizer. Without, special ones are ordinary text.
 
@@ -25,11 +27,12 @@ import re
 import sys
 import uuid
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,34 +42,99 @@ from tidepool.session import scratch_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Pieces remembered per worker (the more recent half survives when it is full), the longest
-#: remembered, and new ones per call.
+#: Words remembered per worker (the more recent half survives when it is full; as many other pieces),
+#: the longest remembered, and new ones per call.
 MEMO_PIECES = 400_000
 MEMO_CHARS = 48
 CALL_PIECES = 4096
-#: Texts encoded together (characters), and documents read by one read task.
-TEXT_STEP = 500_000
+#: Texts encoded together (characters, rows), and documents read by one read task.
+TEXT_STEP = 4_000_000
+TEXT_ROWS = 8192
 READ_DOCS = 4096
 
-#: Pieces of Latin letters with at most one mark after them: pre-tokenizers cut them there only.
-SIMPLE = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,;:!?]?)")
+LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: Marks that may follow a word: ASCII punctuation and symbols.
+MARKS = r"!-/:-@\[-`{-~"
 #: White space but spaces and line feeds.
 OTHER_SPACE = re.compile(r"[^\S \n]")
 PIECE_EDGE = re.compile(r"(?<=\S)(?= \S)")
+SPACE, NO_TEXT, NO_IDS = pa.scalar(" ", pa.large_string()), pa.scalar("", pa.large_string()), pa.scalar(b"", pa.large_binary())
 
 
-def pieces(text: str) -> list[str]:
-    """Pieces whose ids, one after another, are the text's: the first led by a tab (it has nothing
-    before it), words that begin a line by a line feed, all others stand for a space and a word."""
-    odd = "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() \
+def odd(text: str) -> bool:
+    """Whether some space or line feed does not stand by itself between words, or there is other space."""
+    return "  " in text or "\n\n" in text or " \n" in text or "\n " in text or text[0].isspace() \
         or text[-1].isspace() or OTHER_SPACE.search(text) is not None
-    if not odd:  # every space and line feed stands by itself between words
-        cut = text.replace("\n", " \n").split(" ")
-    else:
-        first, *rest = PIECE_EDGE.split(text)
-        cut = [first, *(p[1:] for p in rest)]
-    cut[0] = "\t" + cut[0]
-    return cut
+
+
+def pieces(texts: Sequence[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of all texts, and the number of pieces before each text and in all. A text's pieces, encoded
+    one after another, give its ids: the first is led by a tab (it has nothing before it), words that
+    begin a line by a line feed, all others stand for a space and a word."""
+    even, rest, last = [], [], []  # runs of even texts are cut in Arrow, the rest one by one
+    runs, counts = [], np.zeros(len(texts) + 1, dtype=np.int64)
+
+    def close() -> None:
+        if rest:
+            runs.append(pa.array(rest, pa.large_string()))
+            rest.clear()
+        if even:
+            cut = pc.split_pattern(pa.array(even, pa.large_string()), " ")
+            counts[np.array(last) + 1] = cut.value_lengths().to_numpy()
+            runs.append(cut.flatten())
+            even.clear()
+            last.clear()
+
+    for i, t in enumerate(texts):
+        if t and odd(t):
+            if even:
+                close()
+            first, *others = PIECE_EDGE.split(t)
+            rest.extend(["\t" + first, *(p[1:] for p in others)])
+            counts[i + 1] = 1 + len(others)
+        elif t:
+            if rest:
+                close()
+            even.append("\t" + t.replace("\n", " \n"))
+            last.append(i)
+    close()
+    return pa.concat_arrays(runs) if runs else pa.array([], pa.large_string()), np.cumsum(counts)
+
+
+class Memo:
+    """Ids of strings, learned when first asked for. Keys and ids are Arrow columns; when those
+    learned or used since the last time fill half the memo, the half before them is forgotten."""
+
+    def __init__(self, learn: Callable[[list[str]], list[bytes | None]]):
+        self.learn = learn
+        self.recent = self.older = (pa.array([], pa.large_string()), pa.array([], pa.large_binary()))
+
+    def get(self, keys: pa.Array) -> pa.Array:
+        """Ids of distinct keys (none may be null)."""
+        if len(self.recent[0]) > MEMO_PIECES // 2:
+            self.older, self.recent = self.recent, (self.recent[0][:0], self.recent[1][:0])
+        at = pc.index_in(keys, value_set=self.recent[0])
+        if at.null_count == 0:
+            return self.recent[1].take(at)
+        asked = keys.filter(at.is_null())
+        was = pc.index_in(asked, value_set=self.older[0])
+        new = asked.filter(was.is_null())
+        keys_in = pa.concat_arrays([asked.filter(was.is_valid()), new])
+        ids_in = pa.concat_arrays([self.older[1].take(was.drop_null()),
+                                   pa.array(self.learn(new.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())])
+        base, lost = len(self.recent[0]), was.is_null().to_numpy(zero_copy_only=False)
+        place = np.where(lost, len(lost) - lost.sum() + np.cumsum(lost) - 1, np.cumsum(~lost) - 1)
+        every = at.fill_null(0).to_numpy().astype(np.int64)
+        every[at.is_null().to_numpy(zero_copy_only=False)] = base + place
+        out = pa.concat_arrays([self.recent[1], ids_in]).take(pa.array(every))
+        short = pc.less_equal(pc.utf8_length(keys_in), MEMO_CHARS)
+        self.recent = tuple(pa.concat_arrays([old, x.filter(short)]) for old, x in zip(self.recent, (keys_in, ids_in)))
+        return out
+
+    def of(self, strings: pa.Array) -> pa.Array:
+        """Ids of any strings; null for null ones."""
+        each = strings.dictionary_encode()
+        return self.get(each.dictionary).take(each.indices)
 
 
 class Encoder:
@@ -80,19 +148,22 @@ class Encoder:
         self.plain = Tokenizer.from_file(path)
         self.plain.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.plain.get_vocab_size() <= 1 << 16 else "<u4")
-        self.memo: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         self.model = Tokenizer(self.plain.model)  # the same merges on words cut and mapped before
         # What the tokenizer's own pre-tokenizer makes of a space-led word of each letter.
-        letters = [c for c in map(chr, range(256)) if SIMPLE.fullmatch(c)]
-        cut = {c: self.plain.pre_tokenizer.pre_tokenize_str(self._normal(f" x{c}")) for c in letters}
-        heads = {v[0][0][:v[0][0].index("x")] for v in cut.values() if len(v) == 1}
+        letters = re.findall(f"[{LATIN}]", "".join(map(chr, range(256))))
+        cut = {c: self._cut(f" x{c}") for c in letters}
+        heads = {v[0][:v[0].index("x")] for v in cut.values() if len(v) == 1}
         self.head = heads.pop() if len(heads) == 1 else None
         if self.head is not None:
-            self.mapped = {ord(c): v[0][0][len(self.head) + 1:] for c, v in cut.items() if len(v) == 1}
-        self.words: dict[str, bytes] = {}
-        self.leads = {"": b"", "\t": b"", "\n": self.direct("\n")}
-        self.marks = {m: self._after(m) for m in ".,;:!?"} | {"": b""}
+            self.mapped = {ord(c): v[0][len(self.head) + 1:] for c, v in cut.items() if len(v) == 1}
+            self.folds = all(self.mapped.get(c) == self.mapped.get(ord(chr(c).lower())) for c in self.mapped)
+            whole = "".join(rf"\x{{{c:x}}}" for c in self.mapped)
+            self.simple = rf"\A(?P<lead>[\t\n]?)(?P<word>[{whole}]+)(?P<marks>[{MARKS}]*)\z"
+            self.stop = self._stop()
+        self.leads = Memo(lambda new: [self.direct(x.strip("\t")) for x in new])
+        self.words = Memo(self._merge)
+        self.marks = Memo(lambda new: [self._after(x) for x in new])
+        self.others = Memo(self._alone)
         self.added = [t.content for t in added]
         self.added_normal = [self._normal(t.content) for t in added if t.normalized and self.plain.normalizer]
 
@@ -108,9 +179,23 @@ class Encoder:
         normal = self._normal(text)
         return any(a in normal for a in self.added_normal)
 
-    def _after(self, mark: str) -> bytes:
-        """Ids a mark adds behind a letter."""
-        return self.direct(f" x{mark}")[len(self.direct(" x")):]
+    def _cut(self, text: str) -> list[str]:
+        return [p for p, _ in self.plain.pre_tokenizer.pre_tokenize_str(self._normal(text))]
+
+    def _after(self, marks: str) -> bytes | None:
+        """Ids that marks add behind a letter; None if they are not cut off from it."""
+        if marks and self._cut(f" x{marks}")[:1] != self._cut(" x"):
+            return None
+        return self.direct(f" x{marks}")[len(self.direct(" x")):]
+
+    def _stop(self) -> tuple[str, int] | None:
+        """A symbol that is no part of any mapped letter and whose id, if it stands alone, no word has."""
+        for c in "!#$%&":
+            ids = self.model.encode([c], is_pretokenized=True, add_special_tokens=False).ids
+            if len(ids) == 1 and c in self.model.id_to_token(ids[0]) \
+                    and not any(c in x for x in [self.head, *self.mapped.values()]):
+                return c, ids[0]
+        return None
 
     def direct(self, text: str) -> bytes:
         return np.array(self.plain.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -121,48 +206,50 @@ class Encoder:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Remember new pieces. Plain words with a mark behind them go to the merges directly,
-        many in one call; any other piece goes through the whole tokenizer by itself."""
-        simple, other, w = {}, [], self.dtype.itemsize
-        for p in new:
-            lead = p[0] if p[0] in "\t\n" else ""
-            m = SIMPLE.fullmatch(p, len(lead)) if self.head is not None else None
-            if m is None:
-                other.append(p)
-            else:
-                word = m[1].translate(self.mapped)
-                simple[p] = (self.leads[lead], word if lead else self.head + word, self.marks[m[2]])
-        self.memo.update(zip(other, self._alone(other)))
-        every = {word for _, word, _ in simple.values()}
-        unknown = list(every.difference(self.words))
-        if len(self.words) + len(unknown) > MEMO_PIECES // 4:
-            self.words.clear()
-            unknown = list(every)
-        for at in range(0, len(unknown), CALL_PIECES):
-            part = unknown[at:at + CALL_PIECES]
-            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
-            ends = np.searchsorted(np.array(got.word_ids), np.arange(len(part)), side="right") * w
-            data = np.array(got.ids, self.dtype).tobytes()
-            cuts = [0, *ends.tolist()]
-            self.words.update(zip(part, (data[a:b] for a, b in zip(cuts, cuts[1:])), strict=True))
-        self.memo.update((p, lead + self.words[word] + mark) for p, (lead, word, mark) in simple.items())
+    def _merge(self, new: list[str]) -> list[bytes]:
+        """Ids of words through the library's merges directly, many in one call: the ids of a stop between
+        them tell where each ends."""
+        words = [self.head + x[1:].translate(self.mapped) if x[0] == " " else x.translate(self.mapped) for x in new]
+        if self.stop is None:
+            return [np.array(e.ids, self.dtype).tobytes() for e in self.model.encode_batch_fast(
+                [[x] for x in words], is_pretokenized=True, add_special_tokens=False)]
+        stop, stop_id = self.stop
+        w, out = self.dtype.itemsize, []
+        for at in range(0, len(words), CALL_PIECES):
+            part = words[at:at + CALL_PIECES]
+            apart = [stop] * (2 * len(part))
+            apart[::2] = part
+            got, = self.model.encode_batch_fast([apart], is_pretokenized=True, add_special_tokens=False)
+            ids = np.array(got.ids, self.dtype)
+            ends = np.flatnonzero(ids == stop_id)
+            starts, data = [0, *((ends + 1) * w).tolist()], ids.tobytes()
+            out.extend(data[a:b] for a, b in zip(starts[:len(part)], (ends * w).tolist(), strict=True))
+        return out
+
+    def _of(self, distinct: pa.Array) -> pa.Array:
+        """Ids of distinct pieces."""
+        if self.head is None:
+            return self.others.get(distinct)
+        lead, word, marks = pc.extract_regex(distinct, self.simple).flatten()
+        key = pc.utf8_lower(word) if self.folds else word
+        if self.head:
+            key = pc.binary_join_element_wise(pc.if_else(pc.equal(lead, ""), SPACE, NO_TEXT), key, NO_TEXT)
+        ids = pc.binary_join_element_wise(self.leads.of(lead), self.words.of(key), self.marks.of(marks), NO_IDS)
+        if ids.null_count:
+            other = ids.is_null()
+            ids = pc.replace_with_mask(ids, other, self.others.get(distinct.filter(other)))
+        return ids
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``dtype``."""
         whole = {i for i, t in enumerate(texts) if t and self._has_added(t)} if self.added else ()
-        split = [pieces(t) if t and i not in whole else [] for i, t in enumerate(texts)]
-        if len(self.memo) > MEMO_PIECES // 2:
-            self.older, self.memo = self.memo, {}
-        new = set().union(*split).difference(self.memo)
-        known = [p for p in new if p in self.older]
-        self.memo.update((p, self.older[p]) for p in known)
-        new.difference_update(known)
-        alone = [p for p in new if len(p) > MEMO_CHARS or p[-1].isspace()]
-        once = dict(zip(alone, self._alone(alone)))
-        self._learn(list(new.difference(alone)))
-        get = self.memo.__getitem__ if not once else (lambda p: once[p] if p in once else self.memo[p])
-        out = [b"".join(map(get, p)) for p in split]
+        cut, before = pieces([None if i in whole else t for i, t in enumerate(texts)] if whole else texts)
+        each = cut.dictionary_encode()
+        ids = self._of(each.dictionary).take(each.indices)
+        _, ends, data = ids.buffers()
+        data = memoryview(data or b"")
+        at = np.frombuffer(ends, np.int64)[ids.offset:][before].tolist() if len(ids) else [0] * len(before)
+        out = [bytes(data[a:b]) for a, b in zip(at, at[1:])]
         for i in whole:
             out[i] = np.array(self.whole.encode(texts[i], add_special_tokens=False).ids, self.dtype).tobytes()
         return out
@@ -187,7 +274,7 @@ def text_steps(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
     for t in texts:
         held.append(t.as_py())
         size += len(held[-1] or "")
-        if size >= TEXT_STEP or len(held) >= 1024:
+        if size >= TEXT_STEP or len(held) >= TEXT_ROWS:
             yield at, held
             at, held, size = at + len(held), [], 0
     if held:

@@ -71,3 +71,50 @@ def test_texts_of_few_rows_leave_a_batch_together(monkeypatch):
     assert found == list(range(1100)) and asked == batch.column("text").to_pylist()
     piece = "".join(["wo", "rd"])
     assert toxicity.piece_words(piece)[0] is piece and list(toxicity.piece_words("a-b")) == ["a", "b"]
+
+
+def test_tokens_of_many_texts_equal_those_of_each():
+    rng = random.Random(11)
+    bits = ["Word", "École", "İ", "ΑΣ", "don't", "a-b", "3.14", ",", "--", "_", "^", "©", "😀", "日本語", "ไทย", "́", "÷",
+            "­", "\xa0", "　", "\x1c", "\x85", "\x00", " ", "  ", "\n", "\t", "\x0b", "(", "’", "Привет"]
+    texts = [None, "", " "] + ["".join(rng.choices(bits, k=rng.randrange(25))) for _ in range(3000)] + [""]
+    words, at, before = toxicity.PieceTokens().of(texts)
+    assert len(set(words)) == len(words) and len(before) == len(texts) + 1
+    for i, t in enumerate(texts):
+        assert [words[j] for j in at[before[i]:before[i + 1]]] == [w.lower() for w in toxicity.words_of(t)]
+    assert toxicity.PieceTokens().of([None, " "])[2].tolist() == [0, 0, 0]
+
+
+def test_latin_words_are_not_read_one_by_one(spark, monkeypatch):
+    """New Latin words of any case, with marks around them, take no call each, counted or scored."""
+    read = []
+    monkeypatch.setattr(toxicity, "piece_words", lambda piece: read.append(piece) or toxicity.words_of(piece))
+    texts = [" ".join(f"(Wörd{i}x{j}, WORD{i}x{j}." for j in range(50)) for i in range(100)]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": pa.array([i % 2 for i in range(100)], pa.int32())})
+    counted = pa.Table.from_batches(list(toxicity._count(iter([batch])))).to_pylist()
+    n = {r["key"]: r["n"] for r in counted}
+    assert all(n[toxicity.features(w)[-1]] == 1 for w in ("wörd7x3", "word99x49")) and n[toxicity.features("word")[0]] == 50
+    model = toxicity.count_model(spark.createDataFrame([("word1x1 bad", 1), ("wörd2x2", 0)], "text string, toxic int"))
+    got = list(toxicity.Scorer(model).scores(texts))
+    assert [len(s) for s in got] == [100] * 100 and read == []
+    assert np.allclose(got[1][:4], model.log_odds(["wörd1x0", "word1x0", "wörd1x1", "word1x1"]) - toxicity.DRIFT)
+
+
+def test_documents_are_counted_once_per_key_in_steps(monkeypatch):
+    """Small steps and slices give the counts of a plain count per document."""
+    rng = random.Random(2)
+    vocab = [f"{a}{b}ing{c}" for a in "bdf" for b in "aeiou" for c in ("", "s", "er", "日本")] + ["a", "I", "x-y", "don't"]
+    texts = [None, "", "a a A"] + [" ".join(rng.choices(vocab, k=rng.randrange(30))) for _ in range(200)]
+    sides = [rng.randrange(2) for _ in texts]
+    monkeypatch.setattr(toxicity, "TEXT_STEP", 500)
+    monkeypatch.setattr(toxicity, "BATCH_ROWS", 64)
+    monkeypatch.setattr(toxicity, "HELD_KEYS", 100)
+    want = {}
+    for text, side in zip(texts, sides):
+        for key in {k for w in toxicity.words_of(text) for k in toxicity.features(w)}:
+            want[key, side] = want.get((key, side), 0) + 1
+    got = {}
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "toxic": pa.array(sides, pa.int32())})
+    for r in pa.Table.from_batches(list(toxicity._count(iter([batch])))).to_pylist():
+        got[r["key"], r["toxic"]] = got.get((r["key"], r["toxic"]), 0) + r["n"]
+    assert {s: got.pop((None, s)) for s in (0, 1)} == {s: sides.count(s) for s in (0, 1)} and got == want

@@ -30,11 +30,12 @@ import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import partial
-from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pandas.util import hash_array
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,10 +65,16 @@ COUNT_FOLDS = (1, 2, 3)
 FIT_ROWS = 20_000
 MEMO_WORDS = 300_000
 MEMO_PIECES = 400_000
+#: Most tokens of a piece that is remembered.
+MEMO_TOKENS = 4
 #: Rows taken out of an Arrow batch together.
 BATCH_ROWS = 512
-#: Characters of texts whose new pieces are looked up together.
-TEXT_STEP = 1_000_000
+#: Characters of texts that are cut and looked up together.
+TEXT_STEP = 4_000_000
+#: A word of one token that Arrow and Python bring to lower case alike, its ASCII letters there already.
+LATIN_WORD = r"\A[0-9a-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+\z"
+#: Marks that end a word and are no tokens beside one: ASCII punctuation and symbols.
+ASCII_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 #: Code blocks written without spaces: Thai, Lao, Myanmar, Khmer, Tai, kana, Han.
 UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF),
@@ -141,70 +148,131 @@ def piece_words(piece: str) -> Sequence[str]:
     return (piece,) if len(found) == 1 and found[0] == piece else found
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """``column.to_pylist()`` without a scalar per value."""
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
 class PieceTokens(dict):
-    """Tokens of a piece without white space, remembered. No token spans white space, so the tokens
-    of a text are those of its pieces in order; the pattern runs once per distinct piece."""
+    """Lower-case tokens of a piece without ASCII white space; short ones are remembered."""
 
     def __missing__(self, piece: str) -> Sequence[str]:
-        found = piece_words(piece)
-        if len(self) < MEMO_PIECES:
+        found = [w.lower() for w in piece_words(piece)]
+        if len(found) <= MEMO_TOKENS:
+            if len(self) >= MEMO_PIECES:
+                self.clear()
             self[piece] = found
         return found
 
+    def of(self, texts: Sequence[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The distinct tokens of all texts, the number in that list of every token in order, and how
+        many tokens come before each text and in all.
+
+        No token spans white space, so a text's tokens are those of its pieces. Texts are cut in Arrow and
+        each distinct piece is read once: a Latin word between ASCII marks is what is left without the
+        marks, any other piece goes through the pattern."""
+        cut = pc.ascii_split_whitespace(pc.ascii_lower(pa.array([t or "" for t in texts], pa.large_string())))
+        each = cut.flatten().dictionary_encode()
+        bare = pc.ascii_trim(each.dictionary, ASCII_MARKS)
+        plain = pc.match_substring_regex(bare, LATIN_WORD)
+        odd = [self[p] for p in _strings(each.dictionary.filter(pc.invert(plain)))]
+        words = pa.concat_arrays([pc.utf8_lower(bare.filter(plain)), pa.array(chain.from_iterable(odd), pa.large_string())]).dictionary_encode()
+        # How many tokens a piece has, and where they begin among those of all distinct pieces, plain ones first.
+        alone = plain.to_numpy(zero_copy_only=False)
+        count, start = np.ones(len(alone), np.int64), np.cumsum(alone) - 1
+        count[~alone] = [len(w) for w in odd]
+        start[~alone] = alone.sum() + np.cumsum(count[~alone]) - count[~alone]
+        at = each.indices.to_numpy()
+        first, many = start[at], count[at]
+        ends = np.concatenate([[0], np.cumsum(many)])
+        if (many != 1).any():
+            first = np.repeat(first - ends[:-1], many) + np.arange(ends[-1])
+        pieces = np.concatenate([[0], np.cumsum(cut.value_lengths().to_numpy())])
+        return _strings(words.dictionary), words.indices.to_numpy()[first], ends[pieces]
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a worker holds the texts of few rows beside the batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
+def _steps(texts: Sequence[str | None]) -> Iterator[tuple[int, list[str | None]]]:
+    """(start, texts) in steps of bounded length (a longer text is a step of its own)."""
+    at, held, size = 0, [], 0
+    for t in texts:
+        if held and size + len(t or "") > TEXT_STEP:
+            yield at, held
+            at, held, size = at + len(held), [], 0
+        held.append(t)
+        size += len(t or "")
+    if held:
+        yield at, held
+
 
 def fold(doc_id: Column) -> Column:
     return (F.crc32(F.encode(doc_id.cast("string"), "UTF-8")) % FOLDS).cast("int")
 
 
-def _key(text: str, kind: int) -> int:
-    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8, salt=bytes([kind])).digest(),
-                          "little", signed=True)
+def _hash(texts: list[str], kind: int) -> np.ndarray:
+    """64-bit SipHash of each text, by another key for each kind."""
+    column = np.empty(len(texts), dtype=object)
+    column[:] = texts
+    return hash_array(column, hash_key=f"tidepool-kind-{kind:02d}", categorize=False).view(np.int64)
 
 
-#: Keys of the stems met so far: they are few and come again and again.
-_STEM_KEYS: dict[int, dict[str, int]] = {k: {} for k in STEMS}
+def keys_of(words: Sequence[str]) -> np.ndarray:
+    """64-bit keys of lower-case tokens, a row each: stems from short to long, then the word itself."""
+    return np.column_stack([*[_hash([w[:k] for w in words], k) for k in STEMS], _hash(list(words), 0)])
 
 
 def features(token: str) -> list[int]:
-    """64-bit keys of a token: stems from short to long, then the word itself."""
-    word, out = token.lower(), []
-    for k, known in _STEM_KEYS.items():
-        stem = word[:k]
-        if stem not in known:
-            if len(known) > MEMO_WORDS:
-                known.clear()
-            known[stem] = _key(stem, k)
-        out.append(known[stem])
-    out.append(_key(word, 0))
-    return out
+    """64-bit keys of a token in any case."""
+    return keys_of([token.lower()])[0].tolist()
 
 
 # ---------------------------------------------------------------- word counts
 
-def _sums(held: list[np.ndarray], side: int) -> pa.RecordBatch:
-    keys, n = np.unique(np.concatenate(held), return_counts=True)
+def _sums(held: list[tuple[np.ndarray, np.ndarray]], side: int) -> pa.RecordBatch:
+    keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+    n = np.bincount(at, weights=np.concatenate([n for _, n in held])).astype(np.int64)
     return pa.RecordBatch.from_pydict({"key": pa.array(keys, pa.int64()), "toxic": pa.array([side] * len(keys), pa.int32()),
                                        "n": pa.array(n, pa.int64())})
 
 
+def _document_counts(words: list[str], at: np.ndarray, before: np.ndarray, sides: np.ndarray
+                     ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per side the keys of its texts' tokens and in how many of these texts each is."""
+    keys, of_word = np.unique(keys_of(words), return_inverse=True)
+    of_word = of_word.reshape(len(words), -1)
+    text = np.repeat(np.arange(len(sides)), np.diff(before))
+    text, word = np.divmod(np.unique(text * len(words) + at), len(words))
+    text, key = np.divmod(np.unique(text[:, None] * len(keys) + of_word[word]), len(keys))
+    for side in (0, 1):
+        n = np.bincount(key[sides[text] == side], minlength=len(keys))
+        some = np.flatnonzero(n)
+        yield side, keys[some], n[some]
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, toxic, documents) of the task's labelled texts; key null counts the documents."""
-    held, size, total, memo, pieces = ([], []), [0, 0], [0, 0], {}, PieceTokens()
-    for batch in batches:
-        for text, side in zip(batch.column("text"), batch.column("toxic").to_pylist()):
-            tokens = set(chain.from_iterable(map(pieces.__getitem__, set((text.as_py() or "").split()))))
-            total[side] += 1
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            for t in tokens.difference(memo):
-                memo[t] = features(t)
-            if tokens:
-                held[side].append(np.unique(np.array([memo[t] for t in tokens], dtype=np.int64)))
-                size[side] += len(held[side][-1])
-            if size[side] > HELD_KEYS:
-                yield _sums(held[side], side)
-                held[side].clear()
-                size[side] = 0
+    held, size, total, pieces = ([], []), [0, 0], [0, 0], PieceTokens()
+    for batch in _parts(batches):
+        sides = batch.column("toxic").to_numpy(zero_copy_only=False)
+        for side in (0, 1):
+            total[side] += int((sides == side).sum())
+        for first, texts in _steps(batch.column("text").to_pylist()):
+            words, at, before = pieces.of(texts)
+            if not words:
+                continue
+            for side, keys, n in _document_counts(words, at, before, sides[first:first + len(texts)]):
+                held[side].append((keys, n))
+                size[side] += len(keys)
+                if size[side] > HELD_KEYS:
+                    yield _sums(held[side], side)
+                    held[side].clear()
+                    size[side] = 0
     for side in (0, 1):
         if held[side]:
             yield _sums(held[side], side)
@@ -277,7 +345,7 @@ class Model:
     def log_odds(self, words: Sequence[str]) -> np.ndarray:
         p = np.full(len(words), self.share)
         if len(words):
-            toxic, every = self.counts.find(np.array([features(t) for t in words], dtype=np.int64))
+            toxic, every = self.counts.find(keys_of([w.lower() for w in words]))
             for k in range(toxic.shape[1]):
                 p = (toxic[:, k] + CONCENTRATION * p) / (every[:, k] + CONCENTRATION)
         p, q = np.clip(p, 1e-6, 1 - 1e-6), self.share
@@ -349,65 +417,29 @@ def maximal_segments(scores: Sequence[float]) -> list[tuple[int, int, float]]:
 
 
 class Scorer:
-    """Token scores, and segments of whole texts. The scores of a piece between white space are kept
-    in one array and found by its number, so a known text costs one look-up a piece. Both memos are bounded."""
+    """Token scores, and segments of whole texts. Scores of words are remembered, a bounded number."""
 
     def __init__(self, model: Model):
-        self.model, self.tokens = model, {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers: dict[str, int] = {}
-        self.start, self.count, self.values, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), np.zeros(1024), 0
-
-    def _grown(self, array: np.ndarray, size: int) -> np.ndarray:
-        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array)), array.dtype)])
-
-    def learn(self, pieces: set[str]) -> None:
-        """Number new pieces and store their tokens' scores."""
-        found = {p: piece_words(p) for p in pieces}
-        each = set(chain.from_iterable(found.values()))
-        new = list(each.difference(self.tokens))
-        if len(self.tokens) + len(new) > MEMO_WORDS:
-            self.tokens.clear()
-            new = list(each)
-        if new:
-            self.tokens.update(zip(new, (self.model.log_odds(new) - DRIFT).tolist()))
-        flat = np.array([self.tokens[t] for words in found.values() for t in words], dtype=np.float64)
-        first, counts = len(self.numbers), np.array([len(w) for w in found.values()], dtype=np.int64)
-        self.numbers.update(zip(found, range(first, first + len(found))))
-        self.start, self.count = (self._grown(x, len(self.numbers)) for x in (self.start, self.count))
-        self.values = self._grown(self.values, self.used + len(flat))
-        self.count[first:len(self.numbers)] = counts
-        self.start[first:len(self.numbers)] = self.used + np.cumsum(counts) - counts
-        self.values[self.used:self.used + len(flat)] = flat
-        self.used += len(flat)
-
-    def _known(self, pieces: list[str]) -> np.ndarray:
-        at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
-        start, count = self.start[at], self.count[at]
-        if (count == 1).all():
-            return self.values[start]
-        ends = np.cumsum(count)
-        return self.values[np.repeat(start - (ends - count), count) + np.arange(ends[-1])]
+        self.model, self.pieces, self.tokens = model, PieceTokens(), {}
+
+    def _values(self, words: list[str]) -> np.ndarray:
+        """Scores of distinct words."""
+        values = np.array(list(map(self.tokens.get, words)), dtype=np.float64)
+        new = np.flatnonzero(np.isnan(values))
+        if len(new):
+            asked = [words[i] for i in new.tolist()]
+            values[new] = self.model.log_odds(asked) - DRIFT
+            if len(self.tokens) + len(asked) > MEMO_WORDS:
+                self.tokens.clear()
+            self.tokens.update(zip(asked, values[new].tolist()))
+        return values
 
     def scores(self, texts: Sequence[str | None]) -> Iterator[np.ndarray]:
-        """Scores of each text's tokens in order. New pieces are looked up for many texts at a time."""
-        at = 0
-        while at < len(texts):
-            split, size = [], 0
-            while at < len(texts) and len(split) < 512 and size < TEXT_STEP:
-                split.append((texts[at] or "").split())
-                size += len(texts[at] or "")
-                at += 1
-            every = set().union(*split)
-            new = every.difference(self.numbers)
-            if len(self.numbers) + len(new) > MEMO_PIECES:
-                self.forget()
-                new = every
-            if new:
-                self.learn(new)
-            yield from map(self._known, split)
+        """Scores of each text's tokens in order. Words are looked up for many texts at a time."""
+        for _, some in _steps(texts):
+            words, at, before = self.pieces.of(some)
+            every = self._values(words)[at]
+            yield from (every[a:b] for a, b in zip(before[:-1].tolist(), before[1:].tolist()))
 
     def segments(self, texts: Sequence[str | None]) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
         """Of each text the number of tokens, and segments as (first token, end token, score).
@@ -449,13 +481,6 @@ BIN_LOW, BIN_HIGH = -30.0, 30.0
 BINS = int((BIN_HIGH - BIN_LOW) / BIN) + 1
 
 
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The batches in slices, so that a worker holds the texts of few rows beside the batch."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, BATCH_ROWS):
-            yield batch.slice(at, BATCH_ROWS)
-
-
 def _token_scores(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     """Histogram of token scores."""
     scorer, hist = Scorer(model), np.zeros(BINS, dtype=np.int64)
